@@ -21,13 +21,14 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from labeldiff.llm.common import text_bytes
-
-#: Ids in a block, zstandard level, distinct chunks that a task remembers, bytes of the longest remembered chunk.
-BLOCK, LEVEL, MEMORY, LONGEST = 65_536, 1, 400_000, 48
+#: Ids in a block, zstandard level, distinct chunks that a task remembers at most (before the next slice), bytes of text encoded at once.
+BLOCK, LEVEL, MEMORY, SLICE = 65_536, 1, 800_000, 16_000_000
+#: Punctuation that is cut off a word.
+STOPS, CUT = ".,;:!?", r"[A-Za-z0-9][.,;:!?]+$"
 
 BLOCKS = "segment int, block int, n_ids int, width int, planes binary, sizes array<int>, docs array<struct<doc_id:long,at:long,off:long,pos:int,len:int>>"
 
@@ -56,7 +57,7 @@ def from_planes(planes: bytes, sizes: list[int], n: int, width: int) -> np.ndarr
 
 
 class Encoder:
-    """Ids of a text as bytes of little-endian 32-bit integers."""
+    """Ids of texts. Knows the ids of chunks it has met: index (chunk -> entry), and of each entry its place in a pool of ids."""
 
     def __init__(self, vocabulary: str, literal_specials: bool):
         import os
@@ -66,20 +67,87 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(vocabulary)
         self.tokenizer.encode_special_tokens = literal_specials
-        self.known: dict[bytes, bytes] = {}
-
-    def __call__(self, text: bytes) -> bytes:
-        chunks, known = text.split(), self.known
-        try:
-            return b"".join([known[c] for c in chunks])
-        except KeyError:
-            new = [c for c in set(chunks) if c not in known]
-        got = self.tokenizer.encode_batch_fast([c.decode("utf-8", "replace") for c in new], add_special_tokens=False)
-        ids = {c: np.array(e.ids, dtype="<u4").tobytes() for c, e in zip(new, got, strict=True)}
-        out = b"".join([known[c] if c in known else ids[c] for c in chunks])
-        if len(known) < MEMORY:
-            known.update((c, i) for c, i in ids.items() if len(c) <= LONGEST)
-        return out
+        self.forget()
+
+    def forget(self) -> None:
+        self.index: dict[str, int] = {"": 0}
+        self.pool, self.used = np.zeros(1 << 16, "<u4"), 0
+        self.start, self.size = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
+
+    def add(self, words: list[str], ids: np.ndarray, size: np.ndarray) -> None:
+        """New chunks, the ids of all of them one after the other, and how many each has."""
+        k, n = len(self.index), len(words)
+        while self.used + len(ids) > len(self.pool):
+            self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
+        while k + n > len(self.start):
+            self.start, self.size = (np.concatenate([x, np.zeros_like(x)]) for x in (self.start, self.size))
+        self.pool[self.used : self.used + len(ids)] = ids
+        self.start[k : k + n], self.size[k : k + n] = self.used + np.cumsum(size) - size, size
+        self.index.update(zip(words, range(k, k + n), strict=True))
+        self.used += len(ids)
+
+    def learn(self, new: list[str]) -> None:
+        """The library's ids of each chunk. Words of letters alone are one pre-token each, so many are encoded in one call."""
+        words = [w for w in new if w.isalpha()]
+        for at in range(0, len(words), 20_000):
+            part = words[at : at + 20_000]
+            e = self.tokenizer.encode("\n".join(part), add_special_tokens=False)
+            ids, owner = np.array(e.ids, "<u4"), np.array(e.word_ids, dtype=float)
+            size = np.bincount(owner.astype(int), minlength=len(part)) if len(owner) and not np.isnan(owner).any() else np.zeros(0, int)
+            if len(size) == len(part) and (size > 0).all() and (np.diff(owner) >= 0).all():
+                self.add(part, ids, size)
+            else:
+                self.learn_singly(part)
+        self.learn_singly([w for w in new if not w.isalpha()])
+
+    def learn_singly(self, new: list[str]) -> None:
+        ids = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
+        self.add(new, np.array([x for i in ids for x in i], "<u4"), np.array([len(i) for i in ids], int))
+
+    def entries(self, chunks: pa.Array) -> np.ndarray:
+        """The entry of each chunk; distinct chunks are looked up once."""
+        coded = chunks.dictionary_encode()
+        words = coded.dictionary.to_pylist()
+        got = list(map(self.index.get, words))
+        if None in got:
+            self.learn([w for w, k in zip(words, got, strict=True) if k is None])
+            got = list(map(self.index.get, words))
+        return np.array(got, dtype=np.int64)[coded.indices.to_numpy()]
+
+    def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after the other, and how many each has."""
+        import pyarrow.compute as pc
+
+        if len(self.index) > MEMORY:
+            self.forget()
+        # The vocabulary's normalizer lowers letters; special tokens are matched before that, so texts that may hold one stay as they are.
+        if not pc.any(pc.match_substring(texts, "<|")).as_py():
+            texts = pc.ascii_lower(texts)
+        lists = pc.ascii_split_whitespace(texts)
+        coded = lists.flatten().dictionary_encode()
+        # Punctuation after an ASCII letter or digit is a pre-token of its own.
+        chunks = coded.dictionary
+        cut = pc.match_substring_regex(chunks, CUT)
+        heads = pc.if_else(cut, pc.ascii_rtrim(chunks, STOPS), chunks)
+        tails = pc.if_else(cut, pc.replace_substring_regex(chunks, "^.*[A-Za-z0-9]", ""), "")
+        pairs = np.stack([self.entries(heads), self.entries(tails)], axis=1)
+        at = pairs[coded.indices.to_numpy()].reshape(-1)
+        size = self.size[at]
+        ends = np.cumsum(size)
+        ids = self.pool[np.repeat(self.start[at] - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)]
+        words = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])
+        marks = np.concatenate([[0], ends])[2 * words]
+        return ids, np.diff(marks)
+
+
+def slices(batch: pa.RecordBatch):
+    """Parts of a batch of about SLICE bytes of text; a longer text is a part of its own."""
+    ends = np.cumsum([0] + [x or 0 for x in pa.compute.binary_length(batch["text"]).to_pylist()])
+    at = 0
+    while at < batch.num_rows:
+        to = max(at + 1, int(np.searchsorted(ends, ends[at] + SLICE, side="right")) - 1)
+        yield batch.slice(at, to - at)
+        at = to
 
 
 def encode(vocabulary: str, end_id: int, block: int, width: int, level: int, literal_specials: bool):
@@ -97,18 +165,23 @@ def encode(vocabulary: str, end_id: int, block: int, width: int, level: int, lit
         SCHEMA = pa.schema([("segment", pa.int32()), ("block", pa.int32()), ("n_ids", pa.int32()), ("width", pa.int32()), ("planes", pa.binary()), ("sizes", pa.list_(pa.int32())), ("docs", pa.list_(pa.struct([("doc_id", pa.int64()), ("at", pa.int64()), ("off", pa.int64()), ("pos", pa.int32()), ("len", pa.int32())])))])
         for batch in batches:
             encoder = encoder or Encoder(vocabulary, literal_specials)
-            for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"], strict=True):
-                ids = encoder(text.as_buffer().to_pybytes()) + end
-                total, off = len(ids) // 4, 0
-                while off < total:
-                    n = min(block - size, total - off)
-                    pending.append(ids[4 * off : 4 * (off + n)])
-                    docs.append({"doc_id": doc_id, "at": at, "off": off, "pos": size, "len": n})
-                    size, off = size + n, off + n
-                    if size == block:
-                        yield closed()
-                        pending, size, docs, number = [], 0, [], number + 1
-                at += total
+            for part in slices(batch):
+                ids, counts = encoder(part["text"])
+                raw, done = ids.tobytes(), 0
+                for doc_id, count in zip(part["doc_id"].to_pylist(), counts.tolist(), strict=True):
+                    own = memoryview(raw)[4 * done : 4 * (done + count)]
+                    done, total, off = done + count, count + 1, 0
+                    while off < total:
+                        n = min(block - size, total - off)
+                        pending.append(own[4 * off : 4 * (off + n)])
+                        if off + n == total:
+                            pending.append(end)
+                        docs.append({"doc_id": doc_id, "at": at, "off": off, "pos": size, "len": n})
+                        size, off = size + n, off + n
+                        if size == block:
+                            yield closed()
+                            pending, size, docs, number = [], 0, [], number + 1
+                    at += total
         if size:
             yield closed()
 
@@ -117,7 +190,7 @@ def encode(vocabulary: str, end_id: int, block: int, width: int, level: int, lit
 
 def write_ids(docs: DataFrame, vocabulary: str, end_id: int = 1, block: int = BLOCK, width: int = 8, level: int = LEVEL, literal_specials: bool = False) -> DataFrame:
     """Writes the ids of every text in ascending order of doc_id; returns the table of blocks as read from the files."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes().alias("text"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
     dealt = rows.repartitionByRange(F.col("doc_id"), F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"), "text")
     spark = docs.sparkSession
     blocks = dealt.mapInArrow(encode(vocabulary, end_id, block, width, level, literal_specials), BLOCKS)
