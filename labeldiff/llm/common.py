@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pickle
 import sys
 import tempfile
 import uuid
@@ -49,6 +50,15 @@ def text_bytes(column: str = "text"):
     return F.coalesce(F.col(column), F.lit("")).cast("binary")
 
 
+def shipped(spark: SparkSession, model: object):
+    """A broadcast of a model of bounded size, with the code of its classes."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(model))
+
+
+def received(broadcast) -> object:
+    return pickle.loads(broadcast.value)
+
+
 def fresh(taken: list[str], name: str) -> str:
     """A column name that clashes with none of ``taken`` (Spark compares names without case)."""
     low = {x.lower() for x in taken}

@@ -19,12 +19,30 @@ def op1_bitplane_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bitplane.read_documents(blocks)
 
 
+def op2_toxicity_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from labeldiff.llm import toxicity
+
+    return toxicity.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), 0.7)
+
+
 def op3_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     from labeldiff.llm import sharding
 
     return sharding.shard_report(table(spark, sf_dir, "documents"), 24)
 
 
+def op4_raked_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from labeldiff.llm import mixing
+
+    return mixing.report(table(spark, sf_dir, "documents"), budget=0.8)
+
+
+def op5_page_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from labeldiff.llm import html_crf
+
+    return html_crf.extract(table(spark, sf_dir, "pages"), keep=["page_id", "url"])
+
+
 def op6_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     from labeldiff.llm import simhash
 
@@ -38,6 +56,21 @@ def op7_prefix_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op8_chat_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from labeldiff.llm import chat
+
+    said = "</s>[INST] ok [/INST]"
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    return chat.report(chat.format_conversations(turns.unionByName(extra)))
+
+
+def op9_license_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from labeldiff.llm import licenses
+
+    return licenses.scan_report(table(spark, sf_dir, "documents"))
+
+
 def op10_va_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     from labeldiff.llm import va_file
 
