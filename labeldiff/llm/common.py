@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import pickle
-import sys
 import tempfile
 import uuid
 
@@ -11,9 +10,6 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Functions of this package travel to the executors by value, so that no executor needs the package installed.
-cloudpickle.register_pickle_by_value(sys.modules[__package__])
-
 #: Bytes to lower case (A-Z only); the other tables below also turn separators into spaces.
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 

@@ -1,9 +1,10 @@
 """Toxicity by nearest labelled examples: exact TF-IDF cosine over a block-max inverted index.
 
 Fitting (on at most ``MAX_TRAIN`` labelled rows, those with the smallest hash of their id; all other steps see all rows):
-features of a text are its words (A-Z lowered) and their leading 4 to 7 bytes, so inflected forms of one stem share a
-feature. The features that tell the labels apart best (chi-square, at most ``MAX_FEATURES``) are weighted by
-(1 + ln tf) * idf and scaled to length 1; equal vectors are merged with their label counts. That is the index: postings
+features of a text are its words (A-Z lowered) and their leading 4 to 7 bytes, so inflected forms of one stem can share a
+feature, and each of these once more where it occurs twice or oftener. The features that tell the labels apart best
+(chi-square, at most ``MAX_FEATURES``) make the vocabulary; of a word's features only the best one in it counts. They
+are weighted by (1 + ln tf) * idf and scaled to length 1; equal vectors are merged with their label counts. That is the index: postings
 by feature in blocks of ``BLOCK`` vectors with the largest weight of each block. Its size is bounded by these constants.
 
 Scoring: the sum of a text's weights times the block maxima bounds the cosine of every vector in a block; blocks are
@@ -33,8 +34,8 @@ from labeldiff.llm.common import ALNUM, fresh, received, shipped, stored, text_b
 MAX_TRAIN, MAX_FEATURES, NEIGHBOURS, BLOCK = 20_000, 4096, 15, 64
 #: Least document frequency and chi-square of a feature; lengths of leading parts; least length of a word that has them.
 MIN_DF, MIN_CHI2, LEADING, LONG = 4, 20.0, (4, 5, 6, 7), 5
-#: Words a task remembers.
-MEMORY = 200_000
+#: Words a task remembers; what marks the feature of a repeated word.
+MEMORY, AGAIN = 200_000, b"@2"
 
 
 def parts(word: bytes) -> list[bytes]:
@@ -49,8 +50,14 @@ def count_features(batches):
     for batch in batches:
         for y, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
             totals[y] += 1
-            for f in {p for w in set(text.as_buffer().to_pybytes().translate(ALNUM).split()) for p in parts(w)}:
+            tf: Counter = Counter()
+            for w, n in Counter(text.as_buffer().to_pybytes().translate(ALNUM).split()).items():
+                for p in parts(w):
+                    tf[p] += n
+            for f, n in tf.items():
                 seen.setdefault(f, [0, 0])[y] += 1
+                if n > 1:
+                    seen.setdefault(f + AGAIN, [0, 0])[y] += 1
     rows = [(b"", *totals), *((f, *n) for f, n in seen.items())]
     for at in range(0, len(rows), 50_000):
         f, n0, n1 = zip(*rows[at : at + 50_000], strict=True)
@@ -64,7 +71,9 @@ class Features:
         self.vocabulary, self.known = vocabulary, {}
 
     def of(self, word: bytes) -> tuple[int, ...]:
-        got = tuple(self.vocabulary[p] for p in parts(word) if p in self.vocabulary)
+        """The best of the word's features (the vocabulary is numbered from the best on), and its number for repeats."""
+        best = min(((k, p) for p in parts(word) for q in (p, p + AGAIN) if (k := self.vocabulary.get(q)) is not None), default=None)
+        got = () if best is None else (self.vocabulary.get(best[1], -1), self.vocabulary.get(best[1] + AGAIN, -1))
         if len(self.known) < MEMORY and len(word) < 64:
             self.known[word] = got
         return got
@@ -76,8 +85,8 @@ class Features:
             if got is None:
                 got = self.of(w)
             if got:
-                tf.update(got)
-        return tuple(sorted(tf.items()))
+                tf[got] += 1
+        return tuple(sorted((k, n) for (one, again), n in tf.items() for k in ((one, again) if n > 1 else (one,)) if k >= 0))
 
 
 class Index:
