@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 #: White space of Unicode, as Python's \s sees it.
 SPACE = r"(?U)\s+"
@@ -114,7 +115,7 @@ def first_text(meta: Column, names: tuple[str, ...]) -> Column:
     return F.coalesce(*[one(n) for n in names])
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def normalized_name(names: pd.Series) -> pd.Series:
     """NFKC, case folded, white space collapsed: no built-in does NFKC."""
     import unicodedata
@@ -122,6 +123,6 @@ def normalized_name(names: pd.Series) -> pd.Series:
     return names.map(lambda s: None if s is None else " ".join(unicodedata.normalize("NFKC", s).casefold().split()))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def casefolded(names: pd.Series) -> pd.Series:
     return names.map(lambda s: None if s is None else s.casefold())

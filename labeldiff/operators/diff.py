@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from labeldiff.functions.rules import in_order, listed
 from labeldiff.values import LINE_WORDS, OPERATIONS
@@ -112,6 +113,6 @@ def text_chunks(pairs: DataFrame, keys: list[str]) -> DataFrame:
     return pairs.select(*keys, "old_text", "new_text").mapInArrow(run, schema)
 
 
-@F.udf("string")
+@F.udf(StringType())
 def unified_text(old: str, new: str, old_label: str, new_label: str) -> str:
     return unified((old or "").split(), (new or "").split(), old_label, new_label)

@@ -12,6 +12,7 @@ from collections.abc import Mapping
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from labeldiff.functions import text
 from labeldiff.values import CONTENT_MARGIN, CONTENT_THRESHOLD, CONTENT_WEIGHTS
@@ -61,7 +62,7 @@ def locator_agrees(matched: DataFrame) -> DataFrame:
     return both.withColumn("partner", F.when(~wrong, F.col("partner"))).withColumn("method", F.when(~wrong, F.col("method"))).drop("_code", "_heading")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def ratio(old: pd.Series, new: pd.Series) -> pd.Series:
     """SequenceMatcher ratio of two token lists, without its popularity heuristic."""
     from difflib import SequenceMatcher

@@ -12,6 +12,7 @@ import zipfile
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.types import BinaryType, StringType, StructType
 
 from labeldiff.functions import identity, text
 from labeldiff.values import ALIASES, MAX_BYTES
@@ -25,7 +26,7 @@ def raw_files(spark: SparkSession, root: str, pattern: str = "*.xml") -> DataFra
     return rows.select("path", "content", "length", identity.sha256(F.col("content")).alias("raw_sha256"), F.regexp_extract("path", r"([^/]+)/([^/]+)/[^/]+$", 1).alias("set_id"), F.regexp_extract("path", r"([^/]+)/([^/]+)/[^/]+$", 2).alias("version"))
 
 
-@F.udf("struct<member:string,body:binary,error:string>")
+@F.udf(StructType().add("member", StringType()).add("body", BinaryType()).add("error", StringType()))
 def sole_xml(content: bytes):
     """The only XML member of a ZIP archive: no absolute path, no way up, bounded, of the length it states."""
     try:
