@@ -26,6 +26,8 @@ from pyspark.sql import functions as F
 
 from labeldiff.llm.common import LOWER, fresh, stored
 
+#: Rows for one task of the steps on distinct fingerprints and links (narrow rows), and tasks at least.
+ROWS, TASKS = 250_000, 6
 #: Distinct fingerprints in a pair of blocks beyond which pairs are not compared one by one; bits two fingerprints may differ in.
 HOT, RADIUS = 64, 2
 
@@ -71,28 +73,36 @@ def with_fingerprints(docs: DataFrame, shingle: int, text_col: str = "text", nam
     return sent.mapInArrow(add_fingerprints(shingle, len(keep), name), schema)
 
 
+def sized(df: DataFrame, rows: int) -> DataFrame:
+    """df in as many tasks as its rows ask for, whatever the number of shuffle partitions: links are few, and thousands of empty tasks cost more than the work."""
+    return df.coalesce(max(TASKS, rows // ROWS))
+
+
 def close_pairs(prints: DataFrame) -> DataFrame:
     """(a, b), a < b: links between distinct fingerprints (column ``fp``) that connect all that differ in RADIUS bits or fewer."""
     blocks = [F.shiftrightunsigned("fp", s).bitwiseAND(F.lit(0xFFFF)) for s in (48, 32, 16, 0)]
     keys = [F.lit(n).cast("long") * (1 << 32) + blocks[i] * (1 << 16) + blocks[j] for n, (i, j) in enumerate(combinations(range(4), 2))]
     spread = prints.select("fp", F.explode(F.array(*keys)).alias("key"))
-    shared = spread.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    met = stored(spread.join(shared, "key"), "blocks")
+    rows = 6 * prints.count()
+    shared = sized(spread.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), rows)
+    met = stored(sized(spread.join(shared, "key"), rows), "blocks")
+    rows = met.count()
     few = met.where(F.col("n") <= HOT)
     left, right = few.select("key", F.col("fp").alias("a")), few.select("key", F.col("fp").alias("b"))
     near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= RADIUS
-    pairs = left.join(right, (left["key"] == right["key"]) & (F.col("a") < F.col("b")) & near).select("a", "b")
-    hot = met.where(F.col("n") > HOT).select("fp").distinct()
+    pairs = sized(left.join(right, (left["key"] == right["key"]) & (F.col("a") < F.col("b")) & near).select("a", "b"), rows)
+    hot = sized(met.where(F.col("n") > HOT).select("fp").distinct(), rows)
     flips = F.array(F.lit(0).cast("long"), *[F.lit(1 << i if i < 63 else -(1 << 63)).cast("long") for i in range(64)])
     beside = hot.select("fp", F.explode(F.transform(flips, lambda x: x.bitwiseXOR(F.col("fp")))).alias("x"))
+    beside = sized(beside, rows)
     centre = beside.groupBy("x").agg(F.min("fp").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1").select("x", "a")
     stars = beside.join(centre, "x").where(F.col("a") != F.col("fp")).select("a", F.col("fp").alias("b"))
-    return pairs.union(stars).distinct()
+    return sized(pairs.union(sized(stars, rows)).distinct(), rows)
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, root): every node of the edges (a, b) with the smallest node it is connected to."""
-    now = stored(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u > v").distinct(), "edges")
+    now = stored(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u > v"), "edges")
     mark = None
     while True:
         n, crc = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").bitwiseAND(F.lit(0xFFFFFFFF)))).first()
@@ -100,11 +110,13 @@ def components(edges: DataFrame) -> DataFrame:
             return now.select(F.col("u").alias("node"), F.col("v").alias("root")).union(now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()) if n else now.select(F.col("u").alias("node"), F.col("v").alias("root"))
         mark = (n, crc)
         both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u > v").distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", F.col("m").alias("v")))
-        now = stored(small.where("u > v").distinct(), "edges")
+        least = sized(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), n)
+        large = sized(both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u > v"), n)
+        large = sized(large.distinct(), n)
+        low = sized(large.groupBy("u").agg(F.min("v").alias("m")), n)
+        small = large.join(low, "u").where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        small = sized(small, n).union(low.select("u", F.col("m").alias("v")))
+        now = stored(sized(small.where("u > v").distinct(), n), "edges")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None, name: str = "component_id") -> DataFrame:
