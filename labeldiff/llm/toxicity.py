@@ -3,7 +3,7 @@
 Fitting (on at most ``MAX_TRAIN`` labelled rows, those with the smallest hash of their id; all other steps see all rows):
 features of a text are its words (A-Z lowered) and their leading 4 to 7 bytes, so inflected forms of one stem can share a
 feature, and each of these once more where it occurs twice or oftener. The features that tell the labels apart best
-(chi-square, at most ``MAX_FEATURES``) make the vocabulary; of a word's features only the best one in it counts. They
+(chi-square, at most ``MAX_FEATURES``, and only such as make a label ``MIN_LIFT`` times as likely) make the vocabulary; of a word's features only the best one in it counts. They
 are weighted by (1 + ln tf) * idf and scaled to length 1; equal vectors are merged with their label counts. That is the index: postings
 by feature in blocks of ``BLOCK`` vectors with the largest weight of each block. Its size is bounded by these constants.
 
@@ -31,9 +31,11 @@ from pyspark.sql import functions as F
 from labeldiff.llm.common import ALNUM, fresh, received, shipped, stored, text_bytes
 
 #: Bounds of what is fitted: labelled rows, features, neighbours, vectors in a block.
-MAX_TRAIN, MAX_FEATURES, NEIGHBOURS, BLOCK = 20_000, 4096, 15, 64
-#: Least document frequency and chi-square of a feature; lengths of leading parts; least length of a word that has them.
-MIN_DF, MIN_CHI2, LEADING, LONG = 4, 20.0, (4, 5, 6, 7), 5
+MAX_TRAIN, MAX_FEATURES, NEIGHBOURS, BLOCK = 20_000, 4096, 15, 512
+#: Least document frequency, chi-square, chi-square by labelled row (the squared correlation) and lift (share of a label where the feature is, over its share in all) of a feature.
+MIN_DF, MIN_CHI2, MIN_PHI2, MIN_LIFT = 4, 20.0, 0.003, 2.0
+#: Lengths of leading parts; least length of a word that has them.
+LEADING, LONG = (4, 5, 6, 7), 5
 #: Words a task remembers; what marks the feature of a repeated word.
 MEMORY, AGAIN = 200_000, b"@2"
 
@@ -129,21 +131,23 @@ class Index:
         bound = np.zeros(self.n_blocks)
         for _, top, b in own:
             bound += top * b
-        best: list[tuple[float, int]] = []
+        top, at_top = np.zeros(0), np.zeros(0, int)
         for block in np.argsort(-bound, kind="stable").tolist():
-            if bound[block] <= 0 or len(best) == k and bound[block] < -best[-1][0] - 1e-12:
+            if bound[block] <= 0 or len(top) == k and bound[block] < top[-1] - 1e-12:
                 break
-            score = np.zeros(BLOCK)
+            score, first = np.zeros(BLOCK), block * BLOCK
             for (at, weight, begins), _, b in own:
                 s = slice(begins[block], begins[block + 1])
-                score[at[s] - block * BLOCK] += weight[s] * b
-            if 0 <= but - block * BLOCK < BLOCK:
-                score[but - block * BLOCK] = 0
+                score[at[s] - first] += weight[s] * b
+            if 0 <= but - first < BLOCK:
+                score[but - first] = 0
             score = np.round(score, 12)
-            hits = np.flatnonzero(score > 0)
+            hits = np.flatnonzero(score > (top[-1] - 1e-12 if len(top) == k else 0))
             if len(hits):
-                best = sorted([*best, *zip((-score[hits]).tolist(), (hits + block * BLOCK).tolist(), strict=True)])[:k]
-        return [(-c, i) for c, i in best]
+                top, at_top = np.concatenate([top, score[hits]]), np.concatenate([at_top, hits + first])
+                order = np.lexsort((at_top, -top))[:k]
+                top, at_top = top[order], at_top[order]
+        return list(zip(top.tolist(), at_top.tolist(), strict=True))
 
     def vote(self, vector, k: int, but: int = -1, own: int = 0) -> tuple[float, list[tuple[float, int]]]:
         """Share of the weight of toxic neighbours; but/own: the vector and label of a labelled text that asks about itself."""
@@ -220,7 +224,8 @@ def fit(labelled: DataFrame) -> Model:
     a, b = F.col("n1").cast("double"), F.col("n0").cast("double")
     c, d = F.lit(m1) - a, F.lit(m0) - b
     chi2 = F.lit(m0 + m1) * (a * d - b * c) * (a * d - b * c) / (F.lit(m0 * m1) * (a + b) * F.greatest(c + d, F.lit(1.0)))
-    picked = counts.where(F.octet_length("f") > 0).withColumn("chi2", chi2).where(F.col("chi2") >= MIN_CHI2).orderBy(F.desc("chi2"), "f").limit(MAX_FEATURES).collect()
+    lift = F.greatest(a / (a + b) * F.lit((m0 + m1) / m1), b / (a + b) * F.lit((m0 + m1) / m0))
+    picked = counts.where(F.octet_length("f") > 0).withColumn("chi2", chi2).where((F.col("chi2") >= max(MIN_CHI2, MIN_PHI2 * (m0 + m1))) & (lift >= MIN_LIFT)).orderBy(F.desc("chi2"), "f").limit(MAX_FEATURES).collect()
     vocabulary = {bytes(r.f): k for k, r in enumerate(picked)}
     idf = np.array([math.log((1 + m0 + m1) / (1 + r.n0 + r.n1)) + 1 for r in picked])
     vectors = sample.mapInArrow(vectorize(vocabulary), "y int, doc_id long, f array<int>, tf array<int>").groupBy("f", "tf").agg(F.count_if(F.col("y") == 0).alias("n0"), F.count_if(F.col("y") == 1).alias("n1"), F.min("doc_id").alias("doc_id"))
