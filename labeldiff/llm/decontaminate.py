@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from labeldiff.llm.common import ALNUM, text_bytes
+from labeldiff.llm.common import ALNUM, fresh, text_bytes
 
 #: Words of items in one broadcast block.
 BLOCK_WORDS = 1_000_000
@@ -127,10 +127,11 @@ def find_windows(docs: DataFrame, items: DataFrame, window: int = 10, text_col:
     if clash:
         raise ValueError(f"rename {sorted(clash)} first: these names are the operator's")
     kept = docs.select(*[F.col(f"`{c}`") for c in keep])
-    rows = docs.select(*[F.col(f"`{c}`") for c in keep], text_bytes(text_col).alias("_text"))
-    base = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema), "_text binary"])
+    sent = fresh([*keep, *(n for n, _ in MARKS)], "_text")
+    rows = docs.select(*[F.col(f"`{c}`") for c in keep], text_bytes(text_col).alias(sent))
+    base = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema), f"`{sent}` binary"])
     schema = base + ", n_words long, spans array<array<long>>, items array<string>"
-    names = [*keep, "_text", *(n for n, _ in MARKS)]
+    names = [*keep, sent, *(n for n, _ in MARKS)]
     first = True
     for block in blocks_of(items, item_id, item_text, block_words):
         cut = [(name, words) for name, text in block if (words := text.translate(ALNUM).split())]
@@ -138,7 +139,7 @@ def find_windows(docs: DataFrame, items: DataFrame, window: int = 10, text_col:
         index = prefix_index(cut, rarity(docs, vocabulary, text_col) if cut else {}, window)
         rows = rows.mapInArrow(mark(index, frozenset(index), len(keep), names, first), schema)
         first = False
-    return rows.drop("_text")
+    return rows.drop(sent)
 
 
 def hit_words() -> Column:

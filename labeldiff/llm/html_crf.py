@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from labeldiff.llm.common import received, shipped
+from labeldiff.llm.common import fresh, received, shipped
 from labeldiff.llm.html_blocks import blocks
 from labeldiff.llm.labelled_pages import labelled_pages
 
@@ -149,7 +149,7 @@ def extract(pages: DataFrame, model: Crf | None = None, html_col: str = "html",
     """The columns ``keep`` (default: all), the main text and its code points."""
     keep = pages.columns if keep is None else keep
     kept = pages.select(*[F.col(f"`{c}`") for c in keep])
-    sent = pages.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{html_col}`").cast("string").alias("_html"))
+    sent = pages.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{html_col}`").cast("string").alias(fresh(keep, "_html")))
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema), f"`{text}` string", f"`{n_chars}` long"])
     shared = shipped(pages.sparkSession, model or default_model())
     return sent.mapInArrow(add_text(shared, len(keep), [*keep, text, n_chars]), schema)

@@ -258,7 +258,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", keep: list[str]
     """The columns ``keep`` (default: all), the score and its evidence. One pass, no shuffle."""
     keep = docs.columns if keep is None else keep
     kept = docs.select(*[F.col(f"`{c}`") for c in keep])
-    sent = docs.select(*[F.col(f"`{c}`") for c in keep], text_bytes(f"`{text_col}`").alias("_text"))
+    sent = docs.select(*[F.col(f"`{c}`") for c in keep], text_bytes(f"`{text_col}`").alias(fresh(keep, "_text")))
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema), f"`{name}` double", f"`{evidence}` array<struct<doc_id:long,cosine:double>>"])
     shared = shipped(docs.sparkSession, model)
     return sent.mapInArrow(add_scores(shared, len(keep), [*keep, name, evidence]), schema)
