@@ -36,7 +36,7 @@ PRODUCT = """<subject><manufacturedProduct><manufacturedProduct><name>Brandex</n
 <ingredient classCode="ACTIB"><ingredientSubstance><name>DRUGOL</name></ingredientSubstance></ingredient><ingredient classCode="IACT"><ingredientSubstance><name>starch</name></ingredientSubstance></ingredient></manufacturedProduct>
 <consumedIn><routeCode displayName="ORAL"/><routeCode displayName="oral"/></consumedIn></manufacturedProduct></subject>"""
 V1 = document("1", section("34067-9", "1 INDICATIONS", "<paragraph>use <b>it</b> well</paragraph>", section(None, "1.1 Adults", "for adults only", root="x1"), root="x0") + section("34070-3", "4 CONTRAINDICATIONS", "never with milk") + section(None, "8.6 Renal impairment", "") + section(None, "Old words", "these words will go"), extra=PRODUCT)
-V2 = document("2", section("34070-3", "4 CONTRAINDICATIONS", "never with cold milk") + section("34067-9", "1 Indications", "<paragraph>use <b>it</b> well</paragraph>", section(None, "1.1 Adults", "for adults only", root="x1"), root="x0") + section(None, "8.6 Renal impairment", "") + section(None, "New part", "quite another thing"), extra=PRODUCT)
+V2 = document("2", section("34070-3", "4 CONTRAINDICATIONS", "never with cold milk") + section("34067-9", "1 Indications", "<paragraph>use <b>it</b> well</paragraph>", section(None, "1.1 Adults", "for adults only", root="x1"), root="x0") + section(None, "8.6 Renal impairment", "") + section("99999-9", "New part", "quite another thing"), extra=PRODUCT)
 
 
 # Scalars
