@@ -43,7 +43,7 @@ def topic_of(text: Column) -> Column:
         F.when(F.rlike(text, F.lit(r"(?i)copyright|licen[cs]e|rights\s+reserved")), "legal")
         .when(many("|", 0.02), "table")
         .when(many("{", 0.005) | many(";", 0.02), "code")
-        .when(F.rlike(text, F.lit(r"[\w.]+@\w+\.\w")), "contact")
+        .when(F.contains(text, F.lit("@")) & F.rlike(text, F.lit(r"\w@\w+\.\w")), "contact")
         .when(many("*", 0.01) | many("#", 0.01) | many("!", 0.02), "noise")
         .otherwise("prose")
     )
@@ -162,11 +162,20 @@ def sampling_rate(fitted: Rake, cells: DataFrame, budget: float) -> float:
     return high
 
 
-def probabilities(docs: DataFrame, budget: float = 0.8, targets: Mapping | None = None, alpha: Mapping | None = None, prefix: str = "mix_", id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", lang_col: str = "lang") -> DataFrame:
-    """docs with topic, tokens, weight (the factor by which the cell's share of tokens changes), probability and whether it is drawn."""
+def marked_rows(docs: DataFrame, prefix: str = "mix_", text_col: str = "text", source_col: str = "source", lang_col: str = "lang") -> DataFrame:
+    """docs with the labels of their cell and their tokens. The only step that reads texts."""
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     label = lambda c: F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(""))
-    marked = docs.withColumns({f"{prefix}source": label(source_col), f"{prefix}lang": label(lang_col), f"{prefix}topic": topic_of(text), f"{prefix}tokens": tokens_of(text)})
+    return docs.withColumns({f"{prefix}source": label(source_col), f"{prefix}lang": label(lang_col), f"{prefix}topic": topic_of(text), f"{prefix}tokens": tokens_of(text)})
+
+
+def probabilities(docs: DataFrame, budget: float = 0.8, targets: Mapping | None = None, alpha: Mapping | None = None, prefix: str = "mix_", id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", lang_col: str = "lang") -> DataFrame:
+    """docs with topic, tokens, weight (the factor by which the cell's share of tokens changes), probability and whether it is drawn."""
+    return weighed(marked_rows(docs, prefix, text_col, source_col, lang_col), budget, targets, alpha, prefix, id_col)
+
+
+def weighed(marked: DataFrame, budget: float, targets: Mapping | None = None, alpha: Mapping | None = None, prefix: str = "mix_", id_col: str = "doc_id") -> DataFrame:
+    """marked rows with weight, probability and draw; reads them twice."""
     got = rake(marked.select(F.col(f"{prefix}source").alias("source"), F.col(f"{prefix}lang").alias("lang"), F.col(f"{prefix}topic").alias("topic"), F.col(f"{prefix}tokens").alias("tokens")), targets, alpha)
     if got is None:
         whole = marked.withColumns({f"{prefix}weight": F.lit(1.0), f"{prefix}probability": F.lit(1.0), f"{prefix}drawn": F.lit(True)})
@@ -176,7 +185,7 @@ def probabilities(docs: DataFrame, budget: float = 0.8, targets: Mapping | None
     factors = F.create_map(*[x for (a, t), f in zip(fitted.sides, fitted.side_factors(), strict=True) for x in (F.lit(f"{a}\0{t}"), F.lit(float(f)))])
     by_source = cells.select(F.col("source").alias(f"{prefix}s"), "a")
     # One row per source; Spark broadcasts it only while it is small, and splits a hot source's rows otherwise.
-    a = fresh(docs.columns, f"{prefix}a")
+    a = fresh(marked.columns, f"{prefix}a")
     joined = marked.join(by_source.withColumnRenamed("a", a), F.col(f"{prefix}source") == F.col(f"{prefix}s"), "left")
     weight = F.coalesce(F.col(a) * F.try_element_at(factors, F.concat(f"{prefix}lang", F.lit("\0"), f"{prefix}topic")), F.lit(0.0))
     joined = joined.withColumn(f"{prefix}weight", weight)
@@ -187,7 +196,8 @@ def probabilities(docs: DataFrame, budget: float = 0.8, targets: Mapping | None
 
 
 def report(docs: DataFrame, budget: float = 0.8) -> DataFrame:
-    got = probabilities(docs, budget)
+    # Texts are read once: the marked rows are narrow without them.
+    got = weighed(stored(marked_rows(docs).drop("text"), "marked"), budget)
     return got.select("doc_id", "source", "lang", F.col("mix_topic").alias("topic"), F.col("mix_tokens").alias("tokens"), F.col("mix_weight").alias("weight"), F.col("mix_probability").alias("probability"), F.col("mix_drawn").alias("drawn"))
 
 
