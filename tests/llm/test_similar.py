@@ -78,3 +78,38 @@ def test_prints_of_parts():
         want = sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in own) > len(own))
         assert (blocks[p] is None) == (not own) and (not own or blocks[p] % 2**64 == want)
     assert len(whole) == len(sb.MIXES) and np.all(np.diff(h.astype(float)) > 0)
+
+
+def scattered(r, base, similarity, k):
+    """base with single words changed at random places until the similarity would be below the one asked for."""
+    copy, own = list(base), shingles(" ".join(base))
+    n = len(base)
+    while True:
+        step = max(1, n // 500)
+        trial = list(copy)
+        for i in r.sample(range(n), step):
+            trial[i] = f"e{k}x{i}"
+        if jaccard(own, shingles(" ".join(trial))) < similarity:
+            return copy
+        copy = trial
+
+
+def test_scattered_edits_at_every_length(spark):
+    r = random.Random(13)
+    texts, pairs = [], []
+    for n, times in ((100, 8), (500, 8), (1000, 8), (2000, 6), (5000, 4), (20_000, 2)):
+        for similarity in (0.8, 0.85, 0.9):
+            for k in range(times):
+                base = [f"w{r.randrange(50_000)}" for _ in range(n)]
+                pairs.append((len(texts), len(texts) + 1))
+                texts += [" ".join(base), " ".join(scattered(r, base, similarity, k))]
+                far = scattered(r, base, 0.74, "f")
+                for i in r.sample(range(n), max(2, n // 50)):
+                    far[i] = f"g{i}"
+                texts.append(" ".join(far))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {x.doc_id: x.component_id for x in sb.similar_groups(df).collect()}
+    for a, b in pairs:
+        sets = [shingles(texts[k]) for k in (a, b, b + 1)]
+        assert jaccard(sets[0], sets[1]) >= 0.8 and got[a] == got[b] == a
+        assert (got[b + 1] == a) == (max(jaccard(sets[0], sets[2]), jaccard(sets[1], sets[2])) >= 0.8)
