@@ -7,8 +7,11 @@ out, or whose sketches (four bits of each least value) differ in more than ``FAR
 sketches differ in 30 values, give or take 5. The rest are verified on their whole shingle sets, so each link has a
 similarity of 0.8 or more.
 
-A band that many documents share would give all their pairs. Instead each document is paired with the band's two
-extreme members.
+A band that many documents share would give all their pairs. Instead each document is first paired with the band's hub:
+the member that meets the most others in all its bands. The best candidate of each document is verified, which puts
+copies of one text in one group in rows proportional to the documents. Then all pairs of each band whose members are
+still in different groups are compared, so nothing is left out: rows grow with the square only of documents that share a
+band and are not found alike through a hub.
 Documents with the same shingle set are one node. Groups are connected components.
 
 Defined results: texts without words (null, empty) are copies of each other; fewer words than a shingle make one shingle;
@@ -121,6 +124,32 @@ def unlike(a: str, b: str):
     return sum((F.bit_count(x.bitwiseOR(y).bitwiseOR(z).bitwiseOR(u)) for x, y, z, u in map(words, range(3))), F.lit(0))
 
 
+def hub_pairs(met: DataFrame, rows: int) -> DataFrame:
+    """met: (key, node, met). Pairs (a, b) of each node with the hubs of its bands."""
+    weight = sized(met.groupBy("node").agg(F.sum("met").alias("weight")), rows)
+    hubs = met.join(weight, "node").groupBy("key").agg(F.max(F.struct("weight", "node"))["node"].alias("hub"))
+    pairs = met.join(hubs, "key").where("node <> hub").select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b"))
+    return stored(sized(pairs.distinct(), rows), "pairs")
+
+
+def nearest(pairs: DataFrame, rows: int) -> DataFrame:
+    """Of the pairs (a, b, far) the best of each node."""
+    ends = pairs.select(F.col("a").alias("node"), F.col("b").alias("other"), "far").union(pairs.select(F.col("b").alias("node"), F.col("a").alias("other"), "far"))
+    best = ends.groupBy("node").agg(F.min(F.struct("far", "other"))["other"].alias("other"))
+    return stored(sized(best.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct(), rows), "nearest")
+
+
+def apart_pairs(met: DataFrame, roots: DataFrame, rows: int) -> DataFrame:
+    """All pairs (a, b) that share a band and are in different groups; pairs within a group are never made."""
+    named = met.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
+    groups = named.groupBy("key", "root").agg(F.collect_list("node").alias("nodes"))
+    open_ = sized(groups.groupBy("key").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("key"), rows)
+    groups = stored(sized(groups.join(open_, "key"), rows), "apart")
+    left, right = groups.select("key", F.col("root").alias("r"), F.col("nodes").alias("x")), groups.select("key", F.col("root").alias("s"), F.col("nodes").alias("y"))
+    pairs = left.join(right, "key").where("r < s").select(F.explode("x").alias("x"), "y").select("x", F.explode("y").alias("y"))
+    return stored(pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "pairs")
+
+
 def candidates(pairs: DataFrame, kinds: DataFrame) -> DataFrame:
     """Of the pairs (a, b) of nodes those that sizes and sketches do not rule out, with ``far``, the values in which the sketches differ."""
     left, right = kinds.select(F.col("node").alias("a"), F.col("n").alias("m"), F.col("sketch").alias("x")), kinds.select(F.col("node").alias("b"), "n", F.col("sketch").alias("y"))
@@ -155,10 +184,11 @@ def grouped(docs: DataFrame, shingle: int, id_col: str, text_col: str, name: str
     texts = marked.select(F.col(node).alias("node"), text_bytes(f"`{text_col}`").alias("text"))
     rows = BANDS * kinds.count()
     spread = kinds.select("node", F.explode("bands").alias("key"))
-    ends = spread.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high")
-    met = spread.join(ends, "key").select("node", F.explode(F.array("low", "high")).alias("end")).where("node <> end")
-    pairs = stored(sized(met.select(F.least("node", "end").alias("a"), F.greatest("node", "end").alias("b")).distinct(), rows), "pairs")
-    roots = components(verified(candidates(pairs, kinds), texts, shingle, rows))
+    shared = spread.groupBy("key").agg(F.count(F.lit(1)).alias("met")).where("met > 1")
+    met = stored(sized(spread.join(shared, "key"), rows), "bands")
+    first = verified(nearest(candidates(hub_pairs(met, rows), kinds), rows), texts, shingle, rows)
+    rest = verified(candidates(apart_pairs(met, components(first), rows), kinds).drop("far"), texts, shingle, rows)
+    roots = components(first.union(rest))
     linked = kinds.select("node", "least").join(roots.withColumnRenamed("node", "_n"), F.col("node") == F.col("_n"), "left").select("node", "least", F.coalesce("root", "node").alias("root"))
     names = linked.join(linked.groupBy("root").agg(F.min("least").alias(name)), "root").select(F.col("node").alias(f"{node}n"), F.col(name), F.col("root").alias(root))
     return marked.join(names, F.col(node) == F.col(f"{node}n")).select(*kept, name, root)

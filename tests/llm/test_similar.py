@@ -113,3 +113,24 @@ def test_scattered_edits_at_every_length(spark):
         sets = [shingles(texts[k]) for k in (a, b, b + 1)]
         assert jaccard(sets[0], sets[1]) >= 0.8 and got[a] == got[b] == a
         assert (got[b + 1] == a) == (max(jaccard(sets[0], sets[2]), jaccard(sets[1], sets[2])) >= 0.8)
+
+
+def test_copies_that_are_alike_only_through_their_original(spark):
+    r = random.Random(14)
+    texts = []
+    for n, copies in ((100, 60), (300, 120)):
+        base = [f"w{r.randrange(50_000)}" for _ in range(n)]
+        group = [" ".join(scattered(r, base, 0.81, k)) for k in range(copies)]
+        group.insert(copies // 2, " ".join(base))
+        texts.append(group)
+    # a chain: each is like the next only
+    words = [f"w{r.randrange(50_000)}" for _ in range(600)]
+    texts.append([" ".join(words[20 * k : 20 * k + 300]) for k in range(15)])
+    rows = [(k, t) for k, t in enumerate(t for group in texts for t in group)]
+    got = [x.component_id for x in sb.similar_groups(spark.createDataFrame(rows, "doc_id long, text string")).orderBy("doc_id").collect()]
+    at = 0
+    for group in texts:
+        sets = [shingles(t) for t in group]
+        assert all(jaccard(sets[0], x) < 0.8 for x in sets[2:10])
+        assert got[at : at + len(group)] == [at] * len(group)
+        at += len(group)
