@@ -1,14 +1,15 @@
-"""Toxicity by nearest labelled examples: exact TF-IDF cosine over a block-max inverted index.
+"""Toxicity by nearest labelled examples: exact TF-IDF cosine over an inverted index.
 
 Fitting (on at most ``MAX_TRAIN`` labelled rows, those with the smallest hash of their id; all other steps see all rows):
 features of a text are its words (A-Z lowered) and their leading 4 to 7 bytes, so inflected forms of one stem can share a
 feature, and each of these once more where it occurs twice or oftener. The features that tell the labels apart best
-(chi-square, at most ``MAX_FEATURES``, and only such as make a label ``MIN_LIFT`` times as likely) make the vocabulary; of a word's features only the best one in it counts. They
-are weighted by (1 + ln tf) * idf and scaled to length 1; equal vectors are merged with their label counts. That is the index: postings
-by feature in blocks of ``BLOCK`` vectors with the largest weight of each block. Its size is bounded by these constants.
+(chi-square of ``MIN_CHI2`` or more, at most ``MAX_FEATURES``, for either label) make the vocabulary; of a word's features only the best one in it counts. They
+are weighted by (1 + ln tf) * idf and scaled to length 1; equal vectors are merged with their label counts. That is the
+index: postings by feature, as a whole row of weights for features that more than one in ``DENSE`` vectors has. Its size
+is bounded by these constants.
 
-Scoring: the sum of a text's weights times the block maxima bounds the cosine of every vector in a block; blocks are
-scored exactly, best bound first, until no bound beats the k-th cosine found. The result is exact. The k neighbours
+Scoring: the cosines of all vectors that share a feature are summed from the postings of the text's features. The result
+is exact. The k neighbours
 vote with weight cos^2 (1 - distance, sharpened); a text without any feature has as neighbours the labelled texts
 without any. Votes become probabilities by a monotone map fitted on leave-one-out votes of the labelled rows
 (pool-adjacent-violators with smoothing). Evidence: the neighbours' ids and cosines.
@@ -30,10 +31,10 @@ from pyspark.sql import functions as F
 
 from labeldiff.llm.common import ALNUM, fresh, received, shipped, stored, text_bytes
 
-#: Bounds of what is fitted: labelled rows, features, neighbours, vectors in a block.
-MAX_TRAIN, MAX_FEATURES, NEIGHBOURS, BLOCK = 20_000, 4096, 15, 512
-#: Least document frequency, chi-square, chi-square by labelled row (the squared correlation) and lift (share of a label where the feature is, over its share in all) of a feature.
-MIN_DF, MIN_CHI2, MIN_PHI2, MIN_LIFT = 4, 20.0, 0.003, 2.0
+#: Bounds of what is fitted: labelled rows, features, neighbours; features of more than one in DENSE vectors have whole rows.
+MAX_TRAIN, MAX_FEATURES, NEIGHBOURS, DENSE = 20_000, 4096, 15, 24
+#: Least document frequency and chi-square of a feature, at any number of labelled rows.
+MIN_DF, MIN_CHI2 = 4, 20.0
 #: Lengths of leading parts; least length of a word that has them.
 LEADING, LONG = (4, 5, 6, 7), 5
 #: Words a task remembers; what marks the feature of a repeated word.
@@ -92,7 +93,7 @@ class Features:
 
 
 class Index:
-    """Block-max inverted index of labelled vectors. rows: [(vector, n0, n1, smallest id)] with distinct vectors."""
+    """Inverted index of labelled vectors. rows: [(vector, n0, n1, smallest id)] with distinct vectors."""
 
     def __init__(self, rows: list, idf: np.ndarray):
         self.idf = idf
@@ -102,20 +103,21 @@ class Index:
         bare = [r for r in rows if not r[0]]
         self.bare = (sum(r[1] for r in bare), sum(r[2] for r in bare), min((r[3] for r in bare), default=None))
         vectors = [self.weights(r[0]) for r in rows if r[0]]
-        self.n_blocks = -(-len(vectors) // BLOCK)
+        self.size = len(vectors)
         lists: dict[int, list[tuple[int, float]]] = {}
         for k, (f, w) in enumerate(vectors):
             for a, b in zip(f, w, strict=True):
                 lists.setdefault(int(a), []).append((k, float(b)))
-        #: feature -> (vector numbers, weights, where each block's postings begin); the maxima of each block
-        self.postings, self.maxima = {}, {}
+        #: feature -> (vector numbers, weights); of frequent features: the weights of all vectors
+        self.postings, self.whole = {}, {}
         for f, entries in lists.items():
             at = np.array([e[0] for e in entries])
             w = np.array([e[1] for e in entries])
-            begins = np.searchsorted(at // BLOCK, np.arange(self.n_blocks + 1))
-            top = np.zeros(self.n_blocks)
-            np.maximum.at(top, at // BLOCK, w)
-            self.postings[f], self.maxima[f] = (at, w, begins), top
+            if len(at) * DENSE > self.size:
+                self.whole[f] = np.zeros(self.size)
+                self.whole[f][at] = w
+            else:
+                self.postings[f] = at, w
 
     def weights(self, vector) -> tuple[np.ndarray, np.ndarray]:
         f = np.array([x[0] for x in vector])
@@ -125,29 +127,19 @@ class Index:
     def nearest(self, vector, k: int, but: int = -1) -> list[tuple[float, int]]:
         """The k largest cosines above 0 as (cosine, vector number), exact; ``but`` is left out."""
         f, w = self.weights(vector)
-        own = [(self.postings[a], self.maxima[a], b) for a, b in zip(f.tolist(), w.tolist(), strict=True) if a in self.postings]
-        if not own:
-            return []
-        bound = np.zeros(self.n_blocks)
-        for _, top, b in own:
-            bound += top * b
-        top, at_top = np.zeros(0), np.zeros(0, int)
-        for block in np.argsort(-bound, kind="stable").tolist():
-            if bound[block] <= 0 or len(top) == k and bound[block] < top[-1] - 1e-12:
-                break
-            score, first = np.zeros(BLOCK), block * BLOCK
-            for (at, weight, begins), _, b in own:
-                s = slice(begins[block], begins[block + 1])
-                score[at[s] - first] += weight[s] * b
-            if 0 <= but - first < BLOCK:
-                score[but - first] = 0
-            score = np.round(score, 12)
-            hits = np.flatnonzero(score > (top[-1] - 1e-12 if len(top) == k else 0))
-            if len(hits):
-                top, at_top = np.concatenate([top, score[hits]]), np.concatenate([at_top, hits + first])
-                order = np.lexsort((at_top, -top))[:k]
-                top, at_top = top[order], at_top[order]
-        return list(zip(top.tolist(), at_top.tolist(), strict=True))
+        own = [(a, b) for a, b in zip(f.tolist(), w.tolist(), strict=True)]
+        few = [(*self.postings[a], b) for a, b in own if a in self.postings]
+        score = np.bincount(np.concatenate([x[0] for x in few]), np.concatenate([x[1] * x[2] for x in few]), self.size) if few else np.zeros(self.size)
+        for a, b in own:
+            if a in self.whole:
+                score += self.whole[a] * b
+        if but >= 0:
+            score[but] = 0
+        least = np.partition(score, -k)[-k] if k < self.size else 0.0
+        hits = np.flatnonzero((score > 0) & (score >= least - 1e-11))
+        top = np.round(score[hits], 12)
+        order = np.lexsort((hits, -top))[:k]
+        return list(zip(top[order].tolist(), hits[order].tolist(), strict=True))
 
     def vote(self, vector, k: int, but: int = -1, own: int = 0) -> tuple[float, list[tuple[float, int]]]:
         """Share of the weight of toxic neighbours; but/own: the vector and label of a labelled text that asks about itself."""
@@ -224,8 +216,7 @@ def fit(labelled: DataFrame) -> Model:
     a, b = F.col("n1").cast("double"), F.col("n0").cast("double")
     c, d = F.lit(m1) - a, F.lit(m0) - b
     chi2 = F.lit(m0 + m1) * (a * d - b * c) * (a * d - b * c) / (F.lit(m0 * m1) * (a + b) * F.greatest(c + d, F.lit(1.0)))
-    lift = F.greatest(a / (a + b) * F.lit((m0 + m1) / m1), b / (a + b) * F.lit((m0 + m1) / m0))
-    picked = counts.where(F.octet_length("f") > 0).withColumn("chi2", chi2).where((F.col("chi2") >= max(MIN_CHI2, MIN_PHI2 * (m0 + m1))) & (lift >= MIN_LIFT)).orderBy(F.desc("chi2"), "f").limit(MAX_FEATURES).collect()
+    picked = counts.where(F.octet_length("f") > 0).withColumn("chi2", chi2).where(F.col("chi2") >= MIN_CHI2).orderBy(F.desc("chi2"), "f").limit(MAX_FEATURES).collect()
     vocabulary = {bytes(r.f): k for k, r in enumerate(picked)}
     idf = np.array([math.log((1 + m0 + m1) / (1 + r.n0 + r.n1)) + 1 for r in picked])
     vectors = sample.mapInArrow(vectorize(vocabulary), "y int, doc_id long, f array<int>, tf array<int>").groupBy("f", "tf").agg(F.count_if(F.col("y") == 0).alias("n0"), F.count_if(F.col("y") == 1).alias("n1"), F.min("doc_id").alias("doc_id"))

@@ -155,6 +155,18 @@ def test_toxicity_learns_and_scores(spark):
     assert kept.columns == ["doc_id", "text", "score"] and kept.count() == sum(g.score < 0.7 for g in got)
 
 
+def test_features_of_either_label_at_any_sample(spark):
+    r = random.Random(2)
+    rows = []
+    for k in range(8000):
+        bad = k % 8 == 0
+        words = ["both"] + (["calm"] if not bad and r.random() < 0.6 else []) + (["vile"] if bad else []) + (["rare"] if bad and k < 32 else [])
+        rows.append((k, " ".join(words), int(bad)))
+    model = toxicity.fit(spark.createDataFrame(rows, "doc_id long, text string, toxic int"))
+    assert {b"calm", b"rare", b"vile"} <= set(model.features.vocabulary) and b"both" not in model.features.vocabulary
+    assert model.features(b"calm") and model.score(b"calm")[0] < 0.1 and model.score(b"rare vile")[0] > 0.9
+
+
 def test_toxicity_without_labels(spark, docs, nothing):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     assert {r.score for r in toxicity.report(docs, none).collect()} == {0.5}
