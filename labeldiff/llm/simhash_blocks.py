@@ -2,7 +2,7 @@
 
 The ``BANDS`` * ``DEEP`` least values of a shingle set under as many hash functions are cut into bands; documents that
 agree in a band are candidates. A pair of similarity s agrees in one with probability 1 - (1 - s^DEEP)^BANDS, whatever
-the length of the texts: at 0.8 it is missed with probability 3e-6, at 0.9 with 2e-13. Candidates whose sizes rule 0.8
+the length of the texts: at 0.8 it is missed with probability 3e-6, at 0.9 with 4e-13. Candidates whose sizes rule 0.8
 out, or whose sketches (four bits of each least value) differ in more than ``FAR`` of 160 values, are dropped: at 0.8
 sketches differ in 30 values, give or take 5. The rest are verified on their whole shingle sets, so each link has a
 similarity of 0.8 or more.
