@@ -73,7 +73,8 @@ FAMILIES = (
     ("ms-pl", "microsoft", r"microsoft public", r""),
     ("ms-rl", "microsoft", r"microsoft reciprocal", r""),
     ("openssl", "openssl", r"openssl", r""),
-    ("python-2.0", "python", r"(?:python software foundation|psf)", r"2(?: 0)?"),
+    ("python-2.0", "python", r"python software foundation", r"2(?: 0)?"),
+    ("python-2.0", "psf", r"psf", r"2(?: 0)?"),
     ("ruby", "ruby", r"ruby", r""),
     ("php-3.01", "php", r"php", r"3 01"),
     ("postgresql", "postgresql", r"postgresql", r""),
@@ -118,7 +119,7 @@ NOTICES = (
     Rule("bsd-3-clause", 3, "endorse or promote", r"neither the name of [a-z0-9 ]{1,80} may be used to endorse or promote products"),
     Rule("bsd-4-clause", 3, "advertising materials", r"all advertising materials mentioning features or use of this software must display"),
     Rule("apache-2.0", 3, "apache", r"licensed under the apache license version 2 0"),
-    Rule("apache-2.0", 3, "www apache org", r"http s? ?www apache org licenses license 2 0"),
+    Rule("apache-2.0", 3, "www apache org", r"https? www apache org licenses license 2 0"),
     Rule("gpl", 3, "free software foundation", r"(?:the gnu )?general public license as published by the free software foundation"),
     Rule("gpl-2.0-or-later", 3, "free software foundation", r"general public license as published by the free software foundation either version 2 of the license or (?:at your option )?any later version"),
     Rule("gpl-3.0-or-later", 3, "free software foundation", r"general public license as published by the free software foundation either version 3 of the license or (?:at your option )?any later version"),
@@ -149,7 +150,8 @@ NOTICES = (
     Rule("copyright", 1, "copyright", r"copyright (?:c|by|holder|holders|notice|owner|owners)"),
     Rule("proprietary", 1, "proprietary", r"proprietary and confidential"),
     Rule("proprietary", 1, "permission", r"(?:without|with) (?:the )?(?:prior )?(?:express )?written permission"),
-    Rule("no-commercial", 1, "commercial", r"(?:non ?commercial use only|not for commercial use|for non ?commercial (?:use|purposes))"),
+    Rule("no-commercial", 1, "commercial", r"(?:non commercial use only|not for commercial use|for non commercial (?:use|purposes))"),
+    Rule("no-commercial", 1, "noncommercial", r"(?:noncommercial use only|for noncommercial (?:use|purposes))"),
     Rule("no-redistribution", 1, "redistribut", r"(?:may|must|do) not (?:be )?redistribut(?:e|ed)"),
     Rule("no-derivatives", 1, "derivative", r"no derivative works"),
     Rule("as-is", 1, "provided as is", r"provided as is(?: without warranty)?"),

@@ -432,6 +432,13 @@ def plain_scan(text):
     return sorted({d for d in found if not any(beats(e, d) for e in found)})
 
 
+def test_keywords_do_not_hide_wordings(spark):
+    texts = ["PSF License 2.0", "see https://www.apache.org/licenses/LICENSE-2.0 there", "see http://www.apache.org/licenses/LICENSE-2.0 there", "for noncommercial use", "for non-commercial use", "Python Software Foundation License version 2"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: set(r.labels.split(",")) for r in licenses.scan_report(rows).collect()}
+    assert [want in got[k] for k, want in enumerate(["python-2.0", "apache-2.0", "apache-2.0", "no-commercial", "no-commercial", "python-2.0"])] == [True] * 6
+
+
 def test_licenses(spark, docs, nothing):
     texts = [
         None, "", "nothing here", "Licensed under the Apache License, Version 2.0 (the License)", "(c) CC-BY 4.0 and cc_by-sa 3.0; CC BY", "GNU General Public License version 3 or later.",
