@@ -15,7 +15,8 @@ segments: consecutive turns of one conversation, at most about ``SEGMENT`` chara
 conversation in order (its digests) streams over its segments, one at a time, holding none of them.
 
 Defined results: null text is empty; null role is the role "unknown"; rows of a conversation are in order of turn (nulls
-first), ties by role and text; repeated rows are repeated turns; a null conv_id is a conversation of its own; extra
+first), ties by role, then by the MD5 of text and parts, in dealing and sorting alike, so the result does not depend on
+partitions; repeated rows are repeated turns; a null conv_id is a conversation of its own; extra
 columns are ignored; an empty table gives no rows; a part of unknown type or without a reference is kept as a document.
 """
 
@@ -123,7 +124,7 @@ def write_segments(batches):
                 segment, seq = None, seq + 1
             if segment is None:
                 segment, size = {"conv_id": r["conv_id"], "part": part, "seq": seq, "n_turns": 0, "text": [], "mask": [], "attachments": [], "n_expanded": 0}, 0
-            role = "unknown" if r["role"] is None else r["role"]
+            role = r["role"]
             parts = r.get("parts") if r.get("parts") is not None else [{"type": "text", "text": r["text"]}]
             text, start, end, attachments = format_turn(role, parts)
             if role == "assistant":
@@ -139,22 +140,26 @@ def write_segments(batches):
 
 def format_conversations(turns: DataFrame, parts_col: str | None = None) -> DataFrame:
     """Segments of formatted conversations as written and read back: conv_id, part and seq (their order), text, loss mask, attachments."""
-    order = [F.col("conv_id"), F.col("turn"), F.col("role"), F.xxhash64("text")]
-    rows = turns.select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text", *([F.col(parts_col).alias("parts")] if parts_col else []))
-    dealt = rows.repartitionByRange(*order).sortWithinPartitions("conv_id", "turn", "role", "text")
+    parts = F.col(f"`{parts_col}`") if parts_col else None
+    text = F.coalesce(F.col("text"), F.lit(""))
+    tie = F.md5(text.cast("binary")) if parts is None else F.md5(F.concat(text, F.lit("\0"), F.coalesce(F.to_json(parts), F.lit(""))).cast("binary"))
+    rows = turns.select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), F.coalesce("role", F.lit("unknown")).alias("role"), text.alias("text"), *([parts.alias("parts")] if parts is not None else []), tie.alias("tie"))
+    order = ["conv_id", "turn", "role", "tie"]
+    dealt = rows.repartitionByRange(*order).sortWithinPartitions(*order).drop("tie")
     return stored(dealt.mapInArrow(write_segments, SEGMENTS), "chat")
 
 
-REPORT = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, n_segments long"
-_report = pa.schema([("conv_id", pa.int64()), ("n_turns", pa.int64()), ("turns_sha256", pa.string()), ("loss_chars", pa.int64()), ("loss_sha256", pa.string()), ("formatted_chars", pa.int64()), ("n_segments", pa.int64())])
+_report = pa.schema([("conv_id", pa.int64()), ("n_turns", pa.int64()), ("turns_sha256", pa.string()), ("loss_chars", pa.int64()), ("loss_sha256", pa.string()), ("formatted_chars", pa.int64()), ("n_attachments", pa.int64()), ("n_expanded", pa.int64()), ("attachments_sha256", pa.string())])
+REPORT = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, n_attachments long, n_expanded long, attachments_sha256 string"
 
 
 def read_back(batches):
-    """For mapInArrow over segments in order: digests of every conversation, from the formatted text alone and its mask."""
+    """For mapInArrow over segments in order: digests of every conversation, from the formatted text alone, its mask and its
+    attachments (a line of turn, kind, reference, place in the formatted conversation and tokens for each)."""
     now = None
 
     def row():
-        return pa.RecordBatch.from_pylist([now | {"turns_sha256": turns.hexdigest(), "loss_sha256": loss.hexdigest()}], schema=_report)
+        return pa.RecordBatch.from_pylist([now | {"turns_sha256": turns.hexdigest(), "loss_sha256": loss.hexdigest(), "attachments_sha256": seen.hexdigest()}], schema=_report)
 
     for batch in batches:
         for k in range(batch.num_rows):
@@ -162,8 +167,8 @@ def read_back(batches):
             if now is None or now["conv_id"] != r["conv_id"]:
                 if now is not None:
                     yield row()
-                now = {"conv_id": r["conv_id"], "n_turns": 0, "loss_chars": 0, "formatted_chars": 0, "n_segments": 0}
-                turns, loss = hashlib.sha256(), hashlib.sha256()
+                now = {"conv_id": r["conv_id"], "n_turns": 0, "loss_chars": 0, "formatted_chars": 0, "n_attachments": 0, "n_expanded": 0}
+                turns, loss, seen = hashlib.sha256(), hashlib.sha256(), hashlib.sha256()
             text = r["text"]
             for role, start, end in parse(text):
                 turns.update(f"{role}\n{unescape(text[start:end])}\n".encode())
@@ -172,13 +177,18 @@ def read_back(batches):
                 said = unescape(text[start:end])
                 loss.update(said.encode())
                 now["loss_chars"] += len(said)
+            for x in r["attachments"]:
+                if not text.startswith(PLACES[x["kind"]], x["at"]):
+                    raise ValueError(f"no placeholder at {x['at']}")
+                seen.update(f"{x['turn']}\t{x['kind']}\t{x['ref']}\t{now['formatted_chars'] + x['at']}\t{x['tokens']}\n".encode())
+            now["n_attachments"] += len(r["attachments"])
+            now["n_expanded"] += r["n_expanded"]
             now["formatted_chars"] += len(text)
-            now["n_segments"] += 1
     if now is not None:
         yield row()
 
 
 def report(segments: DataFrame) -> DataFrame:
     """One row per conversation. A digest of a whole conversation is sequential by definition: its segments are streamed through one task, in constant memory."""
-    rows = segments.select("conv_id", "part", "seq", "text", "mask").repartition("conv_id").sortWithinPartitions("conv_id", "part", "seq")
+    rows = segments.select("conv_id", "part", "seq", "text", "mask", "attachments", "n_expanded").repartition("conv_id").sortWithinPartitions("conv_id", "part", "seq")
     return rows.mapInArrow(read_back, REPORT)

@@ -83,7 +83,23 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     hashes = ", ".join(f"('0x' || substr(md5(doc_id || ':{k}'), 1, 13))::BIGINT" for k in range(24))
+    from labeldiff.llm import chat
+
+    marks = " + ".join(f"(length({{0}}) - length(replace({{0}}, '{c}', ''))) // {len(c)}" for c in chat.CONTROL)
+    escaped = f"length({{0}}) + length({{0}}) - length(replace({{0}}, chr(92), '')) + {marks}"
+    frame = len(chat.TURN) + len(chat.SAYS) + len(chat.END)
     return {
+        "op8_chat_parts": f"""
+WITH given AS (
+  SELECT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+turns AS (SELECT *, md5(text) AS tie, {frame} + {escaped.format('role')} + {escaped.format('text')} AS size FROM given)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, tie)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, tie) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(size)::BIGINT AS formatted_chars, 0::BIGINT AS n_attachments, 0::BIGINT AS n_expanded, sha256('') AS attachments_sha256
+FROM turns GROUP BY conv_id""",
         "op3_rendezvous_shards": f"""
 WITH hashed AS (
   SELECT doc_id, coalesce(text, '') AS text, [{hashes}] AS h,

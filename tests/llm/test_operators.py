@@ -387,16 +387,33 @@ def test_chat_round_trip(spark):
     got = by_id(chat.report(segments), "conv_id")
     first = lambda x: (x is not None, x if x is not None else 0)
     for conv in {r[0] for r in rows}:
-        own = sorted((r for r in rows if r[0] == conv), key=lambda r: (first(r[1]), (r[2] is not None, r[2] or "")))
-        said = [("unknown" if r[2] is None else r[2], r[3] or "") for r in own]
+        own = sorted((r for r in rows if r[0] == conv), key=lambda r: (first(r[1]), r[2] or "unknown", hashlib.md5((r[3] or "").encode()).hexdigest()))
+        said = [(r[2] or "unknown", r[3] or "") for r in own]
         loss = "".join(t for role, t in said if role == "assistant")
         g = got[conv]
         assert g.turns_sha256 == hashlib.sha256("".join(f"{a}\n{b}\n" for a, b in said).encode()).hexdigest()
         assert (g.n_turns, g.loss_chars, g.loss_sha256) == (len(said), len(loss), hashlib.sha256(loss.encode()).hexdigest())
-    assert got[5].n_segments > 1
+    assert segments.where("conv_id = 5").count() > 1
     assert chat.report(chat.format_conversations(turns.limit(0))).count() == 0
 
 
+def test_ties_do_not_depend_on_partitions(spark):
+    r = random.Random(16)
+    rows = [(1, 0, r.choice(("user", "assistant")), f"text {r.randrange(2000)}") for _ in range(3000)]
+    said = sorted(rows, key=lambda x: (x[2], hashlib.md5(x[3].encode()).hexdigest()))
+    want = hashlib.sha256("".join(f"{x[2]}\n{x[3]}\n" for x in said).encode()).hexdigest()
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    old = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        for n in (1, 4, 7):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            assert [x.turns_sha256 for x in chat.report(chat.format_conversations(turns)).collect()] == [want]
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
 def test_escape_hides_every_control_string():
     r = random.Random(6)
     bits = [*chat.CONTROL, "\\", "<", "|", ">", "[", "/", "a", "<|", "|>"]
@@ -414,6 +431,9 @@ def test_content_parts(spark):
     assert [(a.kind, a.ref, a.tokens) for a in s.attachments] == [("image", "a.png", 3), ("audio", "b.wav", 75), ("document", "c", 256), ("document", "d.pdf", 768)]
     assert all(s.text.startswith(chat.PLACES[a.kind], a.at) for a in s.attachments) and s.n_expanded == 3 + 75 + 256 + 768
     assert [s.text[a:b] for a, b in s.mask] == ["plain"]
+    got = chat.report(chat.format_conversations(spark.createDataFrame(rows, kind), "parts")).first()
+    lines = "".join(f"0\t{a.kind}\t{a.ref}\t{a.at}\t{a.tokens}\n" for a in s.attachments)
+    assert (got.n_attachments, got.n_expanded, got.attachments_sha256) == (4, s.n_expanded, hashlib.sha256(lines.encode()).hexdigest())
 
 
 # 9 licenses
@@ -466,7 +486,7 @@ def test_licenses(spark, docs, nothing):
 # 10 exact search
 
 
-@pytest.mark.parametrize(("bits", "block"), [(7, 1024), (2, 3)])
+@pytest.mark.parametrize(("bits", "block"), [(7, 1 << 20), (2, 100), (1, 1 << 20)])
 def test_top_k(spark, bits, block):
     r = random.Random(8)
     vec = {k: [r.gauss(0, 1) for _ in range(6)] for k in range(700)}
@@ -476,7 +496,7 @@ def test_top_k(spark, bits, block):
     rows = [(k, v, k) for k, v in vec.items()] + [(900, None, 0), (901, [1.0, None] * 3, 0), (902, [float("nan")] * 6, 0), (903, [float("inf")] * 6, 0), (None, vec[4], 0), (500, vec[500], 1)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, rank int")
     got = {}
-    for g in va_file.top_k(df, F.col("vec_id") % 100 == 0, 10, bits=bits, block=block).collect():
+    for g in va_file.top_k(df, F.col("vec_id") % 100 == 0, 10, bits=bits, block_bytes=block).collect():
         got.setdefault(g.query_id, []).append((g["rank"], g.vec_id, g.score))
     ints = {k: [math.floor(1024 * float(np.float32(x))) for x in v] for k, v in vec.items()}
     assert sorted(got) == [0, 100, 200, 300, 400, 500, 600]
@@ -490,3 +510,37 @@ def test_top_k_edges(spark):
     assert [tuple(r) for r in va_file.top_k(few, F.col("vec_id") % 100 == 0).collect()] == [(0, 1, 1, 1024 * 2048)]
     assert va_file.top_k(few.limit(0), F.col("vec_id") % 100 == 0).count() == 0
     assert va_file.top_k(few, F.col("vec_id") == 7).count() == 0
+
+
+def test_top_k_outlier_and_large_components(spark):
+    r = random.Random(21)
+    vec = {k: [r.gauss(0, 1) for _ in range(5)] for k in range(2001)}
+    vec[7][2], vec[8], vec[9] = 1e7, [1e300, -1.0, 0.0, 2.0, 1.0], [-1e300, 1.0, 3.0, 0.0, 1.0]
+    vec[1000], vec[1001], vec[1002] = [3e15 + 1, 0.1, 0.0, 0.0, 0.0], [-3e15, 1.0, 1.0, 1.0, 1.0], [2.0**60, 1.0, 1.0, 1.0, 1.0]
+    vec[300], vec[11] = [1e-300] * 5, [-0.0] * 5
+    df = spark.createDataFrame([*vec.items(), (5000, [1e306, 0.0]), (5001, [float("inf")])], "vec_id long, embedding array<double>").repartition(3)
+    got = {}
+    for g in va_file.top_k(df, F.col("vec_id") % 100 == 0, 10, block_bytes=300).collect():
+        got.setdefault(g.query_id, []).append((g["rank"], g.vec_id, g.score))
+    ints = {k: [math.floor(1024 * x) for x in v] for k, v in vec.items()}
+    near = lambda s: min(max(s, -(2**63)), 2**63 - 1)
+    assert sorted(got) == list(range(0, 2001, 100))
+    for q, rows in got.items():
+        best = sorted((-sum(a * b for a, b in zip(ints[q], v, strict=True)), k) for k, v in ints.items() if k != q)[:10]
+        assert sorted(rows) == [(i + 1, k, near(-s)) for i, (s, k) in enumerate(best)]
+
+
+def test_top_k_counts_an_id_once(spark):
+    r = random.Random(22)
+    rows = [(k % 40, [float(r.randrange(-9, 9)) for _ in range(3)]) for k in range(900)]
+    got = {}
+    for g in va_file.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(2), F.col("vec_id") % 20 == 0, 5).collect():
+        got.setdefault(g.query_id, []).append((g["rank"], g.vec_id, g.score))
+    for q in (0, 20):
+        own = min([1024 * x for x in v] for k, v in rows if k == q)
+        best = {}
+        for k, v in rows:
+            if k != q:
+                best[k] = max(best.get(k, -math.inf), sum(a * 1024 * b for a, b in zip(own, v, strict=True)))
+        want = sorted((-s, k) for k, s in best.items())[:5]
+        assert sorted(got[q]) == [(i + 1, k, -s) for i, (s, k) in enumerate(want)]

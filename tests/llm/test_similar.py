@@ -4,10 +4,9 @@ from __future__ import annotations
 
 import random
 
-import numpy as np
 from pyspark.sql import functions as F
 
-from labeldiff.llm import simhash_blocks as sb
+from labeldiff.llm import similar as sb
 from labeldiff.llm.common import ALNUM
 
 
@@ -70,16 +69,6 @@ def test_edges(spark):
     assert sb.keep_one(df.limit(0)).count() == 0
 
 
-def test_prints_of_parts():
-    h = sb.shingle_hashes(b"a b c d e f g h i j", 5)
-    whole, blocks = sb.prints(b"a b c d e f g h i j", 5)
-    for p in range(sb.PARTS):
-        own = [int(x) for x in h if int(x) % sb.PARTS == p]
-        want = sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in own) > len(own))
-        assert (blocks[p] is None) == (not own) and (not own or blocks[p] % 2**64 == want)
-    assert len(whole) == len(sb.MIXES) and np.all(np.diff(h.astype(float)) > 0)
-
-
 def scattered(r, base, similarity, k):
     """base with single words changed at random places until the similarity would be below the one asked for."""
     copy, own = list(base), shingles(" ".join(base))
