@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from labeldiff.llm import decontaminate, mixing, sharding, simhash_blocks, toxicity
+from labeldiff.llm import decontaminate, mixing, sharding, similar, toxicity
 from labeldiff.llm.common import stored, table
 
 SHARDS = 24
@@ -26,7 +26,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of similar sets of five-word shingles: the one with the smallest id."""
-    return simhash_blocks.keep_one(docs, shingle=5)
+    return similar.keep_one(docs, shingle=5)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
