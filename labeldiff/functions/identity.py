@@ -26,10 +26,35 @@ def named(kind: str, *parts: Column) -> Column:
     return uuid5(F.concat_ws("|", F.lit(kind), *[F.coalesce(p.cast("string"), F.lit("")) for p in parts]))
 
 
-def canonical_json(**fields: Column) -> Column:
+def canonical_json(**values: Column) -> Column:
     """A flat object with sorted keys, no spaces, nulls kept, non-ASCII as it is and lower-case escapes of control characters."""
-    text = F.to_json(F.struct(*[fields[k].alias(k) for k in sorted(fields)]), {"ignoreNullFields": "false"})
-    return lower_escapes(text)
+    return canonical(**values)
+
+
+def fields(**values: Column) -> Column:
+    """A nested object: a struct whose fields are sorted."""
+    return F.struct(*[values[k].alias(k) for k in sorted(values)])
+
+
+def rendered(value: Column) -> Column:
+    """Canonical JSON of a struct made by ``fields``; nulls are kept."""
+    return lower_escapes(F.to_json(value, {"ignoreNullFields": "false"}))
+
+
+def canonical(**values: Column) -> Column:
+    """Canonical JSON of nested values: structs made by ``fields``, arrays of them, scalars."""
+    return rendered(fields(**values))
+
+
+#: What says when or from where something was made, by the kind of artifact that leaves it out.
+VOLATILE = {"normalized": ("source_identity.retrieved_at", "source_identity.source_url"), "diff": ("generated_at", "old_provenance.retrieved_at", "new_provenance.retrieved_at"), "report": ("generated_at", "batch_run.started_at", "batch_run.completed_at", "batch_run.canonical_report_sha256")}
+
+
+def steady(value: Column, kind: str, drop: bool = False) -> Column:
+    """A struct without the volatile fields of its kind: set to null, or dropped."""
+    for path in VOLATILE[kind]:
+        value = value.dropFields(path) if drop else value.withField(path, F.lit(None).cast("string"))
+    return value
 
 
 def lower_escapes(text: Column) -> Column:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+from functools import lru_cache
+
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -16,9 +19,23 @@ def collapsed(value: Column) -> Column:
     return F.nullif(F.regexp_replace(F.regexp_replace(value, SPACE, " "), "^ | $", ""), F.lit(""))
 
 
+@lru_cache(maxsize=1)
+def special_folds() -> str:
+    """Characters whose case folding is not their lower case, as a JSON object: one literal, where a map of literals would be hundreds of nodes of every plan."""
+    every = map(chr, (*range(128, 0xD800), *range(0xE000, 0x110000)))
+    return json.dumps({c: c.casefold() for c in every if c.casefold() != c.lower()})
+
+
+def folded(value: Column) -> Column:
+    """Unicode case folding, character by character; lower case where all characters are ASCII."""
+    special = F.from_json(F.lit(special_folds()), "map<string,string>")
+    each = F.transform(F.split(value, ""), lambda c: F.coalesce(F.try_element_at(special, c), F.lower(c)))
+    return F.when(F.rlike(value, F.lit(r"[^\x00-\x7F]")), F.array_join(each, "")).otherwise(F.lower(value))
+
+
 def heading(value: Column) -> Column:
     """For matching: folded, collapsed; null is empty."""
-    return F.coalesce(collapsed(F.lower(value)), F.lit(""))
+    return F.coalesce(collapsed(folded(value)), F.lit(""))
 
 
 def mapped_heading(value: Column) -> Column:
@@ -36,6 +53,11 @@ def mentions(value: Column, term: str) -> Column:
     return F.rlike(value, F.concat(F.lit(r"(?i)(?<![A-Za-z0-9])\Q"), F.lit(term.replace(r"\E", r"\E\\E\Q")), F.lit(r"\E(?![A-Za-z0-9])")))
 
 
+def words(value: Column) -> Column:
+    """For content scores: folded words (letters and digits, joined by hyphens or apostrophes) and comparison signs."""
+    return F.regexp_extract_all(folded(F.coalesce(value, F.lit(""))), F.lit(r"([\p{L}\p{N}]+(?:[-'][\p{L}\p{N}]+)*|[<>]=?|=)"), F.lit(1))
+
+
 def contains_folded(value: Column, needle: str) -> Column:
     return F.contains(F.lower(value), F.lit(needle.lower()))
 
@@ -105,8 +127,8 @@ def cleaned_segment(value: Column) -> Column:
 def first_spellings(values: Column) -> Column:
     """Distinct values whatever their case, in order, in their first spelling; blanks dropped."""
     kept = F.filter(values, lambda v: v.isNotNull() & (F.length(F.trim(v)) > 0))
-    folded = F.transform(kept, lambda v: F.lower(v))
-    return F.filter(F.transform(kept, lambda v, i: F.when(F.array_position(folded, F.lower(v)) == i + 1, v)), lambda v: v.isNotNull())
+    alike = F.transform(kept, folded)
+    return F.filter(F.transform(kept, lambda v, i: F.when(F.array_position(alike, alike[i]) == i + 1, v)), lambda v: v.isNotNull())
 
 
 def first_text(meta: Column, names: tuple[str, ...]) -> Column:
@@ -121,8 +143,3 @@ def normalized_name(names: pd.Series) -> pd.Series:
     import unicodedata
 
     return names.map(lambda s: None if s is None else " ".join(unicodedata.normalize("NFKC", s).casefold().split()))
-
-
-@F.pandas_udf(StringType())
-def casefolded(names: pd.Series) -> pd.Series:
-    return names.map(lambda s: None if s is None else s.casefold())

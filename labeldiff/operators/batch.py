@@ -34,22 +34,25 @@ def advanced(items: DataFrame, results: DataFrame, column: str) -> DataFrame:
     return rows.withColumn(column, F.coalesce("_s", column)).withColumn("error", F.when(F.col("_s").isNull(), F.col("error")).otherwise(F.col("_e"))).drop("_s", "_e")
 
 
-def rollup(items: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Eight counts per run and the status they imply: one partial aggregate."""
+def rollup(items: DataFrame, keys: Sequence[str], terminal: bool | None = None) -> DataFrame:
+    """Eight counts per run and the status they imply: one partial aggregate. A run is RUNNING while items are open; ``terminal`` says instead whether it is over."""
     c = F.col
     failed = rules.failed(c("discovery"), c("ingestion"), c("verification"))
     done = (c("ingestion") == "NOT_SELECTED") & (c("selection") != "PENDING") | (c("verification") != "NOT_VERIFIED") | failed
+    quarantined = c("quarantine_id").isNotNull() if "quarantine_id" in items.columns else F.lit(False)
     out = items.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("total"),
         F.count_if(c("selection") == "SELECTED").alias("selected"),
         F.count_if(rules.fetched(c("ingestion"))).alias("fetched"),
         F.count_if(rules.ingested(c("ingestion"))).alias("ingested"),
         F.count_if(c("verification") == "VERIFIED").alias("verified"),
+        F.count_if(quarantined).alias("quarantined"),
         F.count_if(rules.unresolved(c("selection"))).alias("unresolved"),
         F.count_if(failed).alias("failed"),
         F.count_if(~done).alias("open"),
     )
-    return out.withColumn("status", F.when(c("open") > 0, "RUNNING").otherwise(rules.batch_status(c("total"), c("verified"), c("failed"))))
+    running = c("open") > 0 if terminal is None else F.lit(not terminal)
+    return out.withColumn("status", F.when(running, "RUNNING").otherwise(rules.batch_status(c("total"), c("verified"), c("failed"))))
 
 
 def verified(checks: DataFrame, keys: Sequence[str]) -> DataFrame:

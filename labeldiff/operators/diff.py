@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -67,6 +68,27 @@ def document_operations(sections: DataFrame, keys: list[str]) -> DataFrame:
     return sections.groupBy(*keys).agg(in_order(F.array_distinct(F.flatten(F.collect_set("operations"))), OPERATIONS).alias("operations"))
 
 
+CHANGES = "array<struct<field:string,new_value:string,old_value:string>>"
+#: Fields of the header that are compared, in report order, and their columns.
+HEADER = {"source_instance_id": "document_root", "effective_date": "effective", "document_type": "doc_type", "language": "language", "title": "title", "generic_name": "generic_name", "brand_names": "brands", "dosage_forms": "forms", "routes": "routes", "active_ingredients": "ingredients"}
+
+
+def metadata_changes(pairs: DataFrame, key: str) -> DataFrame:
+    """(key, changes): the header fields in which the two sides (prefix ``old_`` and ``new_``) differ; none where a side is missing. Lists are compared and shown as JSON."""
+    kinds = {f.name: f.dataType.typeName() for f in pairs.schema}
+    shown = lambda c: F.to_json(c) if kinds[c] == "array" else F.col(c).cast("string")
+    parts = F.array(*[F.struct(F.lit(name).alias("field"), shown(f"new_{c}").alias("new_value"), shown(f"old_{c}").alias("old_value")) for name, c in HEADER.items()])
+    differ = F.filter(parts, lambda x: ~x["old_value"].eqNullSafe(x["new_value"]))
+    return pairs.select(key, F.when(F.col("old_document_id").isNotNull() & F.col("new_document_id").isNotNull(), differ).otherwise(F.array().cast(CHANGES)).alias("changes"))
+
+
+def whole_operations(has_old: Column, has_new: Column, changed: Column, of_sections: Column) -> Column:
+    """Operations of a whole diff, in report order: the document's own and its sections'; NO_CHANGE stands alone."""
+    own = listed({"DOCUMENT_ADDED": ~has_old & has_new, "DOCUMENT_REMOVED": has_old & ~has_new, "DOCUMENT_METADATA_CHANGED": changed})
+    every = in_order(F.concat(own, F.filter(of_sections, lambda x: x != "NO_CHANGE")), OPERATIONS)
+    return F.when(F.size(every) > 0, every).otherwise(F.array(F.lit("NO_CHANGE")))
+
+
 CHUNKS = "position int, operation string, text string, old_start int, old_end int, new_start int, new_end int"
 
 
@@ -113,6 +135,11 @@ def text_chunks(pairs: DataFrame, keys: list[str]) -> DataFrame:
     return pairs.select(*keys, "old_text", "new_text").mapInArrow(run, schema)
 
 
-@F.udf(StringType())
-def unified_text(old: str, new: str, old_label: str, new_label: str) -> str:
-    return unified((old or "").split(), (new or "").split(), old_label, new_label)
+def unified_texts(pairs: DataFrame, keys: list[str], old_label: str = "old", new_label: str = "new") -> DataFrame:
+    """(keys, unified): a unified diff of each pair's texts over lines of LINE_WORDS words."""
+
+    @F.pandas_udf(StringType())
+    def of(old: pd.Series, new: pd.Series) -> pd.Series:
+        return pd.Series([unified((a or "").split(), (b or "").split(), old_label, new_label) for a, b in zip(old, new, strict=True)], dtype=object)
+
+    return pairs.select(*keys, of("old_text", "new_text").alias("unified"))

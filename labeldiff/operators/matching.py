@@ -7,7 +7,7 @@ shuffle. A key matches if it occurs once on each side among what earlier phases
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -18,6 +18,14 @@ from labeldiff.functions import text
 from labeldiff.values import CONTENT_MARGIN, CONTENT_THRESHOLD, CONTENT_WEIGHTS
 
 
+Hold = Callable[[DataFrame], DataFrame]
+
+
+def as_is(rows: DataFrame) -> DataFrame:
+    """Where a caller does not ask for intermediate results to be held, Spark plans all as one."""
+    return rows
+
+
 def exact_phases(sides: DataFrame, phases: Mapping[str, Column]) -> DataFrame:
     """sides with ``partner`` (the other side's section_id) and ``method`` (the phase); null where unmatched."""
     rows = sides.repartition("pair_id").withColumn("partner", F.lit(None).cast(sides.schema["section_id"].dataType)).withColumn("method", F.lit(None).cast("string"))
@@ -62,37 +70,55 @@ def locator_agrees(matched: DataFrame) -> DataFrame:
     return both.withColumn("partner", F.when(~wrong, F.col("partner"))).withColumn("method", F.when(~wrong, F.col("method"))).drop("_code", "_heading")
 
 
-@F.pandas_udf(DoubleType())
-def ratio(old: pd.Series, new: pd.Series) -> pd.Series:
-    """SequenceMatcher ratio of two token lists, without its popularity heuristic."""
-    from difflib import SequenceMatcher
+def ratio(least: float = 0.0):
+    """A function of two token lists: SequenceMatcher's ratio without its popularity heuristic, or 0 where an upper bound of it (shared tokens) is below ``least``."""
 
-    return pd.Series([SequenceMatcher(a=list(a), b=list(b), autojunk=False).ratio() for a, b in zip(old, new, strict=True)], dtype=float)
+    @F.pandas_udf(DoubleType())
+    def of(old: pd.Series, new: pd.Series) -> pd.Series:
+        from difflib import SequenceMatcher
 
+        def one(a, b):
+            m = SequenceMatcher(a=list(a), b=list(b), autojunk=False)
+            return m.ratio() if not least or m.quick_ratio() >= least else 0.0
 
-def word_tokens(value: Column) -> Column:
-    """Words and single symbols, folded."""
-    return F.regexp_extract_all(F.lower(F.coalesce(value, F.lit(""))), F.lit(r"(?U)(\w+|[^\w\s])"), F.lit(1))
+        return pd.Series([one(a, b) for a, b in zip(old, new, strict=True)], dtype=float)
 
+    return of
 
-def content_scores(left: DataFrame, threshold: float = CONTENT_THRESHOLD) -> DataFrame:
+
+def content_candidates(rows: DataFrame, least: float) -> DataFrame:
+    """(pair_id, old_id, new_id): every old and new section of a pair whose common tokens can reach a ratio of ``least``.
+
+    A prefix filter over multisets. A ratio 2M/(a+b) of at least r asks for M >= r * a / (2 - r) common tokens, so two
+    sections that reach it share a token among the a - M + 1 rarest of either (by sections of the pair that have it).
+    Only those few tokens are joined, so pairs of sections without a rare token in common are never made. All windows
+    are in the one partitioning by pair.
+    """
+    counts = rows.select("pair_id", "side", "section_id", "depth", "_n", F.explode("_t").alias("tok")).groupBy("pair_id", "side", "section_id", "depth", "_n", "tok").agg(F.count(F.lit(1)).alias("k")).repartition("pair_id")
+    counts = counts.withColumn("df", F.count(F.lit(1)).over(Window.partitionBy("pair_id", "tok")))
+    ahead = Window.partitionBy("pair_id", "side", "section_id").orderBy("df", "tok").rowsBetween(Window.unboundedPreceding, -1)
+    prefix = F.col("_n") - F.ceil(F.col("_n") * F.lit(least / (2 - least)) - F.lit(1e-9)) + 1
+    rare = counts.withColumn("_before", F.coalesce(F.sum("k").over(ahead), F.lit(0))).where((F.col("df") > 1) & (F.col("_before") < prefix))
+    side = lambda s: rare.where(F.col("side") == s).select("pair_id", "tok", F.col("section_id").alias(f"{s}_id"), F.col("depth").alias(f"{s}_depth"), F.col("_n").alias(f"{s}_n"))
+    both = side("old").join(side("new"), ["pair_id", "tok"])
+    near = (F.abs(F.col("old_depth") - F.col("new_depth")) <= 1) & (2 * F.least("old_n", "new_n") >= least * (F.col("old_n") + F.col("new_n")))
+    return both.where(near).select("pair_id", "old_id", "new_id").distinct()
+
+
+def content_scores(left: DataFrame, threshold: float = CONTENT_THRESHOLD, hold: Hold = as_is) -> DataFrame:
     """(pair_id, old_id, new_id, score) of unmatched sections that are alike enough.
 
-    left: unmatched rows with pair_id, side, section_id, text, heading, depth and parent signature. The join is on the
-    pair; depth, and two upper bounds of the ratio (lengths, shared words), drop nearly all combinations before Python.
+    left: unmatched rows with pair_id, side, section_id, text, heading, depth and parent signature.
     """
     c, h, p = CONTENT_WEIGHTS
-    rows = left.withColumn("_t", word_tokens(F.col("text"))).withColumn("_n", F.size("_t")).withColumn("_parent", F.struct("parent_code", "parent_heading", "parent_depth"))
-    cut = lambda side, x: rows.where(F.col("side") == side).select("pair_id", F.col("section_id").alias(f"{x}_id"), F.col("_t").alias(f"{x}_t"), F.col("_n").alias(f"{x}_n"), F.col("depth").alias(f"{x}_depth"), F.split(text.heading(F.col("heading")), "").alias(f"{x}_h"), F.col("_parent").alias(f"{x}_p"))
+    rows = left.withColumn("_t", text.words(F.col("text"))).withColumn("_n", F.size("_t")).withColumn("_parent", F.struct("parent_code", "parent_heading", "parent_depth"))
+    rows = hold(rows.where("_n > 0").select("pair_id", "side", "section_id", "depth", "_t", "_n", "_parent", text.heading(F.col("heading")).alias("_h")))
     least = (threshold - h - p) / c
-    n = F.col("old_n") + F.col("new_n")
-    near = (F.abs(F.col("old_depth") - F.col("new_depth")) <= 1) & (n > 0) & (2 * F.least("old_n", "new_n") >= least * n)
-    pairs = cut("old", "old").join(cut("new", "new"), "pair_id").where(near)
-    distinct = F.size(F.array_intersect("old_t", "new_t"))
-    pairs = pairs.where(2 * F.least(F.col("old_n") - F.size(F.array_distinct("old_t")) + distinct, F.col("new_n") - F.size(F.array_distinct("new_t")) + distinct) >= least * n)
+    cut = lambda x: rows.where(F.col("side") == x).select("pair_id", F.col("section_id").alias(f"{x}_id"), F.col("_t").alias(f"{x}_t"), F.split("_h", "").alias(f"{x}_h"), F.col("_parent").alias(f"{x}_p"))
+    pairs = content_candidates(rows, least).join(cut("old"), ["pair_id", "old_id"]).join(cut("new"), ["pair_id", "new_id"])
     blank = lambda x: F.filter(x, lambda s: s != "")
-    score = c * ratio("old_t", "new_t") + h * ratio(blank(F.col("old_h")), blank(F.col("new_h"))) + F.when(F.col("old_p") == F.col("new_p"), p).otherwise(0.0)
-    return pairs.select("pair_id", "old_id", "new_id", score.alias("score")).where(F.col("score") >= threshold)
+    score = c * ratio(least - 1e-9)("old_t", "new_t") + h * ratio()(blank(F.col("old_h")), blank(F.col("new_h"))) + F.when(F.col("old_p") == F.col("new_p"), p).otherwise(0.0)
+    return hold(pairs.select("pair_id", "old_id", "new_id", score.alias("score")).where(F.col("score") >= threshold))
 
 
 def mutual_best(scores: DataFrame, margin: float = CONTENT_MARGIN) -> DataFrame:
@@ -112,17 +138,17 @@ def outcomes(matched: DataFrame) -> DataFrame:
     return left.unionByName(right).withColumn("status", status).withColumn("method", F.coalesce("method", F.lit("UNMATCHED")))
 
 
-def match_sections(sections: DataFrame) -> DataFrame:
-    """All six phases over sections of many pairs; sections with partner and method."""
+def match_sections(sections: DataFrame, hold: Hold = as_is) -> DataFrame:
+    """All six phases over sections of many pairs; sections with partner and method. ``hold`` is given what several later steps read."""
     phases = standard_phases()
-    found = exact_phases(with_parents(sections), {k: phases[k] for k in ("SOURCE_SECTION_ID", "XML_IDENTIFIER", "SECTION_CODE")})
+    found = hold(exact_phases(with_parents(sections), {k: phases[k] for k in ("SOURCE_SECTION_ID", "XML_IDENTIFIER", "SECTION_CODE")}))
     found = found.withColumnsRenamed({"partner": "_p", "method": "_m"})
     later = exact_phases(found.where("_p IS NULL").drop("_p", "_m"), {"SOURCE_LOCATOR": phases["SOURCE_LOCATOR"]})
-    later = locator_agrees(later)
+    later = hold(locator_agrees(later))
     done = later.where("partner IS NOT NULL")
-    later = exact_phases(later.where("partner IS NULL").drop("partner", "method"), {"HEADING_AND_PARENT": phases["HEADING_AND_PARENT"]})
+    later = hold(exact_phases(later.where("partner IS NULL").drop("partner", "method"), {"HEADING_AND_PARENT": phases["HEADING_AND_PARENT"]}))
     rest = later.where("partner IS NULL")
-    best = mutual_best(content_scores(rest))
+    best = hold(mutual_best(content_scores(rest, hold=hold)))
     link = best.select("pair_id", F.lit("old").alias("side"), F.col("old_id").alias("section_id"), F.col("new_id").alias("_p")).union(best.select("pair_id", F.lit("new"), "new_id", "old_id"))
     rest = rest.drop("partner").join(link, ["pair_id", "side", "section_id"], "left").withColumn("method", F.when(F.col("_p").isNotNull(), "CONTENT_ASSISTED")).withColumnRenamed("_p", "partner")
     first = found.where("_p IS NOT NULL").withColumnsRenamed({"_p": "partner", "_m": "method"})

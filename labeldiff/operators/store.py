@@ -11,9 +11,9 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from labeldiff.operators.relational import latest
+from labeldiff.scratch import held
 
 
 def compared(existing: DataFrame, incoming: DataFrame, key: Sequence[str], content: str) -> DataFrame:
@@ -51,23 +51,43 @@ class Store:
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
 
+    def file_system(self, path: str):
+        context = self.spark.sparkContext
+        p = context._jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(context._jsc.hadoopConfiguration()), p
+
     def commits(self) -> list[str]:
-        try:
-            rows = self.spark.read.schema("commit string, at long").json(f"{self.path}/_commits").orderBy("at", "commit").collect()
-        except AnalysisException:
+        """Names of the commits in order. Only a store without any is empty; markers that cannot be read are an error."""
+        if not self.exists(f"{self.path}/_commits"):
             return []
+        rows = self.spark.read.schema("commit string, at long").option("mode", "FAILFAST").json(f"{self.path}/_commits").orderBy("at", "commit").collect()
         return [r["commit"] for r in rows]
 
     def table(self, name: str, schema: str) -> DataFrame:
-        """Committed rows; a part that a commit did not write is empty."""
-        reader = self.spark.read.schema(schema).option("ignoreMissingFiles", "true")
-        paths = [p for c in self.commits() if self.exists(p := f"{self.path}/{name}/{c}")]
-        return reader.parquet(*paths) if paths else self.spark.createDataFrame([], schema)
+        """Committed rows; a part that a commit did not write is empty. The table's folder is listed once, however many commits there are."""
+        folder = f"{self.path}/{name}"
+        fs, p = self.file_system(folder)
+        there = {x.getPath().getName() for x in fs.listStatus(p)} if fs.exists(p) else set()
+        paths = [f"{folder}/{c}" for c in self.commits() if c in there]
+        return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
 
     def exists(self, path: str) -> bool:
-        jvm = self.spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+        fs, p = self.file_system(path)
+        return fs.exists(p)
+
+    def compact(self, schemas: Mapping[str, str]) -> None:
+        """Replaces the commits of all tables by one. For the single writer; what readers have planned before must be planned anew."""
+        old = self.commits()
+        name = uuid.uuid4().hex
+        for table, schema in schemas.items():
+            self.table(table, schema).write.parquet(f"{self.path}/{table}/{name}")
+        self.spark.createDataFrame([(name, 0)], "commit string, at long").coalesce(1).write.json(f"{self.path}/_compacted")
+        fs, p = self.file_system(f"{self.path}/_commits")
+        fs.delete(p, True)
+        fs.rename(self.file_system(f"{self.path}/_compacted")[1], p)
+        for table in schemas:
+            for c in old:
+                fs.delete(self.file_system(f"{self.path}/{table}/{c}")[1], True)
 
     def commit(self, parts: Mapping[str, DataFrame]) -> str:
         """Writes all parts, then the marker: all of them count or none does."""
@@ -84,11 +104,10 @@ class Store:
         outcome = compared(existing, rows, key, content or key[0]).where("outcome <> 'KEPT'")
         if content and not outcome.where("outcome = 'CONFLICT'").isEmpty():
             return outcome
-        # Written beside the data, since the insert below changes what a later evaluation would see.
-        report = f"{self.path}/_outcomes/{uuid.uuid4().hex}"
-        outcome.write.parquet(report)
+        # Held, since the insert below changes what a later evaluation would see.
+        outcome = held(outcome, "outcomes", f"{self.path}/_scratch")
         self.commit({name: fresh_rows(existing, rows, key)})
-        return self.spark.read.schema(outcome.schema).parquet(report)
+        return outcome
 
 
 def current(log: DataFrame, keys: Sequence[str], order: Sequence[str], values: Sequence[str]) -> DataFrame:

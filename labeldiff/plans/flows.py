@@ -1,74 +1,177 @@
-"""Whole flows over the store: ingest, search, show, history, diff, verification, ranked batches. Each is one plan over all its documents."""
+"""Document flows over the store: fetch, ingest, search, show, history, diff, verification. Each is one plan over all its documents; what several steps read is held as a table."""
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from labeldiff import scratch
 from labeldiff.functions import identity, rules, text
-from labeldiff.operators import batch, diff, lineage, matching, relational, selection
-from labeldiff.operators.store import Store, fresh_rows, violations
-from labeldiff.sources import files, xml_documents
+from labeldiff.operators import batch, diff, lineage, matching, relational
+from labeldiff.operators.store import Store, compared, fresh_rows, violations
+from labeldiff.plans.tables import SCHEMA_VERSION, TABLES
+from labeldiff.sources import fetch, files, xml_documents
 from labeldiff.values import VERSIONS
 
-#: Tables of the store: schema and key.
-TABLES = {
-    "documents": ("document_id string, source_id string, lineage_id string, path string, raw_sha256 string, n_bytes long, set_id string, version string, document_root string, title string, doc_type string, language string, effective date, generic_name string, generics array<string>, ingredients array<string>, normalized_sha256 string, retrieved_at timestamp", ["document_id"]),
-    "sections": ("document_id string, lineage_id string, seq int, parent_seq int, depth int, code string, heading string, text string, status string, locator string, xml_id string, structure string, comparison string, sha256 string, section_id string, parent_id string", ["section_id"]),
-    "products": ("document_id string, seq int, brand string, form string, route string, product_id string", ["product_id"]),
-    "ingredients": ("document_id string, seq int, name string, ingredient_id string", ["document_id", "seq"]),
-    "mappings": ("document_id string, section_id string, seq int, concept string, method string, confidence double, mapping_id string", ["mapping_id"]),
-    "statuses": ("document_id string, concept string, status string", ["document_id", "concept"]),
-    "quarantine": ("path string, raw_sha256 string, n_bytes long, category string, message string, quarantine_id string", ["quarantine_id"]),
-    "history": ("lineage_id string, snapshot_id string, retrieved_at timestamp, position int, version string, published date, published_text string", ["snapshot_id", "position"]),
-}
+NOT_YET = "1970-01-01T00:00:00Z"
+ORIGIN = {"authority": "FDA", "provider": "DailyMed", "jurisdiction": "US"}
+#: What must be known of a stored document's source.
+PROVENANCE = ("authority", "provider", "jurisdiction", "set_id", "version", "retrieved_at", "raw_sha256", "path", "metadata_path")
+
+
+def at(moment: str) -> Column:
+    return F.lit(moment).cast("timestamp")
 
 
 class Flows:
-    """The service: a session, a store and the versions that take part in ids."""
+    """The service: a session, a store, and the versions and origin that take part in ids."""
 
-    def __init__(self, spark: SparkSession, path: str, versions: dict[str, str] = VERSIONS):
-        self.spark, self.store, self.versions = spark, Store(spark, path), versions
+    def __init__(self, spark: SparkSession, path: str, versions: dict[str, str] = VERSIONS, origin: dict[str, str] = ORIGIN):
+        self.spark, self.store, self.versions, self.origin = spark, Store(spark, path), versions, origin
 
     def table(self, name: str) -> DataFrame:
         return self.store.table(name, TABLES[name][0])
 
-    def ingest(self, raw: DataFrame, retrieved_at: str = "1970-01-01T00:00:00Z") -> DataFrame:
-        """raw: path, content, and raw_sha256 if it was recorded. Parses all, commits new documents with their children, quarantines the rest; returns counts by outcome."""
-        parsed = xml_documents.parsed(raw, "raw_sha256" if "raw_sha256" in raw.columns else None)
-        held = f"{self.store.path}/_parsed/{uuid.uuid4().hex}"
-        parsed.write.parquet(held)
-        parts = xml_documents.children(self.spark.read.schema(parsed.schema).parquet(held), versions=self.versions)
+    def count(self, name: str) -> int:
+        """Rows of a table of the store; other names are refused."""
+        if name not in TABLES:
+            raise ValueError(f"no table {name}")
+        return self.table(name).count()
+
+    def hold(self, rows: DataFrame) -> DataFrame:
+        return scratch.held(rows, "flow", f"{self.store.path}/_scratch")
+
+    def fitted(self, name: str, rows: DataFrame) -> DataFrame:
+        return rows.select(*self.spark.createDataFrame([], TABLES[name][0]).columns)
+
+    def commit(self, **parts: DataFrame) -> None:
+        """Inserts the rows whose key is new, all tables in one commit."""
+        self.store.commit({n: fresh_rows(self.table(n), self.fitted(n, rows), TABLES[n][1]) for n, rows in parts.items()})
+
+    def migrate(self, moment: str = NOT_YET) -> int:
+        """The store's schema version, after putting it to the newest: steps are commits, and one that is there is not repeated."""
+        have = self.table("schema").agg(F.coalesce(F.max("version"), F.lit(0))).first()[0]
+        if have > SCHEMA_VERSION:
+            raise ValueError(f"the store has schema {have}, newer than {SCHEMA_VERSION}")
+        for v in range(have + 1, SCHEMA_VERSION + 1):
+            self.commit(schema=self.spark.range(1).select(F.lit(v).cast("int").alias("version"), at(moment).alias("at")))
+        return SCHEMA_VERSION
+
+    # Raw documents
+
+    def lineage_of(self, set_id: Column) -> Column:
+        return identity.lineage_id(*[F.lit(self.origin[k]) for k in ("authority", "provider", "jurisdiction")], set_id)
+
+    def store_raw(self, got: DataFrame, moment: str = NOT_YET, lookups: DataFrame | None = None) -> DataFrame:
+        """got (set_id, version, content, raw_sha256, status, headers, source_url, container, member, error): keeps new documents with their manifests, quarantines those whose identity is stored with other bytes. Returns (set_id, version, raw_sha256, state, error, quarantine_id)."""
+        c = F.col
+        got = self.hold(got.where(~(c("error").isNull() & c("content").isNull())).dropDuplicates(["set_id", "version"]))
+        known = self.table("raw").select("set_id", "version", c("raw_sha256").alias("_old"))
+        rows = got.join(known, ["set_id", "version"], "left")
+        wrong = ~(text.safe_segment(c("set_id")) & text.safe_segment(c("version")))
+        state = F.when(c("error").isNotNull() | wrong, "RAW_FETCH_FAILED").when(c("_old").isNull(), "FETCHED").when(c("_old") == c("raw_sha256"), "ALREADY_FETCHED").otherwise("RAW_HASH_CONFLICT")
+        rows = rows.withColumn("state", state)
+        if lookups is not None:
+            seen = lookups.select(c("set_id").alias("_ls"), c("version").alias("_lv"), c("body").alias("_body"), c("source_url").alias("_url"), c("classes").alias("_classes"), c("status").alias("_status")).dropDuplicates(["_ls", "_lv"])
+            rows = rows.join(seen, (c("set_id") == c("_ls")) & (c("version") == c("_lv")), "left")
+        else:
+            rows = rows.withColumns({"_body": F.lit(None).cast("string"), "_url": F.lit(None).cast("string"), "_classes": F.lit(None).cast("array<string>"), "_status": F.lit(None).cast("string")})
+        latest = self.latest_history().groupBy("lineage_id").agg(F.any_value("body").alias("_history"), F.any_value("raw_sha256").alias("_history_sha"))
+        rows = rows.withColumn("lineage_id", self.lineage_of(c("set_id"))).join(latest, "lineage_id", "left")
+        own = {k: F.lit(v) for k, v in self.origin.items()} | {"source_document_id": c("set_id"), "source_version": c("version"), "retrieved_at": text.utc_text(at(moment)), "raw_sha256": c("raw_sha256"), "source_url": c("source_url")}
+        encoded = lambda x: F.base64(x.cast("binary"))
+        made = files.manifest(
+            own, {"raw_body_base64": encoded(c("_body")), "raw_sha256": identity.sha256(c("_body")), "source_url": c("_url")}, {"classes": c("_classes"), "status": c("_status")},
+            {"raw_body_base64": encoded(c("_history")), "raw_sha256": c("_history_sha")}, {"http_status": c("status"), "headers": F.to_json("headers"), "response_byte_length": F.octet_length(F.coalesce("container", "content")), "source_xml_sha256": c("raw_sha256"), "container_member": c("member"), "container_sha256": identity.sha256(c("container"))},
+        )
+        folder = F.concat_ws("/", F.lit(self.store.path), F.lit("raw"), "set_id", "version")
+        kept = rows.where("state = 'FETCHED'").withColumns({"manifest": made, "path": F.concat(folder, F.lit("/label.xml")), "metadata_path": F.concat(folder, F.lit("/metadata.json")), "retrieved_at": at(moment), **{k: F.lit(v) for k, v in self.origin.items()}})
+        clash = rows.where("state = 'RAW_HASH_CONFLICT'").withColumns({"path": F.concat(folder, F.lit("/label.xml")), "n_bytes": F.octet_length("content").cast("long"), "stage": F.lit("raw_storage"), "category": F.lit("raw_hash_conflict"), "message": F.lit("other bytes are stored for this version"), "quarantine_id": identity.quarantine_id(F.lit(""), c("set_id"), F.lit("raw_storage"), c("raw_sha256"))})
+        report = self.hold(rows.select("set_id", "version", "raw_sha256", "state", F.when(wrong, "unsafe name").when(c("state") == "RAW_HASH_CONFLICT", "raw_hash_conflict").otherwise(c("error")).alias("error"), F.when(c("state") == "RAW_HASH_CONFLICT", identity.quarantine_id(F.lit(""), c("set_id"), F.lit("raw_storage"), c("raw_sha256"))).alias("quarantine_id")))
+        self.commit(raw=kept, quarantine=clash)
+        return report
+
+    def fetch(self, chosen: DataFrame, base: str, transport: fetch.Transport, moment: str = NOT_YET, versions: bool = False) -> DataFrame:
+        """Requests the documents chosen (set_id, version) and stores them; with ``versions``, as archived versions that the stored histories must list."""
+        if versions:
+            known = self.latest_history().withColumn("_l", F.col("lineage_id")).join(chosen.select("set_id").distinct().withColumn("_l", self.lineage_of(F.col("set_id"))), "_l").select("set_id", "version")
+            return self.store_raw(fetch.archived(chosen, known, base, transport), moment)
+        return self.store_raw(fetch.documents(chosen, base, transport), moment)
+
+    def fetch_histories(self, sets: DataFrame, base: str, transport: fetch.Transport, moment: str = NOT_YET) -> DataFrame:
+        """Requests and stores histories; returns (set_id, error) of those that failed."""
+        got = self.hold(fetch.histories(sets, base, transport))
+        wrong = self.add_history(got.where("error IS NULL"), moment)
+        return got.where("error IS NOT NULL").select("set_id", "error").union(wrong)
+
+    def export(self, root: str) -> int:
+        """Writes the store's raw documents as files, each once, below a folder of this machine; returns how many are new."""
+        new = 0
+        for r in self.table("raw").select("set_id", "version", "content", "container", "manifest").toLocalIterator():
+            parts = {"label.xml": r.content, "source.zip": r.container, "metadata.json": r.manifest.encode()}
+            new += sum(files.write_once(f"{root}/{r.set_id}/{r.version}/{name}", bytes(body)) for name, body in parts.items() if body is not None)
+        return new
+
+    def resolved(self, asked: DataFrame) -> DataFrame:
+        """asked (set_id, version or null) to raw documents or errors."""
+        return files.resolved(self.table("raw"), asked)
+
+    # Ingestion
+
+    def ingest(self, raw: DataFrame, moment: str = NOT_YET) -> DataFrame:
+        """raw: path, content; raw_sha256 if it was recorded, set_id and version if they were asked for. Commits new documents with their children, quarantines the rest, logs a run for each; returns counts by outcome."""
+        outcome = self.ingested(raw, moment)
+        return self.spark.createDataFrame(outcome.groupBy("outcome").agg(F.count(F.lit(1)).alias("n")).orderBy("outcome").collect(), "outcome string, n long")
+
+    def ingested(self, raw: DataFrame, moment: str = NOT_YET) -> DataFrame:
+        """What ``ingest`` does, with one row per file: (path, raw_sha256, document_id, outcome, message)."""
+        c = F.col
+        asked = ("set_id", "version") if {"set_id", "version"} <= set(raw.columns) else None
+        parsed = self.hold(xml_documents.parsed(raw, "raw_sha256" if "raw_sha256" in raw.columns else None, asked))
+        parts = xml_documents.children(parsed, versions=self.versions, **self.origin)
         known = self.table("documents")
-        documents = parts["documents"].withColumn("retrieved_at", F.lit(retrieved_at).cast("timestamp")).select(*known.columns)
-        identities = known.select("set_id", "version", F.col("raw_sha256").alias("_known"))
-        clash = documents.join(identities, ["set_id", "version"]).where("raw_sha256 <> _known").select("document_id").distinct()
+        documents = self.hold(self.fitted("documents", parts["documents"].withColumns({"retrieved_at": at(moment), "parser_version": F.lit(self.versions["parser"]), "schema_version": F.lit(self.versions["schema"]), "mapping_version": F.lit(self.versions["mapping"])})))
+        identities = known.select("set_id", "version", c("raw_sha256").alias("_known"))
+        first = documents.groupBy("set_id", "version").agg(F.min("raw_sha256").alias("_known"))
+        clash = documents.join(identities.union(first), ["set_id", "version"]).where("raw_sha256 <> _known").select("document_id").distinct()
+        # Of files in one batch that claim one version with other bytes, all but the one with the smallest hash are conflicts.
         accepted = fresh_rows(known, documents.join(clash, "document_id", "left_anti"), ["document_id"])
-        new = accepted.select("document_id")
+        accepted = self.hold(accepted)
         commit = {"documents": accepted}
         for name in ("sections", "products", "ingredients", "mappings", "statuses"):
-            columns = self.table(name).columns
-            rows = parts[name].select(*columns).join(new, "document_id", "left_semi")
-            commit[name] = rows.dropDuplicates(TABLES[name][1])
-        bad = parts["errors"].withColumn("quarantine_id", identity.quarantine_id(F.lit(""), F.col("path"), F.lit("ingest"), F.col("raw_sha256")))
-        commit["quarantine"] = fresh_rows(self.table("quarantine"), bad.select(*self.table("quarantine").columns), ["quarantine_id"])
-        conflicts = clash.withColumn("outcome", F.lit("CONFLICT"))
-        outcome = documents.select("document_id").distinct().join(known.select("document_id").withColumn("_k", F.lit(1)), "document_id", "left").join(conflicts, "document_id", "left")
-        outcome = outcome.select(F.coalesce("outcome", F.when(F.col("_k") == 1, "ALREADY_INGESTED").otherwise("INGESTED")).alias("outcome")).union(parts["errors"].select("category"))
-        counted = outcome.groupBy("outcome").agg(F.count(F.lit(1)).alias("n")).orderBy("outcome").collect()
+            commit[name] = self.fitted(name, parts[name]).join(accepted.select("document_id"), "document_id", "left_semi").dropDuplicates(TABLES[name][1])
+        report = documents.select("path", "raw_sha256", "document_id").join(known.select("document_id").withColumn("_k", F.lit(1)), "document_id", "left").join(clash.withColumn("_c", F.lit(1)), "document_id", "left")
+        # Of files that are the same document, the first is the one that is ingested.
+        report = relational.numbered(report, ["document_id"], [c("path")], "_copy")
+        report = report.select("path", "raw_sha256", "document_id", F.when(c("_c") == 1, "CONFLICT").when((c("_k") == 1) | (c("_copy") > 0), "ALREADY_INGESTED").otherwise("INGESTED").alias("outcome"), F.when(c("_c") == 1, "other bytes are stored for this version").alias("message"))
+        report = self.hold(report.unionByName(parts["errors"].select("path", "raw_sha256", F.lit(None).cast("string").alias("document_id"), c("category").alias("outcome"), "message")))
+        bad = report.where("outcome NOT IN ('INGESTED', 'ALREADY_INGESTED')").select("path", "raw_sha256", c("outcome").alias("category"), "message").dropDuplicates(["path", "raw_sha256"])
+        bad = bad.join(raw.select("path", "content").dropDuplicates(["path"]), "path").withColumns({"n_bytes": F.octet_length("content").cast("long"), "stage": F.lit("ingest"), "quarantine_id": identity.quarantine_id(F.lit(""), c("path"), F.lit("ingest"), c("raw_sha256"))})
+        commit["quarantine"] = fresh_rows(self.table("quarantine"), self.fitted("quarantine", bad), ["quarantine_id"])
+        run = identity.named("ingestion-run", F.lit(uuid.uuid4().hex), c("path"))
+        failed = ~c("outcome").isin("INGESTED", "ALREADY_INGESTED")
+        events = self.hold(report.withColumn("run_id", run)).withColumn("state", F.explode(F.array(F.lit("started"), F.when(failed, "failed").otherwise("succeeded"))))
+        commit["ingestion_events"] = self.fitted("ingestion_events", events.withColumns({"seq": F.when(c("state") == "started", 0).otherwise(1).cast("long"), "category": F.when(c("state") == "failed", c("outcome")), "message": F.when(c("state") == "failed", c("message")), "at": at(moment)}))
         self.store.commit(commit)
-        return self.spark.createDataFrame(counted, "outcome string, n long")
+        return report
+
+    def add_history(self, responses: DataFrame, moment: str) -> DataFrame:
+        """responses: lookup_id, set_id, body. Good histories are stored once per exact body; returns (set_id, error) of the others."""
+        rows = self.hold(files.history(responses).join(responses.select("lookup_id", "body"), "lookup_id"))
+        good = rows.where("wrong IS NULL").withColumn("lineage_id", self.lineage_of(F.col("set_id")))
+        good = good.withColumns({"snapshot_id": identity.snapshot_id(F.col("lineage_id"), F.col("raw_sha256")), "retrieved_at": at(moment)})
+        self.commit(history=good)
+        return rows.where("wrong IS NOT NULL").select("set_id", F.col("wrong").alias("error")).distinct()
 
-    def add_history(self, responses: DataFrame, retrieved_at: str, authority: str = "FDA", provider: str = "DailyMed", jurisdiction: str = "US") -> None:
-        """responses: lookup_id, set_id, body. Good histories are stored once per exact body."""
-        rows = files.history(responses).where("wrong IS NULL")
-        rows = rows.withColumn("lineage_id", identity.lineage_id(F.lit(authority), F.lit(provider), F.lit(jurisdiction), F.col("set_id")))
-        rows = rows.withColumn("snapshot_id", identity.snapshot_id(F.col("lineage_id"), F.col("raw_sha256"))).withColumn("retrieved_at", F.lit(retrieved_at).cast("timestamp"))
-        known = self.table("history")
-        self.store.commit({"history": fresh_rows(known, rows.select(*known.columns), TABLES["history"][1])})
+    def latest_history(self) -> DataFrame:
+        """Entries of the newest snapshot of each lineage."""
+        rows = self.table("history")
+        last = rows.groupBy("lineage_id").agg(F.max(F.struct("retrieved_at", "snapshot_id"))["snapshot_id"].alias("snapshot_id"))
+        return rows.join(last, ["lineage_id", "snapshot_id"], "left_semi")
+
+    # Reads
 
     def search(self, needle: str) -> DataFrame:
         """Documents whose generic name, brand, ingredient or title holds the needle, in order of name, set id, newest version."""
@@ -78,10 +181,14 @@ class Flows:
         return found.orderBy("generic_name", "set_id", text.leading_number(F.col("version")).desc(), "document_id")
 
     def lineage_search(self, needle: str) -> DataFrame:
-        rows = self.table("documents").join(self.table("products").select("document_id", "brand"), "document_id", "left")
-        hit = relational.any_mention([F.col(c) for c in ("generic_name", "brand", "title")], needle) | (F.lower("lineage_id") == needle.lower()) | (F.lower("set_id") == needle.lower())
+        rows = self.table("documents").join(self.table("products").select("document_id", "brand"), "document_id", "left").join(self.table("ingredients").select("document_id", F.col("name").alias("ingredient")), "document_id", "left")
+        hit = relational.any_mention([F.col(c) for c in ("generic_name", "brand", "ingredient", "title")], needle.strip()) | (F.lower("lineage_id") == needle.strip().lower()) | (F.lower("set_id") == needle.strip().lower())
         return rows.where(hit).select("lineage_id", "set_id").distinct()
 
+    def document(self, document: str) -> DataFrame:
+        """A document's header with its source."""
+        return self.table("documents").where(F.col("document_id") == document).join(self.table("raw").select("set_id", "version", "metadata_path", "source_url", *self.origin), ["set_id", "version"], "left")
+
     def sections(self, document: str, concept: str | None = None) -> DataFrame:
         """Sections of a document, in order; with a concept, those that are mapped to it."""
         rows = self.table("sections").where(F.col("document_id") == document)
@@ -95,43 +202,56 @@ class Flows:
         n = F.count(F.lit(1))
         return rows.agg(F.when(n == 0, "NOT_FOUND").when(n == 1, "FOUND").otherwise("AMBIGUOUS").alias("status"), F.when(n == 1, F.min("document_id")).alias("document_id"))
 
+    def section_counts(self) -> DataFrame:
+        """Per document: sections, mapped and unmapped ones, empty ones, and how compatible the parser was."""
+        mapped = self.table("mappings").select("section_id").distinct().withColumn("_m", F.lit(1))
+        rows = self.table("sections").join(mapped, "section_id", "left").groupBy("document_id").agg(F.count(F.lit(1)).alias("n_sections"), F.count("_m").alias("n_mapped"), F.count_if(F.col("_m").isNull()).alias("n_unmapped"), F.count_if(F.col("status") == "PRESENT_EMPTY").alias("n_empty"))
+        rows = self.table("documents").select("document_id").join(rows, "document_id", "left").na.fill(0)
+        return rows.withColumn("compatibility", rules.compatibility(F.col("n_unmapped"), F.col("n_empty")))
+
+    # Versions and diffs
+
     def versions_of(self, lineages: DataFrame | None = None) -> DataFrame:
-        """Documents of lineages in version order, with publication dates and positions."""
+        """Documents of lineages in version order, with publication dates (of the newest history, else of the candidate that was selected) and positions."""
         rows = self.table("documents") if lineages is None else relational.having(self.table("documents"), lineages, ["lineage_id"])
-        none = self.spark.createDataFrame([], "document_id string, published date")
-        dated = lineage.publication(rows.select("document_id", "lineage_id", "version", "set_id", "raw_sha256", "normalized_sha256", "effective", "retrieved_at"), self.table("history"), none)
+        chosen = self.table("decisions").where("status = 'SELECTED'").join(self.table("candidates"), "discovery_id").where("index = selected_index")
+        dates = chosen.groupBy(F.lower("set_id").alias("_s"), F.col("version").alias("_v")).agg(F.max(text.lenient_date(F.col("published"))).alias("published"))
+        picked = rows.join(dates, (F.lower("set_id") == F.col("_s")) & (F.col("version") == F.col("_v"))).select("document_id", "published")
+        dated = lineage.publication(rows, self.table("history"), picked)
         return relational.numbered(dated, ["lineage_id"], [*text.version_key(F.col("version")), F.col("document_id")], "position")
 
     def pairs(self) -> DataFrame:
         """Consecutive versions of every lineage with the evidence for their order."""
-        names = ["document_id", "version", "effective", "published", "retrieved_at", "raw_sha256", "normalized_sha256"]
+        names = [n for n in self.table("documents").columns if n not in ("lineage_id", "source_id", "path", "n_bytes", "generics")] + ["published"]
         rows = lineage.edges(self.versions_of().drop("position"), "lineage_id", [*text.version_key(F.col("version")), F.col("document_id")], names)
-        rows = rows.withColumnsRenamed({n: f"new_{n}" for n in names}).withColumnsRenamed({"old_retrieved_at": "old_retrieved", "new_retrieved_at": "new_retrieved"})
-        latest = self.table("history").groupBy("lineage_id").agg(F.max(F.struct("retrieved_at", "snapshot_id"))["snapshot_id"].alias("snapshot_id"))
-        entries = self.table("history").join(latest, ["lineage_id", "snapshot_id"], "left_semi").select("lineage_id", "version", F.col("position").cast("int").alias("position"))
-        gaps = lineage.history_gaps(rows.select("lineage_id", "old_version", "new_version").distinct(), entries)
-        rows = rows.join(gaps.select("lineage_id", "old_version", "new_version", "history", "adjacent", "missing"), ["lineage_id", "old_version", "new_version"], "left")
-        ids = rows.withColumn("diff_id", identity.diff_id(F.col("old_document_id"), F.col("new_document_id"), F.lit(self.versions["diff"]))).withColumn("edge_id", identity.edge_id(F.col("lineage_id"), F.col("old_document_id"), F.col("new_document_id")))
-        return lineage.ordered(ids)
+        return self.ordered_pairs(rows.select("lineage_id", *[F.col(f"old_{n}") for n in names], *[F.col(n).alias(f"new_{n}") for n in names]))
 
     def pair_of(self, old: str, new: str) -> DataFrame:
         """The pair of two documents, which must belong to one lineage."""
-        d = self.table("documents")
-        side = lambda s, k: d.where(F.col("document_id") == k).select("lineage_id", F.col("document_id").alias(f"{s}_document_id"))
-        both = side("old", old).join(side("new", new), "lineage_id")
-        return both.withColumn("diff_id", identity.diff_id(F.col("old_document_id"), F.col("new_document_id"), F.lit(self.versions["diff"])))
+        d = self.versions_of().drop("position", "source_id", "path", "n_bytes", "generics", "published_source", "disagrees")
+        side = lambda s, k: d.where(F.col("document_id") == k).select("lineage_id", *[F.col(c).alias(f"{s}_{c}") for c in d.columns if c != "lineage_id"])
+        return self.ordered_pairs(side("old", old).join(side("new", new), "lineage_id"))
+
+    def ordered_pairs(self, rows: DataFrame) -> DataFrame:
+        rows = self.hold(rows.withColumnsRenamed({"old_retrieved_at": "old_retrieved", "new_retrieved_at": "new_retrieved"}))
+        entries = self.latest_history().select("lineage_id", "version", F.col("position").cast("int").alias("position"))
+        gaps = lineage.history_gaps(rows.select("lineage_id", "old_version", "new_version").distinct(), entries)
+        rows = rows.join(gaps.select("lineage_id", "old_version", "new_version", "history", "adjacent", "missing"), ["lineage_id", "old_version", "new_version"], "left")
+        ids = rows.withColumn("diff_id", identity.diff_id(F.col("old_document_id"), F.col("new_document_id"), F.lit(self.versions["diff"]))).withColumn("edge_id", identity.edge_id(F.col("lineage_id"), F.col("old_document_id"), F.col("new_document_id")))
+        return self.hold(lineage.ordered(ids))
 
     def section_diffs(self, pairs: DataFrame) -> DataFrame:
-        """Matched, added and removed sections of every pair (diff_id, old_document_id, new_document_id) with their operations."""
+        """Matched, added and removed sections of every pair (diff_id, old_document_id, new_document_id; one side may be null) with their operations. Held, so it may be read often."""
         sides = pairs.select(F.col("diff_id").alias("pair_id"), F.inline(F.array(F.struct(F.lit("old").alias("side"), F.col("old_document_id").alias("document_id")), F.struct(F.lit("new").alias("side"), F.col("new_document_id").alias("document_id")))))
         concepts = self.table("mappings").groupBy("section_id").agg(F.array_sort(F.collect_set("concept")).alias("concepts"))
         rows = sides.join(self.table("sections"), "document_id").join(concepts, "section_id", "left").withColumn("concepts", F.coalesce("concepts", F.array().cast("array<string>")))
-        found = matching.match_sections(rows.select("pair_id", "side", "section_id", "parent_id", "seq", "depth", "code", "heading", "text", "status", "locator", "xml_id", "comparison", "concepts"))
+        rows = self.hold(rows.select("pair_id", "side", "section_id", "parent_id", "seq", "depth", "code", "heading", "text", "status", "locator", "xml_id", "comparison", "concepts"))
+        found = self.hold(matching.match_sections(rows, self.hold))
         kept = ["section_id", "parent_id", "seq", "code", "heading", "text", "status", "comparison", "concepts", "partner", "method"]
         old = found.where("side = 'old'").select("pair_id", *[F.col(c).alias(f"old_{c}") for c in kept])
         new = found.where("side = 'new'").select("pair_id", *[F.col(c).alias(f"new_{c}") for c in kept])
         both = old.join(new.withColumnRenamed("pair_id", "_p"), (F.col("pair_id") == F.col("_p")) & (F.col("old_partner") == F.col("new_section_id")), "full_outer")
-        both = both.withColumn("pair_id", F.coalesce("pair_id", "_p")).withColumnsRenamed({"old_section_id": "old_id", "new_section_id": "new_id", "old_parent_id": "old_parent", "new_parent_id": "new_parent"})
+        both = self.hold(both.withColumn("pair_id", F.coalesce("pair_id", "_p")).withColumnsRenamed({"old_section_id": "old_id", "new_section_id": "new_id", "old_parent_id": "old_parent", "new_parent_id": "new_parent"}))
         one = both.where("old_id IS NULL OR new_id IS NULL").withColumn("moved", F.lit(False))
         both = diff.with_movement(both.where("old_id IS NOT NULL AND new_id IS NOT NULL")).unionByName(one)
         c = F.col
@@ -142,55 +262,120 @@ class Flows:
         rows = both.withColumn("method", F.when(status == "UNMATCHED", "UNMATCHED").otherwise(method)).withColumn("status", status).withColumn("operations", ops)
         order = [F.coalesce("new_seq", "old_seq"), F.when(c("new_id").isNull(), 1).otherwise(0), F.coalesce("old_seq", F.lit(-1))]
         rows = relational.numbered(rows, ["pair_id"], order, "index").withColumn("section_diff_id", identity.section_diff_id(c("pair_id"), c("index")))
-        return rows.select("pair_id", "index", "section_diff_id", "old_id", "new_id", "method", "status", "operations", "old_seq", "new_seq", "old_text", "new_text", "old_heading", "new_heading")
+        made = identity.canonical(index=c("index"), old_id=c("old_id"), new_id=c("new_id"), method=c("method"), status=c("status"), operations=c("operations"), old_heading=c("old_heading"), new_heading=c("new_heading"), old_code=c("old_code"), new_code=c("new_code"), old_text_sha256=identity.sha256(c("old_text")), new_text_sha256=identity.sha256(c("new_text")), old_concepts=c("old_concepts"), new_concepts=c("new_concepts"))
+        rows = rows.withColumn("canonical", made).withColumn("sha256", identity.sha256(c("canonical")))
+        return self.hold(rows.select("pair_id", "index", "section_diff_id", "old_id", "new_id", "method", "status", "operations", "old_seq", "new_seq", "old_text", "new_text", "old_heading", "new_heading", "canonical", "sha256"))
 
-    def diff(self, pairs: DataFrame) -> DataFrame:
-        """One row per pair: summary, document operations, and the canonical artifact of its section rows with its hash."""
+    def diff(self, pairs: DataFrame, rows: DataFrame | None = None, moment: str = NOT_YET) -> DataFrame:
+        """One row per pair: summary, operations, changed fields of the header, cause, and the canonical artifact with its hash. rows: what ``section_diffs`` gave for these pairs."""
+        rows = self.section_diffs(pairs) if rows is None else rows
+        c = F.col
+        changes = diff.metadata_changes(pairs, "diff_id")
+        ops = diff.document_operations(rows, ["pair_id"]).withColumnsRenamed({"pair_id": "diff_id", "operations": "_sections"})
+        parts = rows.groupBy(c("pair_id").alias("diff_id")).agg(F.transform(F.array_sort(F.collect_list(F.struct("index", c("sha256").alias("s")))), lambda x: x["s"]).alias("section_sha256"))
+        whole = pairs.join(diff.summary(rows, ["pair_id"]).withColumnRenamed("pair_id", "diff_id"), "diff_id", "left").join(ops, "diff_id", "left").join(parts, "diff_id", "left").join(changes, "diff_id", "left").join(self.change_causes(pairs), "diff_id")
+        counts = ["sections", "matched", "unmatched", "added", "removed", "modified", "moved", "renamed", "mapping_changed", "unchanged"]
+        whole = whole.na.fill(0, counts).withColumns({"changes": F.coalesce("changes", F.array().cast(diff.CHANGES)), "section_sha256": F.coalesce("section_sha256", F.array().cast("array<string>"))})
+        whole = whole.withColumns({"metadata_changes": F.size("changes").cast("long"), "operations": diff.whole_operations(c("old_document_id").isNotNull(), c("new_document_id").isNotNull(), F.size("changes") > 0, F.coalesce("_sections", F.array().cast("array<string>")))})
+        source = lambda s: identity.fields(**{n: c(f"{s}_{n}") for n in ("document_id", "set_id", "version", "raw_sha256", "normalized_sha256", "parser_version", "schema_version", "mapping_version")}, retrieved_at=text.utc_text(c(f"{s}_retrieved")))
+        payload = identity.fields(
+            diff_id=c("diff_id"), engine=F.lit(self.versions["diff"]), generated_at=F.lit(moment), old_provenance=source("old"), new_provenance=source("new"), cause=c("cause"), components=c("components"),
+            ordering=identity.fields(status=c("ordering.status"), source=c("ordering.source"), confidence=c("ordering.confidence"), known=c("ordering.known"), missing=c("missing")), operations=c("operations"), metadata_changes=c("changes"), sections=c("section_sha256"), summary=identity.fields(**{n: c(n) for n in [*counts, "metadata_changes"]}),
+        )
+        whole = whole.withColumn("canonical", identity.rendered(identity.steady(payload, "diff"))).withColumn("sha256", identity.sha256(c("canonical")))
+        return self.hold(whole.select(c("diff_id").alias("pair_id"), "lineage_id", "old_document_id", "new_document_id", *counts, "metadata_changes", "changes", "operations", "cause", "components", "canonical", "sha256"))
+
+    def store_diffs(self, pairs: DataFrame, moment: str = NOT_YET) -> DataFrame:
+        """Diffs, their section rows and the version edges, stored once. Returns (diff_id, outcome): NEW, SAME or CONFLICT; if any is a conflict, nothing is written."""
         rows = self.section_diffs(pairs)
-        fields = identity.canonical_json(index=F.col("index"), old_id=F.col("old_id"), new_id=F.col("new_id"), method=F.col("method"), status=F.col("status"), operations=F.array_join("operations", "|"))
-        artifact = rows.groupBy("pair_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("index", fields.alias("j")))), lambda x: x["j"]), ",").alias("canonical"))
-        whole = diff.summary(rows, ["pair_id"]).join(diff.document_operations(rows, ["pair_id"]), "pair_id").join(artifact, "pair_id")
-        return whole.withColumn("sha256", identity.sha256(F.col("canonical")))
+        made = self.diff(pairs, rows, moment).withColumnRenamed("pair_id", "diff_id").withColumns({"engine": F.lit(self.versions["diff"]), "generated_at": at(moment)})
+        outcome = self.hold(compared(self.table("diffs"), made, ["diff_id"], "sha256").where("outcome <> 'KEPT'"))
+        if outcome.where("outcome = 'CONFLICT'").isEmpty():
+            edges = pairs.withColumn("canonical", identity.rendered(identity.fields(edge_id=F.col("edge_id"), ordering=F.col("ordering"), missing=F.col("missing"))))
+            edges = edges.withColumns({"status": F.col("ordering.status"), "sha256": identity.sha256(F.col("canonical"))})
+            self.commit(diffs=made, section_diffs=rows.withColumnRenamed("pair_id", "diff_id"), edges=edges)
+        return outcome
 
-    def text_diffs(self, pairs: DataFrame) -> DataFrame:
+    def text_diffs(self, pairs: DataFrame, rows: DataFrame | None = None) -> DataFrame:
         """Word chunks of the sections that were added, removed or modified."""
-        rows = self.section_diffs(pairs).where(F.arrays_overlap("operations", F.array(*map(F.lit, ("SECTION_ADDED", "SECTION_REMOVED", "SECTION_MODIFIED")))))
+        rows = self.section_diffs(pairs) if rows is None else rows
+        rows = rows.where(F.arrays_overlap("operations", F.array(*map(F.lit, ("SECTION_ADDED", "SECTION_REMOVED", "SECTION_MODIFIED")))))
         return diff.text_chunks(rows, ["pair_id", "index"])
 
     def change_causes(self, pairs: DataFrame) -> DataFrame:
         """Why the two versions of each pair differ."""
         c = F.col
-        found = rules.change_components([("SOURCE_CHANGED", c("old_raw_sha256"), c("new_raw_sha256"))])
-        complete = F.size(rules.required({k: c(k) for k in ("old_raw_sha256", "new_raw_sha256", "old_normalized_sha256", "new_normalized_sha256")})) == 0
-        rows = pairs.withColumn("components", found)
-        return rows.select("diff_id", "components", rules.change_cause(c("old_document_id").isNotNull(), c("new_document_id").isNotNull(), complete, c("components"), c("old_version") != c("new_version"), c("old_normalized_sha256") != c("new_normalized_sha256"), F.lit(False)).alias("cause"))
-
-    def verify(self, raw: DataFrame) -> DataFrame:
-        """Per stored document: whether its bytes, sections and normalization come out the same again. raw: path, content."""
-        again = xml_documents.parsed(raw)
-        parts = xml_documents.children(again, versions=self.versions)
-        d = self.table("documents")
-        now = parts["documents"].select("document_id", F.col("raw_sha256").alias("_raw"), F.col("normalized_sha256").alias("_norm"))
-        total = lambda t: t.groupBy("document_id").agg(F.sha2(F.array_join(F.array_sort(F.collect_list(F.concat_ws(":", F.lpad(F.col("seq").cast("string"), 9, "0"), "sha256"))), ",").cast("binary"), 256).alias("_s"))
-        sections = total(self.table("sections")).withColumnRenamed("_s", "_stored").join(total(parts["sections"]), "document_id", "full_outer")
-        mapped = relational.orphans(self.table("mappings"), self.table("sections"), ["section_id"]).select("document_id").distinct().withColumn("_orphan", F.lit(True))
-        rows = d.join(now, "document_id", "left").join(sections, "document_id", "left").join(mapped, "document_id", "left")
+        sides = [("SOURCE_CHANGED", "raw_sha256"), ("PARSER_CHANGED", "parser_version"), ("SCHEMA_CHANGED", "schema_version"), ("MAPPING_CHANGED", "mapping_version")]
+        found = rules.change_components([(name, c(f"old_{f}"), c(f"new_{f}")) for name, f in sides])
+        complete = F.size(rules.required({f"{s}_{f}": c(f"{s}_{f}") for s in ("old", "new") for _, f in sides})) == 0
+        rows = pairs.withColumn("components", F.when(complete, found).otherwise(F.array().cast("array<string>")))
+        cause = rules.change_cause(c("old_document_id").isNotNull(), c("new_document_id").isNotNull(), complete, c("components"), c("old_version") != c("new_version"), c("old_normalized_sha256") != c("new_normalized_sha256"), F.lit(False))
+        return rows.select("diff_id", "components", cause.alias("cause"))
+
+    # Verification
+
+    def verify(self, raw: DataFrame | None = None) -> DataFrame:
+        """Per stored document, seven checks. raw: path, content; default: the store's own raw documents."""
         c = F.col
+        kept = self.table("raw")
+        raw = kept.select("path", "content") if raw is None else raw
+        again = self.hold(xml_documents.parsed(raw))
+        parts = xml_documents.children(again, versions=self.versions, **self.origin)
+        now = parts["documents"].select("document_id", c("raw_sha256").alias("_raw"), c("normalized_sha256").alias("_norm")).distinct()
+        d = self.table("documents")
+        sections = self.table("sections").withColumn("_again", xml_documents.section_hash(c("heading"), c("text"), c("code"), c("structure")))
+        broken = sections.where("_again <> sha256").select("document_id").distinct().withColumn("_broken", F.lit(True))
+        orphan = relational.orphans(self.table("mappings"), self.table("sections"), ["section_id"]).select("document_id").union(relational.foreign_parents(self.table("sections"), "section_id", "parent_id", "document_id").select("document_id")).distinct().withColumn("_orphan", F.lit(True))
+        double = [self.table(n).groupBy(*key).agg(F.count(F.lit(1)).alias("n"), F.min("document_id").alias("_d")).where("n > 1").select(c("_d").alias("document_id")) for n, (_, key) in TABLES.items() if n in ("documents", "sections", "products", "ingredients", "mappings", "statuses")]
+        unsound = double[0]
+        for x in double[1:]:
+            unsound = unsound.union(x)
+        source = files.manifests(kept.select("set_id", "version", "metadata_path", "manifest", *self.origin)).withColumn("_meta", F.when(c("manifest_error").isNull(), c("identity")))
+        rows = d.join(now, "document_id", "left").join(broken, "document_id", "left").join(orphan, "document_id", "left").join(unsound.distinct().withColumn("_double", F.lit(True)), "document_id", "left").join(source, ["set_id", "version"], "left")
+        # Documents that were ingested from files have no manifest: their origin is the store's.
+        stored = c("manifest").isNotNull()
+        agrees = (c("_meta.raw_sha256") == c("raw_sha256")) & (c("_meta.source_document_id") == c("set_id")) & (c("_meta.source_version") == c("version")) & (c("_meta.authority") == c("authority")) & (c("_meta.provider") == c("provider")) & (c("_meta.jurisdiction") == c("jurisdiction"))
+        needed = {n: F.when(stored, c(n).cast("string")).otherwise(F.lit("file")) if n in (*self.origin, "metadata_path") else c(n).cast("string") for n in PROVENANCE}
+        same = (c("parser_version") == F.lit(self.versions["parser"])) & (c("schema_version") == F.lit(self.versions["schema"])) & (c("mapping_version") == F.lit(self.versions["mapping"]))
         checks = {
-            "required_provenance": F.size(rules.required({k: c(k) for k in ("document_id", "source_id", "lineage_id", "set_id", "version", "raw_sha256", "title", "normalized_sha256")})) == 0,
+            "required_provenance": F.size(rules.required(needed)) == 0,
             "raw_sha256": c("raw_sha256") == c("_raw"),
-            "section_sha256": c("_stored").eqNullSafe(c("_s")),
+            "raw_metadata": ~stored | agrees,
+            "section_sha256": c("_broken").isNull(),
             "referential_integrity": c("_orphan").isNull(),
-            "deterministic_normalization": c("normalized_sha256") == c("_norm"),
+            "database_consistency": c("_double").isNull(),
+            "deterministic_normalization": same & (c("normalized_sha256") == c("_norm")),
         }
         return batch.verified(batch.unrolled(rows, ["document_id"], checks), ["document_id"])
 
-    def verify_diffs(self, stored: DataFrame, pairs: DataFrame) -> DataFrame:
-        """Per stored diff (pair_id, canonical, sha256): whether its hash is that of its text and the text comes out the same again."""
-        again = self.diff(pairs).select("pair_id", F.col("canonical").alias("_again"))
-        rows = stored.join(again, "pair_id", "left")
-        checks = {"artifact_sha256": identity.sha256(F.col("canonical")) == F.col("sha256"), "reproduced": F.col("canonical") == F.col("_again")}
-        return batch.verified(batch.unrolled(rows, ["pair_id"], checks), ["pair_id"])
+    def verify_diffs(self, pairs: DataFrame | None = None, raw: DataFrame | None = None) -> DataFrame:
+        """Per stored diff of the pairs (default: all consecutive versions), eight checks. raw: as for ``verify``."""
+        c = F.col
+        pairs = self.pairs() if pairs is None else pairs
+        stored = self.table("diffs").join(pairs.select("diff_id").distinct(), "diff_id", "left_semi")
+        rows = self.section_diffs(pairs)
+        again = self.diff(pairs, rows, "2000-01-01T00:00:00Z").select(c("pair_id").alias("diff_id"), c("canonical").alias("_again"))
+        mine, now = self.table("section_diffs"), rows.select(c("pair_id").alias("diff_id"), "index", c("section_diff_id").alias("_id"), c("canonical").alias("_canonical"))
+        both = mine.join(stored.select("diff_id"), "diff_id", "left_semi").join(now, ["diff_id", "index"], "full_outer")
+        right = (c("section_diff_id") == c("_id")) & (c("canonical") == c("_canonical")) & (c("sha256") == identity.sha256(c("_canonical")))
+        sections = both.groupBy("diff_id").agg(F.bool_and(F.coalesce(right, F.lit(False))).alias("_sections"))
+        n = self.table("diffs").groupBy("diff_id").agg(F.count(F.lit(1)).alias("_n"))
+        missing = relational.orphans(stored.select("diff_id", F.explode(F.array("old_document_id", "new_document_id")).alias("document_id")).where("document_id IS NOT NULL"), self.table("documents"), ["document_id"]).select("diff_id").distinct().withColumn("_missing", F.lit(True))
+        sound = self.hold(self.verify(raw)).select("document_id", "verified")
+        ends = stored.select("diff_id", F.explode(F.array("old_document_id", "new_document_id")).alias("document_id")).where("document_id IS NOT NULL").join(sound, "document_id", "left").groupBy("diff_id").agg(F.bool_and(F.coalesce("verified", F.lit(False))).alias("_ends"))
+        whole = stored.join(again, "diff_id", "left").join(sections, "diff_id", "left").join(n, "diff_id").join(missing, "diff_id", "left").join(ends, "diff_id", "left")
+        parsed = F.try_parse_json("canonical")
+        checks = {
+            "canonical_artifact_sha256": identity.sha256(c("canonical")) == c("sha256"),
+            "canonical_artifact_json": F.try_variant_get(parsed, "$.diff_id", "string") == c("diff_id"),
+            "diff_engine_version": c("engine") == F.lit(self.versions["diff"]),
+            "deterministic_diff_reproduction": c("canonical") == c("_again"),
+            "generation_timestamp_excluded": F.is_variant_null(F.try_variant_get(parsed, "$.generated_at", "variant")),
+            "section_diff_artifacts": c("_sections"),
+            "database_consistency": (c("_n") == 1) & c("_missing").isNull(),
+            "compared_source_documents": c("_ends"),
+        }
+        return batch.verified(batch.unrolled(whole, ["diff_id"], checks), ["diff_id"])
 
     def integrity(self) -> DataFrame:
         """Every broken key, reference and check of the store; no rows if it is sound."""
@@ -198,6 +383,9 @@ class Flows:
         out = [violations(t[n], n, unique=[key]) for n, (_, key) in TABLES.items()]
         out += [violations(t[n], n, references={"document": (["document_id"], t["documents"], ["document_id"])}) for n in ("sections", "products", "ingredients", "mappings", "statuses")]
         out.append(violations(t["mappings"], "mappings", references={"section": (["section_id"], t["sections"], ["section_id"])}))
+        out.append(violations(t["section_diffs"], "section_diffs", references={"diff": (["diff_id"], t["diffs"], ["diff_id"])}))
+        out.append(violations(t["candidates"], "candidates", references={"discovery": (["discovery_id"], t["discoveries"], ["discovery_id"])}))
+        out.append(violations(t["entries"], "entries", references={"list": (["utilization_list_id"], t["lists"], ["utilization_list_id"])}))
         foreign = relational.foreign_parents(t["sections"], "section_id", "parent_id", "document_id")
         out.append(foreign.groupBy("section_id").agg(F.count(F.lit(1)).alias("n")).select(F.lit("sections").alias("table"), F.lit("parent in other document").alias("rule"), F.col("section_id").alias("key"), "n"))
         whole = out[0]
@@ -205,33 +393,6 @@ class Flows:
             whole = whole.unionByName(x)
         return whole
 
-    def plan_batch(self, entries: DataFrame, responses: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """entries: utilization_list_id, rank, ingredient_name, normalized. responses: lookup_id (the normalized name), body. Returns items and evidence."""
-        lookups = responses.withColumn("raw_sha256", identity.sha256(F.col("body"))).join(files.truncated(responses), "lookup_id")
-        listed = entries.join(lookups.drop("body"), F.col("normalized") == F.col("lookup_id"), "left")
-        listed = listed.withColumn("discovery_id", identity.discovery_id(F.col("utilization_list_id"), F.col("normalized"), F.lit(self.versions["connector"]), F.col("raw_sha256")))
-        seen = files.candidates(responses).drop("raw_sha256").where("invalid IS NULL").join(listed.select("lookup_id", "discovery_id", "normalized", F.col("ingredient_name").alias("original")), "lookup_id")
-        evidence = selection.classified(seen.drop("index", "meta"))
-        decided = selection.decisions(evidence, listed.where("lookup_id IS NOT NULL").select("discovery_id", "truncated"))
-        items = batch.initial_items(listed.select("utilization_list_id", "rank", "ingredient_name", "normalized", "discovery_id"), decided)
-        missing = F.col("selection") == "PENDING"
-        items = items.withColumn("selection", F.when(missing, "FETCH_FAILED").otherwise(F.col("selection"))).withColumn("discovery", F.when(missing, "LOOKUP_FAILED").otherwise(F.col("discovery"))).withColumn("error", F.when(missing, "candidate_lookup_failed").otherwise(F.col("error")))
-        return items, selection.explained(evidence, decided)
-
-    def run_batch(self, entries: DataFrame, responses: DataFrame, raw: DataFrame, ranks: Sequence[int] | None = None) -> tuple[DataFrame, DataFrame]:
-        """Plans, fetches from ``raw`` (set_id, version, path, content), ingests and verifies; returns items and the roll-up."""
-        items, evidence = self.plan_batch(entries, responses)
-        chosen = evidence.where("status = 'SELECTED' AND index = selected_index").select("discovery_id", "set_id", "version")
-        todo = batch.eligible(items, "fetch", ranks).join(chosen, "discovery_id")
-        bodies = todo.select("rank", F.lower("set_id").alias("_s"), F.col("version").alias("_v")).join(raw, (F.col("_s") == F.lower(raw["set_id"])) & (F.col("_v") == raw["version"]), "left")
-        got = bodies.select("rank", F.when(F.col("path").isNull(), "RAW_FETCH_FAILED").otherwise("FETCHED").alias("state"), F.when(F.col("path").isNull(), "raw_fetch_failed").alias("error"))
-        items = batch.advanced(items, got, "ingestion")
-        parsed = xml_documents.parsed(bodies.where("path IS NOT NULL").select("path", "content"))
-        by_path = bodies.where("path IS NOT NULL").select("rank", "path").join(parsed.select("path", F.col("error").alias("category")), "path")
-        state = by_path.select("rank", F.when(F.col("category").isNull(), "INGESTED").otherwise(rules.parser_failure(F.col("category"))["ingestion"]).alias("state"), F.col("category").alias("error"))
-        items = batch.advanced(items, state, "ingestion")
-        self.ingest(bodies.where("path IS NOT NULL").select("path", "content"))
-        sound = self.verify(bodies.where("path IS NOT NULL").select("path", "content")).join(self.table("documents").select("document_id", "path"), "document_id")
-        checked = sound.join(bodies.where("path IS NOT NULL").select("rank", "path"), "path").select("rank", F.when(F.col("verified"), "VERIFIED").otherwise("FAILED").alias("state"), F.when(~F.col("verified"), "verification_failed").alias("error"))
-        items = batch.advanced(items, checked.join(batch.eligible(items, "verify").select("rank"), "rank", "left_semi"), "verification")
-        return items, batch.rollup(items, ["utilization_list_id"])
+    def close(self) -> None:
+        """Removes what this session held. Results that were not read yet cannot be read afterwards."""
+        scratch.release()

@@ -16,17 +16,17 @@ from collections.abc import Iterator
 from datetime import datetime
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from labeldiff.functions import identity, rules
+from labeldiff.functions import identity, rules, text
 from labeldiff.values import CONCEPTS, MAX_BYTES, TEXT_BLOCKS, VERSIONS
 
 #: Namespace of the documents.
 NS = "urn:hl7-org:v3"
 _DECLARED = re.compile(rb"<!\s*(?:DOCTYPE|ENTITY)\b", re.I)
 
-SECTION = "struct<seq:int,parent_seq:int,depth:int,code:string,heading:string,text:string,status:string,locator:string,xml_id:string,structure:string,comparison:string,sha256:string>"
+SECTION = "struct<seq:int,parent_seq:int,depth:int,code:string,heading:string,text:string,status:string,locator:string,xml_id:string,structure:string,comparison:string,sha256:string,filled:boolean>"
 PRODUCT = "struct<seq:int,brand:string,form:string,route:string>"
 PARSED = f"path string, raw_sha256 string, n_bytes long, set_id string, version string, document_root string, title string, doc_type string, language string, effective date, generic_name string, generics array<string>, ingredients array<string>, products array<{PRODUCT}>, sections array<{SECTION}>, normalized_sha256 string, error string, message string"
 
@@ -86,15 +86,25 @@ def distinct(values) -> list[str]:
 
 
 def tree(node: ET.Element, locator: str, located: bool = True) -> dict:
-    """The structure below a node; ``located`` False leaves the locators out, for comparison."""
-    counts: dict[str, int] = {}
-    below = []
-    for c in node:
-        name = local(c)
-        counts[name] = counts.get(name, 0) + 1
-        below.append(tree(c, f"{locator}/{name}[{counts[name]}]", located))
-    out = {"attributes": sorted([k, v] for k, v in node.attrib.items()), "children": below, "tag": local(node), "tail": squeezed(node.tail), "text": squeezed(node.text)}
-    return out | {"locator": locator} if located else out
+    """The structure below a node; ``located`` False leaves the locators out, for comparison. An explicit stack, so depth does not matter."""
+
+    def own(n: ET.Element, at: str) -> dict:
+        out = {"attributes": sorted([k, v] for k, v in n.attrib.items()), "children": [], "tag": local(n), "tail": squeezed(n.tail), "text": squeezed(n.text)}
+        return out | {"locator": at} if located else out
+
+    top = own(node, locator)
+    todo = [(node, locator, top)]
+    while todo:
+        n, at, out = todo.pop()
+        counts: dict[str, int] = {}
+        for c in n:
+            name = local(c)
+            counts[name] = counts.get(name, 0) + 1
+            where = f"{at}/{name}[{counts[name]}]"
+            below = own(c, where)
+            out["children"].append(below)
+            todo.append((c, where, below))
+    return top
 
 
 def located(node: ET.Element, at: str) -> Iterator[tuple[ET.Element, str]]:
@@ -188,17 +198,23 @@ def parse(content: bytes) -> dict:
     active = distinct(flat_text(child(s, "name")) for n in root.iter() if local(n) == "ingredient" and n.get("classCode") in ("ACTIB", "ACTIM") for s in n.iter() if local(s) == "ingredientSubstance")
     out = ids | {"doc_type": attribute(own("code"), "displayName", "code"), "language": attribute(own("languageCode"), "code"), "effective": effective, "generics": generics, "generic_name": next(iter(generics), None), "ingredients": active, "products": products_of(root), "sections": sections_of(root)}
     whole = {k: v.isoformat() if k == "effective" and v else v for k, v in out.items()}
-    return out | {"normalized_sha256": hashlib.sha256(canonical(whole).encode()).hexdigest()}
+    digest = hashlib.sha256(canonical(whole).encode()).hexdigest()
+    # Whether a section or one below it has text: children follow their parents, so one pass backwards tells.
+    filled = [s["status"] == "PRESENT" for s in out["sections"]]
+    for s in reversed(out["sections"]):
+        if s["parent_seq"] is not None and filled[s["seq"]]:
+            filled[s["parent_seq"]] = True
+    return out | {"sections": [s | {"filled": f} for s, f in zip(out["sections"], filled, strict=True)], "normalized_sha256": digest}
 
 
-def parsed(files: DataFrame, expected: str | None = None) -> DataFrame:
-    """files (path, content and, if named, a column with the expected hash) to one row each: the document, or an error category and message."""
+def parsed(files: DataFrame, expected: str | None = None, asked: tuple[str, str] | None = None) -> DataFrame:
+    """files (path, content and, if named, a column with the expected hash, and columns with the set id and version that were asked for) to one row each: the document, or an error category and message."""
     spark_schema = files.sparkSession.createDataFrame([], PARSED).schema
     from pyspark.sql.pandas.types import to_arrow_schema
 
     arrow = to_arrow_schema(spark_schema)
     names = [f.name for f in spark_schema]
-    rows = files.select("path", "content", (F.col(expected) if expected else F.lit(None).cast("string")).alias("expected"))
+    rows = files.select("path", "content", *[(F.col(c) if c else F.lit(None).cast("string")).alias(n) for n, c in (("expected", expected), ("asked_set", asked and asked[0]), ("asked_version", asked and asked[1]))])
 
     def run(batches):
         for batch in batches:
@@ -210,6 +226,10 @@ def parsed(files: DataFrame, expected: str | None = None) -> DataFrame:
                     if want is not None and want != row["raw_sha256"]:
                         raise Rejected("provenance_validation_failure", "the bytes do not have the recorded hash")
                     row |= parse(content)
+                    set_id, version = batch["asked_set"][k].as_py(), batch["asked_version"][k].as_py()
+                    if set_id is not None and set_id.casefold() != row["set_id"].casefold() or version is not None and version != row["version"]:
+                        row = dict.fromkeys(names) | {c: row[c] for c in ("path", "raw_sha256", "n_bytes")}
+                        raise Rejected("provenance_validation_failure", "the document is not the one that was asked for")
                 except Rejected as e:
                     row |= {"error": e.category, "message": str(e)}
                 except RecursionError:
@@ -219,6 +239,12 @@ def parsed(files: DataFrame, expected: str | None = None) -> DataFrame:
     return rows.mapInArrow(run, PARSED)
 
 
+def section_hash(heading: Column, body: Column, code: Column, structure: Column) -> Column:
+    """The hash of a stored section from its fields, as ``sections_of`` makes it; structure is canonical JSON or null."""
+    head = identity.canonical(original_heading=heading, original_text=body, source_section_code=code)
+    return identity.sha256(F.concat(F.substring(head, F.lit(1), F.length(head) - 1), F.lit(',"structured_content":'), F.coalesce(structure, F.lit("null")), F.lit("}")))
+
+
 def children(documents: DataFrame, authority: str = "FDA", provider: str = "DailyMed", jurisdiction: str = "US", versions: dict[str, str] = VERSIONS) -> dict[str, DataFrame]:
     """The normalized tables of parsed documents: documents, sections, products, ingredients, mappings, statuses, errors."""
     lit = F.lit
@@ -231,21 +257,16 @@ def children(documents: DataFrame, authority: str = "FDA", provider: str = "Dail
     mapped = sections.select("document_id", "section_id", "seq", rules.concept(F.col("code"), F.col("heading")).alias("m")).where("m IS NOT NULL").select("document_id", "section_id", "seq", "m.*")
     mappings = mapped.withColumn("mapping_id", identity.mapping_id(F.col("section_id"), F.col("concept"), lit(versions["mapping"])))
     products = good.select("document_id", F.inline("products")).withColumn("product_id", identity.product_id(F.col("document_id"), F.col("seq"), F.col("brand"), F.col("form"), F.col("route")))
-    ingredients = good.select("document_id", F.posexplode("ingredients").alias("seq", "name")).withColumn("ingredient_id", identity.ingredient_id(F.lower("name")))
-    header = good.drop("sections", "products", "error", "message")
+    ingredients = good.select("document_id", F.posexplode("ingredients").alias("seq", "name")).withColumn("ingredient_id", identity.ingredient_id(text.folded(F.col("name"))))
+    named = {n: text.first_spellings(F.col(f"products.{f}")) for n, f in (("brands", "brand"), ("forms", "form"), ("routes", "route"))}
+    header = good.withColumns(named).drop("sections", "products", "error", "message")
     return {"documents": header, "sections": sections, "products": products, "ingredients": ingredients, "mappings": mappings, "statuses": concept_statuses(good.select("document_id", "sections")), "errors": errors}
 
 
 def concept_statuses(documents: DataFrame) -> DataFrame:
-    """(document_id, concept, status) of every document and concept: ABSENT, PRESENT if a mapped section or one below it has text, else PRESENT_EMPTY.
-
-    Sections are in document order, so what is below a section follows it, deeper, up to the next that is not deeper:
-    decided within the document's own array, without a join.
-    """
-    s = F.col("sections")
-    filled = lambda i: F.exists(s, lambda x: (x["seq"] >= i) & (x["status"] == "PRESENT") & ~F.exists(s, lambda y: (y["seq"] > i) & (y["seq"] <= x["seq"]) & (y["depth"] <= s[i]["depth"])))
-    marked = F.filter(F.transform(s, lambda x: F.struct(rules.concept(x["code"], x["heading"])["concept"].alias("c"), filled(x["seq"]).alias("f"))), lambda m: m["c"].isNotNull())
-    rows = documents.select("document_id", marked.alias("m"))
+    """(document_id, concept, status) of every document and concept: ABSENT, PRESENT if a mapped section or one below it has text, else PRESENT_EMPTY. Decided within the document's own array, without a join."""
+    mapped = F.transform("sections", lambda x: F.struct(rules.concept(x["code"], x["heading"])["concept"].alias("c"), x["filled"].alias("f")))
+    rows = documents.select("document_id", mapped.alias("m"))
     each = rows.select("document_id", "m", F.explode(F.array(*map(F.lit, CONCEPTS))).alias("concept"))
     own = F.filter("m", lambda m: m["c"] == F.col("concept"))
     status = F.when(F.size(own) == 0, "ABSENT").when(F.exists(own, lambda m: m["f"]), "PRESENT").otherwise("PRESENT_EMPTY")

@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 from labeldiff.functions import identity, rules, text
 from labeldiff.operators import batch, diff, lineage, matching, relational, selection, store
 from labeldiff.plans import cli
+from labeldiff.plans.batches import Batches
 from labeldiff.plans.flows import Flows
-from labeldiff.sources import files, xml_documents
+from labeldiff.sources import fetch, files, xml_documents
 from labeldiff.streaming import ingest
 from labeldiff.values import CANDIDATE_CLASSES, NAMESPACE
 
@@ -109,26 +110,39 @@ def record(set_id="S1", version="3", ingredients=("Drugol",), **more):
 
 def select(spark, records, total=None):
     entries = spark.createDataFrame([("L", 1, "Drugol", "drugol")], "utilization_list_id string, rank int, ingredient_name string, normalized string")
-    items, evidence = Flows(spark, "unused").plan_batch(entries, lookup(spark, records, total=total))
+    items, evidence, _ = Batches(Flows(spark, "unused"), None).decided(entries, lookup(spark, records, total=total))
     return items.first(), {(r.set_id, r.version, r.index): r for r in evidence.collect()}
 
 
-@pytest.mark.parametrize(("records", "total", "want"), [
-    ([record(), record("S2", "2")], None, "SELECTED"),
-    ([record(), record("S2", "3")], None, "MULTIPLE_EQUIVALENT_CANDIDATES"),
-    ([record(ingredients=["Other"])], None, "NO_ACCEPTABLE_CANDIDATE"),
-    ([], None, "NO_CANDIDATE"),
-    ([record()], 120, "AMBIGUOUS_REQUIRES_REVIEW"),
-    ([record(ingredients=["Other"])], 120, "NO_ACCEPTABLE_CANDIDATE"),
-    ([record(), record()], None, "SELECTED"),
-    ([record("S9", "9", repackaged=True), record()], None, "SELECTED"),
-    ([record("S2", "9", ingredients=["ＤＲＵＧＯＬ "]), record("S1", "1")], None, "SELECTED"),
-])
-def test_selection(spark, records, total, want):
-    item, _ = select(spark, records, total)
-    backwards, _ = select(spark, records[::-1], total)
-    assert item.selection == backwards.selection == want
-    assert item.ingestion == ("PENDING" if want == "SELECTED" else "NOT_SELECTED") and item.selected_index == backwards.selected_index
+def test_selection(spark):
+    cases = [
+        ([record(), record("S2", "2")], None, "SELECTED"),
+        ([record(), record("S2", "3")], None, "MULTIPLE_EQUIVALENT_CANDIDATES"),
+        ([record(ingredients=["Other"])], None, "NO_ACCEPTABLE_CANDIDATE"),
+        ([], None, "NO_CANDIDATE"),
+        ([record()], 120, "AMBIGUOUS_REQUIRES_REVIEW"),
+        ([record(ingredients=["Other"])], 120, "NO_ACCEPTABLE_CANDIDATE"),
+        ([record(), record()], None, "SELECTED"),
+        ([record("S9", "9", repackaged=True), record()], None, "SELECTED"),
+        ([record("S2", "9", ingredients=["ＤＲＵＧＯＬ "]), record("S1", "1")], None, "SELECTED"),
+        ([record(), {"setid": "x"}], None, "METADATA_INVALID"),
+        ("no JSON", None, "METADATA_INVALID"),
+    ]
+    # Every case once as it is and once backwards, each a list of its own.
+    entries, bodies = [], []
+    for k, (records, total, _) in enumerate(cases):
+        for back in (0, 1):
+            own = f"{k}x{back}"
+            entries.append((f"L{k}/{back}", k + 1, f"Drugol{own}", f"drugol{own}"))
+            body = records if isinstance(records, str) else json.dumps({"metadata": {"total_elements": len(records) if total is None else total}, "data": records[::-1] if back else records}, ensure_ascii=False)
+            bodies.append((f"drugol{own}", body.replace("Drugol", f"Drugol{own}").replace("ＤＲＵＧＯＬ", f"ＤＲＵＧＯＬ{own}")))
+    listed = spark.createDataFrame(entries, "utilization_list_id string, rank int, ingredient_name string, normalized string")
+    items, _, _ = Batches(Flows(spark, "unused"), None).decided(listed, spark.createDataFrame(bodies, "lookup_id string, body string"))
+    got = {r.utilization_list_id: r for r in items.collect()}
+    for k, (_, _, want) in enumerate(cases):
+        a, b = got[f"L{k}/0"], got[f"L{k}/1"]
+        assert a.selection == b.selection == want, k
+        assert a.ingestion == ("PENDING" if want == "SELECTED" else "NOT_SELECTED") and a.selected_index == b.selected_index
 
 
 def test_classes(spark):
@@ -155,16 +169,34 @@ def test_single_label(spark):
     assert selection.single_label(spark.createDataFrame(rows, kind), "warfarin", "x").first().status == "NOT_FOUND"
 
 
+HEAD = {"schema_version": "1", "jurisdiction": "US", "measurement_year": 2020, "dataset_name": "D", "dataset_version": "1", "metric": "claims", "source_reference": "r", "source_status": "s"}
+
+
+def ranked(list_id, *entries, **head):
+    return json.dumps({"utilization_list_id": list_id, **HEAD, **head, "entries": [e if isinstance(e, dict) else {"rank": k, "ingredient_name": e} for k, e in enumerate(entries, 1)]})
+
+
+def past(set_id, *versions):
+    return json.dumps({"data": {"spl": {"setid": set_id, "title": "T"}, "history": [{"spl_version": v, "published_date": d} for v, d in versions]}})
+
+
 def test_history_and_lists(spark, tmp_path):
-    body = json.dumps({"data": {"spl": {"setid": "SET"}, "history": [{"spl_version": 4, "published_date": "Jan 02, 2020"}, {"spl_version": 3, "published_date": "bad"}, {"spl_version": 1, "published_date": "Jan 02, 2019"}]}})
-    rows = files.history(spark.createDataFrame([("k", "set", body)], "lookup_id string, set_id string, body string")).orderBy("position").collect()
-    assert [(r.version, r.published, r.wrong) for r in rows] == [("4", date(2020, 1, 2), None), ("3", None, None), ("1", date(2019, 1, 2), None)]
+    kind = "lookup_id string, set_id string, body string"
+    good = past("SET", (4, "Jan 02, 2020"), (1, "Jan 02, 2019"))
+    rows = files.history(spark.createDataFrame([("k", "set", good)], kind)).orderBy("position").collect()
+    assert [(r.version, r.published, r.wrong) for r in rows] == [("4", date(2020, 1, 2), None), ("1", date(2019, 1, 2), None)]
+    bad = [("a", "set", past("SET", (1, "2020-01-02"))), ("b", "set", past("SET", (1, "Jan 02, 2020"), (1, "Jan 02, 2020"))), ("c", "other", good), ("d", "set", past("SET")), ("e", "set", "no json"), ("f", "set", past("SET", (" ", "Jan 02, 2020")))]
+    wrong = {r.lookup_id: r.wrong for r in files.history(spark.createDataFrame(bad, kind)).collect()}
+    assert wrong == {"a": "entry without date", "b": "repeated version", "c": "other set id", "d": "no history", "e": "no history", "f": "entry without version"}
     entries = spark.createDataFrame([("l", v, k) for k, v in enumerate("4321")], "lineage_id string, version string, position int")
     got = lineage.history_gaps(spark.createDataFrame([("l", "1", "4"), ("l", "3", "4"), ("l", "4", "9")], "lineage_id string, old_version string, new_version string"), entries).orderBy("old_version").collect()
     assert [(r.history, r.adjacent, r.missing) for r in got] == [(-1, False, ["2", "3"]), (-1, True, []), (None, None, [])]
-    (tmp_path / "l.json").write_text(json.dumps({"utilization_list_id": "L", "measurement_year": 2020, "entries": [{"rank": 1, "ingredient_name": "A"}, {"rank": 3, "ingredient_name": "ａ"}, {"rank": 0, "ingredient_name": " ", "metric_value": "x"}]}))
-    problems = {r.problem for r in files.list_problems(files.ranked_lists(spark, str(tmp_path))).collect()}
-    assert problems == {"rank is not a positive number", "name is missing", "metric is not a number", "repeated name", "ranks are not contiguous from 1"}
+    (tmp_path / "l.json").write_text(ranked("L", "A", {"rank": 3, "ingredient_name": "ａ"}, {"rank": 0, "ingredient_name": " ", "metric_value": "x"}, metric=" "))
+    (tmp_path / "m.json").write_text(ranked("M", "A", "B", {"rank": True, "ingredient_name": "C"}))
+    (tmp_path / "n.json").write_text(ranked("N", "A", "B"))
+    problems = {(r.utilization_list_id, r.problem) for r in files.list_problems(files.ranked_lists(spark, str(tmp_path))).collect()}
+    assert {p for n, p in problems if n == "L"} == {"rank is not a positive number", "name is missing", "metric is not a number", "metric is missing", "repeated name", "ranks are not contiguous from 1"}
+    assert ("M", "a boolean stands for a number") in problems and not any(n == "N" for n, _ in problems)
 
 
 # Parser
@@ -202,8 +234,8 @@ def test_archive(spark):
         return out.getvalue()
 
     rows = [(packed([("a.xml", "<x/>"), ("i.jpg", "j")]),), (packed([("../a.xml", "x")]),), (packed([("a.xml", "x"), ("b.xml", "y")]),), (b"no",), (None,)]
-    got = [r.z for r in spark.createDataFrame(rows, "c binary").select(files.sole_xml("c").alias("z")).collect()]
-    assert (got[0].member, bytes(got[0].body)) == ("a.xml", b"<x/>") and all(g.error for g in got[1:])
+    got = files.sole_members(spark.createDataFrame(rows, "c binary"), "c").collect()
+    assert (got[0].member, bytes(got[0].content)) == ("a.xml", b"<x/>") and all(g.member_error for g in got[1:4]) and got[4].member_error is None
 
 
 # Store and flows
@@ -225,9 +257,16 @@ def flows(spark, tmp_path_factory):
 
 
 def test_ingest_is_idempotent(flows):
-    assert flows.first == {"INGESTED": 2, "malformed_xml": 1} and flows.again == {"ALREADY_INGESTED": 1} and flows.clash == {"CONFLICT": 1}
-    assert {n: flows.table(n).count() for n in ("documents", "sections", "products", "ingredients", "mappings", "statuses", "quarantine")} == {"documents": 2, "sections": 10, "products": 2, "ingredients": 2, "mappings": 6, "statuses": 40, "quarantine": 1}
+    assert flows.first == {"ALREADY_INGESTED": 1, "INGESTED": 2, "malformed_xml": 1} and flows.again == {"ALREADY_INGESTED": 1} and flows.clash == {"CONFLICT": 1}
+    assert {n: flows.table(n).count() for n in ("documents", "sections", "products", "ingredients", "mappings", "statuses", "quarantine")} == {"documents": 2, "sections": 10, "products": 2, "ingredients": 2, "mappings": 6, "statuses": 40, "quarantine": 2}
     assert flows.integrity().count() == 0
+    events = {(r.state, r.category): r.n for r in flows.table("ingestion_events").groupBy("state", "category").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert events == {("started", None): 6, ("succeeded", None): 4, ("failed", "malformed_xml"): 1, ("failed", "CONFLICT"): 1}
+    kept = {r.category: bytes(r.content) for r in flows.table("quarantine").collect()}
+    assert kept["malformed_xml"] == b"<a" and kept["CONFLICT"] == V1.replace(b"milk", b"wine")
+    assert flows.count("documents") == 2 and flows.migrate() == flows.migrate() == 1
+    with pytest.raises(ValueError, match="no table"):
+        flows.count("elsewhere")
 
 
 def test_statuses_and_reads(flows):
@@ -243,25 +282,168 @@ def test_diff(flows):
     pairs = flows.pairs()
     p = pairs.first()
     assert (p.old_version, p.new_version, p.ordering.status, p.ordering.confidence) == ("1", "2", "SOURCE_VERSION_ORDERED", "AUTHORITATIVE_HISTORY_ADJACENT")
-    rows = {(r.old_seq, r.new_seq): r for r in flows.section_diffs(pairs).collect()}
+    sections = flows.section_diffs(pairs)
+    rows = {(r.old_seq, r.new_seq): r for r in sections.collect()}
     got = {k: (r.method, r.operations) for k, r in rows.items()}
     assert got == {
         (0, 1): ("XML_IDENTIFIER", ["SECTION_MOVED", "SECTION_RENAMED"]), (1, 2): ("XML_IDENTIFIER", ["NO_CHANGE"]), (2, 0): ("SECTION_CODE", ["SECTION_MODIFIED", "SECTION_MOVED"]),
         (3, 3): ("SOURCE_LOCATOR", ["NO_CHANGE"]), (4, None): ("UNMATCHED", ["SECTION_REMOVED"]), (None, 4): ("UNMATCHED", ["SECTION_ADDED"]),
     }
-    s = flows.diff(pairs).first()
-    assert (s.matched, s.unmatched, s.added, s.removed, s.modified, s.moved, s.renamed, s.unchanged) == (4, 2, 1, 1, 1, 2, 1, 2)
-    chunks = [(r.operation, r.text) for r in flows.text_diffs(pairs).where(F.col("index") == rows[2, 0]["index"]).orderBy("position").collect()]
+    s = flows.diff(pairs, sections).first()
+    assert (s.matched, s.unmatched, s.added, s.removed, s.modified, s.moved, s.renamed, s.unchanged, s.metadata_changes) == (4, 2, 1, 1, 1, 2, 1, 2, 2)
+    assert [(c.field, c.old_value, c.new_value) for c in s.changes] == [("source_instance_id", "doc-1", "doc-2"), ("effective_date", "2020-01-01", "2020-01-02")]
+    assert s.operations == ["SECTION_ADDED", "SECTION_REMOVED", "SECTION_MODIFIED", "SECTION_MOVED", "SECTION_RENAMED", "DOCUMENT_METADATA_CHANGED"] and s.cause == "SOURCE_CHANGED"
+    payload = json.loads(s.canonical)
+    assert payload["generated_at"] is None and payload["old_provenance"]["retrieved_at"] is None and json.dumps(payload, ensure_ascii=False, sort_keys=True, separators=(",", ":")) == s.canonical
+    chunks = [(r.operation, r.text) for r in flows.text_diffs(pairs, sections).where(F.col("index") == rows[2, 0]["index"]).orderBy("position").collect()]
     assert chunks == [("CONTEXT", "never with"), ("ADDITION", "cold"), ("CONTEXT", "milk")]
-    assert flows.change_causes(pairs).first().cause == "SOURCE_CHANGED"
-    stored = flows.diff(pairs).select("pair_id", "canonical", "sha256")
-    assert flows.verify_diffs(stored, pairs).first().verified and not flows.verify_diffs(stored.withColumn("sha256", F.lit("0")), pairs).first().verified
+
+
+def test_one_sided_diff(flows):
+    pairs = flows.pairs()
+    for gone, op, sections in (("old", "DOCUMENT_ADDED", "added"), ("new", "DOCUMENT_REMOVED", "removed")):
+        one = pairs.withColumn(f"{gone}_document_id", F.lit(None).cast("string"))
+        s = flows.diff(one).first()
+        assert (s.operations[0], s[sections], s.matched, s.cause, s.changes) == (op, 5, 0, "SOURCE_CHANGED", [])
+
+
+def test_stored_diffs_verify(spark, flows):
+    pairs = flows.pairs()
+    assert [r.outcome for r in flows.store_diffs(pairs, "2020-05-01T00:00:00Z").collect()] == ["NEW"]
+    assert [r.outcome for r in flows.store_diffs(pairs, "2021-05-01T00:00:00Z").collect()] == ["SAME"]
+    assert {n: flows.count(n) for n in ("diffs", "section_diffs", "edges")} == {"diffs": 1, "section_diffs": 6, "edges": 1}
+    good = flows.verify_diffs(pairs, raw(spark, V1, V2)).first()
+    assert good.verified and good.n_checks == 8
+    bad = flows.verify_diffs(pairs, raw(spark, V1)).first()
+    assert bad.failed == ["compared_source_documents"]
+    other = Flows(spark, flows.store.path, flows.versions | {"diff": "section-diff/2"})
+    assert other.verify_diffs(pairs, raw(spark, V1, V2)).first().failed == ["deterministic_diff_reproduction", "diff_engine_version"]
+    assert flows.integrity().count() == 0
 
 
 def test_verify(spark, flows):
-    assert all(r.verified for r in flows.verify(raw(spark, V1, V2)).collect())
+    good = flows.verify(raw(spark, V1, V2)).collect()
+    assert all(r.verified and r.n_checks == 7 for r in good)
     broken = {r.verified: r.failed for r in flows.verify(raw(spark, V1)).collect()}
-    assert broken[True] == [] and "raw_sha256" in broken[False]
+    assert broken[True] == [] and broken[False] == ["deterministic_normalization", "raw_sha256"]
+
+
+# Fetch and batches
+
+BASE = "https://labels"
+
+
+def packed(body):
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w") as z:
+        z.writestr("label.xml", body)
+    return out.getvalue()
+
+
+def service():
+    answers = {
+        "spls.json?drug_name=drugol&page=1&pagesize=100": {"metadata": {}, "data": [record("SET-1", "2"), record("SET-1", "1")]},
+        "spls.json?drug_name=tied&page=1&pagesize=100": {"metadata": {}, "data": [record("A", "2", ["tied"]), record("B", "2", ["tied"])]},
+        "spls.json?drug_name=malformed&page=1&pagesize=100": {"metadata": {}, "data": [record("A", "2", ["malformed"]), {"setid": "x"}]},
+        "spls.json?drug_name=broken&page=1&pagesize=100": {"metadata": {}, "data": [record("BAD", "1", ["broken"])]},
+        "spls.json?drug_name=gone&page=1&pagesize=100": {"metadata": {}, "data": [record("GONE", "1", ["gone"])]},
+    }
+    out = {k: json.dumps(v).encode() for k, v in answers.items()}
+    out |= {"spls/SET-1.xml": V2, "spls/BAD.xml": b"<a", "spls/SET-1/history.json": past("SET-1", ("2", "Feb 01, 2020"), ("1", "Jan 01, 2020")).encode(), "getFile.cfm?type=zip&setid=SET-1&version=1": packed(V1)}
+    return fetch.Recorded({f"{BASE}/{k}": v for k, v in out.items()})
+
+
+def test_fetch_and_manifests(spark, tmp_path):
+    f = Flows(spark, str(tmp_path / "s"))
+    chosen = spark.createDataFrame([("SET-1", "1"), ("SET-1", "9")], "set_id string, version string")
+    assert f.fetch_histories(chosen, BASE, service(), "2020-03-01T00:00:00Z").count() == 0
+    assert [r.error for r in f.fetch_histories(spark.createDataFrame([("NONE",)], "set_id string"), BASE, service()).collect()] == [f"LookupError: 404 {BASE}/spls/NONE/history.json"]
+    got = {r.version: (r.state, r.error) for r in f.fetch(chosen, BASE, service(), "2020-03-01T00:00:00Z", versions=True).collect()}
+    assert got == {"1": ("FETCHED", None), "9": ("RAW_FETCH_FAILED", "the history has no such version")}
+    assert [r.state for r in f.fetch(chosen.limit(1), BASE, service(), versions=True).collect()] == ["ALREADY_FETCHED"]
+    row = f.table("raw").first()
+    m = json.loads(row.manifest)
+    assert bytes(row.content) == V1 and m["source_identity"]["source_version"] == "1" and m["retrieval"]["container_member"] == "label.xml" and m["history"]["raw_body_base64"]
+    asked = spark.createDataFrame([("set-1", None), ("SET-1", "1"), ("SET-1", "2"), ("no", None), ("../x", None)], "set_id string, version string")
+    assert {(r.asked_set, r.asked_version): r.error for r in f.resolved(asked).collect()} == {("set-1", None): None, ("SET-1", "1"): None, ("SET-1", "2"): "source_not_found", ("no", None): "source_not_found", ("../x", None): "unsafe name"}
+    other = spark.createDataFrame([("SET-1", "1", bytearray(b"other"), "0" * 64, 200, {"a": "b"}, "u", None, None, None)], "set_id string, version string, content binary, raw_sha256 string, status int, headers map<string,string>, source_url string, container binary, member string, error string")
+    clash = f.store_raw(other).first()
+    assert clash.state == "RAW_HASH_CONFLICT" and clash.quarantine_id and [bytes(r.content) for r in f.table("quarantine").collect()] == [b"other"]
+    assert f.export(str(tmp_path / "files")) == 3 and f.export(str(tmp_path / "files")) == 0
+    assert (tmp_path / "files" / "SET-1" / "1" / "label.xml").read_bytes() == V1
+    assert f.ingest(f.table("raw")).first().outcome == "INGESTED" and f.verify().first().verified
+    wrong = spark.createDataFrame([("p", bytearray(V2), "SET-9", "2")], "path string, content binary, set_id string, version string")
+    assert [r.outcome for r in f.ingest(wrong).collect()] == ["provenance_validation_failure"]
+    kept = files.manifests(spark.createDataFrame([("[]",), ("{}",), (None,), (row.manifest.replace(m["source_identity"]["raw_sha256"], "xyz"),)], "manifest string")).collect()
+    assert [r.manifest_error for r in kept][:1] + [r.manifest_error for r in kept][2:] == ["not a JSON object", "not a JSON object", "malformed hash"] and kept[1].manifest_error.startswith("missing")
+
+
+def test_batch_stages(spark, tmp_path):
+    (tmp_path / "l.json").write_text(ranked("L", "Drugol", "Tied", "Malformed", "Broken", "Gone", "Nowhere"))
+    b = Batches(Flows(spark, str(tmp_path / "s")), service(), BASE)
+    assert b.add_list(files.ranked_lists(spark, str(tmp_path / "l.json"))).count() == 0
+    assert [(r.utilization_list_id, r.n_entries) for r in b.lists().collect()] == [("L", 6)]
+    (tmp_path / "l.json").write_text(ranked("L", "Other"))
+    assert [r.problem for r in b.add_list(files.ranked_lists(spark, str(tmp_path / "l.json"))).collect()] == ["another content under this id"]
+    run = b.plan("L")
+    states = lambda c: [r[c] for r in b.items(run).orderBy("rank").collect()]
+    assert states("selection") == ["SELECTED", "MULTIPLE_EQUIVALENT_CANDIDATES", "METADATA_INVALID", "SELECTED", "SELECTED", "FETCH_FAILED"]
+    assert states("discovery") == ["DISCOVERED", "DISCOVERED", "LOOKUP_FAILED", "DISCOVERED", "DISCOVERED", "LOOKUP_FAILED"] and states("retry") == [False, False, True, False, False, True]
+    b.fetch("L", [1])
+    assert states("ingestion") == ["FETCHED", "NOT_SELECTED", "NOT_SELECTED", "PENDING", "PENDING", "NOT_SELECTED"]
+    whole = b.run("L").first()
+    assert states("ingestion") == ["INGESTED", "NOT_SELECTED", "NOT_SELECTED", "PARSER_FAILED", "RAW_FETCH_FAILED", "NOT_SELECTED"]
+    assert states("verification") == ["VERIFIED"] + ["NOT_VERIFIED"] * 5 and states("compatibility")[0] == "PARSED_WITH_UNMAPPED_SECTIONS" and states("n_sections")[0] == 5
+    got = b.runs(run).first()
+    assert (got.status, got.total, got.selected, got.fetched, got.ingested, got.verified, got.quarantined, got.unresolved, got.failed) == ("PARTIAL_FAILURE", 6, 3, 1, 1, 1, 1, 1, 4)
+    assert got.artifact_sha256 == whole.sha256 and json.loads(whole.canonical)["batch_run"]["started_at"] is None
+    later = Batches(Flows(spark, str(tmp_path / "s")), service(), BASE, "2022-01-01T00:00:00Z")
+    assert later.report(run).first().canonical == whole.canonical and later.flows.count("batch_artifacts") == 1
+    audit = [(r.set_id, r.version, r.selected) for r in b.candidates("ＤＲＵＧＯＬ").collect()]
+    assert sorted(audit) == [("SET-1", "1", False), ("SET-1", "2", True)]
+    assert b.flows.count("lookup_failures") >= 2 and b.flows.integrity().count() == 0
+    dated = later.flows.versions_of().first()
+    assert (dated.published, dated.published_source) == (date(2020, 1, 2), "SELECTION_METADATA")
+
+
+def content_rows(r, spark):
+    names = [f"Straße{k}" if k % 9 == 0 else f"word-{k}'s" if k % 7 == 0 else f"w{k}" for k in range(80)]
+    rows = []
+    for pair in range(6):
+        bases = [r.choices(names, k=r.choice((1, 2, 12, 40))) for _ in range(6)]
+        for side in ("old", "new"):
+            for k, base in enumerate(bases + [[]]):
+                for c in range(r.choice((1, 2))):
+                    words = [r.choice(names) if r.random() < 0.04 else w for w in base]
+                    rows.append((pair, side, f"{side}{k}{c}", r.choice(("Head A", "HEAD  a", "other", None)), r.randrange(3), r.choice(("; ", " ", " <= ")).join(words).upper() if r.random() < 0.3 else " ".join(words), r.choice("pq"), r.choice("pq"), 0))
+    return rows
+
+
+def test_content_scores_are_those_of_all_pairs(spark):
+    import random
+    import re
+    from difflib import SequenceMatcher
+
+    rows = content_rows(random.Random(4), spark)
+    kind = "pair_id int, side string, section_id string, heading string, depth int, text string, parent_code string, parent_heading string, parent_depth int"
+    got = {(x.pair_id, x.old_id, x.new_id): x.score for x in matching.content_scores(spark.createDataFrame(rows, kind)).collect()}
+    word = re.compile(r"[^\W_]+(?:[-'][^\W_]+)*|[<>]=?|=")
+    plain = lambda a, b: SequenceMatcher(a=a, b=b, autojunk=False).ratio()
+    head = lambda h: re.sub(r"\s+", " ", (h or "").strip().casefold())
+    want = {}
+    for p, _, old, h1, d1, t1, *parent1 in (x for x in rows if x[1] == "old"):
+        for q, _, new, h2, d2, t2, *parent2 in (x for x in rows if x[1] == "new" and x[0] == p):
+            a, b = word.findall(t1.casefold()), word.findall(t2.casefold())
+            score = 0.94 * plain(a, b) + 0.04 * plain(head(h1), head(h2)) + 0.02 * (parent1 == parent2) if a or b else 0.0
+            if abs(d1 - d2) <= 1 and score >= 0.92:
+                want[p, old, new] = score
+    assert len(want) > 20 and got.keys() == want.keys() and all(abs(got[k] - v) < 1e-9 for k, v in want.items())
+
+
+def test_folding(spark):
+    texts = ["Straße ẞ", "İı Σςσ", "ŉ ﬁ ᾳ", "K Å µ ſ", "ꭰ Ꭰ", "plain ASCII", ""]
+    got = [r.f for r in spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, t string").orderBy("k").select(text.folded(F.col("t")).alias("f")).collect()]
+    assert got == [t.casefold() for t in texts]
 
 
 def test_content_phase_and_margin(spark):
@@ -319,25 +501,33 @@ def test_rollup(spark):
     assert got == {1: "COMPLETED_WITH_UNRESOLVED_ITEMS", 2: "PARTIAL_FAILURE", 3: "FAILED", 4: "RUNNING", 5: "COMPLETED"}
 
 
-def test_cli_stream_and_batch(spark, tmp_path):
+def test_cli_and_stream(spark, tmp_path):
     for v, content in (("1", V1), ("2", V2)):
         d = tmp_path / "raw" / "SET-1" / v
         d.mkdir(parents=True)
         (d / "label.xml").write_bytes(content)
-    base = ["--store", str(tmp_path / "s")]
-    code, out = cli.run([*base, "ingest", str(tmp_path / "raw")], spark)
+    call = lambda *words: cli.run(["--store", str(tmp_path / "s"), "--service", BASE, *words], spark, service(), "2020-01-01T00:00:00Z")
+    code, out = call("ingest", str(tmp_path / "raw"))
     assert code == 0 and out == [{"outcome": "INGESTED", "n": 2}]
-    assert cli.run([*base, "search", "drugol"], spark)[1][0]["version"] == "2"
-    code, out = cli.run([*base, "diff", "--set-id", "SET-1", "--from-version", "1", "--to-version", "2", "--text"], spark)
-    assert code == 0 and out["summary"][0]["added"] == 1 and out["chunks"]
-    assert cli.run([*base, "diff", "--set-id", "SET-1", "--from-version", "1", "--to-version", "7"], spark)[0] == 1
-    assert cli.run([*base, "integrity"], spark) == (0, [])
+    hits = call("search", "drugol")[1]
+    assert hits[0]["version"] == "2" and call("show", hits[0]["document_id"], "--concept", "contraindications")[1]["sections"][0]["seq"] == 0
+    assert call("show", "nothing")[0] == 1
+    code, out = call("diff", "--set-id", "SET-1", "--from-version", "1", "--to-version", "2", "--text")
+    assert code == 0 and out["summary"][0]["added"] == 1 and out["chunks"] and "+never with cold milk" in out["unified"][0]["unified"] and "added: 1" in cli.as_text(out)
+    assert call("diff", "--set-id", "SET-1", "--from-version", "1", "--to-version", "7")[0] == 1
+    assert call("diff", "--old", hits[0]["document_id"])[1]["category"] == "malformed_metadata"
+    assert call("compact") == (0, [{"commits": 1}]) and call("integrity") == (0, []) and call("count", "documents")[1] == [{"table": "documents", "n": 2}]
+    assert call("count", "nothing")[0] == 1 and len(call("history", "set-1")[1]["versions"]) == 2
     query = ingest.watch(spark, str(tmp_path / "raw"), str(tmp_path / "streamed"), str(tmp_path / "checkpoint"))
     query.awaitTermination(120)
     assert Flows(spark, str(tmp_path / "streamed")).table("documents").count() == 2
-    (tmp_path / "lookups").mkdir()
-    (tmp_path / "lookups" / "drugol.json").write_text(json.dumps({"metadata": {}, "data": [record("SET-1", "2"), record("SET-1", "1")]}))
-    (tmp_path / "lists").mkdir()
-    (tmp_path / "lists" / "l.json").write_text(json.dumps({"utilization_list_id": "L", "measurement_year": 2020, "entries": [{"rank": 1, "ingredient_name": "Drugol"}, {"rank": 2, "ingredient_name": "Missing"}]}))
-    code, out = cli.run(["--store", str(tmp_path / "b"), "batch", str(tmp_path / "lists"), str(tmp_path / "lookups"), str(tmp_path / "raw")], spark)
-    assert code == 2 and [i["verification"] for i in out["items"]] == ["VERIFIED", "NOT_VERIFIED"] and out["run"][0]["status"] == "PARTIAL_FAILURE"
+
+
+def test_cli_batch(spark, tmp_path):
+    (tmp_path / "l.json").write_text(ranked("L", "Drugol", "Missing"))
+    call = lambda *words: cli.run(["--store", str(tmp_path / "s"), "--service", BASE, *words], spark, service(), "2020-01-01T00:00:00Z")
+    assert call("batch", "status", "L")[0] == 1 and call("batch", "plan", "L")[0] == 1
+    assert call("utilization", "add", str(tmp_path / "l.json"))[0] == 0 and [e["rank"] for e in call("utilization", "show", "L")[1]] == [1, 2]
+    code, out = call("batch", "run", "L")
+    assert code == 2 and [i["verification"] for i in out["items"]] == ["VERIFIED", "NOT_VERIFIED"] and out["run"][0]["status"] == "PARTIAL_FAILURE" and out["report"]
+    assert len(call("candidates", "drugol")[1]) == 2 and call("fetch", "SET-1", "1")[0] == 0 and call("ingest")[1] == [{"outcome": "ALREADY_INGESTED", "n": 1}, {"outcome": "INGESTED", "n": 1}]
