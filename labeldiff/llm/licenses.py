@@ -22,6 +22,7 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from labeldiff.llm.common import fresh
 from labeldiff.llm.license_rules import BASE, rules
 
 #: What separates words, as a class of a Java expression.
@@ -102,14 +103,14 @@ def unsuppressed(found: Column) -> Column:
 
 
 def scan(docs: DataFrame, text_col: str = "text", prefix: str = "license_") -> DataFrame:
-    """docs with ``<prefix>detections``, the unsuppressed ones: array<struct<start, end, priority, rule, label>> in words."""
+    """docs with ``<prefix>detections``, the unsuppressed ones: array<struct<start, end, priority, rule, label>> in words. The name has underscores behind where a column has it."""
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     keys = any_of(sorted({r.keyword for r in rules()}))
     none = F.array().cast("array<struct<start:int,end:int,priority:int,rule:int,label:string>>")
     flat = F.trim(F.regexp_replace(normalized(text), " +", " "))
     # The one-element array binds the normalized text to a variable, so that it is not computed anew for every rule.
     found = F.transform(F.array(flat), lambda x: unsuppressed(detections(x)))[0]
-    return docs.withColumn(f"{prefix}detections", F.when(F.rlike(text, F.lit(keys)), found).otherwise(none))
+    return docs.withColumn(fresh(docs.columns, f"{prefix}detections"), F.when(F.rlike(text, F.lit(keys)), found).otherwise(none))
 
 
 def scan_report(docs: DataFrame) -> DataFrame:
@@ -120,7 +121,7 @@ def scan_report(docs: DataFrame) -> DataFrame:
     found = {label: places(F.col("_x"), phrase) for phrase, label in BASE}
     rows = rows.select(
         "doc_id",
-        F.size(F.regexp_extract_all(text, F.lit(f"({WORD})"), F.lit(1))).cast("long").alias("n_words"),
+        F.size(F.array_remove(F.split(text, GAP), "")).cast("long").alias("n_words"),
         *[c.alias(f"_n_{label}") for label, (c, _, _) in found.items()],
         *[F.when(c > 0, f).alias(f"_f_{label}") for label, (c, f, _) in found.items()],
         *[F.when(c > 0, x).alias(f"_l_{label}") for label, (c, _, x) in found.items()],
