@@ -13,8 +13,8 @@ are verified, so each link has a similarity of 0.8 or more.
 
 A band that many documents share would give all their pairs. So its members first meet its hub, the member that meets
 the most others in all its bands: the nearest hub of each document is verified, then those hubs that are still in other
-groups. Pairs left apart in a band are then compared exhaustively, in two parts. Shingles that at most ``RARE`` of the
-documents left have are rare: pairs that share a rare one are listed by it, so a shingle gives a bounded number of pairs.
+groups. Pairs left apart in a band are then compared exhaustively: one by one in a band of at most ``FEW`` members, else
+in two parts. Shingles that at most ``RARE`` of the documents left have are rare: pairs that share a rare one are listed by it, so a shingle gives a bounded number of pairs.
 Pairs that share none can share no more than their other shingles. That bound rules out most documents of a large group
 of loose copies for good (their own edits are rare shingles) and nearly all pairs of the others; members of a band are
 dealt into chunks of bounded size, a task compares two chunks, and only pairs that sizes, rare shingles and sketches do
@@ -38,8 +38,8 @@ from labeldiff.llm.simhash import bit_sums, close_pairs, components, sized
 
 #: Bands, least values in a band, and values of 160 in which the sketches of candidates may differ; members of a chunk.
 BANDS, DEEP, FAR, CHUNK = 32, 5, 50, 512
-#: Documents that have a rare shingle, at most.
-RARE = 8
+#: Documents that have a rare shingle, at most; members of a band whose pairs are compared one by one, at most.
+RARE, FEW = 8, 16
 #: The hash functions of the least values: odd multipliers and summands.
 TIMES, PLUS = np.random.Generator(np.random.PCG64(7)).integers(0, 2**64, (2, BANDS * DEEP, 1), np.uint64) | np.array([1, 0], np.uint64).reshape(2, 1, 1)
 #: Bit planes of a sketch, and longs in one (160 bits and padding).
@@ -146,6 +146,13 @@ def open_bands(met: DataFrame, roots: DataFrame, rows: int) -> DataFrame:
     return stored(named.join(sized(bands, rows), "key").withColumn("main", F.col("root") == F.col("_main")).drop("_main"), "open")
 
 
+def few_pairs(left: DataFrame) -> DataFrame:
+    """Pairs (a, b) of different groups in open bands of at most FEW members."""
+    members = left.where(F.col("n_all") <= FEW).groupBy("key").agg(F.collect_list(F.struct("node", "root")).alias("m"))
+    pairs = members.select(F.explode("m").alias("x"), "m").select("x", F.explode("m").alias("y")).where("x.node < y.node AND x.root <> y.root")
+    return pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
+
+
 def rare_shingles(nodes: DataFrame, kinds: DataFrame, texts: DataFrame, shingle: int) -> DataFrame:
     """(h, m): the shingles that at most RARE of the nodes have, with those nodes. Of other shingles no task sends more than RARE + 1 rows."""
     chosen = nodes.join(kinds.select("node", "row"), "node")
@@ -241,9 +248,11 @@ def grouped(docs: DataFrame, shingle: int, id_col: str, text_col: str, name: str
     links = links.union(verified(nearest(hubs, n), kinds, texts, shingle, n))
     links = links.union(verified(apart(hubs.drop("far"), components(links)), kinds, texts, shingle, n))
     left = open_bands(met, components(links), rows)
-    nodes = stored(sized(left.select("node").distinct(), n), "open-nodes")
+    many = left.where(F.col("n_all") > FEW)
+    nodes = stored(sized(many.select("node").distinct(), n), "open-nodes")
     rare = rare_shingles(nodes, kinds, texts, shingle)
-    rest = candidates(apart(rare_pairs(rare), components(links)), kinds).drop("far").union(chunk_pairs(left, able_nodes(nodes, rare, kinds))).distinct()
+    listed = apart(sized(few_pairs(left).union(rare_pairs(rare)).distinct(), rows), components(links))
+    rest = candidates(listed, kinds).drop("far").union(chunk_pairs(many, able_nodes(nodes, rare, kinds))).distinct()
     links = links.union(verified(stored(rest, "rest"), kinds, texts, shingle, n))
     roots = components(links)
     linked = kinds.select("node", "least").join(roots, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))
