@@ -34,7 +34,7 @@ def op3_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_raked_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     from labeldiff.llm import mixing
 
-    return mixing.report(table(spark, sf_dir, "documents"), budget=0.8)
+    return mixing.report(table(spark, sf_dir, "documents"), budget=None)
 
 
 def op5_page_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
