@@ -1,22 +1,22 @@
-"""Toxicity by nearest labelled examples: exact TF-IDF cosine over an inverted index.
+"""Toxicity by nearest labelled examples: exact TF-IDF cosine over a block-max inverted index.
 
 Fitting (on at most ``MAX_TRAIN`` labelled rows, those with the smallest hash of their id; all other steps see all rows):
 features of a text are its words (A-Z lowered) and their leading 4 to 7 bytes, so inflected forms of one stem can share a
-feature, and each of these once more where it occurs twice or oftener. The features that tell the labels apart best
-(chi-square of ``MIN_CHI2`` or more, at most ``MAX_FEATURES``, for either label) make the vocabulary; of a word's features only the best one in it counts. They
-are weighted by (1 + ln tf) * idf and scaled to length 1; equal vectors are merged with their label counts. That is the
-index: postings by feature, as a whole row of weights for features that more than one in ``DENSE`` vectors has. Its size
-is bounded by these constants.
-
-Scoring: the cosines of all vectors that share a feature are summed from the postings of the text's features. The result
-is exact. The k neighbours
+feature, and each of these once more where it occurs twice or oftener. The vocabulary is fitted too: a feature is in it if
+it tells the labels apart (chi-square of ``MIN_CHI2`` or more, for either label; however many there are); of a word's
+features only the best one in it counts. Over all words, whatever they tell, nearest neighbours are those of the same
+topic and half the toxic texts are missed; the README has the figures. Features are weighted by (1 + ln tf) * idf and
+vectors scaled to length 1; equal vectors are merged with their label counts. The block-max inverted index of these
+vectors is bounded by the sample.
+
+Scoring: the index reads blocks in the order of their bounds until the k nearest are certain. They
 vote with weight cos^2 (1 - distance, sharpened); a text without any feature has as neighbours the labelled texts
 without any. Votes become probabilities by a monotone map fitted on leave-one-out votes of the labelled rows
 (pool-adjacent-violators with smoothing). Evidence: the neighbours' ids and cosines.
 
 Defined results: null and empty texts have no features and are scored; null labels are ignored; several labels of one
 id are averaged, one half counts as toxic; without any usable label the score is 0.5 for all; ties among neighbours go
-to the vector with the smaller number; repeated rows are scored alike; extra columns are kept; whole texts are read.
+to the vector with the smaller id; repeated rows are scored alike; extra columns are kept; whole texts are read.
 """
 
 from __future__ import annotations
@@ -31,8 +31,8 @@ from pyspark.sql import functions as F
 
 from labeldiff.llm.common import ALNUM, fresh, received, shipped, stored, text_bytes
 
-#: Bounds of what is fitted: labelled rows, features, neighbours; features of more than one in DENSE vectors have whole rows.
-MAX_TRAIN, MAX_FEATURES, NEIGHBOURS, DENSE = 20_000, 4096, 15, 24
+#: Labelled rows that are fitted on, at most; neighbours; vectors in a block of the index; blocks read at once.
+MAX_TRAIN, NEIGHBOURS, BLOCK, AHEAD = 20_000, 15, 64, 12
 #: Least document frequency and chi-square of a feature, at any number of labelled rows.
 MIN_DF, MIN_CHI2 = 4, 20.0
 #: Lengths of leading parts; least length of a word that has them.
@@ -93,53 +93,68 @@ class Features:
 
 
 class Index:
-    """Inverted index of labelled vectors. rows: [(vector, n0, n1, smallest id)] with distinct vectors."""
+    """Block-max inverted index of labelled vectors. rows: [(vector, n0, n1, smallest id)] with distinct vectors.
+
+    Vectors are numbered in the order of their features, so like ones are neighbours, and lie in blocks of ``BLOCK``.
+    A feature's postings are cut by block, and its largest weight in each block bounds what the block can score. Blocks
+    are read in the order of their bounds until no unread block can reach the k-th best score, so the result is exact.
+    """
 
     def __init__(self, rows: list, idf: np.ndarray):
         self.idf = idf
-        self.ids = [r[3] for r in rows if r[0]]
-        self.n0 = np.array([r[1] for r in rows if r[0]], dtype=float)
-        self.n1 = np.array([r[2] for r in rows if r[0]], dtype=float)
         bare = [r for r in rows if not r[0]]
         self.bare = (sum(r[1] for r in bare), sum(r[2] for r in bare), min((r[3] for r in bare), default=None))
-        vectors = [self.weights(r[0]) for r in rows if r[0]]
-        self.size = len(vectors)
-        lists: dict[int, list[tuple[int, float]]] = {}
-        for k, (f, w) in enumerate(vectors):
-            for a, b in zip(f, w, strict=True):
-                lists.setdefault(int(a), []).append((k, float(b)))
-        #: feature -> (vector numbers, weights); of frequent features: the weights of all vectors
-        self.postings, self.whole = {}, {}
-        for f, entries in lists.items():
-            at = np.array([e[0] for e in entries])
-            w = np.array([e[1] for e in entries])
-            if len(at) * DENSE > self.size:
-                self.whole[f] = np.zeros(self.size)
-                self.whole[f][at] = w
-            else:
-                self.postings[f] = at, w
+        rows = sorted((r for r in rows if r[0]), key=lambda r: r[0])
+        self.number = {r[0]: k for k, r in enumerate(rows)}
+        self.ids = [r[3] for r in rows]
+        # Of equal scores the vector with the smaller id comes first.
+        self.order = np.argsort(np.argsort(np.array(self.ids, dtype=np.int64), kind="stable"), kind="stable")
+        self.n0 = np.array([r[1] for r in rows], dtype=float)
+        self.n1 = np.array([r[2] for r in rows], dtype=float)
+        self.size, self.blocks = len(rows), -(-len(rows) // BLOCK)
+        pairs = [(f, k, w) for k, r in enumerate(rows) for f, w in zip(*self.weights(r[0]), strict=True)]
+        f, at, w = (np.array(x) for x in zip(*sorted(pairs), strict=True)) if pairs else (np.zeros(0, int), np.zeros(0, int), np.zeros(0))
+        self.at, self.w = at.astype(np.int32), w
+        # Where the postings of each feature and block start; the last one ends the last.
+        cell = f.astype(np.int64) * self.blocks + at // BLOCK
+        self.start = np.searchsorted(cell, np.arange(len(idf) * self.blocks + 1))
+        top = np.zeros(len(idf) * self.blocks)
+        np.maximum.at(top, cell, w)
+        self.top = top.reshape(len(idf), self.blocks)
 
     def weights(self, vector) -> tuple[np.ndarray, np.ndarray]:
         f = np.array([x[0] for x in vector])
         w = np.array([(1 + math.log(x[1])) * self.idf[x[0]] for x in vector])
         return f, w / np.linalg.norm(w)
 
+    def read(self, f: np.ndarray, w: np.ndarray, blocks: np.ndarray, score: np.ndarray) -> None:
+        """Adds the products of all postings of features f in the blocks."""
+        cell = (f[:, None] * self.blocks + blocks[None, :]).ravel()
+        size = self.start[cell + 1] - self.start[cell]
+        ends = np.cumsum(size)
+        at = np.repeat(self.start[cell] - (ends - size), size) + np.arange(ends[-1])
+        np.add.at(score, self.at[at], self.w[at] * np.repeat(np.repeat(w, len(blocks)), size))
+
     def nearest(self, vector, k: int, but: int = -1) -> list[tuple[float, int]]:
         """The k largest cosines above 0 as (cosine, vector number), exact; ``but`` is left out."""
         f, w = self.weights(vector)
-        own = [(a, b) for a, b in zip(f.tolist(), w.tolist(), strict=True)]
-        few = [(*self.postings[a], b) for a, b in own if a in self.postings]
-        score = np.bincount(np.concatenate([x[0] for x in few]), np.concatenate([x[1] * x[2] for x in few]), self.size) if few else np.zeros(self.size)
-        for a, b in own:
-            if a in self.whole:
-                score += self.whole[a] * b
-        if but >= 0:
-            score[but] = 0
-        least = np.partition(score, -k)[-k] if k < self.size else 0.0
+        bound = w @ self.top[f]
+        order = np.argsort(-bound)
+        order = order[: np.count_nonzero(bound[order] > 0)]
+        score, read, least = np.zeros(self.size), 0, 0.0
+        while read < len(order) and bound[order[read]] >= least - 1e-11:
+            some = order[read : read + AHEAD]
+            some = some[bound[some] >= least - 1e-11]
+            self.read(f, w, some, score)
+            read += len(some)
+            if but >= 0:
+                score[but] = 0
+            if k < self.size:
+                least = np.partition(score, -k)[-k]
         hits = np.flatnonzero((score > 0) & (score >= least - 1e-11))
-        top = np.round(score[hits], 12)
-        order = np.lexsort((hits, -top))[:k]
-        return list(zip(top[order].tolist(), hits[order].tolist(), strict=True))
+        near = np.round(score[hits], 12)
+        best = np.lexsort((self.order[hits], -near))[:k]
+        return list(zip(near[best].tolist(), hits[best].tolist(), strict=True))
 
     def vote(self, vector, k: int, but: int = -1, own: int = 0) -> tuple[float, list[tuple[float, int]]]:
         """Share of the weight of toxic neighbours; but/own: the vector and label of a labelled text that asks about itself."""
@@ -175,11 +190,11 @@ def monotone(votes: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 
 class Model:
-    """Vocabulary, index and calibration; small enough to broadcast (bounded by MAX_TRAIN and MAX_FEATURES)."""
+    """Vocabulary, index and calibration; small enough to broadcast (bounded by the sample of MAX_TRAIN rows)."""
 
     def __init__(self, vocabulary: dict[bytes, int], idf: np.ndarray, rows: list):
         self.features, self.index = Features(vocabulary), Index(rows, idf)
-        numbers = {r[0]: k for k, r in enumerate(r for r in rows if r[0])}
+        numbers = self.index.number
         votes, labels, weight = [], [], []
         for vector, n0, n1, _ in rows:
             for y, n in ((0, n0), (1, n1)):
@@ -216,7 +231,7 @@ def fit(labelled: DataFrame) -> Model:
     a, b = F.col("n1").cast("double"), F.col("n0").cast("double")
     c, d = F.lit(m1) - a, F.lit(m0) - b
     chi2 = F.lit(m0 + m1) * (a * d - b * c) * (a * d - b * c) / (F.lit(m0 * m1) * (a + b) * F.greatest(c + d, F.lit(1.0)))
-    picked = counts.where(F.octet_length("f") > 0).withColumn("chi2", chi2).where(F.col("chi2") >= MIN_CHI2).orderBy(F.desc("chi2"), "f").limit(MAX_FEATURES).collect()
+    picked = counts.where(F.octet_length("f") > 0).withColumn("chi2", chi2).where(F.col("chi2") >= MIN_CHI2).orderBy(F.desc("chi2"), "f").collect()
     vocabulary = {bytes(r.f): k for k, r in enumerate(picked)}
     idf = np.array([math.log((1 + m0 + m1) / (1 + r.n0 + r.n1)) + 1 for r in picked])
     vectors = sample.mapInArrow(vectorize(vocabulary), "y int, doc_id long, f array<int>, tf array<int>").groupBy("f", "tf").agg(F.count_if(F.col("y") == 0).alias("n0"), F.count_if(F.col("y") == 1).alias("n1"), F.min("doc_id").alias("doc_id"))
@@ -246,10 +261,12 @@ def add_scores(model, n_keep: int, names: list[str]):
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", keep: list[str] | None = None, name: str = "score", evidence: str = "evidence") -> DataFrame:
-    """The columns ``keep`` (default: all), the score and its evidence. One pass, no shuffle."""
+    """The columns ``keep`` (default: all), the score and its evidence, named with underscores behind where a column has that name. One pass, no shuffle."""
     keep = docs.columns if keep is None else keep
+    name = fresh(keep, name)
+    evidence = fresh([*keep, name], evidence)
     kept = docs.select(*[F.col(f"`{c}`") for c in keep])
-    sent = docs.select(*[F.col(f"`{c}`") for c in keep], text_bytes(f"`{text_col}`").alias(fresh(keep, "_text")))
+    sent = docs.select(*[F.col(f"`{c}`") for c in keep], text_bytes(f"`{text_col}`").alias(fresh([*keep, name, evidence], "_text")))
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema), f"`{name}` double", f"`{evidence}` array<struct<doc_id:long,cosine:double>>"])
     shared = shipped(docs.sparkSession, model)
     return sent.mapInArrow(add_scores(shared, len(keep), [*keep, name, evidence]), schema)
