@@ -2,13 +2,15 @@
 
 A small tolerant tokenizer: it never fails, unclosed and stray tags included. A start tag of a block closes an open
 paragraph, list items and table cells close their siblings, an end tag closes everything up to its start tag. Text of
-scripts, styles, comments and of the page's head is markup, not text. A line break is white space.
+scripts, styles, comments and of the page's head is markup, not text; the head ends at its end tag or at the first tag or
+text that cannot stand in it. A line break is white space.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from collections.abc import Mapping
 from typing import NamedTuple
 
 TOKEN = re.compile(
@@ -35,9 +37,16 @@ CUES = frozenset("© copyright cookie cookies subscribe newsletter sign login lo
 STOPS = str.maketrans(".,:;!?()|\"'", " " * 11)
 
 
+#: What may stand in a page's head; anything else ends it, as the end tag would.
+HEAD = frozenset("base basefont bgsound link meta noframes object param command head".split())
+
+
 class Block(NamedTuple):
+    """A run of text with its own features and those of its ancestors; where weights are given, ancestors only count as the sum of theirs."""
+
     text: str
     features: tuple[str, ...]
+    gain: int
 
 
 class Element:
@@ -66,33 +75,73 @@ class Element:
         return got
 
 
-def blocks(page: str) -> list[Block]:
-    """The page's leaf blocks in page order."""
-    stack: list[Element] = []
+class Stack:
+    """Open elements. Every question is answered from counts and places that are kept as elements come and go, so a page costs time in proportion to its length however deep it is nested."""
+
+    def __init__(self, weights: Mapping[str, int] | None):
+        self.items: list[Element] = []
+        self.places: dict[str, list[int]] = {}  # tag -> where it is open
+        self.breaking: list[int] = []  # where elements that break a line are open
+        self.marks: dict[str, int] = {}  # features of open elements, how often each
+        self.weights, self.gain = weights, 0
+
+    def push(self, e: Element) -> None:
+        self.places.setdefault(e.tag, []).append(len(self.items))
+        if e.tag not in INLINE:
+            self.breaking.append(len(self.items))
+        self.items.append(e)
+        for m in e.marks:
+            n = self.marks.get(m, 0)
+            self.marks[m] = n + 1
+            if not n and self.weights is not None:
+                self.gain += self.weights.get(m, 0)
+
+    def pop_to(self, at: int) -> None:
+        while len(self.items) > at:
+            e = self.items.pop()
+            self.places[e.tag].pop()
+            if e.tag not in INLINE:
+                self.breaking.pop()
+            for m in e.marks:
+                n = self.marks[m] - 1
+                if n:
+                    self.marks[m] = n
+                else:
+                    del self.marks[m]
+                    if self.weights is not None:
+                        self.gain -= self.weights.get(m, 0)
+
+    def last(self, tags) -> int:
+        """Where the innermost open element of these tags is; -1 if none is."""
+        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=-1)
+
+    def block(self) -> str:
+        return self.items[self.breaking[-1]].tag if self.breaking else "body"
+
+
+def blocks(page: str, weights: Mapping[str, int] | None = None) -> list[Block]:
+    """The page's leaf blocks in page order. weights: whole-number weights of features, for ``Block.gain``."""
+    stack = Stack(weights)
     run: list[str] = []
-    linked, found = 0, []  # characters of the open run within links; (text, elements, link share)
-    links = 0  # open <a> elements
+    linked, found = 0, []  # characters of the open run within links; (text, marks, gain, own block, link share)
 
     def flush():
         nonlocal linked
         if run:
             text = " ".join("".join(run).split())
-            if text:
-                found.append((text, tuple(stack), linked / max(1, sum(map(len, run)))))
+            if text and not stack.places.get("head"):
+                found.append((text, tuple(stack.marks) if weights is None else (), stack.gain, stack.block(), linked / max(1, sum(map(len, run)))))
             run.clear()
             linked = 0
 
-    def pop_to(at: int):
-        nonlocal links
-        links -= sum(e.tag == "a" for e in stack[at:])
-        del stack[at:]
-
     for m in TOKEN.finditer(page):
         text = m["text"]
         if text is not None:
             text = html.unescape(text) if "&" in text else text
+            if stack.places.get("head") and stack.items[-1].tag == "head" and text.strip():
+                stack.pop_to(stack.places["head"][-1])
             run.append(text)
-            if links:
+            if stack.places.get("a"):
                 linked += len(text)
             continue
         tag = m["tag"]
@@ -100,43 +149,36 @@ def blocks(page: str) -> list[Block]:
             continue
         tag = tag.lower()
         if m["close"]:
-            at = next((k for k in range(len(stack) - 1, -1, -1) if stack[k].tag == tag), None)
-            if tag not in INLINE or at is not None and any(e.tag not in INLINE for e in stack[at:]):
+            at = stack.last((tag,))
+            if tag not in INLINE or at >= 0 and stack.breaking and stack.breaking[-1] >= at:
                 flush()
-            if at is not None:
-                pop_to(at)
+            if at >= 0:
+                stack.pop_to(at)
             continue
+        if stack.places.get("head") and tag not in HEAD:
+            run.clear()
+            stack.pop_to(stack.places["head"][-1])
         if tag == "br":
             run.append(" ")
             continue
         if tag not in INLINE:
             flush()
             own = SIBLINGS.get(tag)
-            edge = BOUNDS.get(tag, ())
-            for k in range(len(stack) - 1, -1, -1):
-                t = stack[k].tag
-                if own and t in own or not own and t == "p":
-                    pop_to(k)
-                    break
-                if t in edge or not own and t not in INLINE:
-                    break
+            if own:
+                at = stack.last(own)
+                if at > stack.last(BOUNDS.get(tag, ())):
+                    stack.pop_to(at)
+            elif stack.breaking and stack.items[stack.breaking[-1]].tag == "p":
+                stack.pop_to(stack.breaking[-1])
         if tag not in VOID and not m["attrs"].endswith("/"):
-            stack.append(Element.of(tag, m["attrs"] if tag != "a" else ""))
-            links += tag == "a"
+            stack.push(Element.of(tag, m["attrs"] if tag != "a" else ""))
     flush()
-    if any(e.tag == "head" for _, s, _ in found for e in s):
-        found = [x for x in found if not any(e.tag == "head" for e in x[1])]
     n = len(found)
-    return [Block(text, features(text, s, share, k, n)) for k, (text, s, share) in enumerate(found)]
+    return [Block(text, features(text, marks, block, share, k, n), gain) for k, (text, marks, gain, block, share) in enumerate(found)]
 
 
-def features(text: str, stack: tuple[Element, ...], link_share: float, k: int, n: int) -> tuple[str, ...]:
-    out: dict[str, None] = {}
-    block = "body"
-    for e in stack:
-        out.update(e.marks)
-        if e.tag not in INLINE:
-            block = e.tag
+def features(text: str, marks: tuple[str, ...], block: str, link_share: float, k: int, n: int) -> tuple[str, ...]:
+    out: dict[str, None] = dict.fromkeys(marks)
     words = text.count(" ") + 1
     out[f"own={block}"] = None
     out["n=" + ("1" if words < 2 else "2" if words < 4 else "4" if words < 9 else "9" if words < 20 else "20" if words < 60 else "60")] = None

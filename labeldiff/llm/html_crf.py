@@ -28,20 +28,25 @@ from labeldiff.llm.labelled_pages import labelled_pages
 TRAIN_PAGES, STEPS, PENALTY, MIN_COUNT = 900, 150, 0.5, 3
 
 
+#: Weights are whole multiples of this, so sums that come and go with open elements are exact.
+UNIT = 2.0**-40
+
+
 class Crf:
     """weights: feature -> score of main text over boilerplate; moves[a][b]; begins[b]; ends[a]."""
 
     def __init__(self, weights: dict[str, float], moves, begins, ends):
         self.weights, self.moves, self.begins, self.ends = weights, moves, begins, ends
+        self.units = {f: round(w / UNIT) for f, w in weights.items()}
 
-    def decode(self, chain: list[tuple[str, ...]]) -> list[int]:
-        """The most probable states."""
+    def decode(self, chain: list[tuple[str, ...]], gains: list[int] | None = None) -> list[int]:
+        """The most probable states. gains: what each block has from features that are not listed, in units."""
         if not chain:
             return []
-        get, (m00, m01), (m10, m11) = self.weights.get, *self.moves
+        get, (m00, m01), (m10, m11) = self.units.get, *self.moves
         back, a, b = [], self.begins[0], self.begins[1]
         for k, feats in enumerate(chain):
-            gain = sum([get(f, 0.0) for f in feats])
+            gain = (sum([get(f, 0) for f in feats]) + (gains[k] if gains else 0)) * UNIT
             if k:
                 from0, from1 = a + m00 >= b + m10, a + m01 >= b + m11
                 back.append((0 if from0 else 1, 0 if from1 else 1))
@@ -131,8 +136,9 @@ def default_model() -> Crf:
 
 
 def main_text(page: str, model: Crf) -> str:
-    chain = blocks(page)
-    return "\n".join(b.text for b, s in zip(chain, model.decode([b.features for b in chain]), strict=True) if s)
+    chain = blocks(page, model.units)
+    states = model.decode([b.features for b in chain], [b.gain for b in chain])
+    return "\n".join(b.text for b, s in zip(chain, states, strict=True) if s)
 
 
 def add_text(model, n_keep: int, names: list[str]):
@@ -146,8 +152,10 @@ def add_text(model, n_keep: int, names: list[str]):
 
 
 def extract(pages: DataFrame, model: Crf | None = None, html_col: str = "html", keep: list[str] | None = None, text: str = "text", n_chars: str = "n_chars") -> DataFrame:
-    """The columns ``keep`` (default: all), the main text and its code points."""
+    """The columns ``keep`` (default: all), the main text and its code points, named with underscores behind where a column has that name."""
     keep = pages.columns if keep is None else keep
+    text = fresh(keep, text)
+    n_chars = fresh([*keep, text], n_chars)
     kept = pages.select(*[F.col(f"`{c}`") for c in keep])
     sent = pages.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{html_col}`").cast("string").alias(fresh(keep, "_html")))
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema), f"`{text}` string", f"`{n_chars}` long"])
