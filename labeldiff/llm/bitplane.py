@@ -7,8 +7,9 @@ the table is one block: its place (segment, block), its planes, their sizes, and
 where. The rows without planes are the chunk index (``chunk_index``). The planes are written by Spark's own Parquet
 writer, uncompressed, so a lost executor leaves no partial file, and any store that Spark can reach will do.
 
-Encoding is exact: no token crosses ASCII white space in a vocabulary whose pre-tokenizer drops white space, so the
-library encodes each distinct chunk between white space once and a task looks the rest up in a bounded table.
+Encoding is exact. In a vocabulary that splits text as ``NORMALIZER`` and ``SPLITTER`` say (its file is compared with
+them) no token crosses ASCII white space, so the library encodes each distinct chunk between white space once and a task
+looks the rest up in a bounded table. With any other vocabulary the library encodes whole texts.
 
 Defined results: a null or empty text gives the end id alone; rows that share a doc_id follow each other in order of a
 text hash, each a document of its own; null doc_ids come first; an empty table gives no blocks; other columns are
@@ -17,6 +18,7 @@ ignored; a text may be longer than a block, its pieces' checksums are then combi
 
 from __future__ import annotations
 
+import json
 import zlib
 
 import numpy as np
@@ -25,11 +27,17 @@ import pyarrow.compute
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from labeldiff.scratch import held, place
+
 #: Ids in a block, zstandard level, distinct chunks that a task remembers at most (before the next slice), bytes of text encoded at once.
 BLOCK, LEVEL, MEMORY, SLICE = 65_536, 1, 800_000, 16_000_000
 #: Punctuation that is cut off a word.
 STOPS, CUT = ".,;:!?", r"[A-Za-z0-9][.,;:!?]+$"
 
+#: How a vocabulary normalizes and splits text whose chunks may be encoded one by one.
+NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+SPLITTER = {"type": "Sequence", "pretokenizers": [{"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True}, {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
+
 BLOCKS = "segment int, block int, n_ids int, width int, planes binary, sizes array<int>, docs array<struct<doc_id:long,at:long,off:long,pos:int,len:int>>"
 
 
@@ -67,6 +75,10 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(vocabulary)
         self.tokenizer.encode_special_tokens = literal_specials
+        with open(vocabulary, encoding="utf-8") as f:
+            file = json.load(f)
+        added = [t for t in file.get("added_tokens") or [] if not t["content"].startswith("<|") or any(c.isspace() for c in t["content"])]
+        self.by_chunks = (file.get("normalizer"), file.get("pre_tokenizer"), added) == (NORMALIZER, SPLITTER, [])
         self.forget()
 
     def forget(self) -> None:
@@ -118,6 +130,9 @@ class Encoder:
         """Ids of all texts one after the other, and how many each has."""
         import pyarrow.compute as pc
 
+        if not self.by_chunks:
+            each = [e.ids for e in self.tokenizer.encode_batch_fast(texts.to_pylist(), add_special_tokens=False)]
+            return np.array([x for ids in each for x in ids], "<u4"), np.array([len(ids) for ids in each], int)
         if len(self.index) > MEMORY:
             self.forget()
         # The vocabulary's normalizer lowers letters; special tokens are matched before that, so texts that may hold one stay as they are.
@@ -199,22 +214,18 @@ def write_ids(docs: DataFrame, vocabulary: str, end_id: int = 1, block: int = BL
 
 def stored_blocks(spark, blocks: DataFrame) -> DataFrame:
     """The planes are compressed already, so Parquet's own compression is off."""
-    import uuid
-
-    from labeldiff.llm.common import shared_dir
-
-    path = f"{shared_dir(spark)}/ids-{uuid.uuid4().hex}"
+    path = place(spark, "ids")
     blocks.write.option("compression", "uncompressed").parquet(path)
     return spark.read.schema(blocks.schema).parquet(path)
 
 
 def chunk_index(blocks: DataFrame) -> DataFrame:
-    """One row per block: where its ids start among all ids, how many there are, its planes' sizes, its documents."""
+    """The chunk index as a table of its own: one row per block: where its ids start among all ids, how many there are, its planes' sizes, its documents."""
     starts = segment_starts(blocks)
     ahead = Window.partitionBy("segment").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     index = blocks.select("segment", "block", "n_ids", "width", "sizes", F.transform("docs", lambda d: d["doc_id"]).alias("doc_ids"))
     index = index.withColumn("_n", F.coalesce(F.sum("n_ids").over(ahead), F.lit(0))).join(F.broadcast(starts), "segment")
-    return index.select("segment", "block", (F.col("_start") + F.col("_n")).alias("start"), "n_ids", "width", "sizes", "doc_ids")
+    return held(index.select("segment", "block", (F.col("_start") + F.col("_n")).alias("start"), "n_ids", "width", "sizes", "doc_ids"), "chunk-index")
 
 
 def segment_starts(blocks: DataFrame) -> DataFrame:

@@ -3,42 +3,26 @@
 from __future__ import annotations
 
 import pickle
-import tempfile
-import uuid
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from labeldiff.scratch import held
+
 #: Bytes to lower case (A-Z only); the other tables below also turn separators into spaces.
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 #: For ``bytes.translate`` and ``split``: words of ASCII letters, digits and every byte from 0x80 on, lower-cased.
 ALNUM = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 
-_own: dict[str, str] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder the cluster names in spark.checkpoint.dir; a folder of our own only where that is unset (tests)."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named
-    app = spark.sparkContext.applicationId
-    if app not in _own:
-        _own[app] = "file://" + tempfile.mkdtemp(prefix="labeldiff-")
-    return _own[app]
-
-
 def stored(df: DataFrame, tag: str) -> DataFrame:
-    """Writes df as a Parquet table in the shared folder and reads it back: cuts the lineage, and survives lost executors."""
-    path = f"{shared_dir(df.sparkSession)}/{tag}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Writes df as a Parquet table in the shared folder and reads it back: cuts the lineage, and survives lost executors. ``scratch.release`` removes it."""
+    return held(df, tag)
 
 
 def text_bytes(column: str = "text"):

@@ -1,10 +1,11 @@
 """Benchmark decontamination by a prefix-filtered join with exact containment of item-sized windows.
 
-Each item is cut into windows of ``window`` consecutive words (a shorter item is one window). A document contains a
-window only if it contains the window's whole word sequence, so one word of each window is a sufficient prefix: the
-rarest, by its count over all documents (ties: the smaller word), since that one has the fewest places to try. A place
-of the prefix word fixes where the window would start; positional and length bounds drop starts before the first word
-and ends after the last; the rest are verified word by word.
+Each item is cut into windows of ``window`` consecutive words (a shorter item is one window). A window's tokens are
+ordered by rarity, their count over all documents (ties: the smaller word). For a containment of t the necessary prefix
+of m tokens is the m - ceil(t * m) + 1 rarest; a window must be contained whole, so it is one: the rarest, which has the
+fewest places to try. Documents are joined with the prefixes token by token, by a broadcast table of them: a place of the
+prefix token fixes where the window would start; positional and length bounds drop starts before the first word and ends
+after the last; the rest are verified word by word.
 
 The counts are of the benchmark's words only, summed in each task before the shuffle. The index is broadcast in blocks
 of items of at most ``BLOCK_WORDS`` words, one after the other over the same rows, so its size is bounded however large
@@ -47,7 +48,7 @@ def count_words(wanted: set[bytes]):
 
 def rarity(docs: DataFrame, vocabulary: set[bytes], text_col: str) -> dict[bytes, int]:
     """Counts over all documents of a vocabulary that is bounded by the block of items."""
-    rows = docs.select(text_bytes(text_col).alias("t")).mapInArrow(count_words(vocabulary), "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")).collect()
+    rows = docs.select(text_bytes(f"`{text_col}`").alias("t")).mapInArrow(count_words(vocabulary), "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")).collect()
     return {bytes(r.word): r.n for r in rows}
 
 
@@ -90,6 +91,14 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 MARKS = [("n_words", pa.int64()), ("spans", pa.list_(pa.list_(pa.int64()))), ("items", pa.list_(pa.string()))]
 
 
+def marks_beside(keep: list[str]) -> list[str]:
+    """Names of n_words, spans and items, with underscores behind where a column has that name."""
+    out: list[str] = []
+    for name, _ in MARKS:
+        out.append(fresh([*keep, *out], name))
+    return out
+
+
 def mark(index: dict, known: frozenset, n_keep: int, names: list[str], first: bool):
     """For mapInArrow: keeps the first n_keep columns; the next is the text; a later block adds to what earlier ones found."""
 
@@ -121,17 +130,15 @@ def blocks_of(items: DataFrame, id_col: str, text_col: str, limit: int) -> list[
 
 
 def find_windows(docs: DataFrame, items: DataFrame, window: int = 10, text_col: str = "text", item_id: str = "item_id", item_text: str = "text", keep: list[str] | None = None, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """The columns ``keep`` (default: all) with n_words, spans (covered word ranges, disjoint) and items (ids as sorted strings)."""
+    """The columns ``keep`` (default: all) with n_words, spans (covered word ranges, disjoint) and items (ids as sorted strings); ``marks_beside(keep)`` has the names of these three."""
     keep = docs.columns if keep is None else keep
-    clash = {c.lower() for c in keep} & {n for n, _ in MARKS}
-    if clash:
-        raise ValueError(f"rename {sorted(clash)} first: these names are the operator's")
+    marks = marks_beside(keep)
     kept = docs.select(*[F.col(f"`{c}`") for c in keep])
-    sent = fresh([*keep, *(n for n, _ in MARKS)], "_text")
-    rows = docs.select(*[F.col(f"`{c}`") for c in keep], text_bytes(text_col).alias(sent))
+    sent = fresh([*keep, *marks], "_text")
+    rows = docs.select(*[F.col(f"`{c}`") for c in keep], text_bytes(f"`{text_col}`").alias(sent))
     base = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema), f"`{sent}` binary"])
-    schema = base + ", n_words long, spans array<array<long>>, items array<string>"
-    names = [*keep, sent, *(n for n, _ in MARKS)]
+    schema = base + ", " + ", ".join(f"`{m}` {kind}" for m, kind in zip(marks, ("long", "array<array<long>>", "array<string>"), strict=True))
+    names = [*keep, sent, *marks]
     first = True
     for block in blocks_of(items, item_id, item_text, block_words):
         cut = [(name, words) for name, text in block if (words := text.translate(ALNUM).split())]
@@ -163,9 +170,5 @@ def report(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 def clean(docs: DataFrame, items: DataFrame, window: int = 10) -> DataFrame:
     """docs without those that contain a window of an item; their columns unchanged."""
-    aside = {c: f"_in_{k}" for k, c in enumerate(docs.columns) if c.lower() in {n for n, _ in MARKS}}
-    safe = docs.withColumnsRenamed(aside)
-    kept = find_windows(safe, items, window).where(F.size("spans") == 0).select(*[F.col(f"`{c}`") for c in safe.columns])
-    return kept.withColumnsRenamed({v: k for k, v in aside.items()})
-
-
+    _, spans, _ = marks_beside(docs.columns)
+    return find_windows(docs, items, window).where(F.size(F.col(f"`{spans}`")) == 0).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -6,8 +6,7 @@ shard adds one candidate to each key, so it only takes rows, each existing shard
 between old shards. There is no shuffle: a row's shard depends on its key and the shard list alone.
 
 Defined results: a null key is a key of its own; equal keys land in one shard; a null text has no bytes; an empty table
-gives an empty result; extra columns are kept (a clash with an output name is an error of the caller's choice of names,
-which are parameters). Repeated rows are counted before they are numbered, so a row that repeats millions of times does
+gives an empty result; extra columns are kept, and a name for a new column that one of them has is refused. Repeated rows are counted before they are numbered, so a row that repeats millions of times does
 not meet in one task, and then get consecutive slots.
 """
 
@@ -18,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from labeldiff.llm.common import stored
+from labeldiff.llm.common import fresh, stored
 
 BITS = 52
 #: Repeats of one row are unfolded in pieces of this many.
@@ -47,7 +46,9 @@ def rendezvous(key: Column, weights: Sequence[float]) -> Column:
 
 def assign_shards(docs: DataFrame, key: str, weights: Sequence[float], shard: str = "shard") -> DataFrame:
     """docs with the column ``shard``. One projection: no shuffle, no Python."""
-    return docs.withColumn(shard, rendezvous(F.col(key), weights).cast("int"))
+    if fresh(docs.columns, shard) != shard:
+        raise ValueError(f"there is a column {shard}")
+    return docs.withColumn(shard, rendezvous(F.col(f"`{key}`"), weights).cast("int"))
 
 
 def number_slots(rows: DataFrame, key: str, shard: str = "shard", slot: str = "slot", buckets: int | None = None) -> DataFrame:
@@ -59,18 +60,22 @@ def number_slots(rows: DataFrame, key: str, shard: str = "shard", slot: str = "s
     """
     spark = rows.sparkSession
     names = rows.columns
-    n = buckets or max(64, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    kinds = rows.withColumn("_o", key_hash(F.col(key), "slot")).groupBy(*names, "_o").agg(F.count(F.lit(1)).alias("_n"))
-    kinds = stored(kinds.withColumn("_b", F.floor(F.col("_o") * F.lit(n / 2**BITS)).cast("int")), "slots")
-    order = Window.partitionBy(shard, "_b").orderBy("_o", *[c for c in names if c != shard])
-    sizes = kinds.groupBy(shard, "_b").agg(F.sum("_n").alias("_all"))
-    ahead = Window.partitionBy(shard).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    shift = sizes.select(shard, "_b", F.coalesce(F.sum("_all").over(ahead), F.lit(0)).alias("_shift"))
-    first = F.sum("_n").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("_n")
-    placed = kinds.withColumn("_first", first).join(F.broadcast(shift), [shard, "_b"])
-    piece = placed.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1, F.lit(PIECE).cast("long"))).alias("_p"))
-    each = piece.select("*", F.explode(F.sequence(F.col("_p"), F.least(F.col("_p") + PIECE, F.col("_n")) - 1)).alias("_k"))
-    return each.select(*names, (F.col("_shift") + F.col("_first") + F.col("_k")).cast("long").alias(slot))
+    if fresh(names, slot) != slot:
+        raise ValueError(f"there is a column {slot}")
+    o, n, b, all_, shift_, first_, p, k = (fresh([*names, slot], f"_{x}") for x in ("o", "n", "b", "all", "shift", "first", "p", "k"))
+    c = lambda x: F.col(f"`{x}`")
+    ranges = buckets or max(64, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    kinds = rows.withColumn(o, key_hash(c(key), "slot")).groupBy(*map(c, names), o).agg(F.count(F.lit(1)).alias(n))
+    kinds = stored(kinds.withColumn(b, F.floor(F.col(o) * F.lit(ranges / 2**BITS)).cast("int")), "slots")
+    order = Window.partitionBy(c(shard), b).orderBy(o, *[c(x) for x in names if x != shard])
+    sizes = kinds.groupBy(c(shard), b).agg(F.sum(n).alias(all_))
+    ahead = Window.partitionBy(c(shard)).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
+    shift = sizes.select(c(shard), b, F.coalesce(F.sum(all_).over(ahead), F.lit(0)).alias(shift_))
+    first = F.sum(n).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col(n)
+    placed = kinds.withColumn(first_, first).join(F.broadcast(shift), [shard, b])
+    piece = placed.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1, F.lit(PIECE).cast("long"))).alias(p))
+    each = piece.select("*", F.explode(F.sequence(F.col(p), F.least(F.col(p) + PIECE, F.col(n)) - 1)).alias(k))
+    return each.select(*map(c, names), (F.col(shift_) + F.col(first_) + F.col(k)).cast("long").alias(slot))
 
 
 def shard_report(docs: DataFrame, n_shards: int = 24) -> DataFrame:

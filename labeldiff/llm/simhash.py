@@ -120,20 +120,21 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None, name: str = "component_id") -> DataFrame:
-    """The columns ``keep`` (default: all), ``fp`` (or a name that doesn't clash) and ``component_id``: the smallest id that is reached through links."""
+    """The columns ``keep`` (default: all), ``fp`` and ``component_id``, the smallest id that is reached through links; either with underscores behind it where a column has that name."""
     keep = docs.columns if keep is None else keep
+    name = fresh(keep, name)
     fp = fresh([*docs.columns, name], "fp")
-    marked = stored(with_fingerprints(docs, shingle, text_col, fp, keep), "fingerprints")
-    prints = stored(marked.groupBy(F.col(fp).alias("fp")).agg(F.min(id_col).alias("least")), "prints")
+    marked = stored(with_fingerprints(docs, shingle, text_col, fp, list(dict.fromkeys([*keep, id_col]))), "fingerprints")
+    prints = stored(marked.groupBy(F.col(fp).alias("fp")).agg(F.min(F.col(f"`{id_col}`")).alias("least")), "prints")
     whole = components(close_pairs(prints))
     linked = prints.join(whole, prints["fp"] == whole["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    names = linked.join(linked.groupBy("root").agg(F.min("least").alias(name)), "root").select(F.col("fp").alias("_fp"), name)
-    return marked.join(names, marked[fp] == names["_fp"]).drop("_fp")
+    names = linked.join(linked.groupBy("root").agg(F.min("least").alias(name)), "root").select(F.col("fp").alias(fresh([*docs.columns, name, fp], "_of")), name)
+    return marked.join(names, marked[fp] == names[names.columns[0]]).select(*[F.col(f"`{c}`") for c in keep], fp, name)
 
 
 def keep_one(docs: DataFrame, shingle: int = 5, id_col: str = "doc_id") -> DataFrame:
     """docs with one row of each group: the smallest id (of rows that share it, one)."""
     name = fresh(docs.columns, "component_id")
     marked = near_duplicates(docs, shingle, id_col, name=name)
-    first = marked.where(F.col(id_col).eqNullSafe(F.col(name)))
+    first = marked.where(F.col(f"`{id_col}`").eqNullSafe(F.col(name)))
     return first.dropDuplicates([name]).select(*[F.col(f"`{c}`") for c in docs.columns])

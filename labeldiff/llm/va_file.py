@@ -26,14 +26,13 @@ table gives no rows.
 
 from __future__ import annotations
 
-import uuid
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from labeldiff.llm.common import received, shared_dir, shipped, stored
+from labeldiff.llm.common import received, shipped, stored
+from labeldiff.scratch import place
 
 #: Bytes of queries in one broadcast block; rows and queries scanned at once; rows of the sample that fixes the cells (fewer where vectors are long: at most SAMPLE_VALUES components).
 BLOCK_BYTES, ROWS, LANES, SAMPLE, SAMPLE_VALUES = 16_000_000, 2048, 512, 20_000, 8_000_000
@@ -237,7 +236,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_
     va, cells = build(whole, k, width, bits)
     model = shipped(spark, cells)
     blocks = max(1, -(-n_asked * 8 * max(1, width) // block_bytes))
-    folder = f"{shared_dir(spark)}/va-bounds-{uuid.uuid4().hex}"
+    folder = place(spark, "va-bounds")
     for i in range(blocks):
         rows = asked.where(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == i).collect()
         queries = np.zeros((len(rows), width))

@@ -60,7 +60,8 @@ def test_stages(spark, folder):
     want = {k for k in want if not plain_hits(texts[k], [(1, item)])[1]}
     assert {r.doc_id for r in out.collect()} == want and not any(k % 20 == 3 for k in want if k < 400)
     mixed = corpus_pipeline.mix_sources(spark, out, d)
-    chance = {r.doc_id: r.mix_drawn for r in mixing.probabilities(out, corpus_pipeline.BUDGET).collect()}
+    drawn, names, _ = mixing.probabilities(out, None, alpha=corpus_pipeline.ALPHA)
+    chance = {r.doc_id: r[names["drawn"]] for r in drawn.collect()}
     want = {k for k in want if chance[k]}
     assert {r.doc_id for r in mixed.collect()} == want and mixed.columns == docs.columns
     final = corpus_pipeline.deal_shards(spark, mixed, d)
