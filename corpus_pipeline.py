@@ -11,11 +11,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from labeldiff.llm import decontaminate, mixing, sharding, similar, toxicity
-from labeldiff.llm.common import stored, table
+from labeldiff.llm.common import fresh, stored, table
+from labeldiff.scratch import mark, release
 
 SHARDS = 24
-#: Share of tokens that the mix keeps in expectation.
-BUDGET = 0.9
+#: Exponent of the shares of sources, languages and topics that the mix is raked to; the budget is the largest that meets them.
+ALPHA = {"source": 0.9, "lang": 0.9, "topic": 0.9}
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,12 +37,12 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents drawn by their calibrated probabilities."""
-    return mixing.draw(docs, BUDGET)
+    return mixing.draw(docs, None, ALPHA)
 
 
 def deal_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents with their shard."""
-    return sharding.assign_shards(docs, "doc_id", [1.0] * SHARDS)
+    return sharding.assign_shards(docs, "doc_id", [1.0] * SHARDS, fresh(docs.columns, "shard"))
 
 
 STAGES = [
@@ -57,9 +58,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, since = table(spark, sf_dir, "documents"), mark()
     for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k + 1 < len(STAGES):
             docs = stored(docs, f"stage-{name}")
+            release(since, keep=1)
     return docs
