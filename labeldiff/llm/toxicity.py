@@ -31,8 +31,8 @@ from pyspark.sql import functions as F
 
 from labeldiff.llm.common import ALNUM, fresh, received, shipped, stored, text_bytes
 
-#: Labelled rows that are fitted on, at most; neighbours; vectors in a block of the index; blocks read at once.
-MAX_TRAIN, NEIGHBOURS, BLOCK, AHEAD = 20_000, 15, 64, 12
+#: Labelled rows that are fitted on, at most; neighbours; vectors in a block of the index; blocks read first; the share of blocks from which on reading all of them in one run costs less.
+MAX_TRAIN, NEIGHBOURS, BLOCK, AHEAD, MOST = 20_000, 15, 64, 12, 0.3
 #: Least document frequency and chi-square of a feature, at any number of labelled rows.
 MIN_DF, MIN_CHI2 = 4, 20.0
 #: Lengths of leading parts; least length of a word that has them.
@@ -92,6 +92,11 @@ class Features:
         return tuple(sorted((k, n) for (one, again), n in tf.items() for k in ((one, again) if n > 1 else (one,)) if k >= 0))
 
 
+def kth(scores: np.ndarray, k: int) -> float:
+    """The k-th largest; 0 if there are fewer."""
+    return float(np.partition(scores, -k)[-k]) if k <= len(scores) else 0.0
+
+
 class Index:
     """Block-max inverted index of labelled vectors. rows: [(vector, n0, n1, smallest id)] with distinct vectors.
 
@@ -127,30 +132,38 @@ class Index:
         w = np.array([(1 + math.log(x[1])) * self.idf[x[0]] for x in vector])
         return f, w / np.linalg.norm(w)
 
-    def read(self, f: np.ndarray, w: np.ndarray, blocks: np.ndarray, score: np.ndarray) -> None:
-        """Adds the products of all postings of features f in the blocks."""
+    def read(self, f: np.ndarray, w: np.ndarray, blocks: np.ndarray) -> np.ndarray:
+        """Scores from all postings of features f in the blocks."""
         cell = (f[:, None] * self.blocks + blocks[None, :]).ravel()
         size = self.start[cell + 1] - self.start[cell]
         ends = np.cumsum(size)
         at = np.repeat(self.start[cell] - (ends - size), size) + np.arange(ends[-1])
-        np.add.at(score, self.at[at], self.w[at] * np.repeat(np.repeat(w, len(blocks)), size))
+        return np.bincount(self.at[at], self.w[at] * np.repeat(np.repeat(w, len(blocks)), size), self.blocks * BLOCK)
+
+    def read_all(self, f: np.ndarray, w: np.ndarray) -> np.ndarray:
+        """The same for all blocks: each feature's postings are one run."""
+        runs = [slice(self.start[x * self.blocks], self.start[(x + 1) * self.blocks]) for x in f.tolist()]
+        return np.bincount(np.concatenate([self.at[r] for r in runs]), np.concatenate([self.w[r] * y for r, y in zip(runs, w.tolist(), strict=True)]), self.blocks * BLOCK)
 
     def nearest(self, vector, k: int, but: int = -1) -> list[tuple[float, int]]:
         """The k largest cosines above 0 as (cosine, vector number), exact; ``but`` is left out."""
         f, w = self.weights(vector)
         bound = w @ self.top[f]
         order = np.argsort(-bound)
-        order = order[: np.count_nonzero(bound[order] > 0)]
-        score, read, least = np.zeros(self.size), 0, 0.0
-        while read < len(order) and bound[order[read]] >= least - 1e-11:
-            some = order[read : read + AHEAD]
-            some = some[bound[some] >= least - 1e-11]
-            self.read(f, w, some, score)
-            read += len(some)
-            if but >= 0:
-                score[but] = 0
-            if k < self.size:
-                least = np.partition(score, -k)[-k]
+        order = order[: np.count_nonzero(bound > 0)]
+
+        # The blocks with the highest bounds fix a score to beat; then all others that can.
+        some = order[:AHEAD]
+        score = self.read(f, w, some)
+        if but >= 0:
+            score[but] = 0
+        least = kth(score[(some[:, None] * BLOCK + np.arange(BLOCK)[None, :]).ravel()], k)
+        rest = order[AHEAD:][bound[order[AHEAD:]] >= least - 1e-11]
+        if len(rest):
+            score = score + self.read(f, w, rest) if len(rest) < MOST * self.blocks else self.read_all(f, w)
+        if but >= 0:
+            score[but] = 0
+        least = kth(score[score >= least - 1e-11], k)
         hits = np.flatnonzero((score > 0) & (score >= least - 1e-11))
         near = np.round(score[hits], 12)
         best = np.lexsort((self.order[hits], -near))[:k]
