@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from labeldiff.functions import identity, rules, text
 from labeldiff.operators import batch, diff, lineage, matching, relational, selection, store
+from labeldiff.scratch import held
 from labeldiff.values import CODE_CONCEPTS, HEADING_CONCEPTS, OPERATIONS
 
 FLAGSHIP = "q_diff_summary"
@@ -32,10 +33,13 @@ def query(sql: str | None = None):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    from labeldiff import document_queries  # noqa: F401  registers its own
+
     return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    queries()
     return dict(SQL)
 
 
@@ -178,7 +182,7 @@ def line_sections(spark: SparkSession, d: str) -> DataFrame:
 @query()
 def q_match_content(spark, d):
     """All six phases, the content phase included (its ratio has no SQL); the methods of all sections."""
-    found = matching.match_sections(line_sections(spark, d))
+    found = matching.match_sections(line_sections(spark, d), held)
     return matching.outcomes(found.select("pair_id", "side", "section_id", "partner", "method"))
 
 
@@ -332,7 +336,8 @@ def q_version_sort(spark, d):
     c = F.col("o_orderkey")
     rows = read(spark, d, "orders").select("o_orderkey", F.when(c % 4 == 0, F.concat(F.lit("v"), c)).when(c % 9 == 0, "").otherwise((c % 1000).cast("string")).alias("version"))
     keys = dict(zip(("_a", "_b", "_c"), text.version_key(F.col("version")), strict=True))
-    dealt = rows.withColumns(keys).repartitionByRange(*keys, "o_orderkey").withColumn("_part", F.spark_partition_id())
+    # Held, so that both readers see the same ranges.
+    dealt = held(rows.withColumns(keys).repartitionByRange(*keys, "o_orderkey").withColumn("_part", F.spark_partition_id()), "ranges")
     inner = Window.partitionBy("_part").orderBy(*keys, "o_orderkey")
     ahead = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     shift = dealt.groupBy("_part").agg(F.count(F.lit(1)).alias("_n")).select("_part", F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_shift"))
@@ -407,7 +412,7 @@ def q_concept_map(spark, d):
     return read(spark, d, "conversations").select("conv_id", "turn", rules.concept(code, head).alias("m")).where("m IS NOT NULL").select("conv_id", "turn", "m.concept", "m.method")
 
 
-@query("SELECT item_id, trim(regexp_replace(regexp_replace(trim(regexp_replace(lower('4.2  ' || text), '\\s+', ' ', 'g')), '^[0-9]+(\\.[0-9]+)*\\s*', ''), '\\s+', ' ', 'g')) AS heading FROM benchmark")
+@query("SELECT item_id, trim(regexp_replace(regexp_replace(trim(regexp_replace(replace(lower('4.2  ' || text), 'ß', 'ss'), '\\s+', ' ', 'g')), '^[0-9]+(\\.[0-9]+)*\\s*', ''), '\\s+', ' ', 'g')) AS heading FROM benchmark")
 def q_heading_norm(spark, d):
     return read(spark, d, "benchmark").select("item_id", text.mapped_heading(F.concat(F.lit("4.2  "), "text")).alias("heading"))
 
@@ -499,7 +504,7 @@ def q_verify_rollup(spark, d):
 
 
 @query("""WITH i AS (SELECT user_id, CASE event_id % 4 WHEN 0 THEN 'SELECTED' WHEN 1 THEN 'NO_CANDIDATE' ELSE 'SELECTED' END AS s, CASE WHEN event_id % 4 = 1 THEN 'NOT_SELECTED' WHEN event_id % 13 = 0 THEN 'PARSER_FAILED' ELSE 'INGESTED' END AS g, CASE WHEN event_id % 4 <> 1 AND event_id % 13 <> 0 THEN CASE WHEN event_id % 17 = 0 THEN 'NOT_VERIFIED' ELSE 'VERIFIED' END ELSE 'NOT_VERIFIED' END AS v FROM events),
-c AS (SELECT user_id, count(*) AS total, count(*) FILTER (s = 'SELECTED') AS selected, count(*) FILTER (g = 'INGESTED') AS fetched, count(*) FILTER (g = 'INGESTED') AS ingested, count(*) FILTER (v = 'VERIFIED') AS verified, count(*) FILTER (s = 'NO_CANDIDATE') AS unresolved, count(*) FILTER (g = 'PARSER_FAILED') AS failed, count(*) FILTER (g = 'INGESTED' AND v = 'NOT_VERIFIED') AS open FROM i GROUP BY user_id)
+c AS (SELECT user_id, count(*) AS total, count(*) FILTER (s = 'SELECTED') AS selected, count(*) FILTER (g = 'INGESTED') AS fetched, count(*) FILTER (g = 'INGESTED') AS ingested, count(*) FILTER (v = 'VERIFIED') AS verified, 0::BIGINT AS quarantined, count(*) FILTER (s = 'NO_CANDIDATE') AS unresolved, count(*) FILTER (g = 'PARSER_FAILED') AS failed, count(*) FILTER (g = 'INGESTED' AND v = 'NOT_VERIFIED') AS open FROM i GROUP BY user_id)
 SELECT *, CASE WHEN open > 0 THEN 'RUNNING' WHEN verified = total THEN 'COMPLETED' WHEN failed = total THEN 'FAILED' WHEN failed > 0 THEN 'PARTIAL_FAILURE' ELSE 'COMPLETED_WITH_UNRESOLVED_ITEMS' END AS status FROM c""")
 def q_batch_rollup(spark, d):
     e = F.col("event_id")

@@ -26,7 +26,7 @@ from labeldiff.values import CONCEPTS, MAX_BYTES, TEXT_BLOCKS, VERSIONS
 NS = "urn:hl7-org:v3"
 _DECLARED = re.compile(rb"<!\s*(?:DOCTYPE|ENTITY)\b", re.I)
 
-SECTION = "struct<seq:int,parent_seq:int,depth:int,code:string,heading:string,text:string,status:string,locator:string,xml_id:string,structure:string,comparison:string,sha256:string,filled:boolean>"
+SECTION = "struct<seq:int,parent_seq:int,depth:int,code:string,heading:string,text:string,status:string,locator:string,xml_id:string,structure:string,comparison:string,sha256:string,filled:boolean,parent_locator:string,parent_sha256:string>"
 PRODUCT = "struct<seq:int,brand:string,form:string,route:string>"
 PARSED = f"path string, raw_sha256 string, n_bytes long, set_id string, version string, document_root string, title string, doc_type string, language string, effective date, generic_name string, generics array<string>, ingredients array<string>, products array<{PRODUCT}>, sections array<{SECTION}>, normalized_sha256 string, error string, message string"
 
@@ -204,7 +204,10 @@ def parse(content: bytes) -> dict:
     for s in reversed(out["sections"]):
         if s["parent_seq"] is not None and filled[s["seq"]]:
             filled[s["parent_seq"]] = True
-    return out | {"sections": [s | {"filled": f} for s, f in zip(out["sections"], filled, strict=True)], "normalized_sha256": digest}
+    # What a parent's id is made of travels with its children, so that no row has to look into the whole document again.
+    above = [out["sections"][s["parent_seq"]] if s["parent_seq"] is not None else {} for s in out["sections"]]
+    rows = [s | {"filled": f, "parent_locator": a.get("locator"), "parent_sha256": a.get("sha256")} for s, f, a in zip(out["sections"], filled, above, strict=True)]
+    return out | {"sections": rows, "normalized_sha256": digest}
 
 
 def parsed(files: DataFrame, expected: str | None = None, asked: tuple[str, str] | None = None) -> DataFrame:
@@ -251,9 +254,8 @@ def children(documents: DataFrame, authority: str = "FDA", provider: str = "Dail
     errors = documents.where("error IS NOT NULL").select("path", "raw_sha256", "n_bytes", F.col("error").alias("category"), "message")
     record = identity.source_record_id(lit(authority), lit(provider), lit(jurisdiction), F.col("set_id"), F.col("version"), F.col("raw_sha256"))
     good = documents.where("error IS NULL").withColumn("source_id", record).withColumn("document_id", identity.document_id(F.col("source_id"), lit(versions["parser"]), lit(versions["schema"]), lit(versions["mapping"]))).withColumn("lineage_id", identity.lineage_id(lit(authority), lit(provider), lit(jurisdiction), F.col("set_id")))
-    with_ids = F.transform("sections", lambda s: s.withField("section_id", identity.section_id(F.col("document_id"), s["locator"], s["sha256"])))
-    nested = good.withColumn("sections", with_ids)
-    sections = nested.select("document_id", "lineage_id", F.posexplode("sections").alias("_k", "s"), "sections").select("document_id", "lineage_id", "s.*", F.when(F.col("s.parent_seq").isNotNull(), F.element_at("sections", F.col("s.parent_seq") + 1)["section_id"]).alias("parent_id"))
+    parent = F.when(F.col("parent_seq").isNotNull(), identity.section_id(F.col("document_id"), F.col("parent_locator"), F.col("parent_sha256")))
+    sections = good.select("document_id", "lineage_id", F.inline("sections")).withColumns({"section_id": identity.section_id(F.col("document_id"), F.col("locator"), F.col("sha256")), "parent_id": parent}).drop("filled", "parent_locator", "parent_sha256")
     mapped = sections.select("document_id", "section_id", "seq", rules.concept(F.col("code"), F.col("heading")).alias("m")).where("m IS NOT NULL").select("document_id", "section_id", "seq", "m.*")
     mappings = mapped.withColumn("mapping_id", identity.mapping_id(F.col("section_id"), F.col("concept"), lit(versions["mapping"])))
     products = good.select("document_id", F.inline("products")).withColumn("product_id", identity.product_id(F.col("document_id"), F.col("seq"), F.col("brand"), F.col("form"), F.col("route")))
