@@ -153,10 +153,9 @@ def few_pairs(left: DataFrame) -> DataFrame:
     return pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
 
 
-def rare_shingles(nodes: DataFrame, kinds: DataFrame, texts: DataFrame, shingle: int) -> DataFrame:
+def rare_shingles(nodes: DataFrame, texts: DataFrame, shingle: int) -> DataFrame:
     """(h, m): the shingles that at most RARE of the nodes have, with those nodes. Of other shingles no task sends more than RARE + 1 rows."""
-    chosen = nodes.join(kinds.select("node", "row"), "node")
-    sets = texts.join(chosen, "row").select("node", "text").mapInArrow(add_sets(shingle), "node long, h array<long>")
+    sets = texts.join(nodes, "node").select("node", "text").mapInArrow(add_sets(shingle), "node long, h array<long>")
     first = sets.select("node", F.explode("h").alias("h")).withColumn("_o", F.row_number().over(Window.partitionBy("h").orderBy("node"))).where(F.col("_o") <= RARE + 1)
     return stored(first.groupBy("h").agg(F.collect_list("node").alias("m")).where(F.size("m") <= RARE), "rare")
 
@@ -210,11 +209,13 @@ def candidates(pairs: DataFrame, kinds: DataFrame) -> DataFrame:
     return stored(near.where(F.col("far") <= FAR).select("a", "b", "far"), "candidates")
 
 
-def verified(pairs: DataFrame, kinds: DataFrame, texts: DataFrame, shingle: int, rows: int) -> DataFrame:
-    """Of the pairs (a, b) those whose shingle sets have a similarity of 0.8 or more. texts: (row, text); kinds name the row that has a node's text."""
-    asked = sized(pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct(), rows)
-    chosen = kinds.join(asked, "node", "left_semi").select("node", "row")
-    sets = stored(texts.join(chosen, "row").select("node", "text").mapInArrow(add_sets(shingle), "node long, h array<long>"), "sets")
+def ends_of(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+
+
+def verified(pairs: DataFrame, texts: DataFrame, shingle: int, rows: int) -> DataFrame:
+    """Of the pairs (a, b) those whose shingle sets have a similarity of 0.8 or more. texts: (node, text) of all nodes that meet another."""
+    sets = stored(texts.join(sized(ends_of(pairs), rows), "node").mapInArrow(add_sets(shingle), "node long, h array<long>"), "sets")
     left, right = sets.select(F.col("node").alias("a"), F.col("h").alias("x")), sets.select(F.col("node").alias("b"), F.col("h").alias("y"))
     both = F.size(F.array_intersect("x", "y"))
     return stored(pairs.join(left, "a").join(right, "b").where(9 * both >= 4 * (F.size("x") + F.size("y"))).select("a", "b"), "links")
@@ -237,26 +238,31 @@ def grouped(docs: DataFrame, shingle: int, id_col: str, text_col: str, name: str
     marked = stored(sent.mapInArrow(add_marks(shingle, len(docs.columns) + 1, names), schema), "similar")
     kinds = marked.select(F.col(node).alias("node"), F.col(row).alias("row"), F.col(size).alias("n"), F.col(fp).alias("fp"), F.col(bands).alias("bands"), F.col(sketch).alias("sketch"), F.col(f"`{id_col}`").alias("id"))
     kinds = stored(kinds.groupBy("node").agg(F.min("id").alias("least"), F.min("row").alias("row"), *[F.any_value(c).alias(c) for c in ("n", "fp", "bands", "sketch")]), "nodes")
-    texts = marked.select(F.col(row).alias("row"), text_bytes(f"`{text_col}`").alias("text"))
     n = kinds.count()
     rows = BANDS * n
-    links = verified(candidates(simhash_pairs(kinds, n), kinds).drop("far"), kinds, texts, shingle, n)
     spread = kinds.select("node", F.explode("bands").alias("key"))
     shared = spread.groupBy("key").agg(F.count(F.lit(1)).alias("met")).where("met > 1")
     met = stored(sized(spread.join(shared, "key"), rows), "bands")
+    close = stored(sized(simhash_pairs(kinds, n), n), "close")
+    # Texts are dealt once, and only those of nodes that meet another are kept for what follows.
+    meeting = kinds.select("node", "row").join(sized(ends_of(close).union(met.select("node")).distinct(), n), "node", "left_semi")
+    texts = stored(marked.select(F.col(row).alias("row"), text_bytes(f"`{text_col}`").alias("text")).join(meeting, "row").select("node", "text"), "texts")
+    links = verified(candidates(close, kinds).drop("far"), texts, shingle, n)
     hubs = candidates(apart(hub_pairs(met, rows), components(links)), kinds)
-    links = links.union(verified(nearest(hubs, n), kinds, texts, shingle, n))
-    links = links.union(verified(apart(hubs.drop("far"), components(links)), kinds, texts, shingle, n))
+    links = links.union(verified(nearest(hubs, n), texts, shingle, n))
+    links = links.union(verified(apart(hubs.drop("far"), components(links)), texts, shingle, n))
     left = open_bands(met, components(links), rows)
     many = left.where(F.col("n_all") > FEW)
     nodes = stored(sized(many.select("node").distinct(), n), "open-nodes")
-    rare = rare_shingles(nodes, kinds, texts, shingle)
+    rare = rare_shingles(nodes, texts, shingle)
     listed = apart(sized(few_pairs(left).union(rare_pairs(rare)).distinct(), rows), components(links))
     rest = candidates(listed, kinds).drop("far").union(chunk_pairs(many, able_nodes(nodes, rare, kinds))).distinct()
-    links = links.union(verified(stored(rest, "rest"), kinds, texts, shingle, n))
+    links = links.union(verified(stored(rest, "rest"), texts, shingle, n))
     roots = components(links)
-    linked = kinds.select("node", "least").join(roots, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))
-    names = linked.join(linked.groupBy("root").agg(F.min("least").alias(name)), "root").select(F.col("node").alias(f"{node}n"), F.col(name), F.col("root").alias(root))
+    # Only nodes with a link meet by root; all others are groups of their own.
+    linked = roots.join(kinds.select("node", "least"), "node")
+    called = linked.join(linked.groupBy("root").agg(F.min("least").alias("first")), "root").select("node", "root", "first")
+    names = kinds.select("node", "least").join(called, "node", "left").select(F.col("node").alias(f"{node}n"), F.coalesce("first", "least").alias(name), F.coalesce("root", "node").alias(root))
     return marked.join(names, F.col(node) == F.col(f"{node}n")).select(*kept, name, root)
 
 
