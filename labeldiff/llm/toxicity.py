@@ -38,7 +38,7 @@ MIN_DF, MIN_CHI2 = 4, 20.0
 #: Lengths of leading parts; least length of a word that has them.
 LEADING, LONG = (4, 5, 6, 7), 5
 #: Words a task remembers; what marks the feature of a repeated word.
-MEMORY, AGAIN = 200_000, b"@2"
+MEMORY, AGAIN = 100_000, b"@2"
 
 
 def parts(word: bytes) -> list[bytes]:
@@ -224,7 +224,7 @@ class Model:
         if got is None:
             vote, near = self.index.vote(vector, NEIGHBOURS)
             got = (float(np.interp(round(vote, 9), self.x, self.y)), [(c, self.index.ids[i]) for c, i in near[:3]])
-            if len(self.scores) < 50_000 and len(vector) < 40:
+            if len(self.scores) < 10_000 and len(vector) < 16:
                 self.scores[vector] = got
         return got
 
