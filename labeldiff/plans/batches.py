@@ -134,10 +134,10 @@ class Batches:
         listed = entries.join(lookups.withColumnRenamed("error", "_error"), c("normalized") == c("lookup_id"), "left")
         bad = c("lookup_id").isNull() | c("_error").isNotNull() | c("problem").isNotNull()
         digest = F.when(bad, identity.sha256(F.lit("lookup-failed"))).otherwise(c("raw_sha256"))
-        listed = listed.withColumn("discovery_id", identity.discovery_id(c("utilization_list_id"), identity.ingredient_id(text.folded(c("normalized"))), F.lit(self.versions["connector"]), digest)).withColumn("_bad", bad)
+        listed = listed.withColumn("discovery_id", identity.discovery_id(c("utilization_list_id"), identity.ingredient_id(c("normalized")), F.lit(self.versions["connector"]), digest)).withColumn("_bad", bad)
         good = listed.where("NOT _bad")
         seen = files.candidates(responses).drop("raw_sha256", "invalid").join(good.select("lookup_id", "discovery_id", "normalized", c("ingredient_name").alias("original")), "lookup_id")
-        evidence = selection.classified(seen.withColumn("metadata", F.to_json("meta")).drop("index", "meta"))
+        evidence = self.flows.hold(selection.classified(seen.withColumn("metadata", F.to_json("meta")).drop("index", "meta")))
         decided = selection.decisions(evidence, good.select("discovery_id", "truncated"))
         items = batch.initial_items(listed.select("utilization_list_id", "rank", "ingredient_name", "normalized", "discovery_id", "_bad", "_error", "problem"), decided)
         malformed = c("problem").isNotNull() & c("_error").isNull()

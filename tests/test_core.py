@@ -108,13 +108,13 @@ def record(set_id="S1", version="3", ingredients=("Drugol",), **more):
     return {"setid": set_id, "spl_version": version, "title": "T", "published_date": "Jan 02, 2020", "active_ingredients": list(ingredients), "product_type": "HUMAN PRESCRIPTION DRUG LABEL", "status": "current", "labeler": "Maker", "marketing_category": "NDA", "dosage_form": "TABLET", "route": "ORAL"} | more
 
 
-def select(spark, records, total=None):
+def select(spark, path, records, total=None):
     entries = spark.createDataFrame([("L", 1, "Drugol", "drugol")], "utilization_list_id string, rank int, ingredient_name string, normalized string")
-    items, evidence, _ = Batches(Flows(spark, "unused"), None).decided(entries, lookup(spark, records, total=total))
+    items, evidence, _ = Batches(Flows(spark, str(path)), None).decided(entries, lookup(spark, records, total=total))
     return items.first(), {(r.set_id, r.version, r.index): r for r in evidence.collect()}
 
 
-def test_selection(spark):
+def test_selection(spark, tmp_path):
     cases = [
         ([record(), record("S2", "2")], None, "SELECTED"),
         ([record(), record("S2", "3")], None, "MULTIPLE_EQUIVALENT_CANDIDATES"),
@@ -137,7 +137,7 @@ def test_selection(spark):
             body = records if isinstance(records, str) else json.dumps({"metadata": {"total_elements": len(records) if total is None else total}, "data": records[::-1] if back else records}, ensure_ascii=False)
             bodies.append((f"drugol{own}", body.replace("Drugol", f"Drugol{own}").replace("ＤＲＵＧＯＬ", f"ＤＲＵＧＯＬ{own}")))
     listed = spark.createDataFrame(entries, "utilization_list_id string, rank int, ingredient_name string, normalized string")
-    items, _, _ = Batches(Flows(spark, "unused"), None).decided(listed, spark.createDataFrame(bodies, "lookup_id string, body string"))
+    items, _, _ = Batches(Flows(spark, str(tmp_path)), None).decided(listed, spark.createDataFrame(bodies, "lookup_id string, body string"))
     got = {r.utilization_list_id: r for r in items.collect()}
     for k, (_, _, want) in enumerate(cases):
         a, b = got[f"L{k}/0"], got[f"L{k}/1"]
@@ -145,12 +145,12 @@ def test_selection(spark):
         assert a.ingestion == ("PENDING" if want == "SELECTED" else "NOT_SELECTED") and a.selected_index == b.selected_index
 
 
-def test_classes(spark):
+def test_classes(spark, tmp_path):
     cases = {
         "COMBINATION_PRODUCT": record("C", ingredients=["Drugol", "Other"]), "SALT_OR_FORM_VARIANT": record("F", ingredients=["drugol sodium"]), "NON_HUMAN_PRODUCT": record("N", product_type="ANIMAL DRUG"), "OTC_PRODUCT": record("O", product_type="HUMAN OTC DRUG"),
         "REPACKAGED_PRODUCT": record("R", labeler="Repackers Inc"), "ARCHIVED_OR_INACTIVE": record("A", status="inactive"), "MISSING_REQUIRED_METADATA": record("M", route=" "), "UNSUPPORTED_PRODUCT_TYPE": record("U", product_type="DEVICE"), "AMBIGUOUS": record("B", status="pending"),
     }
-    _, evidence = select(spark, [*cases.values(), record("X", active_ingredient="ignored", active_ingredients=[{"name": " Drugol "}, 3])])
+    _, evidence = select(spark, tmp_path, [*cases.values(), record("X", active_ingredient="ignored", active_ingredients=[{"name": " Drugol "}, 3])])
     found = {r.set_id: r for r in evidence.values()}
     for name, r in cases.items():
         assert name in found[r["setid"]].classes and not found[r["setid"]].accepted and found[r["setid"]].reasons
