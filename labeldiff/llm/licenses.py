@@ -61,11 +61,19 @@ def places(x: Column, phrase: str) -> tuple[Column, Column, Column]:
 
 def detections(flat: Column) -> Column:
     """array<struct<start, end, priority, rule, label>> of all rules' matches in text of single-spaced words."""
-    table = F.array(*[F.struct(F.lit(k).alias("rule"), F.lit(r.label).alias("label"), F.lit(r.priority).alias("priority"), F.lit(r.keyword).alias("keyword"), F.lit(rf"(?<![^ ])(?:{r.pattern})(?![^ ])").alias("pattern")) for k, r in enumerate(rules())])
+    by_keyword: dict[str, list] = {}
+    for k, r in enumerate(rules()):
+        by_keyword.setdefault(r.keyword, []).append(F.struct(F.lit(k).alias("rule"), F.lit(r.label).alias("label"), F.lit(r.priority).alias("priority"), F.lit(rf"(?<![^ ])(?:{r.pattern})(?![^ ])").alias("pattern")))
+    table = F.array(*[F.struct(F.lit(f" {word}").alias("keyword"), F.array(*own).alias("rules")) for word, own in by_keyword.items()])
+    none = F.array().cast("array<struct<start:int,end:int,priority:int,rule:int,label:string>>")
 
     def matches(r: Column) -> Column:
-        # \u0001 opens a match and \u0002 closes it; neither occurs in normalized text.
-        parts = F.split(F.regexp_replace(flat, r["pattern"], F.lit("\u0001$0\u0002")), "\u0001")
+        # \u0001 opens a match and \u0002 closes it; neither occurs in normalized text. Few rules match, so only those are folded.
+        marked = F.regexp_replace(flat, r["pattern"], F.lit("\u0001$0\u0002"))
+        return F.transform(F.array(marked), lambda z: F.when(F.contains(z, F.lit("\u0001")), intervals(z, r)).otherwise(none))[0]
+
+    def intervals(z: Column, r: Column) -> Column:
+        parts = F.split(z, "\u0001")
         spaces = lambda s: (F.length(s) - F.length(F.replace(s, F.lit(" "), F.lit("")))).cast("int")
         # Fold over the parts: the word number where the next part starts, and the matches so far.
         start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("found"))
@@ -78,7 +86,8 @@ def detections(flat: Column) -> Column:
         found = F.aggregate(parts, start, step, lambda s: s["found"])
         return F.transform(found, lambda m: F.struct(m["start"].alias("start"), m["end"].alias("end"), r["priority"].alias("priority"), r["rule"].alias("rule"), r["label"].alias("label")))
 
-    gated = F.filter(table, lambda r: F.contains(F.concat(F.lit(" "), flat), F.concat(F.lit(" "), r["keyword"])))
+    padded = F.array(F.concat(F.lit(" "), flat))
+    gated = F.flatten(F.transform(padded, lambda x: F.flatten(F.transform(F.filter(table, lambda t: F.contains(x, t["keyword"])), lambda t: t["rules"]))))
     return F.flatten(F.transform(gated, matches))
 
 
