@@ -54,36 +54,38 @@ LEXICON = {
     "arts": "music film painting novel theatre artist museum album musik gemälde künstler musique peinture música pintura artista",
     "travel": "hotel flight airport tourist beach journey restaurant reise flughafen strand voyage aéroport plage viaje aeropuerto playa",
 }
-PUNCTUATION = "\n\t\r.,;:!?()[]\"'"
+#: What separates words: white space and ASCII punctuation.
+GAPS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
-def form_of(text: Column) -> Column:
-    """How a text is written: legal, table, code, contact, noise or prose. First that fits."""
+def form_of(text: Column, low: Column) -> Column:
+    """How a text is written: legal, table, code, contact, noise or prose. First that fits. low: the text in lower case."""
     n = F.greatest(F.length(text), F.lit(1))
     many = lambda mark, share: F.length(text) - F.length(F.replace(text, F.lit(mark), F.lit(""))) > n * share
+    has = lambda word: F.contains(low, F.lit(word))
     return (
-        F.when(F.rlike(text, F.lit(r"(?i)copyright|licen[cs]e|rights\s+reserved")), "legal")
-        .when(many("|", 0.02), "table")
-        .when(many("{", 0.005) | many(";", 0.02), "code")
+        F.when(has("copyright") | has("license") | has("licence") | has("reserved") & F.rlike(low, F.lit(r"rights\s+reserved")), "legal")
+        .when(F.contains(text, F.lit("|")) & many("|", 0.02), "table")
+        .when(F.contains(text, F.lit("{")) & many("{", 0.005) | F.contains(text, F.lit(";")) & many(";", 0.02), "code")
         .when(F.contains(text, F.lit("@")) & F.rlike(text, F.lit(r"\w@\w+\.\w")), "contact")
-        .when(many("*", 0.01) | many("#", 0.01) | many("!", 0.02), "noise")
+        .when(F.contains(text, F.lit("*")) & many("*", 0.01) | F.contains(text, F.lit("#")) & many("#", 0.01) | F.contains(text, F.lit("!")) & many("!", 0.02), "noise")
         .otherwise("prose")
     )
 
 
-def topic_of(text: Column) -> Column:
-    """The topic of the lexicon with the most different words in the text (of equals the first), else the text's form."""
-    every = sorted({w for words in LEXICON.values() for w in words.split()})
-    said = F.split(F.translate(F.lower(text), PUNCTUATION, " " * len(PUNCTUATION)), " ")
-    known = F.array_intersect(said, F.array(*map(F.lit, every)))
-    best = F.transform(F.array(known), lambda x: F.array_max(F.array(*[F.struct(F.size(F.array_intersect(x, F.array(*map(F.lit, sorted(set(words.split())))))).alias("n"), F.lit(-k).alias("k"), F.lit(t).alias("t")) for k, (t, words) in enumerate(LEXICON.items())])))[0]
-    return F.when(best["n"] >= 3, best["t"]).otherwise(form_of(text))
+def topic_of(text: Column, low: Column | None = None, words: Column | None = None) -> Column:
+    """The topic of the lexicon with the most different words in the text (of equals the first), else the text's form. low, words: the text in lower case and its words, where they are there already."""
+    low = F.lower(text) if low is None else low
+    words = F.split(low, GAPS) if words is None else words
+    every = sorted({w for own in LEXICON.values() for w in own.split()})
+    known = F.array_intersect(words, F.array(*map(F.lit, every)))
+    best = F.transform(F.array(known), lambda x: F.array_max(F.array(*[F.struct(F.size(F.array_intersect(x, F.array(*map(F.lit, sorted(set(own.split())))))).alias("n"), F.lit(-k).alias("k"), F.lit(t).alias("t")) for k, (t, own) in enumerate(LEXICON.items())])))[0]
+    return F.when(F.size(known) < 3, form_of(text, low)).otherwise(F.when(best["n"] >= 3, best["t"]).otherwise(form_of(text, low)))
 
 
-def tokens_of(text: Column) -> Column:
-    """Words between spaces and line ends."""
-    flat = F.translate(text, "\n\t\r", "   ")
-    return F.when(F.length(F.trim(flat)) == 0, F.lit(0)).otherwise(F.size(F.split(F.trim(flat), " +"))).cast("long")
+def tokens_of(words: Column) -> Column:
+    """Words, of those that a split gives."""
+    return F.size(F.array_remove(words, "")).cast("long")
 
 
 def tempered(share: Mapping[str, float], alpha: float) -> dict[str, float]:
@@ -244,8 +246,11 @@ def marked_rows(docs: DataFrame, text_col: str = "text", source_col: str = "sour
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
     label = lambda c: F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(""))
     names = {k: fresh(docs.columns, f"mix_{k}") for k in (*KINDS, "tokens")}
-    made = {"source": label(source_col), "lang": label(lang_col), "topic": label(topic_col) if topic_col else topic_of(text), "tokens": tokens_of(text)}
-    return docs.withColumns({names[k]: c for k, c in made.items()}), names
+    low, words = (fresh([*docs.columns, *names.values()], x) for x in ("_low", "_words"))
+    made = {"source": label(source_col), "lang": label(lang_col), "topic": label(topic_col) if topic_col else topic_of(text, F.col(low), F.col(words)), "tokens": tokens_of(F.col(words))}
+    # Columns of their own, so that the text is lowered and split once.
+    rows = docs.withColumn(low, F.lower(text)).withColumn(words, F.split(F.col(low), GAPS))
+    return rows.withColumns({names[k]: c for k, c in made.items()}).drop(low, words), names
 
 
 def weighed(marked: DataFrame, names: Mapping[str, str], budget: float | None, targets: Mapping | None = None, alpha: Mapping | None = None, id_col: str = "doc_id") -> tuple[DataFrame, dict[str, str], Mix | None]:
