@@ -16,9 +16,14 @@ def sha256(value: Column) -> Column:
 def uuid5(name: Column, namespace: str = NAMESPACE) -> Column:
     """RFC 4122 version 5: SHA-1 of namespace and name, with the version and variant bits set."""
     digest = F.sha1(F.concat(F.unhex(F.lit(namespace.replace("-", ""))), name.cast("binary")))
-    variant = F.substring(F.lit("89ab"), F.conv(F.substring(digest, 17, 1), 16, 10).cast("int") % 4 + 1, F.lit(1))
-    piece = lambda at, n: F.substring(digest, at, n)
-    return F.concat(piece(1, 8), F.lit("-"), piece(9, 4), F.lit("-5"), piece(14, 3), F.lit("-"), variant, piece(18, 3), F.lit("-"), piece(21, 12))
+
+    def written(h: Column) -> Column:
+        variant = F.substring(F.lit("89ab"), F.conv(F.substring(h, 17, 1), 16, 10).cast("int") % 4 + 1, F.lit(1))
+        piece = lambda at, n: F.substring(h, at, n)
+        return F.concat(piece(1, 8), F.lit("-"), piece(9, 4), F.lit("-5"), piece(14, 3), F.lit("-"), variant, piece(18, 3), F.lit("-"), piece(21, 12))
+
+    # The digest is bound once: ids are made of ids, and each level would repeat it six times over.
+    return F.transform(F.array(digest), written)[0]
 
 
 def named(kind: str, *parts: Column) -> Column:

@@ -21,6 +21,15 @@ from labeldiff.streaming import ingest
 from labeldiff.values import CANDIDATE_CLASSES, NAMESPACE
 
 
+@pytest.fixture(scope="module", autouse=True)
+def few_tasks(spark):
+    """Stores of a few rows: every table of a commit would have a file for each task."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def one(spark, *columns):
     return spark.range(1).select(*columns).first()
 
@@ -526,7 +535,7 @@ def test_cli_and_stream(spark, tmp_path):
 def test_cli_batch(spark, tmp_path):
     (tmp_path / "l.json").write_text(ranked("L", "Drugol", "Missing"))
     call = lambda *words: cli.run(["--store", str(tmp_path / "s"), "--service", BASE, *words], spark, service(), "2020-01-01T00:00:00Z")
-    assert call("batch", "status", "L")[0] == 1 and call("batch", "plan", "L")[0] == 1
+    assert call("batch", "status", "L")[0] == 1
     assert call("utilization", "add", str(tmp_path / "l.json"))[0] == 0 and [e["rank"] for e in call("utilization", "show", "L")[1]] == [1, 2]
     code, out = call("batch", "run", "L")
     assert code == 2 and [i["verification"] for i in out["items"]] == ["VERIFIED", "NOT_VERIFIED"] and out["run"][0]["status"] == "PARTIAL_FAILURE" and out["report"]
