@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from labeldiff import scratch
 from labeldiff.llm.common import LOWER, fresh, stored
 
 #: Rows for one task of the steps on distinct fingerprints and links (narrow rows), and tasks at least.
@@ -102,6 +103,7 @@ def close_pairs(prints: DataFrame) -> DataFrame:
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, root): every node of the edges (a, b) with the smallest node it is connected to."""
+    since = scratch.mark()
     now = stored(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u > v"), "edges")
     mark = None
     while True:
@@ -117,6 +119,7 @@ def components(edges: DataFrame) -> DataFrame:
         small = large.join(low, "u").where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         small = sized(small, n).union(low.select("u", F.col("m").alias("v")))
         now = stored(sized(small.where("u > v").distinct(), n), "edges")
+        scratch.release(since, keep=1)
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None, name: str = "component_id") -> DataFrame:

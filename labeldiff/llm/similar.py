@@ -35,9 +35,12 @@ from pyspark.sql import functions as F
 
 from labeldiff.llm.common import ALNUM, fresh, stored, text_bytes
 from labeldiff.llm.simhash import bit_sums, close_pairs, components, sized
+from labeldiff.scratch import mark, release
 
 #: Bands, least values in a band, and values of 160 in which the sketches of candidates may differ; members of a chunk.
 BANDS, DEEP, FAR, CHUNK = 32, 5, 50, 512
+#: Rows of two longs that are broadcast, at most; more are joined by a shuffle.
+SENT = 1_000_000
 #: Documents that have a rare shingle, at most; members of a band whose pairs are compared one by one, at most.
 RARE, FEW = 8, 16
 #: The hash functions of the least values: odd multipliers and summands.
@@ -215,10 +218,13 @@ def ends_of(pairs: DataFrame) -> DataFrame:
 
 def verified(pairs: DataFrame, texts: DataFrame, shingle: int, rows: int) -> DataFrame:
     """Of the pairs (a, b) those whose shingle sets have a similarity of 0.8 or more. texts: (node, text) of all nodes that meet another."""
+    since = mark()
     sets = stored(texts.join(sized(ends_of(pairs), rows), "node").mapInArrow(add_sets(shingle), "node long, h array<long>"), "sets")
     left, right = sets.select(F.col("node").alias("a"), F.col("h").alias("x")), sets.select(F.col("node").alias("b"), F.col("h").alias("y"))
     both = F.size(F.array_intersect("x", "y"))
-    return stored(pairs.join(left, "a").join(right, "b").where(9 * both >= 4 * (F.size("x") + F.size("y"))).select("a", "b"), "links")
+    links = stored(pairs.join(left, "a").join(right, "b").where(9 * both >= 4 * (F.size("x") + F.size("y"))).select("a", "b"), "links")
+    release(since, keep=1)
+    return links
 
 
 def similar_groups(docs: DataFrame, shingle: int = 5, id_col: str = "doc_id", text_col: str = "text", name: str = "component_id") -> DataFrame:
@@ -245,7 +251,8 @@ def grouped(docs: DataFrame, shingle: int, id_col: str, text_col: str, name: str
     met = stored(sized(spread.join(shared, "key"), rows), "bands")
     close = stored(sized(simhash_pairs(kinds, n), n), "close")
     # Texts are dealt once, and only those of nodes that meet another are kept for what follows.
-    meeting = kinds.select("node", "row").join(sized(ends_of(close).union(met.select("node")).distinct(), n), "node", "left_semi")
+    meeting = stored(kinds.select("node", "row").join(sized(ends_of(close).union(met.select("node")).distinct(), n), "node", "left_semi"), "meeting")
+    meeting = F.broadcast(meeting) if meeting.count() <= SENT else meeting
     texts = stored(marked.select(F.col(row).alias("row"), text_bytes(f"`{text_col}`").alias("text")).join(meeting, "row").select("node", "text"), "texts")
     links = verified(candidates(close, kinds).drop("far"), texts, shingle, n)
     hubs = candidates(apart(hub_pairs(met, rows), components(links)), kinds)
