@@ -77,10 +77,95 @@ def op10_va_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return va_file.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
 
 
+def op11_annulus_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from labeldiff.llm import annulus
+
+    return annulus.report(table(spark, sf_dir, "embeddings"), k=8, rounds=10, width=64, seed="3")
+
+
+def op12_merkle_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from labeldiff.llm import merkle
+
+    return merkle.report(table(spark, sf_dir, "documents"))
+
+
+def op13_merge_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from labeldiff.llm import byte_bpe
+
+    vocabulary = byte_bpe.Vocabulary(byte_bpe.ranks_of(public_tokenizers.path("byte_bpe_multi_50k.tiktoken")), public_tokenizers.PATTERN)
+    return byte_bpe.report(table(spark, sf_dir, "documents"), vocabulary)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {n: f for n, f in globals().items() if n.startswith("op") and n[2].isdigit()}
 
 
+#: CRC-32 in DuckDB: ``t`` of the table steps is its table of bytes.
+CRC_STEPS = """steps AS MATERIALIZED (
+  SELECT list(c ORDER BY b) AS t FROM (
+    SELECT b, list_reduce(list_prepend(b, range(8)), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) AS c
+    FROM range(256) r(b)))"""
+CRC = "xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(regexp_extract_all(hex(encode({0})), '..'), lambda x: ('0x' || x)::BIGINT)), lambda c, b: xor(c // 256, t[xor(c % 256, b) + 1])))"
+
+
+def clustering_sql(k: int, rounds: int, width: int, seed: str) -> str:
+    """Lloyd's rounds, one after the other; every distance is computed."""
+    far = "list_sum(list_transform(list_zip(v.q, c.q), lambda p: (p[1] - p[2]) * (p[1] - p[2])))"
+    steps = [
+        f"""v AS MATERIALIZED (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS q FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) = {width} AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+e AS MATERIALIZED (SELECT vec_id, unnest(q) AS x, unnest(range({width})) AS d FROM v),
+c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('{seed}:' || vec_id), q) - 1 AS c, q FROM v QUALIFY c < {k})"""
+    ]
+    for r in range(rounds + 1):
+        steps.append(f"""a{r} AS MATERIALIZED (SELECT vec_id, c, {far} AS far FROM v, c{r} c QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY far, c) = 1)""")
+        if r < rounds:
+            steps.append(f"""c{r + 1} AS MATERIALIZED (
+  SELECT c, coalesce(n.q, o.q) AS q FROM c{r} o LEFT JOIN (
+    SELECT c, list(((s - ((s % m) + m) % m) // m)::BIGINT ORDER BY d) AS q FROM (SELECT c, d, sum(x) AS s, count(*) AS m FROM a{r} JOIN e USING (vec_id) GROUP BY c, d) GROUP BY c) n USING (c))""")
+    return "WITH " + ",\n".join(steps) + f"""
+SELECT vec_id, a.c::INT AS "cluster", far::BIGINT AS distance, (sum(far) OVER (PARTITION BY a.c))::BIGINT AS cluster_inertia, (sum(far) OVER ())::BIGINT AS inertia,
+       sha256(list_aggregate(list_transform(q, lambda x: x::VARCHAR), 'string_agg', ',')) AS centroid_sha256
+FROM a{rounds} a JOIN c{rounds} USING (c)"""
+
+
+def manifest_sql() -> str:
+    """The trees level by level, then every leaf's siblings."""
+    field = lambda x: f"CASE WHEN {x} IS NULL THEN '-' ELSE strlen({x}::VARCHAR) || ':' || {x}::VARCHAR END"
+    head = " || ".join(field(x) for x in ("doc_id", "source", "lang", "n_chars"))
+    tree = """{t}({g}, pos, h, lvl) AS (
+  SELECT {g}, pos, h, 0 FROM {of}
+  UNION ALL SELECT {g}, pos // 3, sha256(string_agg(h, '' ORDER BY pos)), lvl + 1 FROM (SELECT *, count(*) OVER (PARTITION BY {g}) AS n FROM {t}) WHERE n > 1 GROUP BY {g}, pos // 3, lvl)"""
+    beside = """SELECT l.rid, {k} AS k, t.lvl, coalesce(string_agg(t.h, '' ORDER BY t.pos) FILTER (t.pos < l.{p} // 3 ** t.lvl), '') AS a, coalesce(string_agg(t.h, '' ORDER BY t.pos) FILTER (t.pos > l.{p} // 3 ** t.lvl), '') AS b
+  FROM {l} l JOIN {t} t ON {on} AND t.pos // 3 = (l.{p} // (3 ** t.lvl)::BIGINT) // 3 AND t.lvl < {top} GROUP BY ALL"""
+    beside = beside.replace("// 3 ** t.lvl)", "// (3 ** t.lvl)::BIGINT)")
+    return f"""
+WITH RECURSIVE {CRC_STEPS},
+given AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, doc_id, source, sha256({head} || {field("text")}) AS h,
+         CASE WHEN {CRC.format("doc_id::VARCHAR")} % 2 = 0 THEN sha256({head} || {field("replace(text, chr(10), '')")}) END AS changed
+  FROM documents, steps),
+leaves AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, h) - 1 AS pos FROM given),
+{tree.format(t="tree", g="source", of="leaves")},
+whole AS MATERIALIZED (SELECT *, max(lvl) OVER (PARTITION BY source) AS top FROM tree),
+subroots AS MATERIALIZED (SELECT '' AS g, source, h, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS pos FROM whole WHERE lvl = top),
+{tree.format(t="higher", g="g", of="subroots")},
+upper AS MATERIALIZED (SELECT *, max(lvl) OVER () AS top FROM higher),
+placed AS MATERIALIZED (SELECT l.*, s.h AS subroot, s.pos AS spos FROM leaves l JOIN subroots s ON l.source IS NOT DISTINCT FROM s.source),
+siblings AS (
+  {beside.format(k=0, p="pos", l="placed", t="whole", on="t.source IS NOT DISTINCT FROM l.source", top="t.top")}
+  UNION ALL {beside.format(k=1, p="spos", l="placed", t="upper", on="true", top="t.top")}),
+proofs AS (SELECT rid, list(a || '|' || b ORDER BY k, lvl) AS steps, string_agg(a || b, '' ORDER BY k, lvl) AS proof FROM siblings GROUP BY rid),
+done AS (
+  SELECT doc_id, l.h AS leaf, subroot, (SELECT h FROM upper WHERE lvl = top) AS root, sha256(coalesce(proof, '')) AS proof_sha256,
+         list_reduce(list_prepend(coalesce(changed, l.h), coalesce(steps, [])), lambda x, s: sha256(split_part(s, '|', 1) || x || split_part(s, '|', 2))) AS folded_root
+  FROM placed l LEFT JOIN proofs USING (rid))
+SELECT *, folded_root = root AS verified FROM done"""
+
+
 def oracle_sql() -> dict[str, str]:
     hashes = ", ".join(f"('0x' || substr(md5(doc_id || ':{k}'), 1, 13))::BIGINT" for k in range(24))
     from labeldiff.llm import chat
@@ -89,6 +174,8 @@ def oracle_sql() -> dict[str, str]:
     escaped = f"length({{0}}) + length({{0}}) - length(replace({{0}}, chr(92), '')) + {marks}"
     frame = len(chat.TURN) + len(chat.SAYS) + len(chat.END)
     return {
+        "op11_annulus_clusters": clustering_sql(8, 10, 64, "3"),
+        "op12_merkle_blocks": manifest_sql(),
         "op8_chat_parts": f"""
 WITH given AS (
   SELECT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text FROM conversations
