@@ -305,7 +305,7 @@ def encoded_block(texts: pa.Array, vocabulary: Vocabulary) -> tuple[np.ndarray,
     return ids, per_text
 
 
-def encoder(model):
+def encoder(model, name: str = "ids"):
     """For mapInArrow over (kept columns, text last)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -318,7 +318,7 @@ def encoder(model):
             for lo, hi in zip(*bounds_of(ends[1:] // IDS), strict=True):
                 own = pa.ListArray.from_arrays(pa.array((ends[lo : hi + 1] - ends[lo]).astype(np.int32)), pa.array(ids[ends[lo] : ends[hi]]))
                 kept = table.slice(lo, hi - lo).combine_chunks()
-                yield pa.RecordBatch.from_arrays([*(c.combine_chunks() if c.num_chunks != 1 else c.chunk(0) for c in kept.columns[:-1]), own], names=[*kept.column_names[:-1], "ids"])
+                yield pa.RecordBatch.from_arrays([*(c.combine_chunks() if c.num_chunks != 1 else c.chunk(0) for c in kept.columns[:-1]), own], names=[*kept.column_names[:-1], name])
 
         held, bytes_held = [], 0
         for batch in batches:
@@ -341,17 +341,17 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", keep: Se
     kept = [F.col(f"`{c}`") for c in keep]
     rows = docs.select(*kept, F.coalesce(F.col(f"`{text}`"), F.lit("")).alias(fresh(list(keep), "text")))
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*kept).schema), f"`{name}` array<int>"])
-    return rows.mapInArrow(encoder(shipped(docs.sparkSession, vocabulary)), schema)
+    return rows.mapInArrow(encoder(shipped(docs.sparkSession, vocabulary), name), schema)
 
 
-def decoder(model, at: int):
+def decoder(model, at: int, name: str = "decoded"):
     """For mapInArrow: the ids in column ``at`` become bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = received(model)
         for batch in batches:
             said = pa.array([vocabulary.decode(ids or ()) for ids in batch.column(at).to_pylist()], pa.binary())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:at], said, *batch.columns[at + 1 :]], names=[*batch.schema.names[:at], "decoded", *batch.schema.names[at + 1 :]])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:at], said, *batch.columns[at + 1 :]], names=[*batch.schema.names[:at], name, *batch.schema.names[at + 1 :]])
 
     return run
 
@@ -361,7 +361,7 @@ def decode(rows: DataFrame, vocabulary: Vocabulary, ids: str = "ids") -> DataFra
     at = rows.columns.index(ids)
     name = fresh([c for c in rows.columns if c != ids], "decoded")
     schema = ", ".join(f"`{name}` binary" if f.name == ids else f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
-    return rows.mapInArrow(decoder(shipped(rows.sparkSession, vocabulary), at), schema)
+    return rows.mapInArrow(decoder(shipped(rows.sparkSession, vocabulary), at, name), schema)
 
 
 def digests(model):
