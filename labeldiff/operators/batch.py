@@ -28,10 +28,16 @@ def eligible(items: DataFrame, stage: str, ranks: Sequence[int] | None = None) -
     return rows if ranks is None else rows.where(F.col("rank").isin(*ranks))
 
 
-def advanced(items: DataFrame, results: DataFrame, column: str) -> DataFrame:
-    """items with the states of results (rank, state, error) put in; other items as they were."""
-    rows = items.join(results.select("rank", F.col("state").alias("_s"), F.col("error").alias("_e")), "rank", "left")
-    return rows.withColumn(column, F.coalesce("_s", column)).withColumn("error", F.when(F.col("_s").isNull(), F.col("error")).otherwise(F.col("_e"))).drop("_s", "_e")
+def spans(items: DataFrame, size: int) -> list[tuple[int, int]]:
+    """Ranges of ranks (first, last) that hold items, ``size`` ranks each."""
+    found = items.select(F.floor((F.col("rank") - 1) / F.lit(size)).cast("long").alias("g")).distinct().orderBy("g").collect()
+    return [(r.g * size + 1, (r.g + 1) * size) for r in found]
+
+
+def orphaned(log: DataFrame, keys: Sequence[str], state: str, started: Sequence[str], ended: Sequence[str]) -> DataFrame:
+    """Keys with a start and no end: an anti join of the log with itself."""
+    begun = log.where(F.col(state).isin(*started)).select(*keys).distinct()
+    return begun.join(log.where(F.col(state).isin(*ended)).select(*keys), list(keys), "left_anti")
 
 
 def rollup(items: DataFrame, keys: Sequence[str], terminal: bool | None = None) -> DataFrame:

@@ -7,7 +7,7 @@ folder and counts only when its commit marker is there: readers list markers, no
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +24,39 @@ def compared(existing: DataFrame, incoming: DataFrame, key: Sequence[str], conte
     return both.select(*key, outcome.alias("outcome"))
 
 
+class Refused(Exception):
+    """A commit that would change what is stored or refer to nothing; ``rows`` are the first of what is wrong."""
+
+    def __init__(self, why: str, rows: list):
+        super().__init__(f"{why}: " + "; ".join(f"{r['table']} {r['key']}" for r in rows))
+        self.rows = rows
+
+
+def text_of(columns: Sequence[str]) -> Column:
+    """One text of a key; null if any of its columns is."""
+    return F.concat(*[F.col(c).cast("string") if k == 0 else F.concat(F.lit("|"), F.col(c).cast("string")) for k, c in enumerate(columns)])
+
+
+def contents(rows: DataFrame, name: str, key: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """(table, key, digest) of each row."""
+    whole = F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
+    return rows.select(F.lit(name).alias("table"), text_of(key).alias("key"), F.sha2(whole, 256).alias("digest"))
+
+
+def conflicting(existing: DataFrame, incoming: DataFrame) -> DataFrame:
+    """(table, key) of incoming contents that differ from what is stored under their key, or from each other. Only keys that come in are looked up."""
+    new = incoming.groupBy("table", "key").agg(F.min("digest").alias("low"), F.max("digest").alias("high"))
+    both = new.join(existing.withColumnRenamed("digest", "old"), ["table", "key"], "left")
+    return both.where((F.col("low") != F.col("high")) | (F.col("old") != F.col("low"))).select("table", "key").distinct()
+
+
+def dangling(wanted: DataFrame, there: DataFrame) -> DataFrame:
+    """Rows of wanted (table, other, key) whose (other, key) is not in there. The keys that are wanted are few beside those that are there, so those are narrowed first."""
+    asked = wanted.where("key IS NOT NULL").distinct()
+    found = there.join(asked.select("other", "key").distinct(), ["other", "key"], "left_semi").distinct()
+    return asked.join(found, ["other", "key"], "left_anti").select("table", "other", "key")
+
+
 def fresh_rows(existing: DataFrame, incoming: DataFrame, key: Sequence[str]) -> DataFrame:
     """INSERT OR IGNORE: incoming rows whose key is new; of rows that share a key, the first by all columns."""
     first = incoming.groupBy(*key).agg(F.min(F.struct(*[c for c in incoming.columns if c not in key])).alias("_row"))
@@ -89,11 +122,19 @@ class Store:
             for c in old:
                 fs.delete(self.file_system(f"{self.path}/{table}/{c}")[1], True)
 
-    def commit(self, parts: Mapping[str, DataFrame]) -> str:
-        """Writes all parts, then the marker: all of them count or none does."""
+    def commit(self, parts: Mapping[str, DataFrame], check: Callable[[Mapping[str, DataFrame]], None] | None = None) -> str:
+        """Writes all parts, then the marker: all of them count or none does. ``check`` sees the written parts before they count; what it raises leaves the store as it was."""
         name = uuid.uuid4().hex
-        for table, rows in parts.items():
-            rows.write.parquet(f"{self.path}/{table}/{name}")
+        try:
+            for table, rows in parts.items():
+                rows.write.parquet(f"{self.path}/{table}/{name}")
+            if check:
+                check({table: self.spark.read.schema(rows.schema).parquet(f"{self.path}/{table}/{name}") for table, rows in parts.items()})
+        except Exception:
+            for table in parts:
+                fs, p = self.file_system(f"{self.path}/{table}/{name}")
+                fs.delete(p, True)
+            raise
         order = len(self.commits())
         self.spark.createDataFrame([(name, order)], "commit string, at long").coalesce(1).write.mode("append").json(f"{self.path}/_commits")
         return name

@@ -1,18 +1,22 @@
 """Ranked batches: plan, fetch, ingest, verify, report. A run's items are events in the store, the newest of each rank is its state, so every stage can be run again and takes up only what it has to.
 
-A stage is one plan over all its items. An item that fails gets a state and a message; the others go on.
+A stage takes its items in groups of consecutive ranks. A group is one plan and one commit, so a job that is killed keeps
+the groups it has finished, and the next one takes up the rest. An item that fails gets a state and a message; the others
+go on. If a group's job itself fails, the group is halved until the item that breaks it stands alone.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from labeldiff.functions import identity, rules, text
 from labeldiff.operators import batch, relational, selection
-from labeldiff.operators.store import compared
+from labeldiff.operators.store import Refused, compared
 from labeldiff.plans.flows import NOT_YET, Flows, at
 from labeldiff.plans.tables import TABLES
 from labeldiff.sources import fetch, files
@@ -23,8 +27,8 @@ ITEM = [f.split()[0] for f in TABLES["batch_items"][0].split(", ")]
 class Batches:
     """Runs over the store of ``flows``; ``transport`` answers lookups and downloads below ``base``."""
 
-    def __init__(self, flows: Flows, transport: fetch.Transport, base: str = "https://service", moment: str = NOT_YET):
-        self.flows, self.transport, self.base, self.moment = flows, transport, base, moment
+    def __init__(self, flows: Flows, transport: fetch.Transport, base: str = "https://service", moment: str = NOT_YET, group: int = 500):
+        self.flows, self.transport, self.base, self.moment, self.group = flows, transport, base, moment, group
         self.spark, self.versions = flows.spark, flows.versions
 
     # Lists
@@ -65,10 +69,26 @@ class Batches:
         rows = self.flows.table("batch_runs").where(F.col("run_id") == run_id)
         return relational.latest(rows, ["run_id"], ["seq"], [c for c in rows.columns if c != "run_id"])
 
-    def save(self, items: DataFrame, run_id: str, **more: DataFrame) -> None:
+    def save(self, items: DataFrame, **more: DataFrame) -> None:
         """New events of the items that changed, with whatever belongs to them, in one commit."""
-        rows = items.withColumn("seq", F.col("seq") + 1)
-        self.flows.commit(batch_items=rows, **more)
+        self.flows.commit(batch_items=items.withColumn("seq", F.col("seq") + 1), **more)
+
+    def each(self, todo: DataFrame, run_id: str, work: Callable[[DataFrame], None], broken: dict[str, Column]) -> None:
+        """Runs work on the items group by group. A group whose job fails is halved; an item that fails alone gets the states in ``broken``, the failure as its message, and may be tried again."""
+        spans = batch.spans(todo, self.group)
+        while spans:
+            low, high = spans.pop(0)
+            part = todo.where(F.col("rank").between(low, high))
+            try:
+                work(part)
+            except (Py4JJavaError, PySparkException, Refused) as e:
+                if self.spark.sparkContext._jsc is None or self.spark.sparkContext._jsc.sc().isStopped():
+                    raise
+                if low < high:
+                    middle = (low + high) // 2
+                    spans[:0] = [s for s in ((low, middle), (middle + 1, high)) if not todo.where(F.col("rank").between(*s)).isEmpty()]
+                else:
+                    self.save(self.filled(part.withColumns({"retry": F.lit(True), "message": F.lit(f"{type(e).__name__}: {e}"[:500]), **broken})))
         self.refresh(run_id, False)
 
     def refresh(self, run_id: str, terminal: bool, artifact: str | None = None) -> DataFrame:
@@ -106,8 +126,12 @@ class Batches:
         """Looks up and decides every item that has no decision yet; stores evidence, decisions and failures. Returns the run's id."""
         run, c = self.ensured(list_id), F.col
         todo = self.flows.hold(self.items(run).where("decision_id IS NULL"))
-        if todo.isEmpty():
-            return run
+        if not todo.isEmpty():
+            self.each(todo, run, lambda part: self.plan_group(list_id, part), {"selection": F.lit("FETCH_FAILED"), "discovery": F.lit("LOOKUP_FAILED"), "ingestion": F.lit("NOT_SELECTED"), "error": F.lit("candidate_lookup_failed")})
+        return run
+
+    def plan_group(self, list_id: str, todo: DataFrame) -> None:
+        c = F.col
         got = self.flows.hold(fetch.lookups(todo.select(c("normalized").alias("lookup_id")), self.base, self.transport))
         entries = todo.select(F.lit(list_id).alias("utilization_list_id"), "rank", "ingredient_name", "normalized")
         items, evidence, found = self.decided(entries, got)
@@ -122,8 +146,7 @@ class Batches:
         failures = failed.select("discovery_id", "utilization_list_id", "rank", c("error").alias("category"), "message").join(todo.select("rank", "seq"), "rank")
         states = items.select("rank", "discovery_id", "decision_id", "selection", "discovery", "ingestion", "error", "message", "manual_review", "n_candidates").join(chosen, "discovery_id", "left")
         rows = todo.select("run_id", "rank", "seq", "ingredient_name", "normalized").join(states, "rank").withColumns({"verification": F.lit("NOT_VERIFIED"), "retry": c("discovery") == "LOOKUP_FAILED"})
-        self.save(self.filled(rows), run, discoveries=discoveries, candidates=made, decisions=decision, lookup_failures=failures)
-        return run
+        self.save(self.filled(rows), discoveries=discoveries, candidates=made, decisions=decision, lookup_failures=failures)
 
     def decided(self, entries: DataFrame, responses: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
         """entries: utilization_list_id, rank, ingredient_name, normalized. responses: lookup_id (the normalized name), body, and error and source_url if there are. Returns items, classified evidence, and lookups (discovery_id, source_url, raw_sha256, body, truncated)."""
@@ -154,10 +177,14 @@ class Batches:
         return items, selection.explained(evidence, decided), good.select("discovery_id", "source_url", "raw_sha256", "body", "truncated")
 
     def fetch(self, list_id: str, ranks: Sequence[int] | None = None) -> str:
-        run, c = self.plan(list_id), F.col
+        run = self.plan(list_id)
         todo = self.flows.hold(batch.eligible(self.items(run), "fetch", ranks).where("selection = 'SELECTED'"))
-        if todo.isEmpty():
-            return run
+        if not todo.isEmpty():
+            self.each(todo, run, self.fetch_group, {"ingestion": F.lit("RAW_FETCH_FAILED"), "error": F.lit("raw_fetch_failed")})
+        return run
+
+    def fetch_group(self, todo: DataFrame) -> None:
+        c = F.col
         # The choice is read back from the stored evidence, not from the item.
         picked = self.flows.table("decisions").where("status = 'SELECTED'").join(self.flows.table("candidates"), "discovery_id").where("index = selected_index").select("decision_id", "classes", "status", c("set_id").alias("_s"), c("version").alias("_v"), "discovery_id")
         ready = todo.join(picked.drop("discovery_id"), "decision_id", "left")
@@ -170,14 +197,17 @@ class Batches:
             "error": F.when(c("state").isin("FETCHED", "ALREADY_FETCHED"), None).when(c("state") == "RAW_HASH_CONFLICT", "raw_hash_conflict").otherwise("raw_fetch_failed"), "message": c("_error"), "retry": F.coalesce(c("state") == "RAW_FETCH_FAILED", F.lit(True)),
         })
         lost = lost.withColumns({"ingestion": F.lit("RAW_FETCH_FAILED"), "error": F.lit("candidate_metadata_invalid"), "message": F.lit("the item's evidence is not stored"), "retry": F.lit(False)})
-        self.save(self.filled(rows).unionByName(self.filled(lost)), run)
-        return run
+        self.save(self.filled(rows).unionByName(self.filled(lost)))
 
     def ingest(self, list_id: str, ranks: Sequence[int] | None = None) -> str:
-        run, c = self.fetch(list_id, ranks), F.col
+        run = self.fetch(list_id, ranks)
         todo = self.flows.hold(batch.eligible(self.items(run), "ingest", ranks).where("set_id IS NOT NULL AND version IS NOT NULL"))
-        if todo.isEmpty():
-            return run
+        if not todo.isEmpty():
+            self.each(todo, run, self.ingest_group, {"ingestion": F.lit("DATABASE_FAILED"), "error": F.lit("database_failure")})
+        return run
+
+    def ingest_group(self, todo: DataFrame) -> None:
+        c = F.col
         raw = self.flows.table("raw").join(todo.select("set_id", "version").distinct(), ["set_id", "version"], "left_semi")
         done = self.flows.ingested(raw.select("path", "content", "raw_sha256", "set_id", "version"), self.moment)
         done = done.join(raw.select("path", "set_id", "version"), "path").select("set_id", "version", c("document_id").alias("_d"), "outcome", c("message").alias("_m"), c("raw_sha256").alias("_sha"), "path")
@@ -193,21 +223,25 @@ class Batches:
             "quarantine_id": F.when(~F.coalesce(good, F.lit(False)), identity.quarantine_id(F.lit(""), c("path"), F.lit("ingest"), c("_sha"))).otherwise(c("quarantine_id")),
         }))
         log = rows.select("document_id", F.coalesce("raw_sha256", "_sha").alias("raw_sha256"), "seq", c("compatibility").alias("status"), "message").where("raw_sha256 IS NOT NULL")
-        self.save(self.filled(rows), run, compatibility=log)
-        return run
+        self.save(self.filled(rows), compatibility=log)
 
     def verify(self, list_id: str, ranks: Sequence[int] | None = None, terminal: bool = True) -> str:
-        run, c = self.ingest(list_id, ranks), F.col
+        run = self.ingest(list_id, ranks)
         todo = self.flows.hold(batch.eligible(self.items(run), "verify", ranks).where("document_id IS NOT NULL"))
         if not todo.isEmpty():
-            sound = self.flows.hold(self.flows.verify().select("document_id", "verified", c("failed").alias("_failed")))
-            rows = todo.join(sound, "document_id", "left").withColumn("_ok", F.coalesce("verified", F.lit(False)))
-            rows = rows.withColumns({"verification": F.when(c("_ok"), "VERIFIED").otherwise("FAILED"), "error": F.when(~c("_ok"), "verification_failed"), "message": F.when(~c("_ok"), F.coalesce(F.array_join("_failed", "; "), F.lit("not stored"))), "retry": ~c("_ok")})
-            self.save(self.filled(rows), run)
+            self.each(todo, run, self.verify_group, {"verification": F.lit("FAILED"), "error": F.lit("verification_failed")})
         if terminal:
             self.refresh(run, True)
         return run
 
+    def verify_group(self, todo: DataFrame) -> None:
+        c = F.col
+        raw = self.flows.table("raw").join(todo.select("set_id", "version").distinct(), ["set_id", "version"], "left_semi")
+        sound = self.flows.hold(self.flows.verify(raw.select("path", "content"), todo).select("document_id", "verified", c("failed").alias("_failed")))
+        rows = todo.join(sound, "document_id", "left").withColumn("_ok", F.coalesce("verified", F.lit(False)))
+        rows = rows.withColumns({"verification": F.when(c("_ok"), "VERIFIED").otherwise("FAILED"), "error": F.when(~c("_ok"), "verification_failed"), "message": F.when(~c("_ok"), F.coalesce(F.array_join("_failed", "; "), F.lit("not stored"))), "retry": ~c("_ok")})
+        self.save(self.filled(rows))
+
     def run(self, list_id: str) -> DataFrame:
         return self.report(self.verify(list_id))
 

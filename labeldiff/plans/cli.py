@@ -90,6 +90,7 @@ def run_documents(a: argparse.Namespace, flows: Flows, transport: Transport, mom
         out = rows(flows.fetch(chosen, a.service, transport, moment, versions=bool(a.version)))
         return int(any(r["state"] not in ("FETCHED", "ALREADY_FETCHED") for r in out)), out
     if a.command == "ingest":
+        flows.recover(moment)
         source = files.raw_files(spark, a.raw).select("path", "content") if a.raw else flows.table("raw").select("path", "content", "raw_sha256", "set_id", "version")
         out = rows(flows.ingest(source, moment))
         return int(any(r["outcome"] not in ("INGESTED", "ALREADY_INGESTED") for r in out)), out

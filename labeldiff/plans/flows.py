@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,8 +12,8 @@ from pyspark.sql import functions as F
 from labeldiff import scratch
 from labeldiff.functions import identity, rules, text
 from labeldiff.operators import batch, diff, lineage, matching, relational
-from labeldiff.operators.store import Store, compared, fresh_rows, violations
-from labeldiff.plans.tables import SCHEMA_VERSION, TABLES
+from labeldiff.operators.store import Refused, Store, compared, conflicting, contents, dangling, fresh_rows, text_of, violations
+from labeldiff.plans.tables import CONTENTS, REFERENCES, SCHEMA_VERSION, TABLES
 from labeldiff.sources import fetch, files, xml_documents
 from labeldiff.values import VERSIONS
 
@@ -47,8 +49,28 @@ class Flows:
         return rows.select(*self.spark.createDataFrame([], TABLES[name][0]).columns)
 
     def commit(self, **parts: DataFrame) -> None:
-        """Inserts the rows whose key is new, all tables in one commit."""
-        self.store.commit({n: fresh_rows(self.table(n), self.fitted(n, rows), TABLES[n][1]) for n, rows in parts.items()})
+        """Inserts the rows whose key is new, all tables in one commit. Refused, with nothing written, if a key is stored with other content or a row would refer to nothing."""
+        rows = {n: self.fitted(n, r) for n, r in parts.items()}
+        fixed = [n for n in rows if n in CONTENTS]
+        if fixed:
+            side = lambda t: reduce(DataFrame.unionByName, (contents(t(n), n, TABLES[n][1], CONTENTS[n]) for n in fixed))
+            self.refuse("another content is stored", conflicting(side(self.table), side(rows.get)))
+        self.store.commit({n: fresh_rows(self.table(n), r, TABLES[n][1]) for n, r in rows.items()}, self.refer)
+
+    def refer(self, staged: Mapping[str, DataFrame]) -> None:
+        """Refuses parts whose rows refer to what is neither stored nor staged beside them: one anti join for all rules."""
+        rules_ = [(n, *rule) for n in staged for rule in REFERENCES.get(n, [])]
+        if not rules_:
+            return
+        wanted = reduce(DataFrame.unionByName, (staged[n].select(F.lit(n).alias("table"), F.lit(other).alias("other"), text_of(cols).alias("key")) for n, cols, other, _ in rules_))
+        keys = {other: theirs for _, _, other, theirs in rules_}
+        there = [t.select(F.lit(other).alias("other"), text_of(theirs).alias("key")) for other, theirs in keys.items() for t in (self.table(other), *([staged[other]] if other in staged else []))]
+        self.refuse("nothing is stored", dangling(wanted, reduce(DataFrame.unionByName, there)))
+
+    def refuse(self, why: str, found: DataFrame) -> None:
+        first = found.orderBy("table", "key").limit(5).collect()
+        if first:
+            raise Refused(why, first)
 
     def migrate(self, moment: str = NOT_YET) -> int:
         """The store's schema version, after putting it to the newest: steps are commits, and one that is there is not repeated."""
@@ -128,6 +150,11 @@ class Flows:
     def ingested(self, raw: DataFrame, moment: str = NOT_YET) -> DataFrame:
         """What ``ingest`` does, with one row per file: (path, raw_sha256, document_id, outcome, message)."""
         c = F.col
+        # Before any work: a run that is killed leaves a start without an end, which ``recover`` closes.
+        run = identity.named("ingestion-run", F.lit(uuid.uuid4().hex), c("path"))
+        begun = raw.select("path", *[c(n) if n in raw.columns else F.lit(None).cast("string").alias(n) for n in ("raw_sha256",)]).dropDuplicates(["path"])
+        begun = begun.withColumns({"run_id": run, "seq": F.lit(0).cast("long"), "state": F.lit("started"), "category": F.lit(None).cast("string"), "message": F.lit(None).cast("string"), "at": at(moment)})
+        self.store.commit({"ingestion_events": self.fitted("ingestion_events", begun)})
         asked = ("set_id", "version") if {"set_id", "version"} <= set(raw.columns) else None
         parsed = self.hold(xml_documents.parsed(raw, "raw_sha256" if "raw_sha256" in raw.columns else None, asked))
         parts = xml_documents.children(parsed, versions=self.versions, **self.origin)
@@ -150,13 +177,21 @@ class Flows:
         bad = report.where("outcome NOT IN ('INGESTED', 'ALREADY_INGESTED')").select("path", "raw_sha256", c("outcome").alias("category"), "message").dropDuplicates(["path", "raw_sha256"])
         bad = bad.join(raw.select("path", "content").dropDuplicates(["path"]), "path").withColumns({"n_bytes": F.octet_length("content").cast("long"), "stage": F.lit("ingest"), "quarantine_id": identity.quarantine_id(F.lit(""), c("path"), F.lit("ingest"), c("raw_sha256"))})
         commit["quarantine"] = fresh_rows(self.table("quarantine"), self.fitted("quarantine", bad), ["quarantine_id"])
-        run = identity.named("ingestion-run", F.lit(uuid.uuid4().hex), c("path"))
         failed = ~c("outcome").isin("INGESTED", "ALREADY_INGESTED")
-        events = self.hold(report.withColumn("run_id", run)).withColumn("state", F.explode(F.array(F.lit("started"), F.when(failed, "failed").otherwise("succeeded"))))
-        commit["ingestion_events"] = self.fitted("ingestion_events", events.withColumns({"seq": F.when(c("state") == "started", 0).otherwise(1).cast("long"), "category": F.when(c("state") == "failed", c("outcome")), "message": F.when(c("state") == "failed", c("message")), "at": at(moment)}))
-        self.store.commit(commit)
+        events = report.groupBy("path").agg(F.max(F.struct(failed.cast("int").alias("f"), "outcome", "message", "raw_sha256")).alias("e")).select("path", "e.*").withColumn("run_id", run)
+        ended = c("f") == 1
+        commit["ingestion_events"] = self.fitted("ingestion_events", events.withColumns({"state": F.when(ended, "failed").otherwise("succeeded"), "seq": F.lit(1).cast("long"), "category": F.when(ended, c("outcome")), "message": F.when(ended, c("message")), "at": at(moment)}))
+        self.store.commit(commit, self.refer)
         return report
 
+    def recover(self, moment: str = NOT_YET) -> DataFrame:
+        """Closes the runs that a lost job left open: a start without an end becomes a failure. For the single writer, before it starts work. Returns (run_id, path)."""
+        log = self.table("ingestion_events")
+        lost = batch.orphaned(log, ["run_id"], "state", ["started"], ["failed", "succeeded"])
+        rows = self.hold(log.where("state = 'started'").join(lost, "run_id", "left_semi").withColumns({"seq": F.lit(1).cast("long"), "state": F.lit("failed"), "category": F.lit("interrupted"), "message": F.lit("the job ended before the run did"), "at": at(moment)}))
+        self.commit(ingestion_events=rows)
+        return rows.select("run_id", "path")
+
     def add_history(self, responses: DataFrame, moment: str) -> DataFrame:
         """responses: lookup_id, set_id, body. Good histories are stored once per exact body; returns (set_id, error) of the others."""
         rows = self.hold(files.history(responses).join(responses.select("lookup_id", "body"), "lookup_id"))
@@ -314,16 +349,17 @@ class Flows:
 
     # Verification
 
-    def verify(self, raw: DataFrame | None = None) -> DataFrame:
-        """Per stored document, seven checks. raw: path, content; default: the store's own raw documents."""
+    def verify(self, raw: DataFrame | None = None, only: DataFrame | None = None) -> DataFrame:
+        """Per stored document (of ``only``: document_id), seven checks. raw: path, content; default: the store's own raw documents."""
         c = F.col
         kept = self.table("raw")
         raw = kept.select("path", "content") if raw is None else raw
         again = self.hold(xml_documents.parsed(raw))
         parts = xml_documents.children(again, versions=self.versions, **self.origin)
         now = parts["documents"].select("document_id", c("raw_sha256").alias("_raw"), c("normalized_sha256").alias("_norm")).distinct()
-        d = self.table("documents")
-        sections = self.table("sections").withColumn("_again", xml_documents.section_hash(c("heading"), c("text"), c("code"), c("structure")))
+        chosen = (lambda t: t) if only is None else (lambda t: t.join(only.select("document_id"), "document_id", "left_semi"))
+        d = chosen(self.table("documents"))
+        sections = chosen(self.table("sections")).withColumn("_again", xml_documents.section_hash(c("heading"), c("text"), c("code"), c("structure")))
         broken = sections.where("_again <> sha256").select("document_id").distinct().withColumn("_broken", F.lit(True))
         orphan = relational.orphans(self.table("mappings"), self.table("sections"), ["section_id"]).select("document_id").union(relational.foreign_parents(self.table("sections"), "section_id", "parent_id", "document_id").select("document_id")).distinct().withColumn("_orphan", F.lit(True))
         double = [self.table(n).groupBy(*key).agg(F.count(F.lit(1)).alias("n"), F.min("document_id").alias("_d")).where("n > 1").select(c("_d").alias("document_id")) for n, (_, key) in TABLES.items() if n in ("documents", "sections", "products", "ingredients", "mappings", "statuses")]
@@ -381,11 +417,7 @@ class Flows:
         """Every broken key, reference and check of the store; no rows if it is sound."""
         t = {n: self.table(n) for n in TABLES}
         out = [violations(t[n], n, unique=[key]) for n, (_, key) in TABLES.items()]
-        out += [violations(t[n], n, references={"document": (["document_id"], t["documents"], ["document_id"])}) for n in ("sections", "products", "ingredients", "mappings", "statuses")]
-        out.append(violations(t["mappings"], "mappings", references={"section": (["section_id"], t["sections"], ["section_id"])}))
-        out.append(violations(t["section_diffs"], "section_diffs", references={"diff": (["diff_id"], t["diffs"], ["diff_id"])}))
-        out.append(violations(t["candidates"], "candidates", references={"discovery": (["discovery_id"], t["discoveries"], ["discovery_id"])}))
-        out.append(violations(t["entries"], "entries", references={"list": (["utilization_list_id"], t["lists"], ["utilization_list_id"])}))
+        out += [violations(t[n], n, references={other: (cols, t[other], theirs)}) for n, found in REFERENCES.items() for cols, other, theirs in found]
         foreign = relational.foreign_parents(t["sections"], "section_id", "parent_id", "document_id")
         out.append(foreign.groupBy("section_id").agg(F.count(F.lit(1)).alias("n")).select(F.lit("sections").alias("table"), F.lit("parent in other document").alias("rule"), F.col("section_id").alias("key"), "n"))
         whole = out[0]

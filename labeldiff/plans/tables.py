@@ -1,4 +1,4 @@
-"""The store's tables: schema and key of each, and the version of the whole."""
+"""The store's tables: schema and key of each, what must not change under a key, what refers to what, and the version of the whole."""
 
 from __future__ import annotations
 
@@ -32,3 +32,29 @@ TABLES = {
     "batch_items": (f"run_id string, rank int, seq long, {_ITEM}", ["run_id", "rank", "seq"]),
     "batch_artifacts": ("artifact_id string, run_id string, canonical string, sha256 string", ["artifact_id"]),
 }
+
+#: Columns whose values belong to the key for good: a commit that brings others is refused.
+CONTENTS = {
+    "discoveries": ["normalized", "connector", "raw_sha256", "body", "truncated"],
+    "candidates": ["discovery_id", "index", "set_id", "version", "title", "published", "metadata_sha256", "classes", "accepted", "reasons"],
+    "decisions": ["discovery_id", "rule", "status", "selected_index", "manual_review", "sha256"],
+    "history": ["version", "published_text", "raw_sha256"],
+    "edges": ["old_document_id", "new_document_id", "status", "sha256"],
+    "section_diffs": ["sha256"],
+    "lists": ["sha256"],
+}
+
+#: table: [(columns, table that must have them, its key)]; null refers to nothing.
+REFERENCES = {
+    **{n: [(["document_id"], "documents", ["document_id"])] for n in ("products", "ingredients", "statuses")},
+    "sections": [(["document_id"], "documents", ["document_id"]), (["parent_id"], "sections", ["section_id"])],
+    "mappings": [(["document_id"], "documents", ["document_id"]), (["section_id"], "sections", ["section_id"])],
+    "section_diffs": [(["diff_id"], "diffs", ["diff_id"])],
+    "edges": [(["old_document_id"], "documents", ["document_id"]), (["new_document_id"], "documents", ["document_id"])],
+    "entries": [(["utilization_list_id"], "lists", ["utilization_list_id"])],
+    "discoveries": [(["utilization_list_id"], "lists", ["utilization_list_id"])],
+    "candidates": [(["discovery_id"], "discoveries", ["discovery_id"])],
+    "decisions": [(["discovery_id"], "discoveries", ["discovery_id"])],
+    "batch_items": [(["run_id"], "batch_runs", ["run_id"])],
+    "batch_artifacts": [(["run_id"], "batch_runs", ["run_id"])],
+}

@@ -11,8 +11,9 @@ RAW = "path string, modificationTime timestamp, length long, content binary"
 
 
 def watch(spark: SparkSession, root: str, store: str, checkpoint: str, pattern: str = "*.xml") -> StreamingQuery:
-    """A query that ingests files under root until stopped. A batch that is run again after a failure inserts nothing twice, since ids are those of the content."""
+    """A query that ingests files under root until stopped. A batch that is run again after a failure inserts nothing twice, since ids are those of the content; the runs it had started are closed first."""
     flows = Flows(spark, store)
+    flows.recover()
     rows = spark.readStream.format("binaryFile").schema(RAW).option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(root)
 
     def insert(batch, _):

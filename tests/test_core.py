@@ -4,15 +4,22 @@ from __future__ import annotations
 
 import io
 import json
+import os
+import signal
+import subprocess
+import sys
+import time
 import uuid
 import zipfile
 from datetime import date
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from labeldiff.functions import identity, rules, text
 from labeldiff.operators import batch, diff, lineage, matching, relational, selection, store
+from labeldiff.operators.store import Refused
 from labeldiff.plans import cli
 from labeldiff.plans.batches import Batches
 from labeldiff.plans.flows import Flows
@@ -540,3 +547,114 @@ def test_cli_batch(spark, tmp_path):
     code, out = call("batch", "run", "L")
     assert code == 2 and [i["verification"] for i in out["items"]] == ["VERIFIED", "NOT_VERIFIED"] and out["run"][0]["status"] == "PARTIAL_FAILURE" and out["report"]
     assert len(call("candidates", "drugol")[1]) == 2 and call("fetch", "SET-1", "1")[0] == 0 and call("ingest")[1] == [{"outcome": "ALREADY_INGESTED", "n": 1}, {"outcome": "INGESTED", "n": 1}]
+
+
+# Runs that survive
+
+
+def test_open_runs_are_closed(spark, tmp_path, monkeypatch):
+    f = Flows(spark, str(tmp_path / "s"))
+    states = lambda: [(r.path, r.state, r.category) for r in f.table("ingestion_events").orderBy("path", "seq").collect()]
+    with monkeypatch.context() as m:
+        m.setattr(xml_documents, "parsed", lambda *a, **b: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            f.ingest(raw(spark, V1, V2))
+    names = [r.path for r in raw(spark, V1, V2).orderBy("path").collect()]
+    assert states() == [(n, "started", None) for n in names] and f.count("documents") == 0
+    assert f.recover().count() == 2 and f.recover().count() == 0
+    assert states() == [x for n in names for x in ((n, "started", None), (n, "failed", "interrupted"))]
+    f.ingest(raw(spark, V1))
+    assert "succeeded" in {s for _, s, _ in states()} and f.recover().count() == 0 and f.count("documents") == 1
+
+
+def test_commits_that_change_or_dangle_are_refused(spark, tmp_path):
+    f = Flows(spark, str(tmp_path / "s"))
+    made = lambda name, **values: f.spark.range(1).select(*[F.lit(values.get(x.name)).cast(x.dataType).alias(x.name) for x in f.table(name).schema])
+    lists = made("lists", utilization_list_id="L", sha256="1")
+    discovery = made("discoveries", discovery_id="d", utilization_list_id="L", raw_sha256="r")
+    decision = lambda status: made("decisions", decision_id="x", discovery_id="d", status=status, sha256=status)
+    with pytest.raises(Refused, match="nothing is stored: discoveries L"):
+        f.commit(discoveries=discovery, decisions=decision("SELECTED"))
+    assert f.store.commits() == [] and not list((tmp_path / "s" / "discoveries").iterdir())
+    f.commit(lists=lists, discoveries=discovery, decisions=decision("SELECTED"))
+    f.commit(discoveries=discovery, decisions=decision("SELECTED"))
+    with pytest.raises(Refused, match="another content is stored: decisions x"):
+        f.commit(decisions=decision("NO_CANDIDATE"), lists=made("lists", utilization_list_id="M", sha256="2"))
+    with pytest.raises(Refused, match="decisions y"):
+        f.commit(decisions=decision("A").union(decision("B")).withColumn("decision_id", F.lit("y")))
+    assert [r.status for r in f.table("decisions").collect()] == ["SELECTED"] and f.count("lists") == 1
+    with pytest.raises(Refused, match="sections doc"):
+        f.commit(sections=made("sections", section_id="s", document_id="doc"))
+    with pytest.raises(Refused, match="edges"):
+        f.commit(edges=made("edges", edge_id="e", old_document_id="doc"))
+    assert f.count("sections") == 0 and f.integrity().count() == 0
+
+
+def many(names):
+    """A service in which every name has one document."""
+    out = {f"{BASE}/spls.json?drug_name={n}&page=1&pagesize=100": json.dumps({"metadata": {}, "data": [record(n.upper(), "2", [n])]}).encode() for n in names}
+    return out | {f"{BASE}/spls/{n.upper()}.xml": document("2", set_id=n.upper()) for n in names}
+
+
+class Deadly(fetch.Recorded):
+    """Ends the Python worker at one address: a failure of the job, not of the request."""
+
+    def __call__(self, url, accept):
+        if url.endswith("/CC.xml"):
+            os._exit(3)
+        return super().__call__(url, accept)
+
+
+def test_an_item_that_breaks_its_job_stands_alone(spark, tmp_path):
+    (tmp_path / "l.json").write_text(ranked("L", "aa", "bb", "cc", "dd"))
+    b = Batches(Flows(spark, str(tmp_path / "s")), Deadly(many(["aa", "bb", "cc", "dd"])), BASE)
+    b.add_list(files.ranked_lists(spark, str(tmp_path / "l.json")))
+    run = b.fetch("L")
+    got = {r["rank"]: (r.ingestion, r.retry) for r in b.items(run).collect()}
+    assert got == {1: ("FETCHED", False), 2: ("FETCHED", False), 3: ("RAW_FETCH_FAILED", True), 4: ("FETCHED", False)}
+    healed = Batches(Flows(spark, str(tmp_path / "s")), fetch.Recorded(many(["aa", "bb", "cc", "dd"])), BASE)
+    assert [r.ingestion for r in healed.items(healed.fetch("L")).orderBy("rank").collect()] == ["FETCHED"] * 4
+
+
+KILLED = """
+import sys, time
+sys.path[:0] = [{root!r}]
+from pyspark.sql import SparkSession
+from labeldiff.plans.batches import Batches
+from labeldiff.plans.flows import Flows
+from labeldiff.sources import fetch, files
+from tests.test_core import BASE, many
+
+class Slow(fetch.Recorded):
+    def __call__(self, url, accept):
+        if url.endswith("/CC.xml"):
+            open({mark!r}, "w").close()
+            time.sleep(600)
+        return super().__call__(url, accept)
+
+spark = SparkSession.builder.master("local[2]").config("spark.sql.shuffle.partitions", "2").config("spark.ui.enabled", "false").getOrCreate()
+b = Batches(Flows(spark, {store!r}), Slow(many(["aa", "bb", "cc", "dd"])), BASE, group=1)
+b.add_list(files.ranked_lists(spark, {names!r}))
+b.fetch("L")
+"""
+
+
+def test_a_killed_fetch_keeps_what_is_finished(spark, tmp_path):
+    root = str(Path(__file__).resolve().parent.parent)
+    (tmp_path / "l.json").write_text(ranked("L", "aa", "bb", "cc", "dd"))
+    mark, store = tmp_path / "mark", str(tmp_path / "s")
+    job = subprocess.Popen([sys.executable, "-c", KILLED.format(root=root, mark=str(mark), store=store, names=str(tmp_path / "l.json"))], cwd=root, start_new_session=True)
+    try:
+        until = time.time() + 300
+        while not mark.exists() and job.poll() is None and time.time() < until:
+            time.sleep(0.5)
+    finally:
+        os.killpg(job.pid, signal.SIGKILL)
+        job.wait()
+    assert mark.exists()
+    b = Batches(Flows(spark, store), fetch.Recorded(many(["aa", "bb", "cc", "dd"])), BASE)
+    run = b.run_id("L")
+    assert [r.ingestion for r in b.items(run).orderBy("rank").collect()] == ["FETCHED", "FETCHED", "PENDING", "PENDING"] and b.flows.count("raw") == 2
+    assert b.flows.integrity().count() == 0
+    assert [r.ingestion for r in b.items(b.fetch("L")).orderBy("rank").collect()] == ["FETCHED"] * 4
+    assert b.flows.table("batch_items").where("ingestion = 'FETCHED'").count() == 4
