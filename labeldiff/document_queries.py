@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from labeldiff.functions import identity, rules, text
 from labeldiff.operators import batch, diff, lineage, matching, relational, selection
 from labeldiff.queries import document_pairs, joined, query, read
+from labeldiff.scratch import held
 from labeldiff.sources import fetch, files, xml_documents
 from labeldiff.values import CODE_CONCEPTS, CONCEPTS, REJECTIONS, SELECTION_ERRORS
 
@@ -50,12 +51,10 @@ def xml_files(spark: SparkSession, d: str) -> DataFrame:
     return read(spark, d, "documents").select(i.cast("string").alias("path"), whole.cast("binary").alias("content"))
 
 
-def xml_tables(spark: SparkSession, d: str) -> dict[str, DataFrame]:
-    return xml_documents.children(xml_documents.parsed(xml_files(spark, d)))
-
-
-def with_path(rows: DataFrame, parts: dict[str, DataFrame]) -> DataFrame:
-    return rows.join(parts["documents"].select("document_id", "path"), "document_id")
+def xml_tables(spark: SparkSession, d: str, keep: bool = False) -> dict[str, DataFrame]:
+    """The normalized tables; ``keep`` where more than one of them is read, so that every document is parsed once."""
+    rows = xml_documents.parsed(xml_files(spark, d))
+    return xml_documents.children(held(rows, "parsed") if keep else rows)
 
 
 SECTIONS = """s AS (
@@ -70,6 +69,11 @@ x AS (
 y AS (SELECT *, CASE WHEN seq % 10 = 9 THEN 'TEXT_ELEMENT_ABSENT' WHEN body = '' THEN 'PRESENT_EMPTY' ELSE 'PRESENT' END AS status FROM x)""".replace("{codes}", ", ".join(f"'{c}'" for c in CODES))
 
 
+#: The sections of documents whose header is refused.
+SECTIONS_OF_ODD = """SELECT doc_id, seq, '/document[1]/component[1]/structuredBody[1]/component[' || (seq // 2 + 1) || ']/section[1]' || CASE WHEN seq % 2 = 1 THEN '/component[1]/section[1]' ELSE '' END AS locator
+FROM (SELECT doc_id, unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS seq FROM documents WHERE doc_id % 13 IN (6, 7))"""
+
+
 @query("""SELECT doc_id::VARCHAR AS path, CASE WHEN doc_id % 13 IN (5, 8) THEN 'malformed_xml' ELSE 'unsupported_document_structure' END AS category FROM documents WHERE doc_id % 13 IN (5, 6, 7, 8)""")
 def q_xml_errors(spark, d):
     """Guards, well-formedness, required values and dates: documents that cannot be read are rows with a category."""
@@ -100,10 +104,17 @@ def q_xml_section_hash(spark, d):
     return rows.select("path", "seq", "sha256", (xml_documents.section_hash(c("heading"), c("text"), c("code"), c("structure")) == c("sha256")).alias("again"))
 
 
+@query(f"""WITH {SECTIONS} SELECT doc_id::VARCHAR AS path, seq::INT AS seq, locator, 'x' || seq AS xml_id, NULL::VARCHAR AS error FROM y
+UNION ALL SELECT doc_id::VARCHAR, seq::INT, locator, 'x' || seq, NULL FROM ({SECTIONS_OF_ODD})
+UNION ALL SELECT doc_id::VARCHAR, NULL, NULL, NULL, 'malformed_xml' FROM documents WHERE doc_id % 13 IN (5, 8)""")
+def q_xml_section_ids(spark, d):
+    """Sections' ids by the scan that builds no tree: also of documents whose header the parser refuses."""
+    return xml_documents.section_ids(xml_files(spark, d))
+
+
 @query("""SELECT doc_id::VARCHAR AS path, k::INT AS seq, 'Brand ' || (doc_id % 7) AS brand, 'TABLET' AS form, ['ORAL', 'TOPICAL'][k + 1] AS route FROM (SELECT doc_id, unnest(range(CASE WHEN doc_id % 2 = 0 THEN 2 ELSE 1 END)) AS k FROM documents WHERE doc_id % 13 NOT IN (5, 6, 7, 8))""")
 def q_xml_products(spark, d):
-    parts = xml_tables(spark, d)
-    return with_path(parts["products"], parts).select("path", "seq", "brand", "form", "route")
+    return xml_tables(spark, d)["products"].select("path", "seq", "brand", "form", "route")
 
 
 _CONCEPT = "CASE code " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in CODE_CONCEPTS.items()) + " END"
@@ -114,26 +125,25 @@ g AS (SELECT doc_id, concept, bool_or(filled) AS filled FROM f WHERE concept IS
 SELECT e.doc_id::VARCHAR AS path, e.concept, CASE WHEN filled IS NULL THEN 'ABSENT' WHEN filled THEN 'PRESENT' ELSE 'PRESENT_EMPTY' END AS status FROM e LEFT JOIN g USING (doc_id, concept)""")
 def q_xml_statuses(spark, d):
     """Concept statuses: present if a mapped section or one below it has text."""
-    parts = xml_tables(spark, d)
-    return with_path(parts["statuses"], parts).select("path", "concept", "status")
+    return xml_tables(spark, d)["statuses"].select("path", "concept", "status")
 
 
 @query(f"""WITH {SECTIONS} SELECT doc_id::VARCHAR AS path, count(*) AS n_sections, count({_CONCEPT}) AS n_mapped, count(*) - count({_CONCEPT}) AS n_unmapped, count(*) FILTER (status = 'PRESENT_EMPTY') AS n_empty,
 CASE WHEN count(*) = count({_CONCEPT}) AND count(*) FILTER (status = 'PRESENT_EMPTY') = 0 THEN 'FULLY_PARSED' ELSE 'PARSED_WITH_UNMAPPED_SECTIONS' END AS compatibility FROM y GROUP BY doc_id""")
 def q_xml_compatibility(spark, d):
     """Mapped, unmapped and empty sections of each document, and what they say about the parser."""
-    parts = xml_tables(spark, d)
+    parts = xml_tables(spark, d, keep=True)
     mapped = parts["mappings"].select("section_id").distinct().withColumn("_m", F.lit(1))
-    rows = parts["sections"].join(mapped, "section_id", "left").groupBy("document_id").agg(F.count(F.lit(1)).alias("n_sections"), F.count("_m").alias("n_mapped"), F.count_if(F.col("_m").isNull()).alias("n_unmapped"), F.count_if(F.col("status") == "PRESENT_EMPTY").alias("n_empty"))
-    return with_path(rows, parts).select("path", "n_sections", "n_mapped", "n_unmapped", "n_empty", rules.compatibility(F.col("n_unmapped"), F.col("n_empty")).alias("compatibility"))
+    rows = parts["sections"].join(mapped, "section_id", "left").groupBy("path").agg(F.count(F.lit(1)).alias("n_sections"), F.count("_m").alias("n_mapped"), F.count_if(F.col("_m").isNull()).alias("n_unmapped"), F.count_if(F.col("status") == "PRESENT_EMPTY").alias("n_empty"))
+    return rows.select("path", "n_sections", "n_mapped", "n_unmapped", "n_empty", rules.compatibility(F.col("n_unmapped"), F.col("n_empty")).alias("compatibility"))
 
 
 @query(f"""WITH {SECTIONS} SELECT a.doc_id::VARCHAR AS path, a.seq::INT AS seq, b.locator AS parent_locator FROM y a JOIN y b ON b.doc_id = a.doc_id AND b.seq = a.parent_seq""")
 def q_xml_parents(spark, d):
     """Parents by their stored ids."""
-    parts = xml_tables(spark, d)
+    parts = xml_tables(spark, d, keep=True)
     above = parts["sections"].select(F.col("section_id").alias("parent_id"), F.col("locator").alias("parent_locator"))
-    return with_path(parts["sections"].join(above, "parent_id"), parts).select("path", "seq", "parent_locator")
+    return parts["sections"].join(above, "parent_id").select("path", "seq", "parent_locator")
 
 
 # Lookups, histories, lists, raw documents

@@ -78,30 +78,41 @@ def violations(rows: DataFrame, name: str, unique: Sequence[Sequence[str]] = (),
     return whole.select(F.lit(name).alias("table"), "rule", "key", F.col("n").cast("long").alias("n"))
 
 
+#: A commit's marker: its name, its place, and the tables that it wrote.
+MARKER = "commit string, at long, tables array<string>"
+
+
 class Store:
     """Named tables under one folder. Every commit is a folder of part tables plus a marker row; a table is the union of its committed parts."""
 
     def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path.rstrip("/")
+        self.spark, self.path, self.seen = spark, path.rstrip("/"), None
+
+    def mark(self, name: str, order: int, tables: Sequence[str], folder: str) -> None:
+        self.spark.createDataFrame([(name, order, list(tables))], MARKER).coalesce(1).write.mode("append").json(f"{self.path}/{folder}")
 
     def file_system(self, path: str):
         context = self.spark.sparkContext
         p = context._jvm.org.apache.hadoop.fs.Path(path)
         return p.getFileSystem(context._jsc.hadoopConfiguration()), p
 
-    def commits(self) -> list[str]:
-        """Names of the commits in order. Only a store without any is empty; markers that cannot be read are an error."""
-        if not self.exists(f"{self.path}/_commits"):
+    def markers(self) -> list:
+        """Rows (commit, tables) of the commits in order, read again when the folder of markers has changed. Only a store without any is empty; markers that cannot be read are an error."""
+        fs, p = self.file_system(f"{self.path}/_commits")
+        if not fs.exists(p):
             return []
-        rows = self.spark.read.schema("commit string, at long").option("mode", "FAILFAST").json(f"{self.path}/_commits").orderBy("at", "commit").collect()
-        return [r["commit"] for r in rows]
+        state = (fs.getFileStatus(p).getModificationTime(), fs.getContentSummary(p).getFileCount())
+        if self.seen is None or self.seen[0] != state:
+            rows = self.spark.read.schema(MARKER).option("mode", "FAILFAST").json(f"{self.path}/_commits").orderBy("at", "commit").collect()
+            self.seen = (state, rows)
+        return self.seen[1]
+
+    def commits(self) -> list[str]:
+        return [r["commit"] for r in self.markers()]
 
     def table(self, name: str, schema: str) -> DataFrame:
-        """Committed rows; a part that a commit did not write is empty. The table's folder is listed once, however many commits there are."""
-        folder = f"{self.path}/{name}"
-        fs, p = self.file_system(folder)
-        there = {x.getPath().getName() for x in fs.listStatus(p)} if fs.exists(p) else set()
-        paths = [f"{folder}/{c}" for c in self.commits() if c in there]
+        """Committed rows. Markers tell which commits wrote the table, so nothing is listed."""
+        paths = [f"{self.path}/{name}/{r['commit']}" for r in self.markers() if name in r["tables"]]
         return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
 
     def exists(self, path: str) -> bool:
@@ -114,10 +125,11 @@ class Store:
         name = uuid.uuid4().hex
         for table, schema in schemas.items():
             self.table(table, schema).write.parquet(f"{self.path}/{table}/{name}")
-        self.spark.createDataFrame([(name, 0)], "commit string, at long").coalesce(1).write.json(f"{self.path}/_compacted")
+        self.mark(name, 0, list(schemas), "_compacted")
         fs, p = self.file_system(f"{self.path}/_commits")
         fs.delete(p, True)
         fs.rename(self.file_system(f"{self.path}/_compacted")[1], p)
+        self.seen = None
         for table in schemas:
             for c in old:
                 fs.delete(self.file_system(f"{self.path}/{table}/{c}")[1], True)
@@ -135,8 +147,7 @@ class Store:
                 fs, p = self.file_system(f"{self.path}/{table}/{name}")
                 fs.delete(p, True)
             raise
-        order = len(self.commits())
-        self.spark.createDataFrame([(name, order)], "commit string, at long").coalesce(1).write.mode("append").json(f"{self.path}/_commits")
+        self.mark(name, len(self.markers()), list(parts), "_commits")
         return name
 
     def insert(self, name: str, rows: DataFrame, schema: str, key: Sequence[str], content: str | None = None) -> DataFrame:

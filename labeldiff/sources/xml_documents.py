@@ -14,6 +14,8 @@ import re
 import xml.etree.ElementTree as ET
 from collections.abc import Iterator
 from datetime import datetime
+from functools import lru_cache
+from json.encoder import encode_basestring
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -24,6 +26,10 @@ from labeldiff.values import CONCEPTS, MAX_BYTES, TEXT_BLOCKS, VERSIONS
 
 #: Namespace of the documents.
 NS = "urn:hl7-org:v3"
+#: Bytes of documents whose rows leave a task together.
+BATCH_BYTES = 2_000_000
+#: Bytes that the scan for ids reads at once.
+SCAN_BYTES = 65_536
 _DECLARED = re.compile(rb"<!\s*(?:DOCTYPE|ENTITY)\b", re.I)
 
 SECTION = "struct<seq:int,parent_seq:int,depth:int,code:string,heading:string,text:string,status:string,locator:string,xml_id:string,structure:string,comparison:string,sha256:string,filled:boolean,parent_locator:string,parent_sha256:string>"
@@ -43,8 +49,13 @@ def canonical(value: object) -> str:
     return json.dumps(value, ensure_ascii=False, sort_keys=True, separators=(",", ":"), allow_nan=False)
 
 
+@lru_cache(maxsize=4096)
+def local_name(tag: str) -> str:
+    return tag.rpartition("}")[2]
+
+
 def local(node: ET.Element) -> str:
-    return node.tag.rpartition("}")[2] if isinstance(node.tag, str) else ""
+    return local_name(node.tag) if isinstance(node.tag, str) else ""
 
 
 def squeezed(text: str | None) -> str | None:
@@ -85,74 +96,86 @@ def distinct(values) -> list[str]:
     return list(seen.values())
 
 
-def tree(node: ET.Element, locator: str, located: bool = True) -> dict:
-    """The structure below a node; ``located`` False leaves the locators out, for comparison. An explicit stack, so depth does not matter."""
+def quoted(value: str | None) -> str:
+    return "null" if value is None else encode_basestring(value)
 
-    def own(n: ET.Element, at: str) -> dict:
-        out = {"attributes": sorted([k, v] for k, v in n.attrib.items()), "children": [], "tag": local(n), "tail": squeezed(n.tail), "text": squeezed(n.text)}
-        return out | {"locator": at} if located else out
 
-    top = own(node, locator)
-    todo = [(node, locator, top)]
+def structures(node: ET.Element, locator: str) -> tuple[str, str]:
+    """Canonical JSON of the structure below a node, with locators and (for comparison) without, in one walk. An explicit stack, so depth does not matter."""
+    located, plain = [], []
+    todo: list = [(node, locator, "")]
     while todo:
-        n, at, out = todo.pop()
-        counts: dict[str, int] = {}
-        for c in n:
-            name = local(c)
-            counts[name] = counts.get(name, 0) + 1
-            where = f"{at}/{name}[{counts[name]}]"
-            below = own(c, where)
-            out["children"].append(below)
-            todo.append((c, where, below))
-    return top
-
-
-def located(node: ET.Element, at: str) -> Iterator[tuple[ET.Element, str]]:
-    """Children with their locators: the ordinal counts elements of the same local name."""
-    counts: dict[str, int] = {}
+        item = todo.pop()
+        if isinstance(item[0], str):
+            located.append(item[0])
+            plain.append(item[1])
+            continue
+        n, at, comma = item
+        head = f'{comma}{{"attributes":{canonical(sorted([k, v] for k, v in n.attrib.items())) if n.attrib else "[]"},"children":['
+        rest = f'"tag":{quoted(local(n))},"tail":{quoted(squeezed(n.tail))},"text":{quoted(squeezed(n.text))}}}'
+        located.append(head)
+        plain.append(head)
+        todo.append((f'],"locator":{quoted(at)},{rest}', f"],{rest}"))
+        if len(n):
+            counts: dict[str, int] = {}
+            below = []
+            for c in n:
+                name = local(c)
+                counts[name] = counts.get(name, 0) + 1
+                below.append((c, f"{at}/{name}[{counts[name]}]", "," if below else ""))
+            todo += below[::-1]
+    return "".join(located), "".join(plain)
+
+
+def ordinal(node: ET.Element, above: dict[ET.Element, ET.Element]) -> str:
+    """The locator of a node: on each level the ordinal among siblings of the same local name."""
+    steps = []
+    while node in above:
+        same = [c for c in above[node] if local(c) == local(node)]
+        steps.append(f"/{local(node)}[{same.index(node) + 1}]")
+        node = above[node]
+    return "".join([f"/{local(node)}[1]", *reversed(steps)])
+
+
+def components(node: ET.Element, at: str, parent: int | None, depth: int) -> list[tuple[ET.Element, str, int | None, int]]:
+    """The sections within the components below a node, in order, as ``sections_of`` takes them up."""
+    found, k = [], 0
     for c in node:
-        name = local(c)
-        counts[name] = counts.get(name, 0) + 1
-        yield c, f"{at}/{name}[{counts[name]}]"
+        if local(c) == "component":
+            k += 1
+            inner = [s for s in c if local(s) == "section"]
+            found += [(s, f"{at}/component[{k}]/section[{i}]", parent, depth) for i, s in enumerate(inner, 1)]
+    return found
 
 
-def sections_of(root: ET.Element) -> list[dict]:
-    bodies, todo = [], [(root, f"/{local(root)}[1]")]
-    while todo:
-        node, at = todo.pop()
-        if node.tag == f"{{{NS}}}structuredBody":
-            bodies.append((node, at))
-        todo += list(located(node, at))
+def sections_of(root: ET.Element, above: dict[ET.Element, ET.Element]) -> list[dict]:
+    bodies = list(root.iter(f"{{{NS}}}structuredBody"))
     if len(bodies) > 1:
         raise Rejected("unsupported_document_structure", "more than one structuredBody")
     out: list[dict] = []
-    todo = [(*bodies[0], None, 0)] if bodies else []
-
-    def below(node, at, parent, depth):
-        found = [(s, where, parent, depth) for c, there in located(node, at) if local(c) == "component" for s, where in located(c, there) if local(s) == "section"]
-        return found[::-1]
-
-    todo = below(*todo[0]) if todo else []
+    todo = components(bodies[0], ordinal(bodies[0], above), None, 0)[::-1] if bodies else []
     while todo:
         node, at, parent, depth = todo.pop()
-        body, identifier = child(node, "text"), child(node, "id")
+        first: dict[str, ET.Element] = {}
+        for c in node:
+            first.setdefault(local(c), c)
+        body, identifier = first.get("text"), first.get("id")
         text = flat_text(body) or ""
-        where = next((a for c, a in located(node, at) if c is body), "")
+        structure, comparison = structures(body, f"{at}/text[1]") if body is not None else (None, None)
         row = {
-            "seq": len(out), "parent_seq": parent, "depth": depth, "code": attribute(child(node, "code"), "code"), "heading": flat_text(child(node, "title")), "text": text,
+            "seq": len(out), "parent_seq": parent, "depth": depth, "code": attribute(first.get("code"), "code"), "heading": flat_text(first.get("title")), "text": text,
             "status": "TEXT_ELEMENT_ABSENT" if body is None else "PRESENT" if text else "PRESENT_EMPTY", "locator": at,
-            "xml_id": attribute(identifier, "root") if identifier is not None and str(node.tag).startswith(f"{{{NS}}}") else None,
-            "structure": canonical(tree(body, where)) if body is not None else None, "comparison": canonical(tree(body, "", False)) if body is not None else None,
+            "xml_id": attribute(identifier, "root") if identifier is not None and str(node.tag).startswith(f"{{{NS}}}") else None, "structure": structure, "comparison": comparison,
         }
-        content = {"original_heading": row["heading"], "original_text": text, "source_section_code": row["code"], "structured_content": json.loads(row["structure"]) if row["structure"] else None}
-        row["sha256"] = hashlib.sha256(canonical(content).encode()).hexdigest()
+        content = f'{{"original_heading":{quoted(row["heading"])},"original_text":{quoted(text)},"source_section_code":{quoted(row["code"])},"structured_content":{structure or "null"}}}'
+        row["sha256"] = hashlib.sha256(content.encode()).hexdigest()
         out.append(row)
-        todo += below(node, at, row["seq"], depth + 1)
+        todo += components(node, at, row["seq"], depth + 1)[::-1]
     return out
 
 
-def products_of(root: ET.Element) -> list[dict]:
-    out, above = [], {c: p for p in root.iter() for c in p}
+def products_of(root: ET.Element, above: dict[ET.Element, ET.Element]) -> list[dict]:
+    out = []
     for node in root.iter():
         if local(node) not in ("manufacturedProduct", "manufacturedMedicine"):
             continue
@@ -194,9 +217,10 @@ def parse(content: bytes) -> dict:
             pass
         if effective is None:
             raise Rejected("unsupported_document_structure", "effectiveTime is not a date")
+    above = {c: p for p in root.iter() for c in p}
     generics = distinct(flat_text(child(n, "name")) for n in root.iter() if local(n) == "genericMedicine")
     active = distinct(flat_text(child(s, "name")) for n in root.iter() if local(n) == "ingredient" and n.get("classCode") in ("ACTIB", "ACTIM") for s in n.iter() if local(s) == "ingredientSubstance")
-    out = ids | {"doc_type": attribute(own("code"), "displayName", "code"), "language": attribute(own("languageCode"), "code"), "effective": effective, "generics": generics, "generic_name": next(iter(generics), None), "ingredients": active, "products": products_of(root), "sections": sections_of(root)}
+    out = ids | {"doc_type": attribute(own("code"), "displayName", "code"), "language": attribute(own("languageCode"), "code"), "effective": effective, "generics": generics, "generic_name": next(iter(generics), None), "ingredients": active, "products": products_of(root, above), "sections": sections_of(root, above)}
     whole = {k: v.isoformat() if k == "effective" and v else v for k, v in out.items()}
     digest = hashlib.sha256(canonical(whole).encode()).hexdigest()
     # Whether a section or one below it has text: children follow their parents, so one pass backwards tells.
@@ -217,29 +241,111 @@ def parsed(files: DataFrame, expected: str | None = None, asked: tuple[str, str]
 
     arrow = to_arrow_schema(spark_schema)
     names = [f.name for f in spark_schema]
-    rows = files.select("path", "content", *[(F.col(c) if c else F.lit(None).cast("string")).alias(n) for n, c in (("expected", expected), ("asked_set", asked and asked[0]), ("asked_version", asked and asked[1]))])
+    # Dealt by path: parsing costs far more than moving the bytes, and a file of one large row group is one task.
+    rows = files.repartition(F.col("path")).select("path", "content", *[(F.col(c) if c else F.lit(None).cast("string")).alias(n) for n, c in (("expected", expected), ("asked_set", asked and asked[0]), ("asked_version", asked and asked[1]))])
+
+    def read(path: str, content: bytes, want: str | None, set_id: str | None, version: str | None) -> dict:
+        row = dict.fromkeys(names) | {"path": path, "raw_sha256": hashlib.sha256(content).hexdigest(), "n_bytes": len(content)}
+        try:
+            if want is not None and want != row["raw_sha256"]:
+                raise Rejected("provenance_validation_failure", "the bytes do not have the recorded hash")
+            found = parse(content)
+            if set_id is not None and set_id.casefold() != found["set_id"].casefold() or version is not None and version != found["version"]:
+                raise Rejected("provenance_validation_failure", "the document is not the one that was asked for")
+            return row | found
+        except Rejected as e:
+            return row | {"error": e.category, "message": str(e)}
+        except RecursionError:
+            return row | {"error": "unsupported_document_structure", "message": "nested too deeply"}
+
+    def run(batches):
+        held, size = [], 0
+        for batch in batches:
+            for path, content, *asked_for in zip(*(c for c in batch.columns), strict=True):
+                content = content.as_py() or b""
+                held.append(read(path.as_py(), content, *(x.as_py() for x in asked_for)))
+                size += len(content)
+                if size >= BATCH_BYTES:
+                    yield pa.RecordBatch.from_pylist(held, schema=arrow)
+                    held, size = [], 0
+        if held:
+            yield pa.RecordBatch.from_pylist(held, schema=arrow)
+
+    return rows.mapInArrow(run, PARSED)
+
+
+def scanned(content: bytes) -> Iterator[tuple[str, str | None]]:
+    """(locator, id) of every section that has its place in a structuredBody, in order, by pull parsing: what has been read is dropped, so memory goes with depth and not with size."""
+    if _DECLARED.search(content):
+        raise Rejected("malformed_xml", "document type and entity declarations are refused")
+    parser, bodies = ET.XMLPullParser(("start", "end")), 0
+    open_: list[list] = []  # per open element: local name, ordinals of its children, locator, row of its section, element
+
+    def events() -> Iterator[tuple[str, ET.Element]]:
+        try:
+            for at in range(0, len(content), SCAN_BYTES):
+                parser.feed(content[at : at + SCAN_BYTES])
+                yield from parser.read_events()
+            parser.close()
+            yield from parser.read_events()
+        except ET.ParseError as e:
+            raise Rejected("malformed_xml", str(e)) from e
+
+    waiting: list[list] = []  # sections in order whose id may still come
+    for event, node in events():
+        name = local(node)
+        if event == "start":
+            above = open_[-1] if open_ else None
+            if above is None:
+                if node.tag != f"{{{NS}}}document":
+                    raise Rejected("unsupported_document_structure", "the root is not a document of the namespace")
+                where = f"/{name}[1]"
+            else:
+                above[1][name] = above[1].get(name, 0) + 1
+                where = f"{above[2]}/{name}[{above[1][name]}]"
+            body = node.tag == f"{{{NS}}}structuredBody"
+            bodies += body
+            if bodies > 1:
+                raise Rejected("unsupported_document_structure", "more than one structuredBody")
+            # A component counts in a body or a section, a section in such a component.
+            inside = body or above is not None and (name == "component" and above[3] in ("body", "section") or name == "section" and above[3] == "component")
+            kind = "body" if body else name if inside else ""
+            row = [where, None, False] if kind == "section" else None
+            if row:
+                waiting.append(row)
+            elif name == "id" and above is not None and above[3] == "section" and above[1]["id"] == 1 and str(above[4].tag).startswith(f"{{{NS}}}"):
+                above[5][1] = attribute(node, "root")
+            open_.append([name, {}, where, kind, node, row])
+        else:
+            *_, row = open_.pop()
+            if row:
+                row[2] = True
+            if open_:
+                open_[-1][4].remove(node)
+            # Rows leave in document order once every section before them has ended its own head.
+            if not any(o[3] == "section" for o in open_):
+                yield from ((at, found) for at, found, _ in waiting)
+                waiting.clear()
+
+
+def section_ids(files: DataFrame) -> DataFrame:
+    """files (path, content) to (path, seq, locator, xml_id, error): the sections' ids by a scan that keeps neither texts nor tree. A document that cannot be read is one row with an error category."""
+    schema = "path string, seq int, locator string, xml_id string, error string"
 
     def run(batches):
         for batch in batches:
-            for k in range(batch.num_rows):
-                content = batch["content"][k].as_py() or b""
-                row = dict.fromkeys(names) | {"path": batch["path"][k].as_py(), "raw_sha256": hashlib.sha256(content).hexdigest(), "n_bytes": len(content)}
-                want = batch["expected"][k].as_py()
+            for path, content in zip(batch["path"], batch["content"], strict=True):
+                content = content.as_py() or b""
                 try:
-                    if want is not None and want != row["raw_sha256"]:
-                        raise Rejected("provenance_validation_failure", "the bytes do not have the recorded hash")
-                    row |= parse(content)
-                    set_id, version = batch["asked_set"][k].as_py(), batch["asked_version"][k].as_py()
-                    if set_id is not None and set_id.casefold() != row["set_id"].casefold() or version is not None and version != row["version"]:
-                        row = dict.fromkeys(names) | {c: row[c] for c in ("path", "raw_sha256", "n_bytes")}
-                        raise Rejected("provenance_validation_failure", "the document is not the one that was asked for")
+                    if not content or len(content) > MAX_BYTES:
+                        raise Rejected("malformed_xml", "empty or beyond the size limit")
+                    found = [(k, at, i, None) for k, (at, i) in enumerate(scanned(content))]
                 except Rejected as e:
-                    row |= {"error": e.category, "message": str(e)}
-                except RecursionError:
-                    row |= {"error": "unsupported_document_structure", "message": "nested too deeply"}
-                yield pa.RecordBatch.from_pylist([row], schema=arrow)
+                    found = [(None, None, None, e.category)]
+                seq, at, ids, error = zip(*found, strict=True) if found else ((), (), (), ())
+                yield pa.RecordBatch.from_arrays([pa.array([path.as_py()] * len(found), pa.string()), pa.array(seq, pa.int32()), *(pa.array(x, pa.string()) for x in (at, ids, error))], names=["path", "seq", "locator", "xml_id", "error"])
 
-    return rows.mapInArrow(run, PARSED)
+    return files.repartition(F.col("path")).select("path", "content").mapInArrow(run, schema)
 
 
 def section_hash(heading: Column, body: Column, code: Column, structure: Column) -> Column:
@@ -255,21 +361,21 @@ def children(documents: DataFrame, authority: str = "FDA", provider: str = "Dail
     record = identity.source_record_id(lit(authority), lit(provider), lit(jurisdiction), F.col("set_id"), F.col("version"), F.col("raw_sha256"))
     good = documents.where("error IS NULL").withColumn("source_id", record).withColumn("document_id", identity.document_id(F.col("source_id"), lit(versions["parser"]), lit(versions["schema"]), lit(versions["mapping"]))).withColumn("lineage_id", identity.lineage_id(lit(authority), lit(provider), lit(jurisdiction), F.col("set_id")))
     parent = F.when(F.col("parent_seq").isNotNull(), identity.section_id(F.col("document_id"), F.col("parent_locator"), F.col("parent_sha256")))
-    sections = good.select("document_id", "lineage_id", F.inline("sections")).withColumns({"section_id": identity.section_id(F.col("document_id"), F.col("locator"), F.col("sha256")), "parent_id": parent}).drop("filled", "parent_locator", "parent_sha256")
-    mapped = sections.select("document_id", "section_id", "seq", rules.concept(F.col("code"), F.col("heading")).alias("m")).where("m IS NOT NULL").select("document_id", "section_id", "seq", "m.*")
+    sections = good.select("path", "document_id", "lineage_id", F.inline("sections")).withColumns({"section_id": identity.section_id(F.col("document_id"), F.col("locator"), F.col("sha256")), "parent_id": parent}).drop("filled", "parent_locator", "parent_sha256")
+    mapped = sections.select("path", "document_id", "section_id", "seq", rules.concept(F.col("code"), F.col("heading")).alias("m")).where("m IS NOT NULL").select("path", "document_id", "section_id", "seq", "m.*")
     mappings = mapped.withColumn("mapping_id", identity.mapping_id(F.col("section_id"), F.col("concept"), lit(versions["mapping"])))
-    products = good.select("document_id", F.inline("products")).withColumn("product_id", identity.product_id(F.col("document_id"), F.col("seq"), F.col("brand"), F.col("form"), F.col("route")))
+    products = good.select("path", "document_id", F.inline("products")).withColumn("product_id", identity.product_id(F.col("document_id"), F.col("seq"), F.col("brand"), F.col("form"), F.col("route")))
     ingredients = good.select("document_id", F.posexplode("ingredients").alias("seq", "name")).withColumn("ingredient_id", identity.ingredient_id(text.folded(F.col("name"))))
     named = {n: text.first_spellings(F.col(f"products.{f}")) for n, f in (("brands", "brand"), ("forms", "form"), ("routes", "route"))}
     header = good.withColumns(named).drop("sections", "products", "error", "message")
-    return {"documents": header, "sections": sections, "products": products, "ingredients": ingredients, "mappings": mappings, "statuses": concept_statuses(good.select("document_id", "sections")), "errors": errors}
+    return {"documents": header, "sections": sections, "products": products, "ingredients": ingredients, "mappings": mappings, "statuses": concept_statuses(good.select("path", "document_id", "sections")), "errors": errors}
 
 
 def concept_statuses(documents: DataFrame) -> DataFrame:
-    """(document_id, concept, status) of every document and concept: ABSENT, PRESENT if a mapped section or one below it has text, else PRESENT_EMPTY. Decided within the document's own array, without a join."""
+    """(path, document_id, concept, status) of every document and concept: ABSENT, PRESENT if a mapped section or one below it has text, else PRESENT_EMPTY. Decided within the document's own array, without a join."""
     mapped = F.transform("sections", lambda x: F.struct(rules.concept(x["code"], x["heading"])["concept"].alias("c"), x["filled"].alias("f")))
-    rows = documents.select("document_id", mapped.alias("m"))
-    each = rows.select("document_id", "m", F.explode(F.array(*map(F.lit, CONCEPTS))).alias("concept"))
+    rows = documents.select("path", "document_id", mapped.alias("m"))
+    each = rows.select("path", "document_id", "m", F.explode(F.array(*map(F.lit, CONCEPTS))).alias("concept"))
     own = F.filter("m", lambda m: m["c"] == F.col("concept"))
     status = F.when(F.size(own) == 0, "ABSENT").when(F.exists(own, lambda m: m["f"]), "PRESENT").otherwise("PRESENT_EMPTY")
-    return each.select("document_id", "concept", status.alias("status"))
+    return each.select("path", "document_id", "concept", status.alias("status"))
