@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from labeldiff.functions import identity, rules, text
 from labeldiff.operators import batch, diff, lineage, matching, relational, selection
-from labeldiff.queries import document_pairs, joined, query, read
+from labeldiff.queries import document_pairs, joined, query, read, spread
 from labeldiff.scratch import held
 from labeldiff.sources import fetch, files, xml_documents
 from labeldiff.values import CODE_CONCEPTS, CONCEPTS, REJECTIONS, SELECTION_ERRORS
@@ -48,7 +48,7 @@ def xml_files(spark: SparkSession, d: str) -> DataFrame:
         F.when(i % 13 == 5, "<!DOCTYPE x>").otherwise(""), lit('<document xmlns="urn:hl7-org:v3"><id root="doc-'), i.cast("string"), lit('"/><code displayName="'), xml_text(F.coalesce("source", lit(""))), lit('"/>'), title, lit('<effectiveTime value="'), day, lit('"/><setId root="set-'),
         (i % 50).cast("string"), lit('"/><versionNumber value="'), i.cast("string"), lit('"/><languageCode code="'), xml_text(F.coalesce("lang", lit(""))), lit('"/>'), product, lit("<component><structuredBody>"), parts, lit("</structuredBody></component>"), F.when(i % 13 == 8, "").otherwise("</document>"),
     )
-    return read(spark, d, "documents").select(i.cast("string").alias("path"), whole.cast("binary").alias("content"))
+    return spread(read(spark, d, "documents")).select(i.cast("string").alias("path"), whole.cast("binary").alias("content"))
 
 
 def xml_tables(spark: SparkSession, d: str, keep: bool = False) -> dict[str, DataFrame]:
@@ -278,14 +278,14 @@ def q_table_counts(spark, d):
 @query("SELECT doc_id, replace(lower(trim(regexp_replace(coalesce(text, ''), '\\s+', ' ', 'g'))), 'ß', 'ss') AS folded, replace(lower(trim(regexp_replace(split_part(coalesce(text, ''), chr(10), 1), '\\s+', ' ', 'g'))), 'ß', 'ss') AS name FROM documents")
 def q_folded_names(spark, d):
     """Headings by case folding, names by NFKC and case folding."""
-    return read(spark, d, "documents").select("doc_id", text.heading(F.col("text")).alias("folded"), text.normalized_name(F.coalesce(F.substring_index("text", "\n", 1), F.lit(""))).alias("name"))
+    return spread(read(spark, d, "documents").select("doc_id", "text")).select("doc_id", text.heading(F.col("text")).alias("folded"), text.normalized_name(F.coalesce(F.substring_index("text", "\n", 1), F.lit(""))).alias("name"))
 
 
-@query("""SELECT doc_id, len(w)::INT AS n, array_to_string(list_slice(w, 1, 5), '|') AS leading FROM (SELECT doc_id, regexp_extract_all(replace(lower(coalesce(text, '')), 'ß', 'ss'), '[\\p{L}\\p{N}]+(?:[-''][\\p{L}\\p{N}]+)*|[<>]=?|=') AS w FROM documents)""")
+@query("""SELECT doc_id, len(w)::INT AS n, array_to_string(list_slice(w, 1, 5), '|') AS leading, sha256(array_to_string(w, '|')) AS words_sha256 FROM (SELECT doc_id, regexp_extract_all(replace(lower(coalesce(text, '')), 'ß', 'ss'), '[\\p{L}\\p{N}]+(?:[-''][\\p{L}\\p{N}]+)*|[<>]=?|=') AS w FROM documents)""")
 def q_content_words(spark, d):
     """The tokens that content scores compare."""
-    w = text.words(F.col("text"))
-    return read(spark, d, "documents").select("doc_id", F.size(w).alias("n"), joined(F.slice(w, 1, 5)).alias("leading"))
+    rows = spread(read(spark, d, "documents").select("doc_id", "text")).select("doc_id", text.words(F.col("text")).alias("w"))
+    return rows.select("doc_id", F.size("w").alias("n"), joined(F.slice("w", 1, 5)).alias("leading"), identity.sha256(joined("w")).alias("words_sha256"))
 
 
 @query(f"""SELECT p_partkey, concat_ws('; ', {', '.join(f"CASE WHEN p_partkey % {k + 2} = 0 THEN '{REJECTIONS[c]}' END" for k, c in enumerate(REJECTIONS))}) AS reasons FROM part""")

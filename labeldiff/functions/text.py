@@ -20,17 +20,27 @@ def collapsed(value: Column) -> Column:
 
 
 @lru_cache(maxsize=1)
-def special_folds() -> str:
-    """Characters whose case folding is not their lower case, as a JSON object: one literal, where a map of literals would be hundreds of nodes of every plan."""
+def special_folds() -> tuple[str, str]:
+    """Lower-case characters that case folding changes further, as a JSON object (one literal, where a map of literals would be hundreds of nodes of every plan), and a pattern of few ranges that covers all of them but the sharp s."""
     every = map(chr, (*range(128, 0xD800), *range(0xE000, 0x110000)))
-    return json.dumps({c: c.casefold() for c in every if c.casefold() != c.lower()})
+    found = {c: c.casefold() for c in every if c.lower() == c != c.casefold()}
+    ranges: list[list[int]] = []
+    for c in map(ord, found):
+        if c == 0xDF:
+            continue
+        if ranges and c - ranges[-1][1] < 64:
+            ranges[-1][1] = c
+        else:
+            ranges.append([c, c])
+    return json.dumps(found), "[" + "".join(f"\\x{{{a:X}}}-\\x{{{b:X}}}" for a, b in ranges) + "]"
 
 
 def folded(value: Column) -> Column:
-    """Unicode case folding, character by character; lower case where all characters are ASCII."""
-    special = F.from_json(F.lit(special_folds()), "map<string,string>")
-    each = F.transform(F.split(value, ""), lambda c: F.coalesce(F.try_element_at(special, c), F.lower(c)))
-    return F.when(F.rlike(value, F.lit(r"[^\x00-\x7F]")), F.array_join(each, "")).otherwise(F.lower(value))
+    """Unicode case folding: lower case, and then what folding changes further. A text with characters near those goes character by character; the sharp s of any other is replaced."""
+    changes, near = special_folds()
+    low, special = F.lower(value), F.from_json(F.lit(changes), "map<string,string>")
+    each = F.transform(F.split(low, ""), lambda c: F.coalesce(F.try_element_at(special, c), c))
+    return F.when(F.rlike(low, F.lit(near)), F.array_join(each, "")).otherwise(F.replace(low, F.lit("ß"), F.lit("ss")))
 
 
 def heading(value: Column) -> Column:

@@ -47,6 +47,12 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """A scan's rows for work that costs far more than moving them: dealt anew where the scan has fewer tasks than there are cores."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows if rows.rdd.getNumPartitions() > cores else rows.repartition(cores)
+
+
 def joined(column: Column | str) -> Column:
     return F.array_join(column, "|")
 
