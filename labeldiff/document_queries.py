@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labeldiff.functions import identity, rules, text
-from labeldiff.operators import batch, diff, lineage, matching, relational, selection
+from labeldiff.operators import batch, diff, lineage, matching, relational, selection, textdiff
 from labeldiff.queries import document_pairs, joined, query, read, spread
 from labeldiff.scratch import held
 from labeldiff.sources import fetch, files, xml_documents
@@ -414,8 +414,8 @@ def q_whole_operations(spark, d):
 SELECT new_doc, sha256(trim(regexp_replace(a, '\s+', ' ', 'g'))) AS old_sha256, sha256(trim(regexp_replace(b, '\s+', ' ', 'g'))) AS new_sha256 FROM p WHERE a <> b AND (trim(a) <> '' OR trim(b) <> '')""")
 def q_text_round_trip(spark, d):
     """Both texts come back from the word chunks of their diff: context and deletions, context and additions."""
-    pairs = document_pairs(spark, d, "text").where("old_text <> new_text")
-    chunks = diff.text_chunks(pairs, ["new_doc"])
+    pairs = document_pairs(spark, d, "text").where("old_text <> new_text").repartition("new_doc")
+    chunks = textdiff.text_chunks(pairs, ["new_doc"])
     side = lambda gone: identity.sha256(F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("operation") != gone, F.struct("position", "text")))), lambda x: x["text"]), " "))
     return chunks.groupBy("new_doc").agg(side("ADDITION").alias("old_sha256"), side("DELETION").alias("new_sha256"))
 

@@ -1,11 +1,8 @@
-"""Section operations, movement, summaries, metadata changes and text diffs of version pairs."""
+"""Section operations, movement, summaries, metadata changes and unified texts of version pairs."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -89,23 +86,6 @@ def whole_operations(has_old: Column, has_new: Column, changed: Column, of_secti
     return F.when(F.size(every) > 0, every).otherwise(F.array(F.lit("NO_CHANGE")))
 
 
-CHUNKS = "position int, operation string, text string, old_start int, old_end int, new_start int, new_end int"
-
-
-def chunks_of(old: list[str], new: list[str]) -> Iterator[tuple[str, list[str], int, int, int, int]]:
-    """(operation, words, old range, new range). A replacement is a deletion at the start of the new range, then an addition at the end of the old one."""
-    from difflib import SequenceMatcher
-
-    for tag, a, b, c, d in SequenceMatcher(a=old, b=new, autojunk=False).get_opcodes():
-        if tag == "equal":
-            yield "CONTEXT", old[a:b], a, b, c, d
-            continue
-        if b > a:
-            yield "DELETION", old[a:b], a, b, c, c if tag == "replace" else d
-        if d > c:
-            yield "ADDITION", new[c:d], b if tag == "replace" else a, b, c, d
-
-
 def unified(old: list[str], new: list[str], old_label: str, new_label: str) -> str:
     from difflib import unified_diff
 
@@ -113,28 +93,6 @@ def unified(old: list[str], new: list[str], old_label: str, new_label: str) -> s
     return "\n".join(unified_diff(lines(old), lines(new), old_label, new_label, lineterm="", n=3))
 
 
-def text_chunks(pairs: DataFrame, keys: list[str]) -> DataFrame:
-    """One row per chunk of every pair's text diff. pairs: keys, old_text, new_text. A map over pairs: no shuffle."""
-    kinds = pairs.select(*keys).schema
-    schema = ", ".join([*(f"{f.name} {f.dataType.simpleString()}" for f in kinds), CHUNKS])
-    names = [*keys, "position", "operation", "text", "old_start", "old_end", "new_start", "new_end"]
-    n = len(keys)
-
-    def run(batches):
-        for batch in batches:
-            for k in range(batch.num_rows):
-                old, new = ((batch.column(n + j)[k].as_py() or "").split() for j in (0, 1))
-                found = [(p, op, " ".join(words), *spans) for p, (op, words, *spans) in enumerate(chunks_of(old, new))]
-                if found:
-                    index = pa.array([k] * len(found))
-                    fixed = [c.take(index) for c in batch.columns[:n]]
-                    cols = list(zip(*found, strict=True))
-                    kinds = [pa.int32(), pa.string(), pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.int32()]
-                    yield pa.RecordBatch.from_arrays([*fixed, *(pa.array(c, t) for c, t in zip(cols, kinds, strict=True))], names=names)
-
-    return pairs.select(*keys, "old_text", "new_text").mapInArrow(run, schema)
-
-
 def unified_texts(pairs: DataFrame, keys: list[str], old_label: str = "old", new_label: str = "new") -> DataFrame:
     """(keys, unified): a unified diff of each pair's texts over lines of LINE_WORDS words."""
 

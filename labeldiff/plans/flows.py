@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from labeldiff import scratch
 from labeldiff.functions import identity, rules, text
-from labeldiff.operators import batch, diff, lineage, matching, relational
+from labeldiff.operators import batch, diff, lineage, matching, relational, textdiff
 from labeldiff.operators.store import Refused, Store, compared, conflicting, contents, dangling, fresh_rows, text_of, violations
 from labeldiff.plans.tables import CONTENTS, REFERENCES, SCHEMA_VERSION, TABLES
 from labeldiff.sources import fetch, files, xml_documents
@@ -335,7 +335,7 @@ class Flows:
         """Word chunks of the sections that were added, removed or modified."""
         rows = self.section_diffs(pairs) if rows is None else rows
         rows = rows.where(F.arrays_overlap("operations", F.array(*map(F.lit, ("SECTION_ADDED", "SECTION_REMOVED", "SECTION_MODIFIED")))))
-        return diff.text_chunks(rows, ["pair_id", "index"])
+        return textdiff.text_chunks(rows, ["pair_id", "index"])
 
     def change_causes(self, pairs: DataFrame) -> DataFrame:
         """Why the two versions of each pair differ."""

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from labeldiff.functions import identity, rules, text
-from labeldiff.operators import batch, diff, lineage, matching, relational, selection, store
+from labeldiff.operators import batch, diff, lineage, matching, relational, selection, store, textdiff
 from labeldiff.scratch import held
 from labeldiff.values import CODE_CONCEPTS, HEADING_CONCEPTS, OPERATIONS
 
@@ -297,7 +297,7 @@ def q_change_cause(spark, d):
 @query()
 def q_text_chunks(spark, d):
     """Word-level chunks of every pair of consecutive versions (opcodes of the matcher have no SQL)."""
-    return diff.text_chunks(document_pairs(spark, d, "text").where("old_text <> new_text"), ["new_doc"])
+    return textdiff.text_chunks(document_pairs(spark, d, "text").where("old_text <> new_text").repartition("new_doc"), ["new_doc"])
 
 
 # Lineage

@@ -5,6 +5,7 @@ from __future__ import annotations
 import io
 import json
 import os
+import random
 import signal
 import subprocess
 import sys
@@ -12,13 +13,14 @@ import time
 import uuid
 import zipfile
 from datetime import date
+from difflib import SequenceMatcher
 from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from labeldiff.functions import identity, rules, text
-from labeldiff.operators import batch, diff, lineage, matching, relational, selection, store
+from labeldiff.operators import batch, diff, lineage, matching, relational, selection, store, textdiff
 from labeldiff.operators.store import Refused
 from labeldiff.plans import cli
 from labeldiff.plans.batches import Batches
@@ -478,9 +480,51 @@ def test_phase_keys_must_be_single(spark):
 
 
 def test_text_chunks():
-    got = list(diff.chunks_of("a b c d".split(), "a x c d e".split()))
+    got = list(textdiff.chunks_of("a b c d".split(), "a x c d e".split()))
     assert got == [("CONTEXT", ["a"], 0, 1, 0, 1), ("DELETION", ["b"], 1, 2, 1, 1), ("ADDITION", ["x"], 2, 2, 1, 2), ("CONTEXT", ["c", "d"], 2, 4, 2, 4), ("ADDITION", ["e"], 4, 4, 4, 5)]
-    assert "-a" in diff.unified(["a"], ["b"], "o", "n") and list(diff.chunks_of([], [])) == []
+    assert "-a" in diff.unified(["a"], ["b"], "o", "n") and list(textdiff.chunks_of([], [])) == []
+
+
+def plain_chunks(old, new):
+    """By the standard library's differ."""
+    for tag, a, b, c, d in SequenceMatcher(a=old, b=new, autojunk=False).get_opcodes():
+        if tag == "equal":
+            yield "CONTEXT", old[a:b], a, b, c, d
+        if tag in ("delete", "replace"):
+            yield "DELETION", old[a:b], a, b, c, c
+        if tag in ("insert", "replace"):
+            yield "ADDITION", new[c:d], b, b, c, d
+
+
+def edited(r, words, n):
+    out = list(words)
+    for _ in range(n):
+        k = r.randrange(len(out) + 1)
+        out[k : k + r.randrange(3)] = r.choices("abcde", k=r.randrange(3))
+    return out
+
+
+def test_blocks_are_those_of_the_differ():
+    r = random.Random(8)
+    for _ in range(1500):
+        old = r.choices("abcdefgh"[: r.randrange(1, 9)], k=r.randrange(30))
+        new = edited(r, old, r.randrange(6)) if r.random() < 0.7 else r.choices("abcd", k=r.randrange(30))
+        assert list(textdiff.chunks_of(old, new)) == list(plain_chunks(old, new))
+
+
+def test_long_pairs_are_split(spark):
+    r = random.Random(9)
+    rows = []
+    for k in range(12):
+        old = r.choices([f"w{x}" for x in range(30)], k=r.randrange(1, 80))
+        new = edited(r, old, r.randrange(12)) if k % 3 else r.choices([f"w{x}" for x in range(40)], k=r.randrange(1, 80))
+        rows.append((k, "p", " ".join(old), "\n".join(new)))
+    rows += [(90, "p", None, "a b"), (91, "p", "a", ""), (92, "p", "x " * 40, "x " * 50), (93, "p", " ".join(map(str, range(40))), " ".join(map(str, range(50, 90))))]
+    pairs = spark.createDataFrame(rows, "index int, pair_id string, old_text string, new_text string")
+    want = {(k, p, *c[:1], " ".join(c[1]), *c[2:]) for k, _, old, new in rows for p, c in enumerate(plain_chunks((old or "").split(), (new or "").split()))}
+    for area in (10**9, 400):
+        got = [(x["index"], x.position, x.operation, x.text, x.old_start, x.old_end, x.new_start, x.new_end) for x in textdiff.text_chunks(pairs, ["pair_id", "index"], area).collect()]
+        assert len(got) == len(set(got)) and set(got) == want
 
 
 def test_relational(spark):
