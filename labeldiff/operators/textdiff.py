@@ -18,11 +18,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from labeldiff.functions import text
 from labeldiff.scratch import held
 
-#: Word pairs (words of one side times words of the other) that a task searches at once.
-AREA = 9_000_000
+#: Word pairs (words of one side times words of the other) that a task searches; equal ones that it holds at once.
+AREA, MEET = 50_000_000, 2_000_000
+#: White space as Python's ``str.split`` sees it.
+BLANK = "[\\x09-\\x0D\\x1C-\\x20\\x85\\xA0\\u1680\\u2000-\\u200A\\u2028\\u2029\\u202F\\u205F\\u3000]+"
 CHUNKS = "position int, operation string, text string, old_start int, old_end int, new_start int, new_end int"
 
 
@@ -33,13 +34,26 @@ def coded(old: Sequence[str], new: Sequence[str]) -> tuple[np.ndarray, np.ndarra
     return codes[: len(old)], codes[len(old) :]
 
 
-def diagonal_runs(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts in a, starts in b, and lengths of all maximal runs of equal numbers."""
+def diagonal_runs(a: np.ndarray, b: np.ndarray, meet: int = MEET) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts in a, starts in b, and lengths of all maximal runs of equal numbers. Equal pairs are made in slices of a, of which the runs are kept."""
     order = np.argsort(b, kind="stable")
-    low, high = np.searchsorted(b[order], a, side="left"), np.searchsorted(b[order], a, side="right")
-    many = high - low
+    low = np.searchsorted(b[order], a, side="left")
+    many = np.searchsorted(b[order], a, side="right") - low
+    ends = np.cumsum(many)
+    cuts = np.unique(np.append(np.searchsorted(ends, np.arange(0, int(many.sum()), meet)), len(a)))
+    parts = [diagonal_slice(np.arange(x, y), low[x:y], many[x:y], order) for x, y in zip(np.append(0, cuts[:-1]), cuts, strict=True) if y > x]
+    i, j, size = (np.concatenate(x) for x in zip(*parts, strict=True)) if parts else (order[:0],) * 3
+    if len(parts) > 1:
+        by = np.lexsort((i, i - j))
+        i, j, size = i[by], j[by], size[by]
+        first = np.flatnonzero(np.append(True, (i[1:] - j[1:] != i[:-1] - j[:-1]) | (i[1:] != i[:-1] + size[:-1])))
+        i, j, size = i[first], j[first], np.add.reduceat(size, first)
+    return i, j, size
+
+
+def diagonal_slice(rows: np.ndarray, low: np.ndarray, many: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     total = int(many.sum())
-    i = np.repeat(np.arange(len(a)), many)
+    i = np.repeat(rows, many)
     j = order[np.repeat(low - np.cumsum(many) + many, many) + np.arange(total)]
     by = np.lexsort((i, i - j))
     i, j = i[by], j[by]
@@ -68,10 +82,10 @@ def matching_blocks(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
-def chunks_of(old: Sequence[str], new: Sequence[str]) -> Iterator[tuple[str, Sequence[str], int, int, int, int]]:
+def chunks_of(old: Sequence[str], new: Sequence[str], codes: tuple[np.ndarray, np.ndarray] | None = None) -> Iterator[tuple[str, Sequence[str], int, int, int, int]]:
     """(operation, words, old range, new range). A replacement is a deletion at the start of the new range, then an addition at the end of the old one."""
     at, to, run = 0, 0, 0
-    for x, y, n in [*matching_blocks(*coded(old, new)), (len(old), len(new), 0)]:
+    for x, y, n in [*matching_blocks(*(codes or coded(old, new))), (len(old), len(new), 0)]:
         # Blocks that touch on both sides are one piece of context.
         if run and (x, y) == (at, to) and n:
             run, at, to = run + n, at + n, to + n
@@ -85,18 +99,25 @@ def chunks_of(old: Sequence[str], new: Sequence[str]) -> Iterator[tuple[str, Seq
         at, to, run = x + n, y + n, n
 
 
+def words(value: Column) -> Column:
+    """Runs of anything but white space; null has none."""
+    return F.filter(F.split(F.coalesce(value, F.lit("")), BLANK), lambda w: w != "")
+
+
 def text_chunks(pairs: DataFrame, keys: list[str], area: int = AREA) -> DataFrame:
     """One row per chunk of every pair's text diff. pairs: keys, old_text, new_text; null texts have no words."""
-    words = lambda c: F.filter(text.tokens(F.col(c)), lambda w: w != "")
-    rows = pairs.select(*keys, words("old_text").alias("a"), words("new_text").alias("b"))
-    large = F.size("a").cast("long") * F.size("b") > area
-    short = short_chunks(rows.where(~large), keys)
-    long = rows.where(large)
-    return short if long.isEmpty() else short.unionByName(long_chunks(held(long, "long-pairs"), keys, area))
+    rows = pairs.select(*keys, F.col("old_text").alias("a"), F.col("new_text").alias("b"))
+    # A text has at most half as many words as characters, so few pairs are counted.
+    may = F.length("a").cast("long") * F.length("b") > 4 * area
+    large = F.coalesce(may & (F.size(words(F.col("a"))).cast("long") * F.size(words(F.col("b"))) > area), F.lit(False))
+    short, long = short_chunks(rows.where(~large), keys), rows.where(large)
+    if long.isEmpty():
+        return short
+    return short.unionByName(long_chunks(held(long.select(*keys, words(F.col("a")).alias("a"), words(F.col("b")).alias("b")), "long-pairs"), keys, area))
 
 
 def short_chunks(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """A map over pairs: no shuffle."""
+    """A map over pairs (keys, a, b as texts): no shuffle."""
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*keys).schema), CHUNKS])
     names = [*keys, "position", "operation", "text", "old_start", "old_end", "new_start", "new_end"]
     kinds = [pa.int32(), pa.string(), pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.int32()]
@@ -105,8 +126,13 @@ def short_chunks(rows: DataFrame, keys: list[str]) -> DataFrame:
     def run(batches):
         for batch in batches:
             found, of = [], []
-            for k, (old, new) in enumerate(zip(batch.column(n).to_pylist(), batch.column(n + 1).to_pylist(), strict=True)):
-                own = [(p, op, " ".join(w), *spans) for p, (op, w, *spans) in enumerate(chunks_of(old, new))]
+            sides = [[(t or "").split() for t in batch.column(m).to_pylist()] for m in (n, n + 1)]
+            codes = np.asarray(pa.array([w for side in sides for own in side for w in own], pa.string()).dictionary_encode().indices).astype(np.int64)
+            old_ends = np.append(0, np.cumsum([len(w) for w in sides[0]]))
+            new_ends = old_ends[-1] + np.append(0, np.cumsum([len(w) for w in sides[1]]))
+            for k, (old, new) in enumerate(zip(*sides, strict=True)):
+                both = codes[old_ends[k] : old_ends[k + 1]], codes[new_ends[k] : new_ends[k + 1]]
+                own = [(p, op, " ".join(w), *spans) for p, (op, w, *spans) in enumerate(chunks_of(old, new, both))]
                 found += own
                 of += [k] * len(own)
             if found:

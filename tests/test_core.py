@@ -510,6 +510,9 @@ def test_blocks_are_those_of_the_differ():
         old = r.choices("abcdefgh"[: r.randrange(1, 9)], k=r.randrange(30))
         new = edited(r, old, r.randrange(6)) if r.random() < 0.7 else r.choices("abcd", k=r.randrange(30))
         assert list(textdiff.chunks_of(old, new)) == list(plain_chunks(old, new))
+        a, b = textdiff.coded(old, new)
+        runs = lambda meet: sorted(zip(*(x.tolist() for x in textdiff.diagonal_runs(a, b, meet)), strict=True))
+        assert runs(3) == runs(10**6)
 
 
 def test_long_pairs_are_split(spark):
@@ -519,7 +522,7 @@ def test_long_pairs_are_split(spark):
         old = r.choices([f"w{x}" for x in range(30)], k=r.randrange(1, 80))
         new = edited(r, old, r.randrange(12)) if k % 3 else r.choices([f"w{x}" for x in range(40)], k=r.randrange(1, 80))
         rows.append((k, "p", " ".join(old), "\n".join(new)))
-    rows += [(90, "p", None, "a b"), (91, "p", "a", ""), (92, "p", "x " * 40, "x " * 50), (93, "p", " ".join(map(str, range(40))), " ".join(map(str, range(50, 90))))]
+    rows += [(90, "p", None, "a b"), (91, "p", "a", ""), (94, "p", "".join(f"x{chr(c)}" for c in range(0x3100)), "".join(f"x{chr(c)}y " for c in range(0x3100) if c % 7 == 0)), (92, "p", "x " * 40, "x " * 50), (93, "p", " ".join(map(str, range(40))), " ".join(map(str, range(50, 90))))]
     pairs = spark.createDataFrame(rows, "index int, pair_id string, old_text string, new_text string")
     want = {(k, p, *c[:1], " ".join(c[1]), *c[2:]) for k, _, old, new in rows for p, c in enumerate(plain_chunks((old or "").split(), (new or "").split()))}
     for area in (10**9, 400):
