@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from labeldiff.llm.common import fresh, received, shipped
 
 #: Bytes of text in a block, characters split at once, symbols in one index (a longer word has one of its own), ids in a batch that goes back.
-BLOCK_BYTES, SLICE, SYMBOLS, IDS = 16_000_000, 2_000_000, 4_000_000, 4_000_000
+BLOCK_BYTES, SLICE, SYMBOLS, IDS = 12_000_000, 2_000_000, 2_000_000, 4_000_000
 NONE = np.int32(2**31 - 1)
 LETTER, NUMBER, SPACE = 1, 2, 3
 
@@ -300,7 +300,8 @@ def encoded_block(texts: pa.Array, vocabulary: Vocabulary) -> tuple[np.ndarray,
     flat, size = encoded_words(both.dictionary, vocabulary)
     sizes, begin = size[at], np.cumsum(size) - size
     ends = np.cumsum(sizes)
-    ids = flat[np.repeat(begin[at] - (ends - sizes), sizes) + np.arange(ends[-1])]
+    shift = (begin[at] - (ends - sizes)).astype(np.int32)
+    ids = flat[np.repeat(shift, sizes) + np.arange(ends[-1], dtype=np.int32)]
     per_text = np.diff(np.append(0, ends)[np.append(0, np.cumsum(np.concatenate(counts)))])
     return ids, per_text
 
