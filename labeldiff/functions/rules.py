@@ -94,6 +94,11 @@ def change_cause(has_old: Column, has_new: Column, complete: Column, components:
     )
 
 
+def causes(cause: Column, components: Column) -> Column:
+    """The components of a change: those that were found if there are several, else the cause itself, whatever it is."""
+    return F.when(cause == "MULTIPLE_CAUSES", components).otherwise(F.array(cause))
+
+
 def version_order(version: Column, history: Column, effective: Column, publication: Column, retrieved: Column, adjacent: Column) -> Column:
     """struct(status, source, confidence, known, possible) from five directions (-1, 0, 1 or null) and history adjacency."""
     signals = F.filter(F.array(version, history, effective, publication), lambda x: x.isNotNull() & (x != 0))

@@ -252,12 +252,21 @@ class Flows:
         chosen = self.table("decisions").where("status = 'SELECTED'").join(self.table("candidates"), "discovery_id").where("index = selected_index")
         dates = chosen.groupBy(F.lower("set_id").alias("_s"), F.col("version").alias("_v")).agg(F.max(text.lenient_date(F.col("published"))).alias("published"))
         picked = rows.join(dates, (F.lower("set_id") == F.col("_s")) & (F.col("version") == F.col("_v"))).select("document_id", "published")
-        dated = lineage.publication(rows, self.table("history"), picked)
+        dated = self.with_metadata(lineage.publication(rows, self.table("history"), picked))
         return relational.numbered(dated, ["lineage_id"], [*text.version_key(F.col("version")), F.col("document_id")], "position")
 
+    def with_metadata(self, rows: DataFrame) -> DataFrame:
+        """Documents with ``metadata_sha256``: the digest of how they came in (where the raw document and its manifest are, from where and when it was fetched, and why it was chosen), apart from what they say."""
+        c = F.col
+        raw = self.table("raw").select("set_id", "version", "metadata_path", "source_url")
+        why = self.table("decisions").where("status = 'SELECTED'").join(self.table("candidates"), "discovery_id").where("index = selected_index").groupBy("set_id", "version").agg(F.min("rule").alias("selection_reason"))
+        whole = rows.join(raw, ["set_id", "version"], "left").join(why, ["set_id", "version"], "left")
+        made = identity.canonical(metadata_path=c("metadata_path"), raw_path=c("path"), retrieved_at=text.utc_text(c("retrieved_at")), selection_reason=c("selection_reason"), source_url=c("source_url"))
+        return whole.withColumn("metadata_sha256", identity.sha256(made)).drop("metadata_path", "source_url", "selection_reason")
+
     def pairs(self) -> DataFrame:
         """Consecutive versions of every lineage with the evidence for their order."""
-        names = [n for n in self.table("documents").columns if n not in ("lineage_id", "source_id", "path", "n_bytes", "generics")] + ["published"]
+        names = [n for n in self.table("documents").columns if n not in ("lineage_id", "source_id", "path", "n_bytes", "generics")] + ["published", "metadata_sha256"]
         rows = lineage.edges(self.versions_of().drop("position"), "lineage_id", [*text.version_key(F.col("version")), F.col("document_id")], names)
         return self.ordered_pairs(rows.select("lineage_id", *[F.col(f"old_{n}") for n in names], *[F.col(n).alias(f"new_{n}") for n in names]))
 
@@ -343,9 +352,10 @@ class Flows:
         sides = [("SOURCE_CHANGED", "raw_sha256"), ("PARSER_CHANGED", "parser_version"), ("SCHEMA_CHANGED", "schema_version"), ("MAPPING_CHANGED", "mapping_version")]
         found = rules.change_components([(name, c(f"old_{f}"), c(f"new_{f}")) for name, f in sides])
         complete = F.size(rules.required({f"{s}_{f}": c(f"{s}_{f}") for s in ("old", "new") for _, f in sides})) == 0
-        rows = pairs.withColumn("components", F.when(complete, found).otherwise(F.array().cast("array<string>")))
-        cause = rules.change_cause(c("old_document_id").isNotNull(), c("new_document_id").isNotNull(), complete, c("components"), c("old_version") != c("new_version"), c("old_normalized_sha256") != c("new_normalized_sha256"), F.lit(False))
-        return rows.select("diff_id", "components", cause.alias("cause"))
+        rows = pairs.withColumn("_found", F.when(complete, found).otherwise(F.array().cast("array<string>")))
+        has = {x: c(f"{x}_metadata_sha256") if f"{x}_metadata_sha256" in pairs.columns else F.lit(None).cast("string") for x in ("old", "new")}
+        cause = rules.change_cause(c("old_document_id").isNotNull(), c("new_document_id").isNotNull(), complete, c("_found"), c("old_version") != c("new_version"), c("old_normalized_sha256") != c("new_normalized_sha256"), ~has["old"].eqNullSafe(has["new"]))
+        return rows.withColumn("cause", cause).select("diff_id", rules.causes(c("cause"), c("_found")).alias("components"), "cause")
 
     # Verification
 

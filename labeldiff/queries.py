@@ -283,7 +283,8 @@ def q_metadata_unpivot(spark, d):
 
 
 @query(f"""WITH {META}, c AS (SELECT *, list_filter([CASE WHEN old_text <> new_text THEN 'SOURCE_CHANGED' END, CASE WHEN old_lang <> new_lang THEN 'PARSER_CHANGED' END, CASE WHEN old_source <> new_source THEN 'MAPPING_CHANGED' END], lambda x: x IS NOT NULL) AS components FROM p)
-SELECT new_doc, array_to_string(components, '|') AS components, CASE WHEN old_source IS NULL OR old_source = '' OR new_source IS NULL OR new_source = '' THEN 'UNDETERMINED' WHEN len(components) > 1 THEN 'MULTIPLE_CAUSES' WHEN len(components) = 1 THEN components[1] WHEN old_n_chars <> new_n_chars THEN 'METADATA_ONLY_CHANGED' ELSE 'NO_CHANGE' END AS cause FROM c""")
+SELECT new_doc, CASE WHEN cause = 'MULTIPLE_CAUSES' THEN array_to_string(components, '|') ELSE cause END AS components, cause FROM (
+SELECT new_doc, components, CASE WHEN old_source IS NULL OR old_source = '' OR new_source IS NULL OR new_source = '' THEN 'UNDETERMINED' WHEN len(components) > 1 THEN 'MULTIPLE_CAUSES' WHEN len(components) = 1 THEN components[1] WHEN old_n_chars <> new_n_chars THEN 'METADATA_ONLY_CHANGED' ELSE 'NO_CHANGE' END AS cause FROM c)""")
 def q_change_cause(spark, d):
     c = F.col
     rows = document_pairs(spark, d, "lang", "source", "n_chars", "text")
@@ -291,7 +292,7 @@ def q_change_cause(spark, d):
     complete = F.size(rules.required({k: c(k) for k in ("old_source", "new_source")})) == 0
     rows = rows.withColumn("components", found)
     cause = rules.change_cause(c("old_doc").isNotNull(), c("new_doc").isNotNull(), complete, c("components"), F.lit(False), F.lit(False), c("old_n_chars") != c("new_n_chars"))
-    return rows.select("new_doc", joined("components").alias("components"), cause.alias("cause"))
+    return rows.withColumn("cause", cause).select("new_doc", joined(rules.causes(c("cause"), c("components"))).alias("components"), "cause")
 
 
 @query()
@@ -525,6 +526,28 @@ def q_guard_markup(spark, d):
     return read(spark, d, "pages").select("page_id", F.rlike(h, F.lit(r"(?i)<!\s*(DOCTYPE|ENTITY)\b")).alias("declared"), F.octet_length(h).cast("long").alias("n_bytes"), F.regexp_extract(h, "<h1>([^<]*)</h1>", 1).alias("title"))
 
 
+@query("""WITH r AS (SELECT user_id, date_trunc('hour', ts) AS hour, event_type FROM events)
+SELECT DISTINCT user_id, strftime(hour, '%Y-%m-%d %H') AS hour FROM r a WHERE event_type = 'signup' AND NOT EXISTS (SELECT 1 FROM r b WHERE b.user_id = a.user_id AND b.hour = a.hour AND b.event_type IN ('purchase', 'error'))""")
+def q_open_runs(spark, d):
+    """Runs (a user's hour) that were started and never ended, as a crash leaves them."""
+    log = read(spark, d, "events").select("user_id", F.date_format("ts", "yyyy-MM-dd HH").alias("hour"), "event_type")
+    return batch.orphaned(log, ["user_id", "hour"], "event_type", ["signup"], ["purchase", "error"])
+
+
+@query("""WITH e AS (SELECT *, user_id // 10 AS g, date_trunc('day', ts) AS day FROM events), last AS (SELECT g, max(day) AS lost FROM e GROUP BY g),
+kept AS (SELECT user_id, arg_max(event_type, (ts, event_id)) AS state, count(*) AS n FROM e JOIN last USING (g) WHERE day < lost OR g % 3 = 0 GROUP BY user_id)
+SELECT user_id, state, n, state IN ('signup', 'error') AS taken_up FROM kept""")
+def q_resumed_items(spark, d):
+    """Items after a crash: groups of ten users commit day by day, two in three groups lose their last commit; the newest state that counted says what a stage takes up again."""
+    c = F.col
+    log = read(spark, d, "events").withColumns({"g": F.floor(c("user_id") / 10), "day": F.date_trunc("day", "ts")})
+    lost = log.groupBy("g").agg(F.max("day").alias("day")).where("g % 3 <> 0")
+    counted = relational.orphans(log, lost, ["g", "day"])
+    state = relational.latest(counted, ["user_id"], ["ts", "event_id"], ["event_type"]).withColumnRenamed("event_type", "state")
+    n = counted.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
+    return state.join(n, "user_id").select("user_id", "state", "n", c("state").isin("signup", "error").alias("taken_up"))
+
+
 @query("SELECT user_id, event_type, arg_max(event_id, (ts, event_id)) AS event_id, max(ts) AS ts FROM events GROUP BY user_id, event_type")
 def q_batch_state_latest(spark, d):
     return store.current(read(spark, d, "events"), ["user_id", "event_type"], ["ts", "event_id"], ["event_id", "ts"])

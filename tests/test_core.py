@@ -317,12 +317,33 @@ def test_diff(flows):
     assert chunks == [("CONTEXT", "never with"), ("ADDITION", "cold"), ("CONTEXT", "milk")]
 
 
+def test_causes_of_flows(flows):
+    """Each provenance value of the new version put to that of the old one, but for what is asked for."""
+    pairs = flows.pairs()
+    assert pairs.first().old_metadata_sha256 != pairs.first().new_metadata_sha256
+    fields = ("raw_sha256", "parser_version", "schema_version", "mapping_version", "version", "normalized_sha256", "metadata_sha256")
+
+    def causes(*differ, missing=None):
+        rows = pairs.withColumns({f"new_{f}": F.lit("other") if f in differ else F.col(f"old_{f}") for f in fields})
+        rows = rows.withColumn(f"old_{missing}", F.lit(None).cast("string")) if missing else rows
+        return flows.change_causes(rows).select("diff_id", F.array_join("components", "|").alias("components"), "cause")
+
+    asked = {
+        (): ("NO_CHANGE", "NO_CHANGE"), ("raw_sha256", "metadata_sha256"): ("SOURCE_CHANGED", "SOURCE_CHANGED"), ("mapping_version",): ("MAPPING_CHANGED", "MAPPING_CHANGED"), ("version",): ("UNDETERMINED", "UNDETERMINED"),
+        ("normalized_sha256", "metadata_sha256"): ("UNDETERMINED", "UNDETERMINED"), ("metadata_sha256",): ("METADATA_ONLY_CHANGED", "METADATA_ONLY_CHANGED"), ("raw_sha256", "parser_version", "schema_version"): ("SOURCE_CHANGED|PARSER_CHANGED|SCHEMA_CHANGED", "MULTIPLE_CAUSES"),
+    }
+    for differ, want in asked.items():
+        got = causes(*differ).first()
+        assert (got.components, got.cause) == want, differ
+    assert causes("raw_sha256", missing="parser_version").first().components == "UNDETERMINED"
+
+
 def test_one_sided_diff(flows):
     pairs = flows.pairs()
     for gone, op, sections in (("old", "DOCUMENT_ADDED", "added"), ("new", "DOCUMENT_REMOVED", "removed")):
         one = pairs.withColumn(f"{gone}_document_id", F.lit(None).cast("string"))
         s = flows.diff(one).first()
-        assert (s.operations[0], s[sections], s.matched, s.cause, s.changes) == (op, 5, 0, "SOURCE_CHANGED", [])
+        assert (s.operations[0], s[sections], s.matched, s.cause, s.changes) == (op, 5, 0, "SOURCE_CHANGED", []) and s.components == ["SOURCE_CHANGED"]
 
 
 def test_stored_diffs_verify(spark, flows):
