@@ -120,14 +120,25 @@ def q_xml_products(spark, d):
 _CONCEPT = "CASE code " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in CODE_CONCEPTS.items()) + " END"
 
 
-@query(f"""WITH {SECTIONS}, f AS (SELECT a.doc_id, {_CONCEPT.replace('code', 'a.code', 1)} AS concept, a.status = 'PRESENT' OR coalesce(b.status = 'PRESENT', false) AS filled FROM y a LEFT JOIN y b ON b.doc_id = a.doc_id AND b.parent_seq = a.seq),
+_STATUSES = f"""WITH {SECTIONS}, f AS (SELECT a.doc_id, {_CONCEPT.replace('code', 'a.code', 1)} AS concept, a.status = 'PRESENT' OR coalesce(b.status = 'PRESENT', false) AS filled FROM y a LEFT JOIN y b ON b.doc_id = a.doc_id AND b.parent_seq = a.seq),
 g AS (SELECT doc_id, concept, bool_or(filled) AS filled FROM f WHERE concept IS NOT NULL GROUP BY ALL), e AS (SELECT doc_id, unnest([{', '.join(f"'{c}'" for c in CONCEPTS)}]) AS concept FROM documents WHERE doc_id % 13 NOT IN (5, 6, 7, 8))
-SELECT e.doc_id::VARCHAR AS path, e.concept, CASE WHEN filled IS NULL THEN 'ABSENT' WHEN filled THEN 'PRESENT' ELSE 'PRESENT_EMPTY' END AS status FROM e LEFT JOIN g USING (doc_id, concept)""")
+SELECT e.doc_id::VARCHAR AS path, e.concept, CASE WHEN filled IS NULL THEN 'ABSENT' WHEN filled THEN 'PRESENT' ELSE 'PRESENT_EMPTY' END AS status FROM e LEFT JOIN g USING (doc_id, concept)"""
+
+
+@query(_STATUSES)
 def q_xml_statuses(spark, d):
     """Concept statuses: present if a mapped section or one below it has text."""
     return xml_tables(spark, d)["statuses"].select("path", "concept", "status")
 
 
+@query(_STATUSES)
+def q_xml_stored_statuses(spark, d):
+    """The same statuses from the tables of sections and mappings, by intervals of the section tree."""
+    parts = xml_tables(spark, d, keep=True)
+    rows = xml_documents.stored_statuses(parts["documents"], parts["sections"], parts["mappings"])
+    return rows.join(parts["documents"].select("document_id", "path"), "document_id").select("path", "concept", "status")
+
+
 @query(f"""WITH {SECTIONS} SELECT doc_id::VARCHAR AS path, count(*) AS n_sections, count({_CONCEPT}) AS n_mapped, count(*) - count({_CONCEPT}) AS n_unmapped, count(*) FILTER (status = 'PRESENT_EMPTY') AS n_empty,
 CASE WHEN count(*) = count({_CONCEPT}) AND count(*) FILTER (status = 'PRESENT_EMPTY') = 0 THEN 'FULLY_PARSED' ELSE 'PARSED_WITH_UNMAPPED_SECTIONS' END AS compatibility FROM y GROUP BY doc_id""")
 def q_xml_compatibility(spark, d):

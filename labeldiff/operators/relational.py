@@ -75,6 +75,14 @@ def subtree_any(nodes: DataFrame, node: str, parent: str, flag: str, depth: str
     return nodes.select(F.col(node).alias("n")).join(hit, "n", "left").select(F.col("n").alias(node), F.coalesce("_hit", F.lit(False)).alias(flag))
 
 
+def interval_any(nodes: DataFrame, tree: str, enter: str, leave: str, flag: str) -> DataFrame:
+    """nodes with the flag of any node of their subtree. A subtree is the interval enter..leave of its tree's preorder, so the running counts of flags at both ends tell: a window within each tree and one equi join, whatever the depth."""
+    upto = Window.partitionBy(tree).orderBy(enter)
+    running = nodes.withColumn("_n", F.count_if(F.col(flag)).over(upto))
+    ends = running.select(tree, F.col(enter).alias(leave), F.col("_n").alias("_end"))
+    return running.join(ends, [tree, leave]).withColumn(flag, F.col(flag) | (F.col("_end") > F.col("_n"))).select(*nodes.columns)
+
+
 def unpivoted(rows: DataFrame, keys: Sequence[str], fields: Mapping[str, tuple[Column, Column]]) -> DataFrame:
     """One row per field whose old and new value differ, in the mapping's order (``position``)."""
     parts = F.array(*[F.struct(F.lit(k).alias("position"), F.lit(name).alias("field"), old.cast("string").alias("old"), new.cast("string").alias("new")) for k, (name, (old, new)) in enumerate(fields.items())])

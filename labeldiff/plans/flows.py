@@ -428,6 +428,11 @@ class Flows:
         t = {n: self.table(n) for n in TABLES}
         out = [violations(t[n], n, unique=[key]) for n, (_, key) in TABLES.items()]
         out += [violations(t[n], n, references={other: (cols, t[other], theirs)}) for n, found in REFERENCES.items() for cols, other, theirs in found]
+        # Statuses again from stored sections, of documents whose sections have intervals.
+        known = t["sections"].where("leave_seq IS NOT NULL").select("document_id").distinct()
+        again = xml_documents.stored_statuses(known, t["sections"], t["mappings"]).withColumnRenamed("status", "_again")
+        differ = t["statuses"].join(again, ["document_id", "concept"]).where("status <> _again")
+        out.append(differ.groupBy("document_id").agg(F.count(F.lit(1)).alias("n")).select(F.lit("statuses").alias("table"), F.lit("status of stored sections").alias("rule"), F.col("document_id").alias("key"), "n"))
         foreign = relational.foreign_parents(t["sections"], "section_id", "parent_id", "document_id")
         out.append(foreign.groupBy("section_id").agg(F.count(F.lit(1)).alias("n")).select(F.lit("sections").alias("table"), F.lit("parent in other document").alias("rule"), F.col("section_id").alias("key"), "n"))
         whole = out[0]

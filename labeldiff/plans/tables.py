@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-SCHEMA_VERSION = 1
+#: 2: sections have leave_seq; parts of version 1 are read with null there.
+SCHEMA_VERSION = 2
 _ITEM = "ingredient_name string, normalized string, discovery_id string, decision_id string, selection string, discovery string, ingestion string, verification string, set_id string, version string, raw_sha256 string, document_id string, quarantine_id string, compatibility string, n_candidates long, n_sections long, n_mapped long, n_unmapped long, n_empty long, manual_review boolean, retry boolean, error string, message string"
 _COUNTS = "total long, selected long, fetched long, ingested long, verified long, quarantined long, unresolved long, failed long"
 
@@ -10,7 +11,7 @@ TABLES = {
     "schema": ("version int, at timestamp", ["version"]),
     "raw": ("set_id string, version string, raw_sha256 string, path string, metadata_path string, content binary, container binary, member string, manifest string, retrieved_at timestamp, authority string, provider string, jurisdiction string, source_url string", ["set_id", "version"]),
     "documents": ("document_id string, source_id string, lineage_id string, path string, raw_sha256 string, n_bytes long, set_id string, version string, document_root string, title string, doc_type string, language string, effective date, generic_name string, generics array<string>, ingredients array<string>, brands array<string>, forms array<string>, routes array<string>, normalized_sha256 string, parser_version string, schema_version string, mapping_version string, retrieved_at timestamp", ["document_id"]),
-    "sections": ("document_id string, lineage_id string, seq int, parent_seq int, depth int, code string, heading string, text string, status string, locator string, xml_id string, structure string, comparison string, sha256 string, section_id string, parent_id string", ["section_id"]),
+    "sections": ("document_id string, lineage_id string, seq int, parent_seq int, depth int, code string, heading string, text string, status string, locator string, xml_id string, structure string, comparison string, sha256 string, section_id string, parent_id string, leave_seq int", ["section_id"]),
     "products": ("document_id string, seq int, brand string, form string, route string, product_id string", ["product_id"]),
     "ingredients": ("document_id string, seq int, name string, ingredient_id string", ["document_id", "seq"]),
     "mappings": ("document_id string, section_id string, seq int, concept string, method string, confidence double, mapping_id string", ["mapping_id"]),

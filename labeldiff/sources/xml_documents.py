@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from labeldiff.functions import identity, rules, text
+from labeldiff.operators import relational
 from labeldiff.values import CONCEPTS, MAX_BYTES, TEXT_BLOCKS, VERSIONS
 
 #: Namespace of the documents.
@@ -32,7 +33,7 @@ BATCH_BYTES = 2_000_000
 SCAN_BYTES = 65_536
 _DECLARED = re.compile(rb"<!\s*(?:DOCTYPE|ENTITY)\b", re.I)
 
-SECTION = "struct<seq:int,parent_seq:int,depth:int,code:string,heading:string,text:string,status:string,locator:string,xml_id:string,structure:string,comparison:string,sha256:string,filled:boolean,parent_locator:string,parent_sha256:string>"
+SECTION = "struct<seq:int,parent_seq:int,depth:int,code:string,heading:string,text:string,status:string,locator:string,xml_id:string,structure:string,comparison:string,sha256:string,leave_seq:int,filled:boolean,parent_locator:string,parent_sha256:string>"
 PRODUCT = "struct<seq:int,brand:string,form:string,route:string>"
 PARSED = f"path string, raw_sha256 string, n_bytes long, set_id string, version string, document_root string, title string, doc_type string, language string, effective date, generic_name string, generics array<string>, ingredients array<string>, products array<{PRODUCT}>, sections array<{SECTION}>, normalized_sha256 string, error string, message string"
 
@@ -228,9 +229,14 @@ def parse(content: bytes) -> dict:
     for s in reversed(out["sections"]):
         if s["parent_seq"] is not None and filled[s["seq"]]:
             filled[s["parent_seq"]] = True
+    # The last section of each subtree: with seq, the interval of the tree that a stored section stands for.
+    leave = list(range(len(filled)))
+    for s in reversed(out["sections"]):
+        if s["parent_seq"] is not None:
+            leave[s["parent_seq"]] = max(leave[s["parent_seq"]], leave[s["seq"]])
     # What a parent's id is made of travels with its children, so that no row has to look into the whole document again.
     above = [out["sections"][s["parent_seq"]] if s["parent_seq"] is not None else {} for s in out["sections"]]
-    rows = [s | {"filled": f, "parent_locator": a.get("locator"), "parent_sha256": a.get("sha256")} for s, f, a in zip(out["sections"], filled, above, strict=True)]
+    rows = [s | {"leave_seq": e, "filled": f, "parent_locator": a.get("locator"), "parent_sha256": a.get("sha256")} for s, e, f, a in zip(out["sections"], leave, filled, above, strict=True)]
     return out | {"sections": rows, "normalized_sha256": digest}
 
 
@@ -379,3 +385,11 @@ def concept_statuses(documents: DataFrame) -> DataFrame:
     own = F.filter("m", lambda m: m["c"] == F.col("concept"))
     status = F.when(F.size(own) == 0, "ABSENT").when(F.exists(own, lambda m: m["f"]), "PRESENT").otherwise("PRESENT_EMPTY")
     return each.select("path", "document_id", "concept", status.alias("status"))
+
+
+def stored_statuses(documents: DataFrame, sections: DataFrame, mappings: DataFrame) -> DataFrame:
+    """The same from stored rows: (document_id, concept, status) of documents (document_id), by the intervals of their sections' subtrees."""
+    full = relational.interval_any(sections.select("document_id", "section_id", "seq", "leave_seq", (F.col("status") == "PRESENT").alias("_text")), "document_id", "seq", "leave_seq", "_text")
+    found = mappings.select("section_id", "concept").join(full, "section_id").groupBy("document_id", "concept").agg(F.bool_or("_text").alias("_f"))
+    each = documents.select("document_id", F.explode(F.array(*map(F.lit, CONCEPTS))).alias("concept")).join(found, ["document_id", "concept"], "left")
+    return each.select("document_id", "concept", F.when(F.col("_f").isNull(), "ABSENT").when(F.col("_f"), "PRESENT").otherwise("PRESENT_EMPTY").alias("status"))

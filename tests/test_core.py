@@ -562,6 +562,55 @@ def test_relational(spark):
     assert {r.rule for r in bad.collect()} == {"unique(k)", "k small", "other"}
 
 
+def test_subtrees_by_intervals(spark):
+    r = random.Random(4)
+    rows, flags = [], {}
+    for tree in range(6):
+        parents = [None] + [r.randrange(k) if r.random() < 0.8 else k - 1 for k in range(1, 25)]
+        order, below = [], {k: [c for c, p in enumerate(parents) if p == k] for k in range(25)}
+
+        def walk(k, order=order, below=below):
+            order.append(k)
+            for c in below[k]:
+                walk(c)
+            return k
+
+        walk(0)
+        at = {k: i for i, k in enumerate(order)}
+        own = {k: r.random() < 0.15 for k in range(25)}
+        deep = lambda k, below=below: [k, *(x for c in below[k] for x in deep(c))]
+        for k in range(25):
+            rows.append((tree, at[k], max(at[x] for x in deep(k)), own[k]))
+            flags[tree, at[k]] = any(own[x] for x in deep(k))
+    got = relational.interval_any(spark.createDataFrame(rows, "t int, a int, b int, f boolean"), "t", "a", "b", "f")
+    assert {(x.t, x.a): x.f for x in got.collect()} == flags
+
+
+def deep_document(n):
+    return document("1", "<component><section><id root='a'/><text>t</text>" * n + "</section></component>" * n)
+
+
+def test_ids_are_scanned_in_bounded_memory(spark):
+    import tracemalloc
+
+    body = "".join(section("34067-9", "t", "word " * 200, section(None, "in", "x", root=f"b{k}"), root=f"a{k}") for k in range(200))
+    peaks = []
+    for times in (1, 12):
+        content = document("1", body * times)
+        tracemalloc.start()
+        n = sum(1 for _ in xml_documents.scanned(content))
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+        assert n == 400 * times
+    assert peaks[1] < 1.3 * peaks[0] + 200_000
+    assert [s["locator"] for s in xml_documents.parse(deep_document(300))["sections"]] == [at for at, _ in xml_documents.scanned(deep_document(300))]
+    files_ = raw(spark, V1, b"<a", b"", document("2", "<structuredBody/>"))
+    got = xml_documents.section_ids(files_)
+    assert sorted(x.error for x in got.where("error IS NOT NULL").collect()) == ["malformed_xml", "malformed_xml", "unsupported_document_structure"]
+    want = [(s["seq"], s["locator"], s["xml_id"]) for s in xml_documents.parse(V1)["sections"]]
+    assert sorted((x.seq, x.locator, x.xml_id) for x in got.where("error IS NULL").collect()) == want
+
+
 def test_store_inserts(spark, tmp_path):
     s = store.Store(spark, str(tmp_path))
     rows = lambda *x: spark.createDataFrame(list(x), "k int, h string")
