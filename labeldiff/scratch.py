@@ -4,12 +4,24 @@ from __future__ import annotations
 
 import atexit
 import tempfile
+import threading
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 _own: dict[str, str] = {}
-_held: list[tuple[SparkSession, str]] = []
+_lists: list[list[tuple[SparkSession, str]]] = []
+
+
+class _Own(threading.local):
+    """Each thread's results: what one query releases is never another's that runs beside it."""
+
+    def __init__(self):
+        self.held: list[tuple[SparkSession, str]] = []
+        _lists.append(self.held)
+
+
+_mine = _Own()
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -29,7 +41,7 @@ def shared_dir(spark: SparkSession) -> str:
 def place(spark: SparkSession, tag: str, root: str | None = None) -> str:
     """A new path for an intermediate result; ``release`` removes it."""
     path = f"{root or shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
-    _held.append((spark, path))
+    _mine.held.append((spark, path))
     return path
 
 
@@ -41,25 +53,29 @@ def held(df: DataFrame, tag: str = "held", root: str | None = None) -> DataFrame
 
 
 def mark() -> int:
-    """How many results are held; for ``release``."""
-    return len(_held)
+    """How many results this thread holds; for ``release``."""
+    return len(_mine.held)
 
 
 def release(since: int = 0, keep: int = 0) -> None:
-    """Removes the results held since ``since`` but for the last ``keep``. Nothing may read them afterwards."""
-    gone = _held[since : len(_held) - keep]
-    for spark, path in gone:
+    """Removes the results that this thread has held since ``since`` but for the last ``keep``. Nothing may read them afterwards."""
+    removed(_mine.held, since, keep)
+
+
+def removed(held_: list[tuple[SparkSession, str]], since: int = 0, keep: int = 0) -> None:
+    for spark, path in held_[since : len(held_) - keep]:
         context = spark.sparkContext
         if context._jsc is None:
             continue
         p = context._jvm.org.apache.hadoop.fs.Path(path)
         p.getFileSystem(context._jsc.hadoopConfiguration()).delete(p, True)
-    del _held[since : len(_held) - keep]
+    del held_[since : len(held_) - keep]
 
 
 @atexit.register
 def _at_end() -> None:
-    try:
-        release()
-    except Exception:  # the session may be gone, and its files with it
-        _held.clear()
+    for own in _lists:
+        try:
+            removed(own)
+        except Exception:  # the session may be gone, and its files with it
+            own.clear()

@@ -611,6 +611,22 @@ def test_ids_are_scanned_in_bounded_memory(spark):
     assert sorted((x.seq, x.locator, x.xml_id) for x in got.where("error IS NULL").collect()) == want
 
 
+def test_threads_release_their_own(spark):
+    from concurrent.futures import ThreadPoolExecutor
+
+    from labeldiff import scratch
+
+    since = scratch.mark()
+    with ThreadPoolExecutor(1) as other:
+        theirs = other.submit(lambda: scratch.held(spark.range(3))).result()
+        mine = scratch.held(spark.range(4))
+        scratch.release(since)
+        assert theirs.count() == 3 and scratch.mark() == since
+        other.submit(scratch.release).result()
+    with pytest.raises(Exception, match="(?i)not.exist|not_exist|cannot"):
+        mine.count()
+
+
 def test_store_inserts(spark, tmp_path):
     s = store.Store(spark, str(tmp_path))
     rows = lambda *x: spark.createDataFrame(list(x), "k int, h string")
