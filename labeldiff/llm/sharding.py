@@ -45,10 +45,8 @@ def rendezvous(key: Column, weights: Sequence[float]) -> Column:
 
 
 def assign_shards(docs: DataFrame, key: str, weights: Sequence[float], shard: str = "shard") -> DataFrame:
-    """docs with the column ``shard``. One projection: no shuffle, no Python."""
-    if fresh(docs.columns, shard) != shard:
-        raise ValueError(f"there is a column {shard}")
-    return docs.withColumn(shard, rendezvous(F.col(f"`{key}`"), weights).cast("int"))
+    """docs with the column ``shard`` (with underscores if there is one of that name). One projection: no shuffle, no Python."""
+    return docs.withColumn(fresh(docs.columns, shard), rendezvous(F.col(f"`{key}`"), weights).cast("int"))
 
 
 def number_slots(rows: DataFrame, key: str, shard: str = "shard", slot: str = "slot", buckets: int | None = None) -> DataFrame:
@@ -56,12 +54,12 @@ def number_slots(rows: DataFrame, key: str, shard: str = "shard", slot: str = "s
 
     A shard may be far larger than a task, so it is cut by the leading bits of that hash into ``buckets`` ranges
     (default: the number of shuffle partitions, at least 64); rows are numbered inside a range and shifted by the sizes of the ranges
-    before it. Only shards x buckets sizes are broadcast. Equal rows are counted first and unfolded last.
+    before it. Only shards x buckets sizes are broadcast. Equal rows are counted first and unfolded last. The number's
+    column gets underscores if there is one of that name.
     """
     spark = rows.sparkSession
     names = rows.columns
-    if fresh(names, slot) != slot:
-        raise ValueError(f"there is a column {slot}")
+    slot = fresh(names, slot)
     o, n, b, all_, shift_, first_, p, k = (fresh([*names, slot], f"_{x}") for x in ("o", "n", "b", "all", "shift", "first", "p", "k"))
     c = lambda x: F.col(f"`{x}`")
     ranges = buckets or max(64, int(spark.conf.get("spark.sql.shuffle.partitions")))

@@ -715,8 +715,8 @@ def test_clashing_names(spark, tmp_path):
         assert len(got) == 7 and all(g[x] == "mine" for g in got for x in extra), name
     for kept in (toxicity.reject(df, model), decontaminate.clean(df, item, 3), simhash.keep_one(df), similar.keep_one(df), mixing.draw(df, 1.0)):
         assert kept.columns == df.columns
-    with pytest.raises(ValueError, match="there is a column"):
-        sharding.assign_shards(df, "doc_id", [1.0], "SCORE")
+    dealt = sharding.assign_shards(df.withColumn("slot", F.lit("mine")), "doc_id", [1.0], "SCORE")
+    assert dealt.columns[-1] == "SCORE_" and sharding.number_slots(dealt, "doc_id", "SCORE_").columns[-1] == "slot_"
 
 
 def test_top_k_counts_an_id_once(spark):
