@@ -10,8 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labeldiff.functions import identity, rules, text
-from labeldiff.operators import batch, diff, lineage, matching, relational, selection, textdiff
-from labeldiff.queries import document_pairs, joined, query, read, spread
+from labeldiff.operators import batch, diff, lineage, matching, relational, selection, structure, textdiff
+from labeldiff.queries import META, document_pairs, joined, query, read, spread
 from labeldiff.scratch import held
 from labeldiff.sources import fetch, files, xml_documents
 from labeldiff.values import CODE_CONCEPTS, CONCEPTS, REJECTIONS, SELECTION_ERRORS
@@ -431,6 +431,20 @@ def q_text_round_trip(spark, d):
     return chunks.groupBy("new_doc").agg(side("ADDITION").alias("old_sha256"), side("DELETION").alias("new_sha256"))
 
 
+@query(f"""WITH {META}, l AS (SELECT new_doc, old_source, new_source, string_split(old_text, chr(10)) AS a, string_split(new_text, chr(10)) AS b FROM p WHERE old_text IS NOT NULL AND new_text IS NOT NULL),
+k AS (SELECT new_doc, a, b, unnest(range(greatest(len(a), len(b)))) AS k FROM l)
+SELECT new_doc, '' AS path, 'CHANGED' AS change FROM l WHERE old_source IS DISTINCT FROM new_source
+UNION ALL SELECT new_doc, '/' || k, CASE WHEN k >= len(a) THEN 'ADDED' ELSE 'REMOVED' END FROM k WHERE k >= least(len(a), len(b))
+UNION ALL SELECT new_doc, '/' || k || '/0', 'CHANGED' FROM k WHERE k < least(len(a), len(b)) AND a[k + 1] <> b[k + 1]""")
+def q_changed_paths(spark, d):
+    """Where the structures of consecutive versions differ: a tree of each, its lines two levels below the root."""
+    node = lambda tag, said, children, name: F.struct(F.array(F.array(F.lit("name"), name)).alias("attributes"), children.alias("children"), F.lit(tag).alias("tag"), F.lit(None).cast("string").alias("tail"), said.alias("text"))
+    none, nobody = F.lit(None).cast("string"), F.array().cast("array<string>")
+    tree = lambda s: F.to_json(node("document", none, F.transform(F.split(f"{s}_text", "\n"), lambda x: node("p", none, F.array(node("line", x, nobody, none)), none)), F.col(f"{s}_source")), {"ignoreNullFields": "false"})
+    pairs = document_pairs(spark, d, "text", "source").where("old_text IS NOT NULL AND new_text IS NOT NULL")
+    return structure.changed_paths(pairs.select("new_doc", tree("old").alias("old"), tree("new").alias("new")), ["new_doc"])
+
+
 @query("""WITH e AS (SELECT user_id, event_id, event_type, ts FROM events), s AS (SELECT user_id, event_type, max_by(event_id, (ts, event_id)) AS h FROM e WHERE event_id % 4 <> 0 GROUP BY ALL),
 j AS (SELECT e.event_id, s.h, CASE WHEN e.event_id % 3 = 0 THEN e.event_id * 2 END AS sel FROM e LEFT JOIN s USING (user_id, event_type))
 SELECT event_id, coalesce(h, sel) AS published, CASE WHEN h IS NOT NULL THEN 'DAILYMED_HISTORY' WHEN sel IS NOT NULL THEN 'SELECTION_METADATA' END AS published_source, coalesce(h <> sel, false) AS disagrees FROM j""")

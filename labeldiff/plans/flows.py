@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from labeldiff import scratch
 from labeldiff.functions import identity, rules, text
-from labeldiff.operators import batch, diff, lineage, matching, relational, textdiff
+from labeldiff.operators import batch, diff, lineage, matching, relational, structure, textdiff
 from labeldiff.operators.store import Refused, Store, compared, conflicting, contents, dangling, fresh_rows, text_of, violations
 from labeldiff.plans.tables import CONTENTS, REFERENCES, SCHEMA_VERSION, TABLES
 from labeldiff.sources import fetch, files, xml_documents
@@ -346,6 +346,13 @@ class Flows:
         rows = rows.where(F.arrays_overlap("operations", F.array(*map(F.lit, ("SECTION_ADDED", "SECTION_REMOVED", "SECTION_MODIFIED")))))
         return textdiff.text_chunks(rows, ["pair_id", "index"])
 
+    def structure_changes(self, pairs: DataFrame, rows: DataFrame | None = None) -> DataFrame:
+        """(pair_id, index, path, change): where the structures of matched sections differ, apart from their locators."""
+        rows = self.section_diffs(pairs) if rows is None else rows
+        side = lambda s: self.table("sections").select(F.col("section_id").alias(f"{s}_id"), F.col("comparison").alias(s))
+        both = rows.where("old_id IS NOT NULL AND new_id IS NOT NULL").select("pair_id", "index", "old_id", "new_id").join(side("old"), "old_id").join(side("new"), "new_id")
+        return structure.changed_paths(both, ["pair_id", "index"])
+
     def change_causes(self, pairs: DataFrame) -> DataFrame:
         """Why the two versions of each pair differ."""
         c = F.col

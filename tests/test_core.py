@@ -20,7 +20,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from labeldiff.functions import identity, rules, text
-from labeldiff.operators import batch, diff, lineage, matching, relational, selection, store, textdiff
+from labeldiff.operators import batch, diff, lineage, matching, relational, selection, store, structure, textdiff
 from labeldiff.operators.store import Refused
 from labeldiff.plans import cli
 from labeldiff.plans.batches import Batches
@@ -627,6 +627,38 @@ def test_threads_release_their_own(spark):
         mine.count()
 
 
+def test_changed_paths(spark):
+    r = random.Random(6)
+
+    def tree(depth):
+        return {"attributes": [["a", r.choice("xy")]], "children": [tree(depth - 1) for _ in range(r.randrange(4))] if depth else [], "tag": r.choice("pq"), "tail": r.choice([None, "t"]), "text": r.choice([None, "é", "u"])}
+
+    def edit(n):
+        n = n | {"children": [edit(x) for x in n["children"] if r.random() < 0.95]}
+        if r.random() < 0.1:
+            n["text"] = "new"
+        if r.random() < 0.05:
+            n["children"] = [*n["children"], tree(1)]
+        return n
+
+    def plain(old, new, path=""):
+        if any(old[x] != new[x] for x in structure.OWN):
+            yield path, "CHANGED"
+        for k in range(max(len(old["children"]), len(new["children"]))):
+            a, b = (x["children"][k] if k < len(x["children"]) else None for x in (old, new))
+            if a is None or b is None:
+                yield f"{path}/{k}", "ADDED" if a is None else "REMOVED"
+            else:
+                yield from plain(a, b, f"{path}/{k}")
+
+    pairs = [(k, t, edit(t)) for k, t in enumerate(tree(4) for _ in range(40))]
+    made = lambda t: json.dumps(t, ensure_ascii=False, sort_keys=True, separators=(",", ":"))
+    rows = [(k, made(a), made(b)) for k, a, b in pairs] + [(90, None, made(tree(1))), (91, made(tree(1)), None), (92, None, None)]
+    got = structure.changed_paths(spark.createDataFrame(rows, "k int, old string, new string"), ["k"])
+    want = {(k, *x) for k, a, b in pairs for x in plain(a, b)} | {(90, "", "ADDED"), (91, "", "REMOVED")}
+    assert len(want) > 40 and {tuple(x) for x in got.collect()} == want and got.count() == len(want)
+
+
 def test_store_inserts(spark, tmp_path):
     s = store.Store(spark, str(tmp_path))
     rows = lambda *x: spark.createDataFrame(list(x), "k int, h string")
