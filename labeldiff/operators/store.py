@@ -46,8 +46,8 @@ def contents(rows: DataFrame, name: str, key: Sequence[str], columns: Sequence[s
 def conflicting(existing: DataFrame, incoming: DataFrame) -> DataFrame:
     """(table, key) of incoming contents that differ from what is stored under their key, or from each other. Only keys that come in are looked up."""
     new = incoming.groupBy("table", "key").agg(F.min("digest").alias("low"), F.max("digest").alias("high"))
-    both = new.join(existing.withColumnRenamed("digest", "old"), ["table", "key"], "left")
-    return both.where((F.col("low") != F.col("high")) | (F.col("old") != F.col("low"))).select("table", "key").distinct()
+    changed = existing.withColumnRenamed("digest", "old").join(new, ["table", "key"]).where(F.col("old") != F.col("low"))
+    return changed.select("table", "key").union(new.where(F.col("low") != F.col("high")).select("table", "key")).distinct()
 
 
 def dangling(wanted: DataFrame, there: DataFrame) -> DataFrame:

@@ -732,6 +732,16 @@ def test_open_runs_are_closed(spark, tmp_path, monkeypatch):
     assert "succeeded" in {s for _, s, _ in states()} and f.recover().count() == 0 and f.count("documents") == 1
 
 
+def test_parts_of_an_older_schema_are_read(spark, tmp_path):
+    f = Flows(spark, str(tmp_path / "s"))
+    old = f.table("sections").drop("leave_seq")
+    row = spark.range(1).select(*[F.lit("s" if x.name == "section_id" else None).cast(x.dataType).alias(x.name) for x in old.schema])
+    f.store.commit({"sections": row, "schema": spark.range(1).select(F.lit(1).cast("int").alias("version"), F.current_timestamp().alias("at"))})
+    assert f.migrate() == 2 and f.table("schema").count() == 2 and f.migrate() == 2 and f.table("schema").count() == 2
+    f.commit(sections=f.table("sections").withColumns({"section_id": F.lit("t"), "leave_seq": F.lit(3)}))
+    assert {(r.section_id, r.leave_seq) for r in f.table("sections").collect()} == {("s", None), ("t", 3)}
+
+
 def test_commits_that_change_or_dangle_are_refused(spark, tmp_path):
     f = Flows(spark, str(tmp_path / "s"))
     made = lambda name, **values: f.spark.range(1).select(*[F.lit(values.get(x.name)).cast(x.dataType).alias(x.name) for x in f.table(name).schema])
