@@ -84,6 +84,7 @@ class Batches:
             except (Py4JJavaError, PySparkException, Refused) as e:
                 if self.spark.sparkContext._jsc is None or self.spark.sparkContext._jsc.sc().isStopped():
                     raise
+                low, high = part.agg(F.min("rank"), F.max("rank")).first()
                 if low < high:
                     middle = (low + high) // 2
                     spans[:0] = [s for s in ((low, middle), (middle + 1, high)) if not todo.where(F.col("rank").between(*s)).isEmpty()]
