@@ -11,7 +11,7 @@ vectors is bounded by the sample.
 
 Scoring: the index reads blocks in the order of their bounds until the k nearest are certain. They
 vote with weight cos^2 (1 - distance, sharpened); a text without any feature has as neighbours the labelled texts
-without any. Votes become probabilities by a monotone map fitted on leave-one-out votes of the labelled rows
+without any, and so has one that shares no feature with a labelled text. Votes become probabilities by a monotone map fitted on leave-one-out votes of the labelled rows
 (pool-adjacent-violators with smoothing). Evidence: the neighbours' ids and cosines.
 
 Defined results: null and empty texts have no features and are scored; null labels are ignored; several labels of one
@@ -151,6 +151,9 @@ class Index:
         bound = w @ self.top[f]
         order = np.argsort(-bound)
         order = order[: np.count_nonzero(bound > 0)]
+        # A feature that was nobody's best one in the sample has no postings.
+        if not len(order):
+            return []
 
         # The blocks with the highest bounds fix a score to beat; then all others that can.
         some = order[:AHEAD]
