@@ -15,6 +15,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,6 +23,8 @@ from labeldiff.scratch import held
 
 #: Word pairs (words of one side times words of the other) that a task searches; equal ones that it holds at once.
 AREA, MEET = 50_000_000, 2_000_000
+#: Bytes of texts whose words a task holds at once; a longer pair is alone.
+SLICE = 2_000_000
 #: White space as Python's ``str.split`` sees it.
 BLANK = "[\\x09-\\x0D\\x1C-\\x20\\x85\\xA0\\u1680\\u2000-\\u200A\\u2028\\u2029\\u202F\\u205F\\u3000]+"
 CHUNKS = "position int, operation string, text string, old_start int, old_end int, new_start int, new_end int"
@@ -116,15 +119,25 @@ def text_chunks(pairs: DataFrame, keys: list[str], area: int = AREA) -> DataFram
     return short.unionByName(long_chunks(held(long.select(*keys, words(F.col("a")).alias("a"), words(F.col("b")).alias("b")), "long-pairs"), keys, area))
 
 
+def slices(batch: pa.RecordBatch, columns: tuple[int, ...], size: int = SLICE) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch of about ``size`` bytes of text in the columns; a larger row is a part of its own. Words take many times the bytes of their text, so a whole batch would fill a task."""
+    ends = np.cumsum([0, *(sum(x or 0 for x in row) for row in zip(*(pc.binary_length(batch.column(c)).to_pylist() for c in columns), strict=True))])
+    at = 0
+    while at < batch.num_rows:
+        to = max(at + 1, int(np.searchsorted(ends, ends[at] + size, side="right")) - 1)
+        yield batch.slice(at, to - at)
+        at = to
+
+
 def short_chunks(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """A map over pairs (keys, a, b as texts): no shuffle."""
+    """A map over pairs (keys, a, b as texts): no shuffle. Memory goes with a slice of pairs, not with a batch."""
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*keys).schema), CHUNKS])
     names = [*keys, "position", "operation", "text", "old_start", "old_end", "new_start", "new_end"]
     kinds = [pa.int32(), pa.string(), pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.int32()]
     n = len(keys)
 
     def run(batches):
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, (n, n + 1))):
             found, of = [], []
             sides = [[(t or "").split() for t in batch.column(m).to_pylist()] for m in (n, n + 1)]
             codes = np.asarray(pa.array([w for side in sides for own in side for w in own], pa.string()).dictionary_encode().indices).astype(np.int64)
