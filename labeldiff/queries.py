@@ -228,20 +228,32 @@ ops AS (
     CASE WHEN status = 'EXACT' AND old_line = new_line AND NOT moved THEN 'NO_CHANGE' END) AS operations FROM k)"""
 
 
+def digested(spark: SparkSession, d: str) -> DataFrame:
+    """``phased`` without texts: line and head are SHA-256 digests, ``bang`` tells whether the line has a "!". What is compared leaves the scan as digests, so no text is shuffled or sorted."""
+    pairs, docs = lineages(spark, d), read(spark, d, "documents")
+    digest = lambda x: F.unhex(F.sha2(x.cast("binary"), 256))
+    head = lambda x: F.nullif(F.regexp_extract(x, "^[^ ]* ?[^ ]*", 0), F.lit(""))
+    lines = F.transform(F.split("text", "\n"), lambda x: F.struct(digest(x).alias("line"), digest(head(x)).alias("head"), F.contains(x, F.lit("!")).alias("bang")))
+    both = pairs.select(F.col("new_doc").alias("pair_id"), F.inline(F.array(F.struct(F.lit("old").alias("side"), F.col("old_doc").alias("doc_id")), F.struct(F.lit("new").alias("side"), F.col("new_doc").alias("doc_id")))))
+    rows = both.join(docs.select("doc_id", lines.alias("lines")), "doc_id").select("pair_id", "side", F.posexplode("lines").alias("seq", "x")).select("pair_id", "side", "seq", "x.*", F.col("seq").alias("section_id"))
+    return matching.exact_phases(rows, {"XML_IDENTIFIER": F.col("line"), "SECTION_CODE": F.col("head"), "SOURCE_LOCATOR": F.col("seq").cast("string")})
+
+
 def section_rows(spark: SparkSession, d: str) -> DataFrame:
     """Outcome of every section with its operations; the stand-in for mapped concepts is whether the line has a "!"."""
-    rows = phased(spark, d)
+    rows = digested(spark, d)
     # Matched rows carry the other side's values through a window in the partitioning they are in.
     own = Window.partitionBy("pair_id", "_key")
     key = F.when(F.col("partner").isNotNull(), F.struct(F.lit(0).alias("z"), F.when(F.col("side") == "old", F.col("seq")).otherwise(F.col("partner")).alias("o"))).otherwise(F.struct(F.when(F.col("side") == "old", 1).otherwise(2).alias("z"), F.col("seq").alias("o")))
     rows = rows.withColumn("_key", key)
     side = lambda s, c: F.max(F.when(F.col("side") == s, F.col(c))).over(own)
-    both = rows.select("pair_id", "side", "partner", F.coalesce("method", F.lit("UNMATCHED")).alias("method"), *[side(s, c).alias(f"{s}_{c}") for s in ("old", "new") for c in ("seq", "line", "head")])
+    both = rows.select("pair_id", "side", "partner", F.coalesce("method", F.lit("UNMATCHED")).alias("method"), *[side(s, c).alias(f"{s}_{c}") for s in ("old", "new") for c in ("seq", "line", "head", "bang")])
     one = both.where((F.col("side") == "old") | F.col("partner").isNull())
     exact = F.col("partner").isNotNull()
     matched = diff.rank_moves(one.withColumn("_m", exact), ["pair_id", "_m"], "old_seq", "new_seq")
-    has = lambda c: F.contains(c, F.lit("!"))
-    ops = diff.operations(F.col("old_seq").isNotNull(), F.col("new_seq").isNotNull(), F.col("old_line") != F.col("new_line"), F.col("reordered"), F.col("old_head") != F.col("new_head"), has(F.col("old_line")) != has(F.col("new_line")))
+    # A blank head has no digest.
+    renamed = ~F.col("old_head").eqNullSafe(F.col("new_head"))
+    ops = diff.operations(F.col("old_seq").isNotNull(), F.col("new_seq").isNotNull(), F.col("old_line") != F.col("new_line"), F.col("reordered"), renamed, F.col("old_bang") != F.col("new_bang"))
     return matched.select("pair_id", F.col("old_seq").alias("old_id"), F.col("new_seq").alias("new_id"), "method", F.when(exact, "EXACT").otherwise("UNMATCHED").alias("status"), ops.alias("operations"))
 
 
