@@ -26,8 +26,12 @@ def as_is(rows: DataFrame) -> DataFrame:
     return rows
 
 
-def exact_phases(sides: DataFrame, phases: Mapping[str, Column]) -> DataFrame:
-    """sides with ``partner`` (the other side's section_id) and ``method`` (the phase); null where unmatched."""
+def exact_phases(sides: DataFrame, phases: Mapping[str, Column], agree: Mapping[str, tuple[Column, Callable[[Column, Column], Column]]] | None = None) -> DataFrame:
+    """sides with ``partner`` (the other side's section_id) and ``method`` (the phase); null where unmatched.
+
+    agree: for a phase a value of each section and whether two sections' values may match; those whose values do not are
+    left to later phases. The other side's value comes through the phase's own window, so nothing is joined.
+    """
     rows = sides.repartition("pair_id").withColumn("partner", F.lit(None).cast(sides.schema["section_id"].dataType)).withColumn("method", F.lit(None).cast("string"))
     old = F.col("side") == "old"
     for name, key in phases.items():
@@ -36,6 +40,10 @@ def exact_phases(sides: DataFrame, phases: Mapping[str, Column]) -> DataFrame:
         count = lambda side: F.count(F.when(side, 1)).over(group)  # noqa: B023,E731
         mine = lambda side: F.max(F.when(side, F.col("section_id"))).over(group)  # noqa: B023,E731
         single = F.col("_key").isNotNull() & (count(old) == 1) & (count(~old) == 1)
+        if name in (agree or {}):
+            value, alike = agree[name]
+            its = lambda side: F.max(F.when(side, F.struct(value.alias("v")))).over(group)["v"]  # noqa: B023,E731
+            single = single & alike(its(old), its(~old))
         rows = rows.withColumn("_partner", F.when(single, F.when(old, mine(~old)).otherwise(mine(old))))
         rows = rows.withColumn("method", F.when(F.col("_partner").isNotNull(), name).otherwise(F.col("method"))).withColumn("partner", F.coalesce("partner", "_partner"))
     return rows.drop("_key", "_partner")
@@ -62,12 +70,10 @@ def with_parents(sections: DataFrame) -> DataFrame:
     return joined.withColumn("parent_code", F.when(root, "<root>").otherwise(F.col("parent_code"))).withColumn("parent_heading", F.when(root, "<root>").otherwise(F.col("parent_heading"))).withColumn("parent_depth", F.coalesce("parent_depth", F.lit(-1)))
 
 
-def locator_agrees(matched: DataFrame) -> DataFrame:
-    """Unmakes locator matches whose codes and headings both differ: that phase asks for the same code or the same heading."""
-    other = matched.select("pair_id", F.col("section_id").alias("partner"), F.col("side").alias("_side"), F.col("code").alias("_code"), text.heading(F.col("heading")).alias("_heading"))
-    both = matched.join(other.withColumn("side", F.when(F.col("_side") == "old", "new").otherwise("old")).drop("_side"), ["pair_id", "partner", "side"], "left")
-    wrong = (F.col("method") == "SOURCE_LOCATOR") & ~F.col("code").eqNullSafe(F.col("_code")) & (text.heading(F.col("heading")) != F.col("_heading"))
-    return both.withColumn("partner", F.when(~wrong, F.col("partner"))).withColumn("method", F.when(~wrong, F.col("method"))).drop("_code", "_heading")
+def locator_agrees() -> dict[str, tuple[Column, Callable[[Column, Column], Column]]]:
+    """What the locator phase asks for besides: the same code or the same heading."""
+    value = F.struct(F.col("code").alias("code"), text.heading(F.col("heading")).alias("heading"))
+    return {"SOURCE_LOCATOR": (value, lambda a, b: a["code"].eqNullSafe(b["code"]) | a["heading"].eqNullSafe(b["heading"]))}
 
 
 def ratio(least: float = 0.0):
@@ -138,19 +144,18 @@ def outcomes(matched: DataFrame) -> DataFrame:
     return left.unionByName(right).withColumn("status", status).withColumn("method", F.coalesce("method", F.lit("UNMATCHED")))
 
 
-def match_sections(sections: DataFrame, hold: Hold = as_is) -> DataFrame:
-    """All six phases over sections of many pairs; sections with partner and method. ``hold`` is given what several later steps read."""
-    phases = standard_phases()
-    found = hold(exact_phases(with_parents(sections), {k: phases[k] for k in ("SOURCE_SECTION_ID", "XML_IDENTIFIER", "SECTION_CODE")}))
-    found = found.withColumnsRenamed({"partner": "_p", "method": "_m"})
-    later = exact_phases(found.where("_p IS NULL").drop("_p", "_m"), {"SOURCE_LOCATOR": phases["SOURCE_LOCATOR"]})
-    later = hold(locator_agrees(later))
-    done = later.where("partner IS NOT NULL")
-    later = hold(exact_phases(later.where("partner IS NULL").drop("partner", "method"), {"HEADING_AND_PARENT": phases["HEADING_AND_PARENT"]}))
-    rest = later.where("partner IS NULL")
+def match_sections(sections: DataFrame, hold: Hold = as_is, keep: list[str] | None = None) -> DataFrame:
+    """All six phases over sections of many pairs; sections with partner and method. ``hold`` is given what several later steps read.
+
+    keep: the columns that the caller reads (default: all); of sections that the exact phases match only these are held.
+    """
+    found = exact_phases(with_parents(sections), standard_phases(), locator_agrees())
+    if keep is not None:
+        found = found.select(*[F.when(F.col("partner").isNull(), F.col(c)).alias(c) if c not in {*keep, "partner", "method"} else F.col(c) for c in found.columns])
+    found = hold(found)
+    rest = found.where("partner IS NULL").drop("partner", "method")
     best = hold(mutual_best(content_scores(rest, hold=hold)))
-    link = best.select("pair_id", F.lit("old").alias("side"), F.col("old_id").alias("section_id"), F.col("new_id").alias("_p")).union(best.select("pair_id", F.lit("new"), "new_id", "old_id"))
-    rest = rest.drop("partner").join(link, ["pair_id", "side", "section_id"], "left").withColumn("method", F.when(F.col("_p").isNotNull(), "CONTENT_ASSISTED")).withColumnRenamed("_p", "partner")
-    first = found.where("_p IS NOT NULL").withColumnsRenamed({"_p": "partner", "_m": "method"})
-    names = first.columns
-    return first.unionByName(done.select(*names)).unionByName(later.where("partner IS NOT NULL").select(*names)).unionByName(rest.select(*names))
+    link = best.select("pair_id", F.lit("old").alias("side"), F.col("old_id").alias("section_id"), F.col("new_id").alias("partner")).union(best.select("pair_id", F.lit("new"), "new_id", "old_id"))
+    rest = rest.select(*(found.columns[:-2] if keep is None else keep)).join(link, ["pair_id", "side", "section_id"], "left").withColumn("method", F.when(F.col("partner").isNotNull(), "CONTENT_ASSISTED"))
+    names = rest.columns
+    return found.where("partner IS NOT NULL").select(*names).unionByName(rest)

@@ -188,8 +188,7 @@ def line_sections(spark: SparkSession, d: str) -> DataFrame:
 @query()
 def q_match_content(spark, d):
     """All six phases, the content phase included (its ratio has no SQL); the methods of all sections."""
-    found = matching.match_sections(line_sections(spark, d), held)
-    return matching.outcomes(found.select("pair_id", "side", "section_id", "partner", "method"))
+    return matching.outcomes(matching.match_sections(line_sections(spark, d), held, ["pair_id", "side", "section_id"]))
 
 
 @query(f"""WITH {PHASES}, toks AS (SELECT pair_id, side, seq, list_distinct(list_filter(string_split(lower(line), ' '), lambda x: x <> '')) AS t FROM r2),
