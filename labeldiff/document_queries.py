@@ -31,13 +31,16 @@ def xml_files(spark: SparkSession, d: str) -> DataFrame:
     """(path, content): a document of each row; of 13 in a row one each has a declaration, no title, a bad date, no end."""
     c, lit = F.col, F.lit
     i = c("doc_id")
-    lines = F.split(F.coalesce("text", lit("")), "\n")
+    # Split and escaped once a document: within a lambda an expression is evaluated for each element, the whole text for each line.
+    # No name of a character has a space or a line's end in it, so lines and first words are the same after escaping.
+    docs = spread(read(spark, d, "documents")).withColumn("lines", F.split(xml_text(F.coalesce("text", lit(""))), "\n"))
+    lines = c("lines")
 
     def section(k: Column, inner: Column) -> Column:
         line = F.get(lines, k)
         code = F.array(*map(lit, CODES))[((i + k) % 20).cast("int")]
-        body = F.when(k % 10 == 9, "").otherwise(F.concat(lit("<text>"), xml_text(line), lit("</text>")))
-        return F.concat(lit('<component><section><id root="x'), k.cast("string"), lit('"/><code code="'), code, lit('"/><title>'), xml_text(F.regexp_extract(line, "^[^ ]* ?[^ ]*", 0)), lit("</title>"), body, inner, lit("</section></component>"))
+        body = F.when(k % 10 == 9, "").otherwise(F.concat(lit("<text>"), line, lit("</text>")))
+        return F.concat(lit('<component><section><id root="x'), k.cast("string"), lit('"/><code code="'), code, lit('"/><title>'), F.regexp_extract(line, "^[^ ]* ?[^ ]*", 0), lit("</title>"), body, inner, lit("</section></component>"))
 
     even = F.sequence(lit(0), (F.size(lines) - 1) - (F.size(lines) - 1) % 2, lit(2))
     parts = F.array_join(F.transform(even, lambda k: section(k, F.when(k + 1 < F.size(lines), section(k + 1, lit(""))).otherwise(""))), "")
@@ -48,13 +51,15 @@ def xml_files(spark: SparkSession, d: str) -> DataFrame:
         F.when(i % 13 == 5, "<!DOCTYPE x>").otherwise(""), lit('<document xmlns="urn:hl7-org:v3"><id root="doc-'), i.cast("string"), lit('"/><code displayName="'), xml_text(F.coalesce("source", lit(""))), lit('"/>'), title, lit('<effectiveTime value="'), day, lit('"/><setId root="set-'),
         (i % 50).cast("string"), lit('"/><versionNumber value="'), i.cast("string"), lit('"/><languageCode code="'), xml_text(F.coalesce("lang", lit(""))), lit('"/>'), product, lit("<component><structuredBody>"), parts, lit("</structuredBody></component>"), F.when(i % 13 == 8, "").otherwise("</document>"),
     )
-    return spread(read(spark, d, "documents")).select(i.cast("string").alias("path"), whole.cast("binary").alias("content"))
+    return docs.select(i.cast("string").alias("path"), whole.cast("binary").alias("content"))
 
 
 def xml_tables(spark: SparkSession, d: str, keep: bool = False) -> dict[str, DataFrame]:
-    """The normalized tables; ``keep`` where more than one of them is read, so that every document is parsed once."""
+    """The normalized tables; ``keep`` where more than one of them is read, so that every document is parsed once. What is held is without texts and structures: no such query reads them."""
     rows = xml_documents.parsed(xml_files(spark, d))
-    return xml_documents.children(held(rows, "parsed") if keep else rows)
+    if keep:
+        rows = held(rows.withColumn("sections", F.transform("sections", lambda x: x.dropFields("text", "structure", "comparison"))), "parsed")
+    return xml_documents.children(rows)
 
 
 SECTIONS = """s AS (
