@@ -9,7 +9,7 @@ writer, uncompressed, so a lost executor leaves no partial file, and any store t
 
 Encoding is exact. In a vocabulary that splits text as ``NORMALIZER`` and ``SPLITTER`` say (its file is compared with
 them) no token crosses ASCII white space, so the library encodes each distinct chunk between white space once and a task
-looks the rest up in a bounded table. With any other vocabulary the library encodes whole texts.
+looks the rest up in a bounded table, which its worker keeps for the next task. With any other vocabulary the library encodes whole texts.
 
 Defined results: a null or empty text gives the end id alone; rows that share a doc_id follow each other in order of a
 text hash, each a document of its own; null doc_ids come first; an empty table gives no blocks; other columns are
@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import json
 import zlib
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -29,8 +30,8 @@ from pyspark.sql import functions as F
 
 from labeldiff.scratch import held, place
 
-#: Ids in a block, zstandard level, distinct chunks that a task remembers at most (before the next slice), bytes of text encoded at once.
-BLOCK, LEVEL, MEMORY, SLICE = 65_536, 1, 800_000, 16_000_000
+#: Ids in a block, zstandard level, distinct chunks that a worker remembers at most (before the next slice), bytes of text encoded at once.
+BLOCK, LEVEL, MEMORY, SLICE = 65_536, 1, 600_000, 8_000_000
 #: Punctuation that is cut off a word.
 STOPS, CUT = ".,;:!?", r"[A-Za-z0-9][.,;:!?]+$"
 
@@ -155,6 +156,12 @@ class Encoder:
         return ids, np.diff(marks)
 
 
+@lru_cache(maxsize=1)
+def encoder_of(vocabulary: str, literal_specials: bool) -> Encoder:
+    """A worker's encoder: what it has learnt serves the tasks that follow, which would load the vocabulary and learn the same chunks anew."""
+    return Encoder(vocabulary, literal_specials)
+
+
 def slices(batch: pa.RecordBatch):
     """Parts of a batch of about SLICE bytes of text; a longer text is a part of its own."""
     ends = np.cumsum([0] + [x or 0 for x in pa.compute.binary_length(batch["text"]).to_pylist()])
@@ -179,7 +186,7 @@ def encode(vocabulary: str, end_id: int, block: int, width: int, level: int, lit
 
         SCHEMA = pa.schema([("segment", pa.int32()), ("block", pa.int32()), ("n_ids", pa.int32()), ("width", pa.int32()), ("planes", pa.binary()), ("sizes", pa.list_(pa.int32())), ("docs", pa.list_(pa.struct([("doc_id", pa.int64()), ("at", pa.int64()), ("off", pa.int64()), ("pos", pa.int32()), ("len", pa.int32())])))])
         for batch in batches:
-            encoder = encoder or Encoder(vocabulary, literal_specials)
+            encoder = encoder or encoder_of(vocabulary, literal_specials)
             for part in slices(batch):
                 ids, counts = encoder(part["text"])
                 raw, done = ids.tobytes(), 0

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from labeldiff.llm import toxicity
+from labeldiff.llm import bitplane, toxicity
 
 
 def test_features_that_no_labelled_text_has(spark):
@@ -24,3 +24,16 @@ def test_only_texts_without_features_are_labelled():
 
     index = toxicity.Index([((), 3, 1, 7)], np.ones(2))
     assert index.vote(((0, 1),), 5) == (0.25, [])
+
+
+def test_a_worker_keeps_its_encoder():
+    """op1: each task loaded the vocabulary and learnt the words of its texts anew."""
+    import public_tokenizers
+    import pyarrow as pa
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    one = bitplane.encoder_of(path, True)
+    ids, counts = one(pa.array(["some words", ""]))
+    assert bitplane.encoder_of(path, True) is one and {"some", "words"} <= set(one.index)
+    again, same = one(pa.array(["some words", ""]))
+    assert ids.tolist() == again.tolist() and counts.tolist() == same.tolist() and bitplane.encoder_of(path, False) is not one
